@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, mixing, quality, rules, simhash, tokens
+from . import bpe, licenses, lines, mixing, quality, rules, secrets, simhash, tokens, vectors
 from .common import table
 
 
@@ -21,6 +21,10 @@ def op1_quality_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lines.line_report(table(spark, sf_dir, "documents"))
+
+
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rules.quality_rules(table(spark, sf_dir, "documents")).drop("rejected_by")
 
@@ -36,6 +40,14 @@ def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents"), tokenizer("byte_bpe_multi_50k.tiktoken"))
 
 
+def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.license_report(table(spark, sf_dir, "documents"))
+
+
+def op7_vector_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectors.vector_groups(table(spark, sf_dir, "embeddings"))
+
+
 def op8_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
@@ -45,8 +57,21 @@ def op9_simhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return groups.select("doc_id", simhash.hex_print(F.col("fp")).alias("fingerprint"), "component_id")
 
 
+def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select("doc_id", "ordinal", F.col("value").alias("finding"), "score", "is_secret")
+
+
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
-        op1_quality_resampling, op3_quality_rules, op4_token_counts, op5_byte_bpe, op8_mix_sources, op9_simhash_groups)
+        op1_quality_resampling, op2_line_dedup, op3_quality_rules, op4_token_counts, op5_byte_bpe, op6_license_scan, op7_vector_dedup,
+        op8_mix_sources, op9_simhash_groups, op10_secret_scan, pipeline)
 }
+#: SQL for DuckDB where it can express a query on whole tables; the other queries are tested against brute force.
 ORACLES: dict[str, str] = {}
