@@ -23,9 +23,10 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, IntegerType
+from pyspark.sql.types import ArrayType, BinaryType, IntegerType, StructField, StructType
 
 L, N, O, A1, A2, IN, SP, WS = range(8)  # noqa: E741  symbols; + 8: first of its text
 #: A1, A2: an apostrophe before s t m d, or before re ve ll. IN: white space that is not the last of
@@ -173,9 +174,7 @@ def vocabulary(path: str) -> list[bytes | None]:
 
 
 def merged(piece: bytes, rank: dict[bytes, int]) -> list[int]:
-    """Ids of one pre-token: always join the adjacent pair of lowest rank, leftmost first."""
-    if piece in rank:
-        return [rank[piece]]
+    """Ids of ``piece`` by pair merging: always join the adjacent pair of lowest rank, leftmost first."""
     if len(piece) > LONGEST:
         return _merged_long(piece, rank)
     get = rank.get
@@ -220,17 +219,26 @@ def _merged_long(piece: bytes, rank: dict[bytes, int]) -> list[int]:
 
 class Pieces(dict):
     """Ids of pre-tokens as packed uint32, in two generations: a full one becomes the old one, from
-    which pieces that are asked for again move back. Bounded in entries and in the length of keys."""
+    which pieces that are asked for again move back. Bounded in entries and in the length of keys.
+
+    Pair merging gives the one sequence of tokens of which every two neighbours merge to just
+    themselves. Whether two tokens do is cached too, so a new pre-token is mostly put together
+    from its longest tokens by looking up their pairs, going back where a pair does not hold.
+    """
 
     def __init__(self, path: str):
         super().__init__()
         self.rank = ranks(path)
         self.old: dict[bytes, bytes] = {}
+        self.stable: dict[tuple[bytes, bytes], bool] = {}
+        self.longest: dict[bytes, int] = {}
+        for token in self.rank:
+            self.longest[token[:2]] = max(len(token), self.longest.get(token[:2], 1))
 
     def __missing__(self, piece: bytes) -> bytes:
         ids = self.old.get(piece)
         if ids is None:
-            ids = array("I", merged(piece, self.rank)).tobytes()
+            ids = array("I", self.tokens(piece)).tobytes()
         if len(piece) <= LONGEST:
             if len(self) >= CACHED:
                 self.old = dict(self)
@@ -238,6 +246,40 @@ class Pieces(dict):
             self[piece] = ids
         return ids
 
+    def tokens(self, piece: bytes) -> list[int]:
+        rank, stable, longest = self.rank, self.stable, self.longest
+        if piece in rank:
+            return [rank[piece]]
+        if len(piece) > LONGEST:
+            return merged(piece, rank)
+        n, at, last = len(piece), 0, b""
+        out: list[bytes] = []
+        end = min(n, longest.get(piece[:2], 1))
+        while at < n:
+            while end > at:
+                token = piece[at:end]
+                if token in rank and ((ok := stable.get((last, token))) or ok is None and self.holds(last, token)):
+                    break
+                end -= 1
+            else:
+                if not out:
+                    return merged(piece, rank)
+                end, at = at - 1, at - len(out.pop())
+                last = out[-1] if out else b""
+                continue
+            out.append(token)
+            at, last = end, token
+            end = min(n, at + longest.get(piece[at : at + 2], 1))
+        return [rank[t] for t in out]
+
+    def holds(self, last: bytes, token: bytes) -> bool:
+        """Whether merging the bytes of both tokens gives these two again (or the one, if first)."""
+        own = [self.rank[last], self.rank[token]] if last else [self.rank[token]]
+        if len(self.stable) >= CACHED:
+            self.stable.clear()
+        ok = self.stable[last, token] = merged(last + token, self.rank) == own
+        return ok
+
 
 @lru_cache(maxsize=2)
 def pieces(path: str) -> Pieces:
@@ -272,59 +314,63 @@ def encode_texts(texts: list[str | None], path: str) -> list[np.ndarray]:
     return [np.frombuffer(b"".join(parts[a:b]), np.uint32) for a, b in zip(cut, cut[1:], strict=False)]
 
 
-def encode(docs: DataFrame, path: str, text: str = "text", step: int = 1 << 20) -> DataFrame:
+def decode_ids(ids: np.ndarray, cuts: np.ndarray, sizes: np.ndarray, path: str, step: int = 1 << 17) -> list[bytes]:
+    """The bytes of each run ids[cuts[i]:cuts[i + 1]], ``sizes`` long; ``step`` ids at a time."""
+    words = vocabulary(path)
+    blob = b"".join(b"".join(map(words.__getitem__, ids[a : a + step].tolist())) for a in range(0, len(ids), step))
+    at = [0, *np.cumsum(sizes).tolist()]
+    if at[-1] != len(blob):
+        raise ValueError("token_ends do not fit token_ids")
+    return [blob[a:b] for a, b in zip(at, at[1:], strict=False)]
+
+
+def encode(docs: DataFrame, path: str, text: str = "text", step: int = 1 << 19, decoded: str | None = None) -> DataFrame:
     """``docs`` without its text but with ``token_ids`` (array<int>) and ``token_ends`` (array<int>,
-    the byte at which each token ends). Batches are encoded about ``step`` characters at a time."""
-    names = [c for c in docs.columns if c not in (text, "token_ids", "token_ends")]
+    the byte at which each token ends). Batches are encoded about ``step`` characters at a time.
+    ``decoded`` names a further binary column: the bytes that the ids decode to, made in the same pass."""
+    names = [c for c in docs.columns if c not in (text, "token_ids", "token_ends", decoded)]
     lists = ArrayType(IntegerType())
-    schema = docs.select(names).schema.add("token_ids", lists).add("token_ends", lists)
+    added = [StructField("token_ids", lists), StructField("token_ends", lists)]
+    added += [StructField(decoded, BinaryType())] if decoded else []
+    schema = StructType([*docs.select(names).schema.fields, *added])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            values = batch.column(text).to_pylist()
-            size = np.cumsum([len(t or "") for t in values])
+            column = batch.column(text)
+            size = np.cumsum(pc.fill_null(pc.utf8_length(column), 0).to_numpy(zero_copy_only=False))
             at = 0
-            while at < len(values):
+            while at < batch.num_rows:
                 to = max(at + 1, int(np.searchsorted(size, (size[at - 1] if at else 0) + step, "right")))
-                own = encode_texts(values[at:to], path)
+                own = encode_texts(column.slice(at, to - at).to_pylist(), path)
                 ids = np.concatenate(own)
                 cuts = np.concatenate([[0], np.cumsum([len(x) for x in own])])
                 reach = np.concatenate([[0], np.cumsum(token_lengths(path)[ids])])
                 ends = reach[1:] - np.repeat(reach[cuts[:-1]], np.diff(cuts))
                 cols = [batch.column(c).slice(at, to - at) for c in names]
-                both = [pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), pa.array(x.astype(np.int32))) for x in (ids, ends)]
-                yield pa.RecordBatch.from_arrays([*cols, *both], names=[*names, "token_ids", "token_ends"])
+                cols += [pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), pa.array(x.astype(np.int32))) for x in (ids, ends)]
+                if decoded:
+                    cols.append(pa.array(decode_ids(ids, cuts, np.diff(reach[cuts]), path), pa.binary()))
+                yield pa.RecordBatch.from_arrays(cols, names=[*names, *(f.name for f in added)])
                 at = to
 
     return docs.select(*names, text).mapInArrow(run, schema)
 
 
 def decode(tokens: DataFrame, path: str, name: str = "decoded") -> DataFrame:
-    """``tokens`` with the binary column ``name``: the tokens' bytes joined, placed by ``token_ends``."""
-
-    @F.arrow_udf("binary")
-    def joined(ids: pa.Array, ends: pa.Array) -> pa.Array:
-        words = vocabulary(path)
-        flat, cuts = ids.flatten().to_numpy(), ids.offsets.to_numpy()
-        cuts = cuts - cuts[0]
-        blob = b"".join(map(words.__getitem__, flat.tolist()))
-        reach = np.zeros(len(ids) + 1, np.int64)
-        full = np.diff(cuts) > 0
-        own = np.zeros(len(ids), np.int64)
-        last = ends.flatten().to_numpy()
-        own[full] = last[cuts[1:][full] - 1]
-        np.cumsum(own, out=reach[1:])
-        if reach[-1] != len(blob):
-            raise ValueError("token_ends do not fit token_ids")
-        at = reach.tolist()
-        return pa.array([blob[a:b] for a, b in zip(at, at[1:], strict=False)], pa.binary())
-
-    return tokens.withColumn(name, joined("token_ids", "token_ends"))
+    """``tokens`` with the binary column ``name``: the tokens' bytes joined, as long as ``token_ends`` says."""
+
+    @F.arrow_udf(BinaryType())
+    def joined(ids: pa.Array, size: pa.Array) -> pa.Array:
+        cuts = ids.offsets.to_numpy()
+        return pa.array(decode_ids(ids.flatten().to_numpy(), cuts - cuts[0], size.to_numpy(), path), pa.binary())
+
+    last = F.when(F.size("token_ends") > 0, F.element_at("token_ends", -1)).otherwise(0)
+    return tokens.withColumn(name, joined("token_ids", last))
 
 
 def digests(docs: DataFrame, path: str) -> DataFrame:
     """(doc_id, n_tokens, ids_sha256, decoded_sha256) of each document, by a whole round trip."""
-    own = decode(encode(docs.select("doc_id", "text"), path), path)
+    own = encode(docs.select("doc_id", "text"), path, decoded="decoded")
     ids = F.array_join(F.col("token_ids").cast("array<string>"), ",")
     return own.select(
         "doc_id", F.size("token_ids").cast("long").alias("n_tokens"),
