@@ -55,7 +55,7 @@ def resolve(source: Column, dtype: T.DataType, path: str) -> Column:
 def _walk(values: Column, dtype: T.DataType, steps: list[str]) -> Column:
     if isinstance(dtype, T.VariantType):
         for step in steps:
-            values = F.flatten(F.transform(values, lambda v, s=step: _children(child(v, s))))
+            values = F.flatten(F.transform(values, _stepper(step)))
         return F.filter(F.transform(values, scalar_text), lambda v: v.isNotNull())
     if not steps:
         if isinstance(dtype, T.StringType):
@@ -84,6 +84,10 @@ def _walk(values: Column, dtype: T.DataType, steps: list[str]) -> Column:
     return _walk(values, inner, rest)
 
 
+def _stepper(step: str):
+    return lambda tree: _children(child(tree, step))
+
+
 def _children(tree: Column) -> Column:
     none = F.array().cast("array<variant>")
     return F.coalesce(as_list(tree), F.when(tree.isNotNull(), F.array(tree)), none)

@@ -33,12 +33,16 @@ def skip_reason(df: DataFrame, skips: tuple[Skip, ...], record: str | None = Non
     source, dtype = _source(df, record)
     found = []
     for s in skips:
-        hit = F.filter(V.resolve(source, dtype, s.field), lambda v, s=s: F.contains(F.lower(v), F.lit(s.contains.lower())))
+        hit = F.filter(V.resolve(source, dtype, s.field), _containing(s.contains.lower()))
         value = F.get(hit, F.lit(0))
         found.append(F.when(value.isNotNull(), F.struct(F.lit(s.reason).alias("reason"), F.lit(s.field).alias("field"), value.alias("value"))))
     return F.coalesce(*found) if found else F.lit(None).cast("struct<reason:string,field:string,value:string>")
 
 
+def _containing(needle: str):
+    return lambda v: F.contains(F.lower(v), F.lit(needle))
+
+
 def split_skipped(df: DataFrame, skips: tuple[Skip, ...], record: str | None = None, name: str = "_skip") -> tuple[DataFrame, DataFrame]:
     """(records that stay, skipped records with the column ``name``)."""
     own = df.withColumn(name, skip_reason(df, skips, record))
@@ -65,13 +69,17 @@ def broken(rule: Rule, values: Column) -> Column:
     return F.filter(values, outside)
 
 
+def _violation(r: Rule):
+    head = [F.lit(r.name).alias("rule"), F.lit(r.severity).alias("severity"), F.lit(r.field).alias("field")]
+    return lambda v: F.struct(*head, v.alias("value"))
+
+
 def violations(df: DataFrame, rules: tuple[Rule, ...], record: str | None = None) -> Column:
     """All violations of a row, in rule order; rows themselves are never changed or dropped."""
     source, dtype = _source(df, record)
     parts = []
     for r in rules:
-        head = [F.lit(r.name).alias("rule"), F.lit(r.severity).alias("severity"), F.lit(r.field).alias("field")]
-        parts.append(F.transform(broken(r, V.resolve(source, dtype, r.field)), lambda v, h=head: F.struct(*h, v.alias("value"))))
+        parts.append(F.transform(broken(r, V.resolve(source, dtype, r.field)), _violation(r)))
     return F.concat(*parts).cast(VIOLATION) if parts else F.array().cast(VIOLATION)
 
 
@@ -102,7 +110,7 @@ def apply_filters(df: DataFrame, policy: EntityPolicy, record: str | None = None
                 value = F.try_element_at(own, F.lit(f.field))
                 text = F.when(V.kind(value).isin("string", "number"), F.try_variant_get(value, "$", "string"))
                 hit = _out_of_range(f, text)
-                new = F.when(hit, F.map_concat(F.map_filter(own, lambda k, v, f=f: k != f.field), F.create_map(F.lit(f.field), json_null()))).otherwise(own)
+                new = F.when(hit, F.map_concat(_without(own, f.field), F.create_map(F.lit(f.field), json_null()))).otherwise(own)
                 removed = F.when(hit, F.array(text)).otherwise(F.array().cast("array<string>"))
             else:
                 new, removed = _removed_in_map(own, f.field.split("."), java_pattern(f.pattern))
@@ -139,13 +147,17 @@ def _removed_in_column(own: Column, dtype: T.DataType, steps: list[str], pattern
     return F.when(~hit, own), F.when(hit, F.array(own)).otherwise(none)
 
 
+def _without(own: Column, key: str) -> Column:
+    return F.map_filter(own, lambda k, v: k != key)
+
+
 def _removed_in_map(own: Column, steps: list[str], pattern: str) -> tuple[Column, Column]:
     """The record without matching strings in the list (or lone string) at a path of objects and list
     positions, and those strings. Lists on the way are not expanded."""
     none = F.array().cast("array<string>")
     step, rest = steps[0], steps[1:]
     value = F.try_element_at(own, F.lit(step))
-    without = F.map_filter(own, lambda k, v: k != step)
+    without = _without(own, step)
     put = lambda tree: F.map_concat(without, F.create_map(F.lit(step), tree))
     if rest:
         inner = V.as_object(value)

@@ -58,7 +58,8 @@ def extraction_complete_events(counts: DataFrame, version: str, started_at: Colu
     now = now if now is not None else F.current_timestamp()
     own = F.struct(
         F.lit("extraction_complete").alias("type"), F.lit(version).alias("version"), _stamp(now).alias("timestamp"), _stamp(started_at).alias("started_at"), "record_counts")
-    return counts.select(F.explode(F.array(*map(F.lit, entities))).alias("data_type"), F.to_json(F.to_variant_object(own)).alias("value"))
+    made = counts.select(F.to_json(F.to_variant_object(own)).alias("value"))
+    return made.select(F.explode(F.array(*map(F.lit, entities))).alias("data_type"), "value")
 
 
 def write_events(events: DataFrame, path: str, prefix: str = "catalog", mode: str = "append") -> None:
@@ -148,5 +149,5 @@ def read_text(spark: SparkSession, path: str) -> str | None:
     target = jvm.org.apache.hadoop.fs.Path(path)
     if not target.getFileSystem(conf).exists(target):
         return None
-    row = spark.read.option("wholetext", "true").text(path).head()
+    row = spark.read.text(path, wholetext=True).head()
     return row[0] if row else ""

@@ -31,7 +31,7 @@ class Manifest:
 
 def read_manifest(spark: SparkSession, path: str) -> Manifest:
     """Read by Spark, so manifests can lie in any store; the named file is hashed and compared."""
-    text = spark.read.option("wholetext", "true").text(path).head()
+    text = spark.read.text(path, wholetext=True).head()
     own = parse_manifest(text[0] if text else "", path.rsplit("/", 1)[0] if "/" in path else ".")
     got = spark.read.format("binaryFile").load(own.path).select(F.sha2("content", 256)).head()[0]
     if got != own.sha256:
