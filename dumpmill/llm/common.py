@@ -42,6 +42,11 @@ def dropped(df: DataFrame) -> None:
         path.getFileSystem(conf).delete(path, True)
 
 
+def boxed(df: DataFrame) -> DataFrame:
+    """``df`` as one struct column ``row``, so that columns added beside it cannot clash with its own."""
+    return df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row"))
+
+
 def hashed(*cols: str | Column) -> list[Column]:
     """A 128-bit key of the columns as two longs."""
     own = [F.col(c) if isinstance(c, str) else c for c in cols]

@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import components, written
+from .common import boxed, components, written
 
 EDITS, LEAST, SMALL, CELL, BITMAP = 2, 24, 64, 512, 1 << 24
 _P, _MIX = 0x9E3779B97F4A7C15 | 1, np.uint64(0xD6E8FEB86659FD93)
@@ -375,13 +375,14 @@ def dedup_lines(docs: DataFrame, edits: int = EDITS, least: int = LEAST) -> Data
     """``docs`` with repeated lines taken out of ``text`` (and ``n_chars``, if there, counted again).
     Documents that lose their last word go."""
     gone = written(repeated_lines(docs, edits, least), "gone")
-    lists = gone.groupBy(F.col("doc_id").alias("_id")).agg(F.collect_list(F.struct("line_no", "line")).alias("_gone"))
-    rows = docs.join(lists, docs["doc_id"] == F.col("_id"), "left")
-    left = F.filter(F.split("text", "\n"), lambda x, i: ~F.array_contains("_gone", F.struct(i.alias("line_no"), F.xxhash64(x).alias("line"))))
-    rows = rows.withColumn("_text", F.when(F.col("_gone").isNotNull(), F.array_join(left, "\n")).otherwise(F.col("text")))
-    rows = rows.where(F.col("_gone").isNull() | F.col("_text").rlike(r"[^\x20\x09-\x0D]"))
-    new = {"text": F.col("_text")} | ({"n_chars": F.coalesce(F.when(F.col("_gone").isNotNull(), F.length("_text").cast("long")), F.col("n_chars"))} if "n_chars" in docs.columns else {})
-    return rows.select(*[new[c].alias(c) if c in new else docs[c] for c in docs.columns])
+    lists = gone.groupBy("doc_id").agg(F.collect_list(F.struct("line_no", "line")).alias("gone"))
+    rows = boxed(docs).join(lists, F.col("row.doc_id") == F.col("doc_id"), "left").select("row", "gone")
+    left = F.filter(F.split("row.text", "\n"), lambda x, i: ~F.array_contains("gone", F.struct(i.alias("line_no"), F.xxhash64(x).alias("line"))))
+    cut = F.col("gone").isNotNull()
+    rows = rows.withColumn("text", F.when(cut, F.array_join(left, "\n")).otherwise(F.col("row.text")))
+    rows = rows.where(~cut | F.col("text").rlike(r"[^\x20\x09-\x0D]"))
+    new = {"text": F.col("text"), "n_chars": F.when(cut, F.char_length("text").cast("long")).otherwise(F.col("row.n_chars"))}
+    return rows.select(*[new[c].alias(c) if c in new else F.col(f"row.`{c}`") for c in docs.columns])
 
 
 def line_report(docs: DataFrame, edits: int = EDITS, least: int = LEAST) -> DataFrame:

@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import WORD, written
+from .common import WORD, boxed, written
 
 #: Most times that a document's words may be used.
 REPEATS = 3
@@ -133,6 +133,6 @@ def mixed_documents(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, repeats
     """``docs`` with each row as often as the mix takes it; rows taken zero times go. Only the plan,
     one row per source, is joined: texts are not shuffled."""
     plan = mix_plan(written(sizes(docs), "sizes"), weights, repeats).select("_source", "base", "rest", "cut", "fill")
-    rows = docs.withColumn("h", doc_hash(F.col("doc_id"))).join(plan, F.col("source").eqNullSafe(F.col("_source")))
-    rows = rows.withColumn("_copies", copies()).where("_copies > 0")
-    return rows.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies")))).select(*docs.columns)
+    rows = boxed(docs).withColumn("h", doc_hash(F.col("row.doc_id"))).join(plan, F.col("row.source").eqNullSafe(F.col("_source")))
+    rows = rows.withColumn("copies", copies()).where("copies > 0")
+    return rows.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies")))).select("row.*")

@@ -4,8 +4,8 @@ Two bag-of-hashed-n-grams models are counted: one over texts labelled good (the
 the raw corpus, all of it. A document's log weight is the sum over its n-grams (words and adjacent
 pairs) of log target probability less log raw probability. Gumbel noise drawn from a hash of the
 doc_id is added and the top k documents are kept, which samples without replacement in proportion
-to the weights. k is the number of documents at or above a log weight calibrated on the labelled
-sample (the cut of highest balanced accuracy).
+to the weights. k is the number of documents at or above a log weight calibrated on the half of the
+labelled sample that the target model has not seen (the cut of highest balanced accuracy).
 
 Weights are fixed-point integers, so sums agree exactly wherever and however often they are made.
 Only the labelled rows are sampled (``max_labelled``, by hash); corpus counts cover everything.
@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import boxed, written
 
 #: Buckets of n-grams (a power of two), fixed-point units of a log weight, bound of labelled rows.
 BUCKET_BITS, UNIT, MAX_LABELLED = 14, 1_000_000, 20_000
@@ -72,18 +72,21 @@ def _slices(values: list[str | None], step: int = 1 << 20) -> Iterator[tuple[int
 
 
 def labelled_sample(labels: DataFrame, max_labelled: int = MAX_LABELLED) -> DataFrame:
-    """At most ``max_labelled`` rows (doc_id, good) with the smallest hashes; a doc_id is good if all its labels are."""
+    """At most ``max_labelled`` rows (doc_id, good, held_out) with the smallest hashes; a doc_id is good
+    if all its labels are. Half of them, held out from the target model, calibrate the cut."""
     own = labels.where("doc_id is not null and quality is not null").groupBy("doc_id").agg((F.min("quality") == 1).alias("good"))
-    return own.orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_labelled)
+    held_out = F.pmod(F.xxhash64(F.lit("held out"), "doc_id"), F.lit(2)) == 1
+    return own.withColumn("held_out", held_out).orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_labelled)
 
 
 def ngram_log_ratios(docs: DataFrame, sample: DataFrame, bits: int = BUCKET_BITS) -> np.ndarray | None:
-    """Fixed-point log(target / raw) of each bucket; None without target texts.
+    """Fixed-point log(target / raw) of each bucket; None without target texts. Both counts are taken
+    at the target's scale with one added, so rare buckets count for little.
 
     Each task adds up its own rows and returns a row per bucket; a grouped sum makes the model of
     2^bits numbers.
     """
-    flagged = docs.select("doc_id", "text").join(F.broadcast(sample.select("doc_id", "good")), "doc_id", "left").select("text", "good")
+    flagged = docs.select("doc_id", "text").join(F.broadcast(sample.where("not held_out").select("doc_id", "good")), "doc_id", "left").select("text", "good")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros((2, 1 << bits), np.int64)
@@ -103,7 +106,7 @@ def ngram_log_ratios(docs: DataFrame, sample: DataFrame, bits: int = BUCKET_BITS
         raw[b], target[b] = r, t
     if not target.sum():
         return None
-    ratio = np.log((target + 0.5) / (target.sum() + 0.5 * len(target))) - np.log((raw + 0.5) / (raw.sum() + 0.5 * len(raw)))
+    ratio = np.log((target + 1) / (raw * (target.sum() / raw.sum()) + 1))
     return np.round(ratio * UNIT).astype(np.int64)
 
 
@@ -182,7 +185,7 @@ def resample(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLE
     own = docs.select("doc_id", log_weight(ratios).alias("weight"))
     own = written(own.withColumn("noisy", F.col("weight") + gumbel(F.col("doc_id"))), "weights")
     if k is None:
-        rows = own.join(F.broadcast(sample), "doc_id").where("weight is not null").select("weight", "good").limit(4 * max_labelled).collect()
+        rows = own.join(F.broadcast(sample), "doc_id").where("held_out and weight is not null").select("weight", "good").limit(4 * max_labelled).collect()
         good = np.array([r.good for r in rows], bool)
         least = balanced_cut(np.array([r.weight for r in rows]), good) if good.any() and not good.all() else None
         k = own.where("weight is not null" if least is None else F.col("weight") >= least).count()
@@ -203,5 +206,5 @@ def good_documents(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
     """The rows of ``docs`` that the resampling keeps. Weights are exact integers, so they are made
     again from the text here rather than joined to it."""
     ratios, cut, _ = resample(docs, labels, **options)
-    rows = docs.withColumn("noisy", log_weight(ratios) + gumbel(F.col("doc_id")))
-    return rows.where(kept(cut)).select(*docs.columns)
+    rows = boxed(docs).withColumn("noisy", log_weight(ratios, "row.text") + gumbel(F.col("row.doc_id")))
+    return rows.where(kept(cut)).select("row.*")

@@ -41,10 +41,13 @@ FEATURES = (
     "length", "digits", "capitals", "marks", "hexadecimal", "class_changes", "vowel_changes", "dictionary", "slashes", "dashed",
     "near_word", "far_word", "assigned", "quoted", "dotted", "repeated")
 
+#: Columns that a scan adds; those of the input that are named like them or like a feature are left out.
+MADE = ("ordinal", "value", "before", "after", "score", "is_secret", "_features", "rawPrediction", "probability", "prediction", "_values", "_parts", "_item")
+
 
 def candidates(docs: DataFrame, text: str = "text") -> DataFrame:
     """The other columns of ``docs`` with one row per candidate: ordinal, value, before, after."""
-    rest = [c for c in docs.columns if c != text]
+    rest = [c for c in docs.columns if c not in (text, *MADE, *FEATURES)]
     own = docs.select(*rest, text).where(F.col(text).rlike(RUN))
     own = own.select(*rest, F.regexp_extract_all(text, F.lit(RUN), 0).alias("_values"), F.split(text, RUN, -1).alias("_parts"))
     item = F.transform(F.col("_values"), lambda v, i: F.struct(

@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
 
-from .common import components, group_runs, min_labels, written
+from .common import boxed, components, group_runs, min_labels, written
 
 SEED = 42
 LANES = np.uint64(0x0101010101010101)
@@ -233,16 +233,19 @@ def near_dedup(docs: DataFrame, **options) -> DataFrame:
     where their whole group has none, one for each distinct fingerprint.
     """
     groups = written(simhash_groups(docs, **options), "groups")
-    shared = groups.groupBy("doc_id").count().where("doc_id is null or count > 1").select(F.col("doc_id").alias("_id"))
-    gone = groups.where("doc_id <> component_id").select("doc_id").distinct()
-    kept = docs.where("doc_id is not null").join(gone, "doc_id", "left_anti").select(*docs.columns)
+    shared = groups.groupBy("doc_id").count().where("doc_id is null or count > 1").select(F.col("doc_id").alias("shared"))
+    gone = groups.where("doc_id <> component_id").select(F.col("doc_id").alias("gone")).distinct()
+    rows = boxed(docs)
+    kept = rows.where("row.doc_id is not null").join(gone, F.col("row.doc_id") == F.col("gone"), "left_anti")
     if shared.isEmpty():
-        return kept
-    same = lambda: F.col("doc_id").eqNullSafe(F.col("_id"))
-    stay = groups.join(shared, same(), "left_semi").where("doc_id = component_id or component_id is null").select(F.col("doc_id").alias("_id"), F.col("fp").alias("_own")).distinct()
-    odd = docs.join(shared, same(), "left_semi").withColumn("_fp", fingerprint("text"))
-    odd = odd.join(stay, same() & (F.col("_fp") == F.col("_own")), "left_semi").dropDuplicates(["doc_id", "_fp"])
-    return docs.where("doc_id is not null").join(gone, "doc_id", "left_anti").join(shared, same(), "left_anti").unionByName(odd.select(*docs.columns)).select(*docs.columns)
+        return kept.select("row.*")
+    stay = groups.where("doc_id = component_id or component_id is null").join(shared, F.col("doc_id").eqNullSafe(F.col("shared")), "left_semi")
+    stay = stay.select("doc_id", F.col("fp").alias("own")).distinct()
+    alone = kept.join(shared, F.col("row.doc_id") == F.col("shared"), "left_anti")
+    odd = rows.join(shared, F.col("row.doc_id").eqNullSafe(F.col("shared")), "left_semi").withColumn("fp", fingerprint("row.text"))
+    odd = odd.join(stay, F.col("row.doc_id").eqNullSafe(F.col("doc_id")) & (F.col("fp") == F.col("own")), "left_semi")
+    odd = odd.withColumn("id", F.col("row.doc_id")).dropDuplicates(["id", "fp"])
+    return alone.select("row").union(odd.select("row")).select("row.*")
 
 
 def hex_print(fp: Column) -> Column:
