@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from . import bpe, licenses, lines, mixing, quality, rules, secrets, simhash, tokens, vectors
 from .common import table
+from .oracles import ORACLES as ORACLES
 
 
 def tokenizer(name: str) -> str:
@@ -49,7 +50,7 @@ def op7_vector_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+    return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", F.round("target", 6).alias("target"), "taken")
 
 
 def op9_simhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -73,5 +74,3 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op1_quality_resampling, op2_line_dedup, op3_quality_rules, op4_token_counts, op5_byte_bpe, op6_license_scan, op7_vector_dedup,
         op8_mix_sources, op9_simhash_groups, op10_secret_scan, pipeline)
 }
-#: SQL for DuckDB where it can express a query on whole tables; the other queries are tested against brute force.
-ORACLES: dict[str, str] = {}
