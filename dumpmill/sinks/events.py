@@ -68,25 +68,32 @@ def write_events(events: DataFrame, path: str, prefix: str = "catalog", mode: st
     own.write.mode(mode).partitionBy("exchange").text(path)
 
 
-def publish(events: DataFrame, send: Callable[[list[str]], int], size: int = 100) -> int:
+def publish(events: DataFrame, send: Callable[[list[str]], int], size: int = 100, rate: float | None = None) -> int:
     """Hand frames to an adapter in batches of ``size`` from the executors.
 
     ``send`` takes a list of frames, sends them all, then waits for their confirmations and returns
     how many were confirmed; it raises (or returns fewer) if one was returned, refused or late, which
-    fails the task, and Spark tries it again. Order within a partition is kept.
+    fails the task, and Spark tries it again. Order within a partition is kept. ``rate`` bounds the
+    frames a second of all partitions together.
     """
+    share = rate / max(1, events.select(F.spark_partition_id()).distinct().count()) if rate else None
+
     def run(rows: Iterator) -> Iterator:
+        import time
+
         import pyarrow as pa
 
+        done, start = 0, time.monotonic()
         for batch in rows:
             frames = batch.column("value").to_pylist()
-            done = 0
             for at in range(0, len(frames), size):
                 part = frames[at : at + size]
                 if (n := send(part)) != len(part):
                     raise RuntimeError(f"{len(part) - n} of {len(part)} messages were not confirmed")
                 done += n
-            yield pa.RecordBatch.from_pydict({"sent": pa.array([done], pa.int64())})
+                if share:
+                    time.sleep(max(0.0, start + done / share - time.monotonic()))
+        yield pa.RecordBatch.from_pydict({"sent": pa.array([done], pa.int64())})
 
     return events.select("value").mapInArrow(run, "sent long").agg(F.sum("sent")).head()[0] or 0
 

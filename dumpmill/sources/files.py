@@ -61,9 +61,20 @@ def file_sha256(content: Column) -> Column:
     return F.sha2(content, 256)
 
 
+def stream_sha256(spark: SparkSession, path: str) -> str:
+    """The hash of one file of any size, read as a stream by the driver's JVM (``binaryFile`` ends at 2 GB)."""
+    jvm = spark._jvm
+    own = jvm.org.apache.hadoop.fs.Path(path)
+    stream = own.getFileSystem(spark._jsc.hadoopConfiguration()).open(own)
+    try:
+        return jvm.org.apache.commons.codec.digest.DigestUtils.sha256Hex(stream)
+    finally:
+        stream.close()
+
+
 def verified(spark: SparkSession, path: str, checksums: DataFrame) -> DataFrame:
-    """(file, sha256, expected, ok) of landed files, hashed where they are read. A file is read whole
-    by one task: for files of tens of GB compare with ``state.changed_files`` on sizes first."""
+    """(file, sha256, expected, ok) of landed files of up to 2 GB, hashed by the tasks that read them;
+    ``stream_sha256`` takes larger ones."""
     own = spark.read.format("binaryFile").load(path).select(F.regexp_extract("path", r"([^/]*)\z", 1).alias("file"), file_sha256(F.col("content")).alias("sha256"))
     want = checksums.select("file", F.col("sha256").alias("expected"))
     return own.join(want, "file", "left").withColumn("ok", F.coalesce(F.col("sha256") == F.col("expected"), F.lit(False)))

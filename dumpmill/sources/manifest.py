@@ -11,7 +11,8 @@ import re
 from dataclasses import dataclass
 
 from pyspark.sql import SparkSession
-from pyspark.sql import functions as F
+
+from dumpmill.sources.files import stream_sha256
 
 CONTRACT, SCOPE, MEDIA = "catalog-dump/v1", "single-file", "application/gzip"
 FIELDS = {"contract", "version", "data_type", "scope", "file", "media_type", "sha256"}
@@ -33,7 +34,7 @@ def read_manifest(spark: SparkSession, path: str) -> Manifest:
     """Read by Spark, so manifests can lie in any store; the named file is hashed and compared."""
     text = spark.read.text(path, wholetext=True).head()
     own = parse_manifest(text[0] if text else "", path.rsplit("/", 1)[0] if "/" in path else ".")
-    got = spark.read.format("binaryFile").load(own.path).select(F.sha2("content", 256)).head()[0]
+    got = stream_sha256(spark, own.path)
     if got != own.sha256:
         raise ManifestError(f"{own.path} has SHA-256 {got}, the manifest says {own.sha256}")
     return own

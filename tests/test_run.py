@@ -136,6 +136,10 @@ def test_publish_fails_on_unconfirmed(spark):
     assert E.publish(df, len, 10) == 25
     with pytest.raises(Exception, match="not confirmed"):
         E.publish(df, lambda frames: len(frames) - 1, 10)
+    import time
+
+    start = time.time()
+    assert E.publish(df, len, 5, rate=25) == 25 and time.time() - start > 0.9
     assert E.exchange("p", "artists") == "p-artists" and E.queue("p", "artists", "c") == "p-artists-c"
 
 
@@ -160,3 +164,50 @@ def test_stream_takes_files_once(spark, tmp_path):
     dump(tmp_path / "in", "artists", "<artists><artist><id>b</id></artist><artist><id>c</id></artist></artists>", "20240201")
     assert go() and seen == [1, 2]
     assert sorted(e["id"] for e in events(spark, f"{tmp_path}/out", "artists") if e["type"] == "data") == ["a", "b", "c"]
+
+
+def test_shipped_policy(spark):
+    from dumpmill.plans.policy import lint_policy
+    from dumpmill.plans.shipped import shipped_policy
+    from dumpmill.run import prepare
+
+    policy = shipped_policy()
+    sizes = {k: sum(len(getattr(e, k)) for e in policy.entities.values()) for k in ("skips", "filters", "rules")}
+    assert sizes == {"skips": 2, "filters": 5, "rules": 7} and lint_policy(policy) == []
+    raw = {
+        "releases": {"@id": "1", "genres": {"genre": ["Skiffle", "7"]}, "released": "1700-01-01", "year": "3000", "formats": {"format": {"@name": "Wax"}},
+                     "identifiers": {"identifier": [{"@type": "Odd", "@value": "1"}]}, "companies": {"company": {"name": "n", "entity_type_name": "Blessed By"}}},
+        "artists": {"id": "2", "name": None}, "labels": {"id": "3"}, "masters": {"@id": "4", "year": "1200", "genres": {"genre": "12"}}}
+    fired = {}
+    for entity, tree in raw.items():
+        df = spark.createDataFrame([("f", entity, 0, "x", json.dumps(tree))], "file string, data_type string, seq long, id string, j string")
+        df = df.select("file", "data_type", "seq", "id", F.parse_json("j").cast("map<string,variant>").alias("data"), F.lit(None).cast("string").alias("error"))
+        row = prepare(df, entity, policy).checked.head()
+        fired[entity] = ([v.rule for v in row.violations], [a.field for a in row.actions])
+    assert fired == {
+        "releases": (["missing-title", "genre-not-recognized", "format-not-recognized", "identifier-type-not-recognized", "company-role-not-recognized"], ["genres.genre", "released", "year"]),
+        "artists": (["empty-artist-name"], []), "labels": (["empty-label-name"], []), "masters": ([], ["genres.genre", "year"])}
+
+
+def test_settings_and_snapshots():
+    from dumpmill.operators.status import Config, snapshot
+
+    assert Config.from_env({"DUMPMILL_RATE": "0", "DUMPMILL_BATCH_SIZE": "x", "DUMPMILL_PREFIX": "p"}) == Config(rate=1, prefix="p")
+    assert snapshot(None)["status"] == "idle" and snapshot(None, "broken")["status"] == "failed"
+    m = state.Marker("v")
+    assert snapshot(m)["status"] == "waiting"
+    m.start_file("c_20240101_artists.xml.gz")
+    assert snapshot(m)["status"] == "in_progress"
+    m.complete_file("c_20240101_artists.xml.gz", 5, 5)
+    m.complete()
+    assert snapshot(m)["status"] == "completed" and snapshot(m)["progress"] == {"artists": 5, "total": 5}
+
+
+def test_vocabularies_are_closed():
+    from dumpmill.operators.blocks import vocabulary
+
+    ids, media = vocabulary("identifier_types"), vocabulary("media_taxonomy")
+    types = {t["id"] for t in ids["types"]}
+    assert set(ids["raw"].values()) | {ids["unmapped"]} <= types and all(n["type"] in types for n in ids["namespaces"])
+    assert len(media["formats"]) == 51 and all(f["provenance"] in ("fixture", "authored") for f in media["formats"].values())
+    assert {f["medium"] for f in media["formats"].values() if f.get("medium")} <= set(media["media"])
