@@ -34,8 +34,8 @@ _KIND = np.array([0 if c in b" \t\n\v\f\r" else 1 if c > 127 or chr(c).isalnum()
 
 
 def hashed_ngrams(texts: list[str | None], bits: int = BUCKET_BITS) -> tuple[np.ndarray, np.ndarray]:
-    """(bucket, index of its text) of every token and every pair of adjacent tokens. A token is a run
-    of bytes of one kind."""
+    """(bucket, index of its text) of every token, of every pair of adjacent tokens, and one more,
+    the same for all tokens, where a token repeats the one before. A token is a run of bytes of one kind."""
     data = [(t or "").encode() for t in texts]
     blob = np.frombuffer(b" ".join(data) + b" ", np.uint8)
     kind = _KIND[blob]
@@ -55,8 +55,10 @@ def hashed_ngrams(texts: list[str | None], bits: int = BUCKET_BITS) -> tuple[np.
     pair = (token[:-1] * np.uint64(31) + token[1:]) * _ODD
     same = text[1:] == text[:-1]
     shift = np.uint64(64 - bits)
-    bucket = np.concatenate([(token * _ODD) >> shift, pair[same] >> shift]).astype(np.int64)
-    return bucket, np.concatenate([text, text[:-1][same]])
+    again = same & (token[1:] == token[:-1])
+    repeat = np.full(int(again.sum()), _ODD)
+    bucket = np.concatenate([token * _ODD, pair[same], repeat]) >> shift
+    return bucket.astype(np.int64), np.concatenate([text, text[:-1][same], text[:-1][again]])
 
 
 def _slices(values: list[str | None], step: int = 1 << 20) -> Iterator[tuple[int, int]]:

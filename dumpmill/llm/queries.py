@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from . import bpe, licenses, lines, mixing, quality, rules, secrets, simhash, tokens, vectors
 from .common import table
-from .oracles import ORACLES as ORACLES
+from .oracles import ORACLES
 
 
 def tokenizer(name: str) -> str:

@@ -39,7 +39,7 @@ def test_log_weights_match_brute_force(spark):
 
     def grams(text):
         tokens = re.findall(r"[A-Za-z0-9\u0080-\U0010ffff]+|[^\sA-Za-z0-9\u0080-\U0010ffff]+", text)
-        return quality.hashed_ngrams([text])[0], 2 * len(tokens) - 1
+        return quality.hashed_ngrams([text])[0], 2 * len(tokens) - 1 + sum(a == b for a, b in zip(tokens, tokens[1:], strict=False))
 
     raw, target = Counter(), Counter()
     for i, t in rows:
