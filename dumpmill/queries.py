@@ -4,15 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dumpmill.functions import text as X
 from dumpmill.functions.canon import canonical_json, content_hash, envelope, record
 from dumpmill.functions.values import resolve
 from dumpmill.operators import blocks, report, state
-from dumpmill.operators.normalize import ensure_list, strip_prefixes, unwrap_container
-from dumpmill.operators.policy import apply_filters, skip_reason, split_skipped, violations, violations_long
+from dumpmill.operators.normalize import strip_prefixes, unwrap_container
+from dumpmill.operators.policy import apply_filters, split_skipped, violations, violations_long
 from dumpmill.plans.policy import EntityPolicy, parse_policy
 from dumpmill.sinks import events as E
 from dumpmill.sources import files
