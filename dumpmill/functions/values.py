@@ -9,6 +9,11 @@ from pyspark.sql import types as T
 TREE = T.VariantType()
 
 
+def let(value: Column, body) -> Column:
+    """``body(value)`` with the value made once, however often the body uses it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def as_list(tree: Column) -> Column:
     """The variant's elements if it is an array, else null."""
     return F.try_variant_get(tree, "$", "array<variant>")
@@ -20,10 +25,9 @@ def as_object(tree: Column) -> Column:
 
 def kind(tree: Column) -> Column:
     """string, number, boolean, null, array or object."""
-    own = F.schema_of_variant(tree)
-    return (
+    return let(F.schema_of_variant(tree), lambda own: (
         F.when(own == "STRING", "string").when(own == "VOID", "null").when(own == "BOOLEAN", "boolean")
-        .when(own.startswith("ARRAY"), "array").when(own.startswith("OBJECT"), "object").otherwise("number"))
+        .when(own.startswith("ARRAY"), "array").when(own.startswith("OBJECT"), "object").otherwise("number")))
 
 
 def child(tree: Column, name: str) -> Column:
@@ -85,7 +89,7 @@ def _walk(values: Column, dtype: T.DataType, steps: list[str]) -> Column:
 
 
 def _stepper(step: str):
-    return lambda tree: _children(child(tree, step))
+    return lambda tree: let(child(tree, step), _children)
 
 
 def _children(tree: Column) -> Column:

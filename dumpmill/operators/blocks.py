@@ -68,19 +68,23 @@ def identifiers_block(identifiers: Column, labels: Column, provider: str = "cata
         return F.struct(kind.alias("type"), value.alias("value"), description.alias("description"), source.alias("source"))
 
     null = F.lit(None).cast("string")
-    items = F.transform(raw, lambda x: made(
+    typed = lambda raw: F.transform(raw, lambda x: made(
         F.coalesce(lookup(v["raw"], x["raw"]), F.lit(v["unmapped"])), x["value"], x["description"], x["raw"], v["identifier_field"]))
     numbers = F.filter(F.transform(_objects(labels), lambda o: _field(o, "catno")), lambda c: c.isNotNull() & (F.lower(c) != v["absent_catalog_number"]))
-    items = F.concat(items, F.transform(numbers, lambda c: made(F.lit("catalog_number"), c, null, null, v["catalog_number_field"])))
+    lifted = F.transform(numbers, lambda c: made(F.lit("catalog_number"), c, null, null, v["catalog_number_field"]))
     rule = {k: n["normalization"] for k, n in spaces.items()}
     names = {k: n["provider"] for k, n in spaces.items()}
-    aliases = F.transform(items, lambda i: F.struct(
-        lookup(names, i["type"]).alias("provider"), normalize_alias(lookup(rule, i["type"]), i["value"]).alias("external_id")))
-    aliases = sorted_unique(F.filter(aliases, lambda a: a["provider"].isNotNull() & a["external_id"].isNotNull()))
-    unmapped = F.filter(F.transform(raw, lambda x: x["raw"]), lambda t: lookup(v["raw"], t).isNull())
-    return F.to_variant_object(F.struct(
-        F.lit(v["version"]).alias("identifiers_version"), items.alias("items"), sorted_unique(F.transform(items, lambda i: i["type"])).alias("types"),
-        aliases.alias("aliases"), F.struct(sorted_unique(unmapped).alias("types")).alias("unmapped")))
+    alias = lambda i: F.struct(
+        lookup(names, i["type"]).alias("provider"), normalize_alias(lookup(rule, i["type"]), i["value"]).alias("external_id"))
+
+    def block(raw: Column, items: Column) -> Column:
+        aliases = F.filter(F.transform(items, alias), lambda a: a["provider"].isNotNull() & a["external_id"].isNotNull())
+        unmapped = F.filter(F.transform(raw, lambda x: x["raw"]), lambda t: lookup(v["raw"], t).isNull())
+        return F.struct(
+            F.lit(v["version"]).alias("identifiers_version"), items.alias("items"), sorted_unique(F.transform(items, lambda i: i["type"])).alias("types"),
+            sorted_unique(aliases).alias("aliases"), F.struct(sorted_unique(unmapped).alias("types")).alias("unmapped"))
+
+    return F.to_variant_object(V.let(raw, lambda r: V.let(F.concat(typed(r), lifted), lambda items: block(r, items))))
 
 
 def companies_block(companies: Column, provider: str = "catalog") -> Column:
@@ -98,11 +102,11 @@ def companies_block(companies: Column, provider: str = "catalog") -> Column:
             F.struct(F.lit(provider).alias("provider"), digit_code(scalar(kind)).alias("entity_type")).alias("source"))
 
     items = F.filter(F.transform(_objects(companies), item), lambda i: i["name"].isNotNull() & i["role"].isNotNull())
-    unmapped = F.filter(F.transform(items, lambda i: i["role"]), lambda r: lookup(v["raw"], r).isNull())
-    return F.to_variant_object(F.struct(
-        F.lit(v["version"]).alias("companies_version"), items.alias("items"),
-        sorted_unique(F.transform(items, lambda i: i["role_category"])).alias("role_categories"),
-        F.struct(sorted_unique(unmapped).alias("roles")).alias("unmapped")))
+    unmapped = lambda items: F.filter(F.transform(items, lambda i: i["role"]), lambda r: lookup(v["raw"], r).isNull())
+    return F.to_variant_object(V.let(items, lambda own: F.struct(
+        F.lit(v["version"]).alias("companies_version"), own.alias("items"),
+        sorted_unique(F.transform(own, lambda i: i["role_category"])).alias("role_categories"),
+        F.struct(sorted_unique(unmapped(own)).alias("roles")).alias("unmapped"))))
 
 
 def flat_descriptions(tree: Column) -> Column:
@@ -133,7 +137,9 @@ def media_block(formats: Column, provider: str = "catalog") -> Column:
         name, text = V.text_of(F.try_element_at(o, F.lit("name"))), V.text_of(F.try_element_at(o, F.lit("text")))
         quantity = F.try_element_at(o, F.lit("qty"))
         quantity = F.when(V.kind(quantity).isin("string", "number"), F.try_variant_get(quantity, "$", "string"))
-        words = flat_descriptions(F.try_element_at(o, F.lit("descriptions")))
+        return V.let(flat_descriptions(F.try_element_at(o, F.lit("descriptions"))), lambda words: entry(o, name, text, quantity, words))
+
+    def entry(o: Column, name: Column, text: Column, quantity: Column, words: Column) -> Column:
         rules = F.filter(F.transform(words, lambda d: F.struct(lookup(target, d).alias("target"), lookup(value, d).alias("value"))), lambda r: r["target"].isNotNull())
         return F.struct(
             name.alias("name"), text.alias("text"), leading_quantity(F.coalesce(quantity, F.lit("1"))).alias("qty"), words.alias("descriptions"), rules.alias("rules"),
@@ -162,19 +168,22 @@ def media_block(formats: Column, provider: str = "catalog") -> Column:
             F.lit(None).cast("long").alias("track_count"),
             F.struct(F.lit(provider).alias("provider"), x["name"].alias("name"), x["descriptions"].alias("descriptions"), x["text"].alias("text")).alias("source"))
 
-    items = F.transform(F.filter(read_all, lambda x: x["family"].isNotNull() | x["medium"].isNotNull()), item)
-    rules = F.flatten(F.transform(read_all, lambda x: x["rules"]))
-    container = F.aggregate(read_all, F.lit(None).cast("string"), lambda acc, x: F.coalesce(x["container"], acc, first(x["rules"], "container")))
-    some = lambda name: F.filter(F.transform(read_all, lambda x: x[name]), lambda s: s.isNotNull())
-    words = F.flatten(F.transform(read_all, lambda x: x["descriptions"]))
-    return F.to_variant_object(F.struct(
-        F.lit(v["version"]).alias("taxonomy_version"), items.alias("items"),
-        sorted_unique(F.filter(F.transform(items, lambda i: i["family"]), lambda s: s.isNotNull())).alias("families"),
-        first(rules, "release_kind").alias("release_kind"), sorted_unique(every(rules, "trait")).alias("traits"),
-        sorted_unique(every(rules, "edition")).alias("edition"), first(rules, "packaging").alias("packaging"), container.alias("container"),
-        sorted_unique(F.concat(some("flag"), every(rules, "flag"))).alias("flags"),
-        F.struct(sorted_unique(F.filter(some("name"), lambda n: lookup(known, n).isNull())).alias("formats"),
-                 sorted_unique(F.filter(words, lambda d: lookup(target, d).isNull())).alias("descriptions")).alias("unmapped")))
+    def block(entries: Column, items: Column, rules: Column) -> Column:
+        container = F.aggregate(entries, F.lit(None).cast("string"), lambda acc, x: F.coalesce(x["container"], acc, first(x["rules"], "container")))
+        some = lambda name: F.filter(F.transform(entries, lambda x: x[name]), lambda s: s.isNotNull())
+        words = F.flatten(F.transform(entries, lambda x: x["descriptions"]))
+        return F.struct(
+            F.lit(v["version"]).alias("taxonomy_version"), items.alias("items"),
+            sorted_unique(F.filter(F.transform(items, lambda i: i["family"]), lambda s: s.isNotNull())).alias("families"),
+            first(rules, "release_kind").alias("release_kind"), sorted_unique(every(rules, "trait")).alias("traits"),
+            sorted_unique(every(rules, "edition")).alias("edition"), first(rules, "packaging").alias("packaging"), container.alias("container"),
+            sorted_unique(F.concat(some("flag"), every(rules, "flag"))).alias("flags"),
+            F.struct(sorted_unique(F.filter(some("name"), lambda n: lookup(known, n).isNull())).alias("formats"),
+                     sorted_unique(F.filter(words, lambda d: lookup(target, d).isNull())).alias("descriptions")).alias("unmapped"))
+
+    named = lambda entries: F.filter(entries, lambda x: x["family"].isNotNull() | x["medium"].isNotNull())
+    return F.to_variant_object(V.let(read_all, lambda entries: V.let(F.transform(named(entries), item), lambda items: V.let(
+        F.flatten(F.transform(entries, lambda x: x["rules"])), lambda rules: block(entries, items, rules)))))
 
 
 def attach_blocks(df: DataFrame, record: str = "data", provider: str = "catalog") -> DataFrame:

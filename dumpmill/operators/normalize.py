@@ -40,8 +40,7 @@ def strip_prefixes(obj: Column) -> Column:
 
 def stripped(tree: Column) -> Column:
     """``strip_prefixes`` of an object, anything else as it is."""
-    obj = V.as_object(tree)
-    return F.when(obj.isNotNull(), F.to_variant_object(strip_prefixes(obj))).otherwise(tree)
+    return V.let(V.as_object(tree), lambda obj: F.when(obj.isNotNull(), F.to_variant_object(strip_prefixes(obj))).otherwise(tree))
 
 
 def ensure_list(tree: Column) -> Column:
@@ -52,8 +51,7 @@ def ensure_list(tree: Column) -> Column:
 
 def unwrap_container(tree: Column, key: str) -> Column:
     """The list in an object's ``key`` (empty if it lacks it), or ``ensure_list`` of anything else."""
-    obj = V.as_object(tree)
-    return F.when(obj.isNotNull(), ensure_list(F.try_element_at(obj, F.lit(key)))).otherwise(ensure_list(tree))
+    return V.let(V.as_object(tree), lambda obj: F.when(obj.isNotNull(), ensure_list(F.try_element_at(obj, F.lit(key)))).otherwise(ensure_list(tree)))
 
 
 def item(tree: Column) -> Column:
@@ -65,23 +63,24 @@ def item(tree: Column) -> Column:
 _ITEMS: dict[str, Callable[[Column], Column]] = {"item": item, "object": stripped, "plain": lambda tree: tree}
 
 
-def normalized(record: Column, entity: str) -> Column:
-    """The record of an entity in its flat shape; unknown entities stay as they are."""
-    own = strip_prefixes(record) if entity in STRIPPED else record
+def normalize(df: DataFrame, entity: str, record: str = "data") -> DataFrame:
+    """``df`` with the records of an entity in their flat shape; unknown entities stay as they are.
+
+    The steps are projections of their own, so that each field reads a record that is there already.
+    """
     fields = LISTS.get(entity, {})
+    own = F.col(record)
+    if entity in STRIPPED:
+        df = df.withColumn(record, strip_prefixes(own))
     if entity == "labels":
-        own = F.transform_values(own, lambda k, v: F.when(k == "parentLabel", stripped(v)).otherwise(v))
+        df = df.withColumn(record, F.transform_values(own, lambda k, v: F.when(k == "parentLabel", stripped(v)).otherwise(v)))
     if entity == "releases":
-        own = F.transform_values(own, lambda k, v: F.when(k == "master_id", F.coalesce(V.child(v, "#text"), V.child(v, "id"), v)).otherwise(v))
+        df = df.withColumn(record, F.transform_values(own, lambda k, v: F.when(k == "master_id", F.coalesce(V.child(v, "#text"), V.child(v, "id"), v)).otherwise(v)))
     if not fields:
-        return own
+        return df
     lists = []
     for name, (key, kind) in fields.items():
         items = F.transform(unwrap_container(F.try_element_at(own, F.lit(name)), key), _ITEMS[kind])
-        lists += [F.lit(name), F.when(F.size(items) > 0, F.to_variant_object(items))]
+        lists += [F.lit(name), V.let(items, lambda x: F.when(F.size(x) > 0, F.to_variant_object(x)))]
     rest = F.map_filter(own, lambda k, v: ~k.isin(*fields))
-    return F.map_concat(rest, F.map_filter(F.create_map(*lists), lambda k, v: v.isNotNull()))
-
-
-def normalize(df: DataFrame, entity: str, record: str = "data") -> DataFrame:
-    return df.withColumn(record, normalized(F.col(record), entity))
+    return df.withColumn(record, F.map_concat(rest, F.map_filter(F.create_map(*lists), lambda k, v: v.isNotNull())))
