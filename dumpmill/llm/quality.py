@@ -163,14 +163,16 @@ def kth_largest(values: DataFrame, name: str, k: int, bits: int = 12) -> int | N
 
 
 def balanced_cut(weights: np.ndarray, good: np.ndarray) -> int:
-    """The log weight at and above which kept labelled rows give the highest balanced accuracy."""
+    """The log weight at and above which kept labelled rows give the highest balanced accuracy: midway
+    between the highest rejected and the lowest kept of them."""
     order = np.argsort(weights, kind="stable")
     w, g = weights[order], good[order]
     rejected_bad = np.concatenate([[0], np.cumsum(~g)]) / max(1, (~g).sum())
     kept_good = 1 - np.concatenate([[0], np.cumsum(g)]) / max(1, g.sum())
     first = np.concatenate([[True], w[1:] != w[:-1]])
     score = np.where(first, (rejected_bad + kept_good)[:-1], -1)
-    return int(w[int(np.argmax(score))])
+    at = int(np.argmax(score))
+    return (int(w[at]) + int(w[max(0, at - 1)])) // 2
 
 
 def fit(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED, bits: int = BUCKET_BITS) -> tuple[np.ndarray, DataFrame]:
