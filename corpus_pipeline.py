@@ -21,7 +21,7 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without lines that came before in the corpus; those left without a word go."""
-    return lines.dedup_lines(docs)
+    return lines.dedup_lines(docs, bands=lines.BANDS)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

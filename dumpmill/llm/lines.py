@@ -1,7 +1,9 @@
 """Line dedup by a segment-partition edit join (operator 2).
 
-Lines of at least ``least`` code points are compared; shorter ones are left alone. Equal lines are
-grouped by a 128-bit hash. Lines within ``edits`` edits of each other are linked: a line is cut into
+Lines of at least ``least`` code points are compared; shorter ones are left alone. With ``bands``,
+pairs of (least length, edits), every line that holds a word takes part: equal lines are grouped
+whatever their length, and the edits allowed grow with the length of the shorter line (BANDS in the
+registered query and the pipeline). Equal lines are grouped by a 128-bit hash. Lines within ``edits`` edits of each other are linked: a line is cut into
 edits + 1 segments, one of which survives unchanged in any such partner. Each line is indexed under
 (length, segment number, segment) and probes the indexes of all lengths it can reach with the
 substrings at the positions that remain possible (multi-match-aware windows of Li et al., "Pass-Join",
@@ -18,6 +20,7 @@ Null texts have no lines; empty tables give no rows; a text is held whole.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -29,12 +32,22 @@ from pyspark.sql import functions as F
 from .common import boxed, components, written
 
 EDITS, LEAST, SMALL, CELL, BITMAP = 2, 24, 64, 512, 1 << 24
+#: (least length, edits): two dates or numbers differ by four to eight edits. Lines under the first length have no
+#: segments of six characters or more and are compared exactly only.
+BANDS = ((12, 1), (24, 2), (512, 4), (2048, 8))
+_WORD = re.compile(r"[^\W_]")
 _P, _MIX = 0x9E3779B97F4A7C15 | 1, np.uint64(0xD6E8FEB86659FD93)
 _INVERSE = np.uint64(pow(_P, -1, 1 << 64))
 
 
-def _lines(text: str | None, least: int) -> list[tuple[int, str]]:
-    return [(i, x) for i, x in enumerate(text.split("\n")) if len(x) >= least] if text else []
+def _lines(text: str | None, least: int, words: int = 0) -> list[tuple[int, str]]:
+    """Lines of ``least`` code points at least; those under ``words`` only if they hold a word."""
+    return [(i, x) for i, x in enumerate(text.split("\n")) if len(x) >= least and (len(x) >= words or _WORD.search(x))] if text else []
+
+
+def allowed(bands, n: int) -> int:
+    """The edits within which a line of ``n`` code points is linked to one as long or longer."""
+    return max((e for least, e in bands if least <= n), default=0)
 
 
 def line_name(line: str) -> int:
@@ -43,14 +56,14 @@ def line_name(line: str) -> int:
     return h - (h >> 63 << 64)
 
 
-def occurrences(docs: DataFrame, least: int = LEAST) -> DataFrame:
+def occurrences(docs: DataFrame, least: int = LEAST, words: int = 0) -> DataFrame:
     """(doc_id, line_no, h1, h2) of every line that is long enough."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids, no, one, two = [], [], [], []
             for doc, text in zip(batch.column("doc_id").to_pylist(), batch.column("text"), strict=True):
-                for i, line in _lines(text.as_py(), least):
+                for i, line in _lines(text.as_py(), least, words):
                     ids.append(doc)
                     no.append(i)
                     one.append(xxhash.xxh64_intdigest(line, 42))
@@ -68,11 +81,11 @@ def segments(length: np.ndarray, parts: int, i: int) -> tuple[np.ndarray, np.nda
     return size * i + longer, size + (i >= parts - rest)
 
 
-def signatures(lines: list[str], edits: int) -> Iterator[tuple[np.ndarray, np.ndarray, bool]]:
-    """(rows, keys, whether the rows are indexed under them) for each kind of probe."""
+def signatures(lines: list[str], bands) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(rows, keys, whether the rows are indexed under them) for each band. The lowest four bits of a key are its edits."""
     data = [x.encode("utf-32-le") for x in lines]
-    length = np.array([len(d) // 4 for d in data])
-    begin = np.cumsum(length) - length
+    sizes = np.array([len(d) // 4 for d in data])
+    starts = np.cumsum(sizes) - sizes
     points = np.frombuffer(b"".join(data), np.uint32).astype(np.uint64) + np.uint64(1)
     power = np.full(len(points) + 1, _P, np.uint64)
     power[0] = 1
@@ -81,18 +94,27 @@ def signatures(lines: list[str], edits: int) -> Iterator[tuple[np.ndarray, np.nd
     back[0] = 1
     back = np.multiply.accumulate(back)
     prefix = np.concatenate([np.zeros(1, np.uint64), np.cumsum(points * power[:-1], dtype=np.uint64)])
-    for less in range(edits + 1):
-        other = length - less
-        for i in range(edits + 1):
-            start, size = segments(other, edits + 1, i)
-            for shift in range(max(-i, less - (edits - i)), min(i, less + edits - i) + 1):
-                at = start + shift
-                rows = np.flatnonzero((at >= 0) & (at + size <= length) & (size > 0))
-                a = begin[rows] + at[rows]
-                h = (prefix[a + size[rows]] - prefix[a]) * back[a]
-                h = (h ^ (other[rows] * (edits + 1) + i).astype(np.uint64)) * _MIX
-                h ^= h >> np.uint64(32)
-                yield rows, (h * _MIX).view(np.int64), less == 0 and shift == 0
+    for (least, edits), (end, _) in zip(bands, [*bands[1:], (np.iinfo(np.int64).max, 0)], strict=True):
+        own = np.flatnonzero((sizes >= least) & (sizes - edits < end))
+        if not len(own):
+            continue
+        length, begin = sizes[own], starts[own]
+        found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        for less in range(edits + 1):
+            other = length - less
+            fits = (other >= least) & (other < end)
+            for i in range(edits + 1):
+                start, size = segments(other, edits + 1, i)
+                for shift in range(max(-i, less - (edits - i)), min(i, less + edits - i) + 1):
+                    at = start + shift
+                    rows = np.flatnonzero(fits & (at >= 0) & (at + size <= length) & (size > 0))
+                    a = begin[rows] + at[rows]
+                    h = (prefix[a + size[rows]] - prefix[a]) * back[a]
+                    h = (h ^ (other[rows] * (edits + 1) + i).astype(np.uint64)) * _MIX
+                    h ^= h >> np.uint64(32)
+                    h = h * _MIX & ~np.uint64(15) | np.uint64(edits)
+                    found.append((own[rows], h.view(np.int64), np.full(len(rows), less == 0 and shift == 0)))
+        yield tuple(np.concatenate(x) for x in zip(*found, strict=True))
 
 
 def sketches(lines: list[str]) -> np.ndarray:
@@ -158,9 +180,10 @@ def _common(a: str, b: str, end: bool) -> int:
     return low
 
 
-def line_keys(docs: DataFrame, edits: int = EDITS, least: int = LEAST) -> DataFrame:
+def line_keys(docs: DataFrame, edits: int = EDITS, least: int = LEAST, bands=None) -> DataFrame:
     """(key, line, sketch, indexed): the index and probe rows of each line. A task leaves out lines
     that it has seen lately; what is left over is the same again and harmless."""
+    bands, least, words = bands or ((least, edits),), bands[0][0] if bands else least, LEAST if bands else 0
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
@@ -169,7 +192,7 @@ def line_keys(docs: DataFrame, edits: int = EDITS, least: int = LEAST) -> DataFr
             names: list[int] = []
             size = 0
             for text in [*batch.column("text"), None]:
-                for _, line in _lines(text.as_py(), least) if text is not None else ():
+                for _, line in _lines(text.as_py(), least, words) if text is not None else ():
                     if (name := line_name(line)) not in seen:
                         if len(seen) >= 1 << 19:
                             seen.clear()
@@ -179,14 +202,16 @@ def line_keys(docs: DataFrame, edits: int = EDITS, least: int = LEAST) -> DataFr
                         size += len(line)
                 if lines and (size > 1 << 20 or text is None):
                     name, sketch = np.array(names, np.int64), sketches(lines).view(np.int64)
-                    for rows, key, indexed in signatures(lines, edits):
-                        yield pa.RecordBatch.from_pydict({"key": key, "line": name[rows], "sketch": sketch[rows], "indexed": np.full(len(rows), indexed)})
+                    for rows, key, indexed in signatures(lines, bands):
+                        for at in range(0, len(rows), 1 << 16):
+                            part = slice(at, at + (1 << 16))
+                            yield pa.RecordBatch.from_pydict({"key": key[part], "line": name[rows[part]], "sketch": sketch[rows[part]], "indexed": indexed[part]})
                     lines, names, size = [], [], 0
 
     return docs.where("doc_id is not null").select("text").mapInArrow(run, "key long, line long, sketch long, indexed boolean")
 
 
-def _pairs_of(line, sketch, indexed, first, last, edits):
+def _pairs_of(key, line, sketch, indexed, first, last):
     """Pairs (i, j) of rows within the runs first..last that pass the sketch, one row at least indexed."""
     size = last - first
     row = np.arange(int(first[0]), int(last[-1])) if len(first) else np.empty(0, np.int64)
@@ -197,11 +222,11 @@ def _pairs_of(line, sketch, indexed, first, last, edits):
     j = np.arange(len(i)) - np.repeat(np.cumsum(span) - span, span) + i + 1
     ok = (indexed[i] | indexed[j]) & (line[i] != line[j])
     i, j = i[ok], j[ok]
-    ok = sketch_distance(sketch[i], sketch[j]) <= 2 * edits
+    ok = sketch_distance(sketch[i], sketch[j]) <= 2 * (key[i] & 15)
     return i[ok], j[ok]
 
 
-def candidate_pairs(keys: DataFrame, edits: int = EDITS) -> DataFrame:
+def candidate_pairs(keys: DataFrame) -> DataFrame:
     """Rows (line, other) of candidate pairs for keys of up to SMALL rows; the rows of larger keys as
     they are (key, line, sketch, indexed), ``other`` null."""
     names = ["key", "line", "other", "sketch", "indexed"]
@@ -259,7 +284,7 @@ def candidate_pairs(keys: DataFrame, edits: int = EDITS) -> DataFrame:
                 return
             edge = np.flatnonzero(key[1:] != key[:-1]) + 1
             first, last = np.concatenate([[0], edge]), np.concatenate([edge, [len(key)]])
-        i, j = _pairs_of(line, sketch.view(np.uint64), indexed, first, last, edits)
+        i, j = _pairs_of(key, line, sketch.view(np.uint64), indexed, first, last)
         if len(i):
             a, b = np.minimum(line[i], line[j]), np.maximum(line[i], line[j])
             pair = np.unique(np.stack([a, b]), axis=1)
@@ -303,9 +328,9 @@ def line_texts(docs: DataFrame, names: DataFrame, least: int = LEAST) -> DataFra
     return found.join(names, "line", "left_semi").groupBy("line").agg(F.first("text").alias("text"))
 
 
-def verified(batches: Iterator[pa.RecordBatch], edits: int) -> Iterator[pa.RecordBatch]:
+def verified(batches: Iterator[pa.RecordBatch], bands) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        ok = [within(a, b, edits) for a, b in zip(batch.column("ta").to_pylist(), batch.column("tb").to_pylist(), strict=True)]
+        ok = [within(a, b, allowed(bands, min(len(a), len(b)))) for a, b in zip(batch.column("ta").to_pylist(), batch.column("tb").to_pylist(), strict=True)]
         yield pa.RecordBatch.from_arrays([batch.column("a").filter(pa.array(ok, pa.bool_())), batch.column("b").filter(pa.array(ok, pa.bool_()))], names=["a", "b"])
 
 
@@ -335,16 +360,16 @@ def cell_edges(line: np.ndarray, text: list[str], sketch: np.ndarray, indexed: n
     return a, b
 
 
-def near_links(docs: DataFrame, edits: int = EDITS, least: int = LEAST) -> DataFrame:
-    """Edges (a, b) between names of lines that connect all lines within ``edits`` edits."""
-    found = written(candidate_pairs(line_keys(docs, edits, least), edits), "candidates")
+def near_links(docs: DataFrame, edits: int = EDITS, least: int = LEAST, bands=None) -> DataFrame:
+    """Edges (a, b) between names of lines that connect all lines within ``edits`` edits, or those that their band allows."""
+    found = written(candidate_pairs(line_keys(docs, edits, least, bands)), "candidates")
     pairs = found.where("other is not null").select(F.col("line").alias("a"), F.col("other").alias("b")).distinct()
     large = found.where("other is null").select("key", "line", "sketch", "indexed").distinct()
     names = found.select("line").union(found.where("other is not null").select("other")).distinct()
-    texts = written(line_texts(docs, written(names, "names"), least), "texts")
+    texts = written(line_texts(docs, written(names, "names"), bands[0][0] if bands else least), "texts")
     both = pairs.join(texts.select(F.col("line").alias("a"), F.col("text").alias("ta")), "a").join(
         texts.select(F.col("line").alias("b"), F.col("text").alias("tb")), "b")
-    few = both.select("a", "b", "ta", "tb").mapInArrow(lambda batches: verified(batches, edits), "a long, b long")
+    few = both.select("a", "b", "ta", "tb").mapInArrow(lambda batches: verified(batches, bands or ((least, edits),)), "a long, b long")
     parts = large.groupBy("key").agg(F.ceil(F.count("*") / CELL).cast("int").alias("parts"))
     own = F.pmod(F.xxhash64("line"), F.col("parts")).cast("int")
     cells = large.join(parts, "key").withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
@@ -352,17 +377,17 @@ def near_links(docs: DataFrame, edits: int = EDITS, least: int = LEAST) -> DataF
 
     def compare(group: pa.Table) -> pa.Table:
         a, b = cell_edges(group.column("line").to_numpy(), group.column("text").to_pylist(), group.column("sketch").to_numpy().view(np.uint64),
-                          group.column("indexed").to_numpy(), edits)
+                          group.column("indexed").to_numpy(), group.column("key")[0].as_py() & 15)
         return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
     return few.union(cells.groupBy("key", "c1", "c2").applyInArrow(compare, "a long, b long"))
 
 
-def repeated_lines(docs: DataFrame, edits: int = EDITS, least: int = LEAST) -> DataFrame:
+def repeated_lines(docs: DataFrame, edits: int = EDITS, least: int = LEAST, bands=None) -> DataFrame:
     """(doc_id, line_no, line, near): the occurrences that go; ``near`` if no equal line came first."""
-    seen = written(occurrences(docs, least), "lines")
+    seen = written(occurrences(docs, *((1, LEAST) if bands else (least,))), "lines")
     firsts = written(seen.groupBy("h1", "h2").agg(F.min(F.struct("doc_id", "line_no")).alias("first"), F.count("*").alias("n")), "firsts")
-    roots = components(near_links(docs, edits, least)).withColumnRenamed("node", "h1")
+    roots = components(near_links(docs, edits, least, bands)).withColumnRenamed("node", "h1")
     classes = firsts.join(roots, "h1")
     leads = classes.groupBy("root").agg(F.min("first").alias("lead"))
     classes = classes.join(leads, "root").select("h1", "h2", "first", "lead")
@@ -371,10 +396,10 @@ def repeated_lines(docs: DataFrame, edits: int = EDITS, least: int = LEAST) -> D
     return gone.select("doc_id", "line_no", F.col("h1").alias("line"), (F.col("own") == F.col("first")).alias("near"))
 
 
-def dedup_lines(docs: DataFrame, edits: int = EDITS, least: int = LEAST) -> DataFrame:
+def dedup_lines(docs: DataFrame, edits: int = EDITS, least: int = LEAST, bands=None) -> DataFrame:
     """``docs`` with repeated lines taken out of ``text`` (and ``n_chars``, if there, counted again).
     Documents that lose their last word go."""
-    gone = written(repeated_lines(docs, edits, least), "gone")
+    gone = written(repeated_lines(docs, edits, least, bands), "gone")
     lists = gone.groupBy("doc_id").agg(F.collect_list(F.struct("line_no", "line")).alias("gone"))
     rows = boxed(docs).join(lists, F.col("row.doc_id") == F.col("doc_id"), "left").select("row", "gone")
     left = F.filter(F.split("row.text", "\n"), lambda x, i: ~F.array_contains("gone", F.struct(i.alias("line_no"), F.xxhash64(x).alias("line"))))
@@ -385,9 +410,9 @@ def dedup_lines(docs: DataFrame, edits: int = EDITS, least: int = LEAST) -> Data
     return rows.select(*[new[c].alias(c) if c in new else F.col(f"row.`{c}`") for c in docs.columns])
 
 
-def line_report(docs: DataFrame, edits: int = EDITS, least: int = LEAST) -> DataFrame:
+def line_report(docs: DataFrame, edits: int = EDITS, least: int = LEAST, bands=None) -> DataFrame:
     """One row per document: doc_id, n_lines, n_removed, n_near (removed without an equal line before)."""
-    gone = repeated_lines(docs, edits, least).groupBy(F.col("doc_id").alias("_id")).agg(F.count("*").alias("n"), F.count_if("near").alias("m"))
+    gone = repeated_lines(docs, edits, least, bands).groupBy(F.col("doc_id").alias("_id")).agg(F.count("*").alias("n"), F.count_if("near").alias("m"))
     lines = F.when(F.length("text") > 0, F.regexp_count("text", F.lit("\n")) + 1).otherwise(0)
     rows = docs.select("doc_id", lines.cast("long").alias("n_lines")).join(gone, F.col("doc_id") == F.col("_id"), "left")
     count = lambda c: F.coalesce(F.col(c), F.lit(0)).cast("long")

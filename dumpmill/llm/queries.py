@@ -23,7 +23,7 @@ def op1_quality_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return lines.line_report(table(spark, sf_dir, "documents"))
+    return lines.line_report(table(spark, sf_dir, "documents"), bands=lines.BANDS)
 
 
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:

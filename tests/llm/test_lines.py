@@ -104,3 +104,31 @@ def test_dedup_changes_texts_only(spark):
     assert N.dedup_lines(empty(spark)).count() == 0 and N.line_report(empty(spark)).count() == 0
     twice = N.dedup_lines(docs.union(docs))
     assert twice.groupBy("doc_id").count().where(F.col("count") % 2 == 1).where("doc_id is not null").count() == 0
+
+
+def test_bands_match_brute_force(spark):
+    """Short repeats go too, and long lines may differ by more edits."""
+    rng = random.Random(7)
+    long = [prose(rng, 14 * n) for n in (6, 8, 40)]
+    own = corpus(5) + ["And ornd.\nx", "x\nAnd ornd.", "---\n\n---", "All rights reserved.", "All rights reserved!"]
+    own += [changed(rng, x, n) for x in long for n in (0, 3, 4, 7, 8)]
+    rows = list(enumerate(own))
+    bands = N.BANDS
+    occ = sorted((d, i, x) for d, t in rows for i, x in enumerate(t.split("\n")) if len(x) >= 24 or any(c.isalnum() for c in x))
+    names = sorted({x for _, _, x in occ}, key=len)
+    g = Groups(len(names))
+    for j, b in enumerate(names):
+        for i in range(j):
+            e = max((e for n, e in bands if n <= len(names[i])), default=0)
+            if len(b) - len(names[i]) <= e and distance(names[i], b) <= e:
+                g.join(i, j)
+    cls = {x: g.top(i) for i, x in enumerate(names)}
+    lead, want = {}, set()
+    for d, i, x in occ:
+        if lead.setdefault(cls[x], (d, i)) != (d, i):
+            want.add((d, i))
+    got = {(r.doc_id, r.line_no) for r in N.repeated_lines(with_ids(spark, own), bands=bands).collect()}
+    assert got == want
+    before = brute(rows)
+    n = own.index("And ornd.\nx")
+    assert {(n + 1, 0), (n + 1, 1), (n + 4, 0)} <= got and set(before) < got
