@@ -8,6 +8,12 @@ smaller side, a template can only reach ``least`` if its size is within ``least
 the unit's, and others are not looked at. Of templates that reach it the best is reported, on ties
 the first by name.
 
+With ``windows`` (the registered query), windows of each template's size also slide over all words of
+the text. A window that reaches ``least`` holds one at least of any template bigrams that together
+exceed the share that may be missing, so windows are counted only around the rarest of those.
+Overlapping windows are merged to the one with the most common bigrams, and those within a unit found
+under the same licence are left out.
+
 Null and empty texts match nothing and keep their row; repeated rows are scanned row by row. The
 work is one pass without a shuffle, in memory proportional to the longest text.
 """
@@ -77,6 +83,8 @@ class Templates:
 
     def __init__(self, least: float, texts: dict[str, str] | None = None):
         self.least = least
+        self.anchors: dict[tuple[bytes, bytes], list[int]] = {}
+        self.own: list[tuple[str, Counter, int]] = []
         self.by_size: dict[int, list[tuple[str, Counter, int]]] = {}
         for name, text in sorted((texts or TEMPLATES).items()):
             own = bigrams(plain(text).split())
@@ -84,6 +92,15 @@ class Templates:
             for size in range(1, int((2 - least) / least * n) + 2):
                 if 2 * min(n, size) >= least * (n + size):
                     self.by_size.setdefault(size, []).append((name, own, n))
+            self.own.append((name, own, n))
+        shared = Counter(b for _, own, _ in self.own for b in own)
+        for k, (_, own, n) in enumerate(self.own):
+            held = 0
+            for b in sorted(own, key=lambda b: (shared[b], -len(b[0] + b[1]), b)):
+                if held > n * (1 - least) + 1e-9:
+                    break
+                self.anchors.setdefault(b, []).append(k)
+                held += own[b]
 
     def best(self, words: list[bytes]) -> tuple[str, float] | None:
         size = len(words) - 1
@@ -96,37 +113,81 @@ class Templates:
                 found = name, dice
         return found
 
+    def windows(self, words: list[bytes]) -> list[tuple[str, int, int, float]]:
+        """(template, first word, end, dice) of windows that reach a template, best of those that overlap."""
+        grams = list(zip(words, words[1:], strict=False))
+        spans: dict[int, list[list[int]]] = {}
+        for p, b in enumerate(grams):
+            for k in self.anchors.get(b, ()):
+                n = self.own[k][2]
+                first, last = max(0, p - n + 1), min(p, len(grams) - n)
+                if first <= last:
+                    own = spans.setdefault(k, [])
+                    if own and first <= own[-1][1] + 1:
+                        own[-1][1] = last
+                    else:
+                        own.append([first, last])
+        hits = []
+        for k, own in spans.items():
+            name, want, n = self.own[k]
+            for first, last in own:
+                have: Counter = Counter()
+                common = 0
+                for i in range(first, last + n):
+                    if (b := grams[i]) in want:
+                        have[b] += 1
+                        common += have[b] <= want[b]
+                    if i - n >= first and (b := grams[i - n]) in want:
+                        common -= have[b] <= want[b]
+                        have[b] -= 1
+                    if i - n + 1 >= first and common / n >= self.least:
+                        hits.append((-common, -common / n, name, i - n + 1, i + 2))
+        out: list[tuple[str, int, int, float]] = []
+        taken = bytearray(len(words))
+        for _, dice, name, a, b in sorted(hits):
+            if not any(taken[a:b]):
+                taken[a:b] = b"\1" * (b - a)
+                out.append((name, a, b, -dice))
+        return sorted(out, key=lambda x: x[1])
+
 
 @lru_cache(maxsize=4)
 def templates(least: float) -> Templates:
     return Templates(least)
 
 
-def matches(text: str | None, own: Templates) -> list[tuple[str, str, int, float]]:
+def matches(text: str | None, own: Templates, windows: bool = False) -> list[tuple[str, str, int, float]]:
     """(kind of unit, template, first line, dice) of each unit that reaches a template."""
     lines = [line.split() for line in plain(text).split(b"\n")]
     out = []
+    spans: list[tuple[str, int, int]] = []  # licence and lines of units found
 
-    def look(kind: str, at: int, words: list[bytes]) -> None:
+    def look(kind: str, at: int, words: list[bytes], end: int) -> None:
         if len(words) - 1 in own.by_size and (hit := own.best(words)):
             out.append((kind, hit[0], at, hit[1]))
+            spans.append((hit[0].split("/")[0], at, end))
 
     start = 0
     for i, words in enumerate([*lines, []]):
         if words:
-            look("line", i, words)
+            look("line", i, words, i + 1)
             continue
         if i - start > 1:
             block = [w for line in lines[start:i] if line[0] != b"copyright" for w in line]
-            look("paragraph", start, block)
+            look("paragraph", start, block, i)
         start = i + 1
     if len(lines) > 1:
-        look("text", 0, [w for line in lines for w in line])
+        look("text", 0, [w for line in lines for w in line], len(lines))
+    if windows:
+        words, at = [w for line in lines for w in line], [i for i, line in enumerate(lines) for _ in line]
+        for name, a, b, dice in own.windows(words):
+            if not any(x == name.split("/")[0] and first <= at[b - 1] and at[a] < end for x, first, end in spans):
+                out.append(("window", name, at[a], dice))
     return out
 
 
-def license_matches(docs: DataFrame, least: float = 0.8, name: str = "licenses") -> DataFrame:
-    """``docs`` with ``name``: array of (unit, license, line, dice), in the order of the text."""
+def license_matches(docs: DataFrame, least: float = 0.8, name: str = "licenses", windows: bool = False) -> DataFrame:
+    """``docs`` with ``name``: array of (unit, license, line, dice), in the order of the text, windows last."""
     names = [c for c in docs.columns if c != name]
     kind = "array<struct<unit string, license string, line int, dice double>>"
     inner = pa.list_(pa.struct([("unit", pa.string()), ("license", pa.string()), ("line", pa.int32()), ("dice", pa.float64())]))
@@ -134,7 +195,7 @@ def license_matches(docs: DataFrame, least: float = 0.8, name: str = "licenses")
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = templates(least)
         for batch in batches:
-            rows = [[dict(zip(("unit", "license", "line", "dice"), m, strict=True)) for m in matches(t.as_py(), own)] for t in batch.column("text")]
+            rows = [[dict(zip(("unit", "license", "line", "dice"), m, strict=True)) for m in matches(t.as_py(), own, windows)] for t in batch.column("text")]
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names if c != "text"), pa.array(rows, inner)], names=[*(c for c in names if c != "text"), name])
 
     rest = [c for c in names if c != "text"]
@@ -144,9 +205,9 @@ def license_matches(docs: DataFrame, least: float = 0.8, name: str = "licenses")
     return docs.select(*rest, "text").mapInArrow(scan, schema)
 
 
-def license_report(docs: DataFrame, least: float = 0.8) -> DataFrame:
+def license_report(docs: DataFrame, least: float = 0.8, windows: bool = False) -> DataFrame:
     """One row per document: doc_id, n_matches, license (best, without its letter), dice, licenses."""
-    own = license_matches(docs.select("doc_id", "text"), least)
+    own = license_matches(docs.select("doc_id", "text"), least, windows=windows)
     best = F.element_at(F.array_sort("licenses", lambda a, b: F.when(a["dice"] > b["dice"], -1).when(a["dice"] < b["dice"], 1)
                                      .when(a["license"] < b["license"], -1).when(a["license"] > b["license"], 1).otherwise(0)), 1)
     short = lambda c: F.substring_index(c, "/", 1)

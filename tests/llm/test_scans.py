@@ -51,6 +51,34 @@ def test_license_report(spark):
     assert report.count() == docs.count() and report.where("license = 'Apache-2.0'").count() == 1 and licenses.license_report(empty(spark)).count() == 0
 
 
+def test_license_windows_match_brute_force(spark):
+    rng = random.Random(4)
+    own, hidden = licenses.templates(0.8), []
+    for name, text in licenses.TEMPLATES.items():
+        w = text.split()
+        for _ in range(rng.randint(0, len(w) // 9)):
+            w[rng.randrange(len(w))] = "other"
+        hidden.append(f"{prose(rng, 30)} {' '.join(w)} {prose(rng, 30)}")
+    for text in [*hidden, " ".join(hidden[:3])]:
+        words = licenses.plain(text).split()
+        want = []
+        for name, grams, n in own.own:
+            for a in range(len(words) - n):
+                common = sum((licenses.bigrams(words[a : a + n + 1]) & grams).values())
+                if common / n >= 0.8:
+                    want.append((-common, -common / n, name, a, a + n + 1))
+        kept = []
+        for hit in sorted(want):
+            if all(hit[4] <= x[3] or x[4] <= hit[3] for x in kept):
+                kept.append(hit)
+        assert own.windows(words) == sorted(((x[2], x[3], x[4], -x[1]) for x in kept), key=lambda x: x[1])
+    text = "The tool reads logs and writes charts. Released under the MIT License."
+    mit = licenses.TEMPLATES["MIT/c"]
+    rows = [text, f"{mit}\nint main() {{ return f(a, b, c, d, e, f, g, h, i, j, k, l, m, n, o, p, q, r, s, t, u, v, w, x, y, z); }} " + prose(rng, 60), hidden[0] + " " + hidden[-2], prose(rng, 300), "Released under the MIT License."]
+    got = {r.doc_id: r for r in licenses.license_report(with_ids(spark, rows), windows=True).collect()}
+    assert [got[i].licenses for i in range(5)] == ["MIT", "MIT", "Apache-2.0,MPL-2.0", "", "MIT"] and got[0].dice == 1.0 and got[4].n_matches == 1
+
+
 def test_secret_candidates(spark):
     own = ["a token = \"abcdefghij0123456789\" b 'ZZZZZZZZZZZZZZZZ' tail", None, "", "none here", "ABCDEFGHIJKLMNOP abcdefghijklmnop abcdefghijklmnop"]
     got = [(r.doc_id, r.ordinal, r.value, r.before[-4:], r.after[:2]) for r in secrets.candidates(with_ids(spark, own)).orderBy("doc_id", "ordinal").collect()]
