@@ -20,9 +20,11 @@ work is one pass without a shuffle, in memory proportional to the longest text.
 
 from __future__ import annotations
 
+import json
 from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
+from importlib import resources
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -66,6 +68,12 @@ was not distributed with this file, You can obtain one at https://mozilla.org/MP
     "Unlicense/a": "This is free and unencumbered software released into the public domain.",
 }
 
+
+def standard() -> dict[str, str]:
+    """TEMPLATES with whole licence texts and standard notices of ``data/license_texts.json``."""
+    return TEMPLATES | json.loads(resources.files("dumpmill.data").joinpath("license_texts.json").read_text())
+
+
 #: Bytes after ASCII lower-casing: letters, digits, new lines and other characters stay.
 _PLAIN = bytes(c if c > 127 or c == 10 or chr(c).isalnum() else 32 for c in range(256))
 
@@ -152,8 +160,8 @@ class Templates:
 
 
 @lru_cache(maxsize=4)
-def templates(least: float) -> Templates:
-    return Templates(least)
+def templates(least: float, full: bool = False) -> Templates:
+    return Templates(least, standard() if full else None)
 
 
 def matches(text: str | None, own: Templates, windows: bool = False) -> list[tuple[str, str, int, float]]:
@@ -186,14 +194,15 @@ def matches(text: str | None, own: Templates, windows: bool = False) -> list[tup
     return out
 
 
-def license_matches(docs: DataFrame, least: float = 0.8, name: str = "licenses", windows: bool = False) -> DataFrame:
-    """``docs`` with ``name``: array of (unit, license, line, dice), in the order of the text, windows last."""
+def license_matches(docs: DataFrame, least: float = 0.8, name: str = "licenses", windows: bool = False, full: bool = False) -> DataFrame:
+    """``docs`` with ``name``: array of (unit, license, line, dice), in the order of the text, windows last.
+    ``full`` compares with ``standard()``, else with TEMPLATES."""
     names = [c for c in docs.columns if c != name]
     kind = "array<struct<unit string, license string, line int, dice double>>"
     inner = pa.list_(pa.struct([("unit", pa.string()), ("license", pa.string()), ("line", pa.int32()), ("dice", pa.float64())]))
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = templates(least)
+        own = templates(least, full)
         for batch in batches:
             rows = [[dict(zip(("unit", "license", "line", "dice"), m, strict=True)) for m in matches(t.as_py(), own, windows)] for t in batch.column("text")]
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names if c != "text"), pa.array(rows, inner)], names=[*(c for c in names if c != "text"), name])
@@ -205,9 +214,9 @@ def license_matches(docs: DataFrame, least: float = 0.8, name: str = "licenses",
     return docs.select(*rest, "text").mapInArrow(scan, schema)
 
 
-def license_report(docs: DataFrame, least: float = 0.8, windows: bool = False) -> DataFrame:
+def license_report(docs: DataFrame, least: float = 0.8, windows: bool = False, full: bool = False) -> DataFrame:
     """One row per document: doc_id, n_matches, license (best, without its letter), dice, licenses."""
-    own = license_matches(docs.select("doc_id", "text"), least, windows=windows)
+    own = license_matches(docs.select("doc_id", "text"), least, windows=windows, full=full)
     best = F.element_at(F.array_sort("licenses", lambda a, b: F.when(a["dice"] > b["dice"], -1).when(a["dice"] < b["dice"], 1)
                                      .when(a["license"] < b["license"], -1).when(a["license"] > b["license"], 1).otherwise(0)), 1)
     short = lambda c: F.substring_index(c, "/", 1)

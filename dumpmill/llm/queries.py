@@ -42,7 +42,7 @@ def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return licenses.license_report(table(spark, sf_dir, "documents"), windows=True)
+    return licenses.license_report(table(spark, sf_dir, "documents"), windows=True, full=True)
 
 
 def op7_vector_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -79,6 +79,18 @@ def test_license_windows_match_brute_force(spark):
     assert [got[i].licenses for i in range(5)] == ["MIT", "MIT", "Apache-2.0,MPL-2.0", "", "MIT"] and got[0].dice == 1.0 and got[4].n_matches == 1
 
 
+def test_sibling_licenses_keep_their_names(spark):
+    texts = licenses.standard()
+    names = sorted(set(texts) - set(licenses.TEMPLATES))
+    rng = random.Random(8)
+    own = [texts[n] for n in names] + [f"{prose(rng, 40)} {texts[n]} {prose(rng, 40)}" for n in names]
+    got = {r.doc_id: r for r in licenses.license_report(with_ids(spark, own), windows=True, full=True).collect()}
+    for i, n in enumerate([*names, *names]):
+        assert got[i].license == n.split("/")[0] and got[i].dice >= 0.8, n
+    few = {n: got[len(names) + i].licenses for i, n in enumerate(names) if not n.endswith("/full") or n[0] in "BIM"}
+    assert all(v == n.split("/")[0] for n, v in few.items()), few
+
+
 def test_secret_candidates(spark):
     own = ["a token = \"abcdefghij0123456789\" b 'ZZZZZZZZZZZZZZZZ' tail", None, "", "none here", "ABCDEFGHIJKLMNOP abcdefghijklmnop abcdefghijklmnop"]
     got = [(r.doc_id, r.ordinal, r.value, r.before[-4:], r.after[:2]) for r in secrets.candidates(with_ids(spark, own)).orderBy("doc_id", "ordinal").collect()]
