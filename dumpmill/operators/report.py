@@ -35,6 +35,13 @@ def skip_counts(skipped: DataFrame, sample: int = 20) -> DataFrame:
     return counts.join(firsts.withColumn("ids", F.array_join("ids", ", ")), ["data_type", "reason"])
 
 
+def skip_ids(skipped: DataFrame, block: Column) -> DataFrame:
+    """(data_type, reason, block, skipped, ids): all ids, a row per ``block``, a column of ``skipped`` that bounds what a row holds."""
+    own = skipped.select("data_type", F.col("_skip.reason").alias("reason"), block.alias("block"), "id")
+    ids = F.array_join(F.array_sort(F.collect_list("id")), ", ")
+    return own.groupBy("data_type", "reason", "block").agg(F.count("*").alias("skipped"), ids.alias("ids"))
+
+
 def repair_counts(filtered: DataFrame, actions: str = "actions") -> DataFrame:
     """(data_type, field, reason, records, values)."""
     own = filtered.select("data_type", F.explode(actions).alias("a"))

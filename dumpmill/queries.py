@@ -84,6 +84,16 @@ def skip_reason_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return report.skip_counts(skipped.select(F.lit("part").alias("data_type"), F.col("p_partkey").cast("string").alias("id"), "_skip"))
 
 
+@query("""WITH s AS (SELECT p_partkey, CASE WHEN contains(lower(p_name), 'red') THEN 'red' WHEN contains(lower(p_type), 'brass') THEN 'brass' END AS reason FROM part)
+SELECT 'part' AS data_type, reason, cast(floor(p_partkey / 1000) AS BIGINT) AS block, count(*) AS skipped, string_agg(cast(p_partkey AS VARCHAR), ', ' ORDER BY cast(p_partkey AS VARCHAR)) AS ids
+FROM s WHERE reason IS NOT NULL GROUP BY ALL""")
+def skip_reason_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A3, all ids of a reason in blocks of at most 1,000."""
+    _, skipped = split_skipped(table(spark, sf_dir, "part"), POLICY.of("part").skips)
+    own = skipped.select(F.lit("part").alias("data_type"), F.col("p_partkey").cast("string").alias("id"), "p_partkey", "_skip")
+    return report.skip_ids(own, F.floor(F.col("p_partkey") / 1000))
+
+
 @query("SELECT p_partkey, p_name FROM part WHERE NOT contains(lower(p_name), 'red') AND NOT contains(lower(p_type), 'brass')")
 def skip_kept_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept, _ = split_skipped(table(spark, sf_dir, "part"), POLICY.of("part").skips)
