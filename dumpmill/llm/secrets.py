@@ -7,6 +7,10 @@ of a dictionary, marks of paths and identifiers, and words before and after. A r
 is trained on labelled findings then separates secrets from other long strings. All work on texts
 is DataFrame and SQL functions; nothing is shuffled.
 
+With ``assigned`` (the registered query) runs are cut at the ``=`` after an identifier, shorter values
+and other marks count after an assignment to a key word, and ``before`` is the text itself, earlier
+candidates included.
+
 Labelled findings (value, before, after, secret) are an argument; by default they are generated by
 rule from hashes, words and their usual neighbours (``labelled_findings``).
 
@@ -36,6 +40,13 @@ DICTIONARY = (
     "test text theme this time title token toggle tool top total transform true type under unit update upload user utils value version view "
     "warning web width window with word wrapper your").split()
 NEAR = "secret|token|api.?key|access.?key|private.?key|passw(?:or)?d|passwd|credential|bearer|auth"
+_KEY = rf"(?i:{NEAR})[A-Za-z0-9_.\-]{{0,24}}"
+_CLASS, _VALUE = r"[A-Za-z0-9+/_\-]", r"""[^\s"'`,;=<>(){}\[\]][^\s"'`,;]{5,}"""
+#: Values assigned to a key word; runs without ``=`` but at their end; other runs, unless they are an assignment to one of those.
+ASSIGNED = "|".join((
+    rf"""(?<=[=:"'\s])(?<=[=:]\s{{0,3}}["']?)(?<={_KEY}["']?\s{{0,3}}:?[=:]\s{{0,3}}["']?){_VALUE}""",
+    rf"(?<!{_CLASS})(?!{_KEY}={_VALUE}){_CLASS}{{16,}}+(?:={{1,2}}(?![A-Za-z0-9+/_=\-]))?",
+    rf"(?<![A-Za-z0-9+/_=\-])(?=[A-Za-z0-9+/_=\-]{{16}})(?!{_CLASS}*=+{_CLASS}{{16}})(?![A-Za-z0-9_\-]{{0,24}}?{_KEY}={_VALUE})[A-Za-z0-9+/_=\-]{{16,}}"))
 FAR = "commit|sha-?[0-9]*|md5|checksum|digest|uuid|guid|hash|revision|build|integrity|version|etag|blob|tree"
 FEATURES = (
     "length", "digits", "capitals", "marks", "hexadecimal", "class_changes", "vowel_changes", "dictionary", "slashes", "dashed",
@@ -45,13 +56,24 @@ FEATURES = (
 MADE = ("ordinal", "value", "before", "after", "score", "is_secret", "_features", "rawPrediction", "probability", "prediction", "_values", "_parts", "_item")
 
 
-def candidates(docs: DataFrame, text: str = "text") -> DataFrame:
+def candidates(docs: DataFrame, text: str = "text", assigned: bool = False) -> DataFrame:
     """The other columns of ``docs`` with one row per candidate: ordinal, value, before, after."""
+    run = ASSIGNED if assigned else RUN
     rest = [c for c in docs.columns if c not in (text, *MADE, *FEATURES)]
-    own = docs.select(*rest, text).where(F.col(text).rlike(RUN))
-    own = own.select(*rest, F.regexp_extract_all(text, F.lit(RUN), 0).alias("_values"), F.split(text, RUN, -1).alias("_parts"))
+    own = docs.select(*rest, text).where(F.col(text).rlike(run))
+    own = own.select(*rest, F.regexp_extract_all(text, F.lit(run), 0).alias("_values"), F.split(text, run, -1).alias("_parts"))
+
+    def before(i: Column) -> Column:
+        """The gap; with ``assigned`` also earlier candidates and gaps, of which eight pairs hold more than 40 characters."""
+        gap = F.element_at("_parts", i + 1)
+        if not assigned:
+            return gap
+        first = F.greatest(i - 7, F.lit(1))
+        pairs = F.zip_with(F.slice("_parts", first, i - first + 1), F.slice("_values", first, i - first + 1), lambda a, b: F.concat(a, b))
+        return F.concat(F.array_join(pairs, ""), gap)
+
     item = F.transform(F.col("_values"), lambda v, i: F.struct(
-        v.alias("value"), F.right(F.element_at("_parts", i + 1), F.lit(40)).alias("before"),
+        v.alias("value"), F.right(before(i), F.lit(40)).alias("before"),
         F.left(F.element_at("_parts", i + 2), F.lit(24)).alias("after")))
     return own.select(*rest, F.posexplode(item).alias("ordinal", "_item")).select(*rest, "ordinal", "_item.*")
 
@@ -80,8 +102,9 @@ def features(found: DataFrame) -> DataFrame:
     return found.select("*", *[made[k].cast("double").alias(k) for k in FEATURES])
 
 
-def labelled_findings(spark: SparkSession, rows: int = 6000) -> DataFrame:
-    """Findings by rule: each id picks a kind of string, its neighbours and the letters by hash."""
+def labelled_findings(spark: SparkSession, rows: int = 6000, assigned: bool = False) -> DataFrame:
+    """Findings by rule: each id picks a kind of string, its neighbours and the letters by hash. ``assigned`` adds
+    short values and long key names."""
     md = lambda k: F.md5(F.concat(F.lit(f"{k}:"), F.col("id").cast("string")))
     sha = F.sha1(F.concat(F.lit("s"), F.col("id").cast("string")))
     pick = lambda k, *of: F.element_at(F.array(*map(F.lit, of)), (F.pmod(F.xxhash64(F.lit(k), "id"), F.lit(len(of))) + 1).cast("int"))
@@ -97,7 +120,7 @@ def labelled_findings(spark: SparkSession, rows: int = 6000) -> DataFrame:
     path = F.concat_ws("/", F.lit(""), word("a1"), word("a2"), word("a3"), word("a4"))
     name = F.concat_ws("_", word("n1"), word("n2"), word("n3"), word("n4"))
     long = F.concat(made("w", 10), word("w2"), made("w3", 6))
-    case = F.pmod(F.xxhash64(F.lit("case"), "id"), F.lit(15))
+    case = F.pmod(F.xxhash64(F.lit("case"), "id"), F.lit(21 if assigned else 15))
     rules = [
         (sha, key, True), (md("a"), key, True), (b64, key, True), (F.concat(F.lit("AKIA"), upper), plain, True),
         (F.concat(pick("g", "ghp_", "sk-", "xoxb-", "glpat-"), F.substring(F.base64(F.unhex(F.concat(sha, md("g")))), 1, 36)), plain, True),
@@ -107,10 +130,16 @@ def labelled_findings(spark: SparkSession, rows: int = 6000) -> DataFrame:
         (F.upper(long), F.upper(plain), False),
         (F.rpad(pick("pl", "your_api_key_", "xxxx", "0000", "----", "====", "REPLACE_ME_"), 24, "x"), key, False),
     ]
+    short = F.concat(F.initcap(word("v1")), F.substring(md("v"), 1, 2), pick("v2", "-", "!", "#", "$", "_", ""), F.initcap(word("v3")), F.substring(md("v4"), 1, 3))
+    keys = pick("lk", "aws_secret_access_key = \"", "aws_secret_access_key=", "github_personal_access_token=", "database_root_password: ", "export API_KEY=", "DB_PASSWORD=")
+    names = pick("sv", "required", "undefined", "optional", "${TOKEN}", "process.env.TOKEN", "os.environ", "get_token()", "string", "config.token", "self.password")
+    if assigned:
+        rules += [(short, key, True), (F.substring(b64, 1, 10), key, True), (F.substring(sha, 1, 12), keys, True), (short, keys, True), (sha, keys, True),
+                  (names, key, False)]
     value, before, secret = (F.coalesce(*[F.when(case == i, F.lit(r[j]) if isinstance(r[j], bool) else r[j]) for i, r in enumerate(rules)]) for j in range(3))
     after = pick("af", "\"", "'", " ", "\n", "")
     return spark.range(0, rows, 1, 4).select(
-        F.substring(F.regexp_replace(F.rpad(value, F.greatest(F.length(value), F.lit(16)), "e"), r"[^A-Za-z0-9+/_=\-]", ""), 1, 80).alias("value"),
+        F.when(case >= 15, F.substring(value, 1, 80)).otherwise(F.substring(F.regexp_replace(F.rpad(value, F.greatest(F.length(value), F.lit(16)), "e"), r"[^A-Za-z0-9+/_=\-]", ""), 1, 80)).alias("value"),
         before.alias("before"), after.alias("after"), secret.alias("secret"))
 
 
@@ -125,12 +154,12 @@ def train(labelled: DataFrame, trees: int = 24, depth: int = 7, seed: int = 10):
     return Pipeline(stages=[VectorAssembler(inputCols=list(FEATURES), outputCol="_features"), forest]).fit(rows)
 
 
-def scan(docs: DataFrame, labelled: DataFrame | None = None, model=None) -> DataFrame:
+def scan(docs: DataFrame, labelled: DataFrame | None = None, model=None, assigned: bool = False) -> DataFrame:
     """(the columns of ``docs`` but its text, ordinal, value, before, after, score, is_secret)."""
     from pyspark.ml.functions import vector_to_array
 
-    model = model or train(labelled if labelled is not None else labelled_findings(docs.sparkSession))
-    found = candidates(docs)
+    model = model or train(labelled if labelled is not None else labelled_findings(docs.sparkSession, assigned=assigned))
+    found = candidates(docs, assigned=assigned)
     scored = model.transform(features(found))
     score = vector_to_array("probability")[1]
     return scored.select(*found.columns, F.round(score, 6).alias("score"), (score >= 0.5).alias("is_secret"))

@@ -118,6 +118,17 @@ def test_secret_scan(spark):
     assert not re.search("Python|Pandas|Arrow", plan)
 
 
+def test_assigned_secrets(spark):
+    hexes = "0f1e2d3c4b5a69788796a5b4c3d2e1f00f1e2d3c"
+    own = [f"export API_KEY={hexes}", f"aws_secret_access_key = \"{hexes}\"", "password = \"Hunter2-Blue77\"", f"fixed in commit {hexes} today", "token = undefined",
+           "a abc=defghijklmnop z", "x " + "QUJDREVGR0hJSktMTU5P==" + " y"]
+    got = {(r.doc_id, r.value): r for r in secrets.scan(with_ids(spark, own), assigned=True).collect()}
+    assert sorted(got) == sorted([(0, hexes), (1, "aws_secret_access_key"), (1, hexes), (2, "Hunter2-Blue77"), (3, hexes), (4, "undefined"),
+                                  (5, "abc=defghijklmnop"), (6, "QUJDREVGR0hJSktMTU5P==")])
+    assert got[1, hexes].before == 'aws_secret_access_key = "' and got[0, hexes].before == "export API_KEY="
+    assert [got[k].is_secret for k in ((0, hexes), (1, hexes), (2, "Hunter2-Blue77"), (3, hexes), (4, "undefined"))] == [True, True, True, False, False]
+
+
 def slow_targets(size, weights=(5, 2, 1), repeats=3):
     names = sorted((s for s in size if s is not None)) + ([None] if None in size else [])
     weight = {s: weights[i % len(weights)] for i, s in enumerate(names)}
