@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -18,11 +20,48 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def work_dir(spark: SparkSession) -> str:
-    """The folder all executors share: spark.checkpoint.dir, or the warehouse where that is unset."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or f"{spark.conf.get('spark.sql.warehouse.dir')}/_work"
+    """The folder all executors share, spark.checkpoint.dir. Where that is unset, a local session uses its
+    warehouse and any other raises, as its folders may be local to machines."""
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        base = f"{spark.conf.get('spark.sql.warehouse.dir')}/_work"
     return f"{base.rstrip('/')}/dumpmill"
 
 
+_made: ContextVar[Scratch | None] = ContextVar("made", default=None)
+
+
+class Scratch:
+    """Tables written inside a ``scratch`` block, with their folders."""
+
+    def __init__(self, around: Scratch | None):
+        self.tables: list[tuple[DataFrame, str]] = []
+        self.around = around
+
+    def kept(self, df: DataFrame) -> DataFrame:
+        """``df``, a table written in the block, which stays; it goes to the block around, if there is one."""
+        for own in [x for x in self.tables if x[0] is df]:
+            self.tables.remove(own)
+            if self.around is not None:
+                self.around.tables.append(own)
+        return df
+
+
+@contextmanager
+def scratch() -> Iterator[Scratch]:
+    """Tables written inside are removed at the end, unless they are ``kept``."""
+    own = Scratch(_made.get())
+    token = _made.set(own)
+    try:
+        yield own
+    finally:
+        _made.reset(token)
+        for df, path in own.tables:
+            _removed(df.sparkSession, path)
+
+
 def written(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back, which cuts its lineage.
 
@@ -30,16 +69,21 @@ def written(df: DataFrame, label: str) -> DataFrame:
     """
     path = f"{work_dir(df.sparkSession)}/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    own = df.sparkSession.read.schema(df.schema).parquet(path)
+    if (made := _made.get()) is not None:
+        made.tables.append((own, path))
+    return own
+
+
+def _removed(spark: SparkSession, path: str) -> None:
+    own = spark._jvm.org.apache.hadoop.fs.Path(path)
+    own.getFileSystem(spark._jsc.hadoopConfiguration()).delete(own, True)
 
 
 def dropped(df: DataFrame) -> None:
     """Remove the files of a table made by ``written`` that nothing reads any more."""
-    spark = df.sparkSession
-    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
     for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
-        path = jvm.org.apache.hadoop.fs.Path(folder)
-        path.getFileSystem(conf).delete(path, True)
+        _removed(df.sparkSession, folder)
 
 
 def boxed(df: DataFrame) -> DataFrame:

@@ -10,28 +10,43 @@ substrings at the positions that remain possible (multi-match-aware windows of L
 2011). Substring hashes come from prefix sums over whole batches. Candidate pairs pass a letter-count
 sketch and are verified by banded bit-parallel edit distance.
 
-A key shared by more than SMALL lines never emits its pairs: its lines are dealt out as pairs of
-chunks, compared where they meet, and return at most one edge per line. Of each class (lines
-reachable over links) the occurrence with the smallest (doc_id, line number) stays; the others go.
-
-Rows without a doc_id pass unchanged and take no part. Rows that share a doc_id count as one document.
-Null texts have no lines; empty tables give no rows; a text is held whole.
+A key shared by more than SMALL lines never emits its pairs. Its lines are keyed once more by groups of
+sketch lanes: an edit changes two lanes at most, so of 2 * edits + 1 groups one is the same in any two
+lines that link. What is still too large is dealt out as pairs of chunks, compared where they meet, and
+returns at most one edge per line. Keys that a hash sample of lines (one in SAMPLE) shows to be hot are
+salted before the shuffle; the sample decides where rows go, never which are compared. Of each class
+(lines reachable over links) the occurrence with the smallest (doc_id, line number) stays; the others go.
+
+Lines are told apart by 128 bits throughout; only the rows under keys carry 64 of them, and texts and
+links of lines that share those are kept apart. Rows without a doc_id pass unchanged and take no part. Rows that share a doc_id count as one document.
+Null texts have no lines; empty tables give no rows. Texts of any length are cut in one pass, and what is
+left of them is put together in time linear in their lines. Other columns pass unchanged, whatever
+their names; doc_id may have any type that sorts.
 """
 
 from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, LongType, StructField, StructType
+
+from dumpmill.functions.values import let
 
-from .common import boxed, components, written
+from .common import boxed, components, scratch, written
 
-EDITS, LEAST, SMALL, CELL, BITMAP = 2, 24, 64, 512, 1 << 24
+EDITS, LEAST, SMALL, CELL = 2, 24, 16, 256
+#: Bits of the bitmap of candidates: sixteen a line, within these bounds (8 kB and 16 MB).
+BITMAP = (1 << 16, 1 << 27)
+#: One line in SAMPLE shows hot keys, of which the HOT_KEYS largest are salted; the HOT_LINES most frequent
+#: lines of more than HOT occurrences are joined by broadcast.
+SAMPLE, HOT_KEYS, HOT, HOT_LINES = 64, 8192, 2000, 4096
 #: (least length, edits): two dates or numbers differ by four to eight edits. Lines under the first length have no
 #: segments of six characters or more and are compared exactly only.
 BANDS = ((12, 1), (24, 2), (512, 4), (2048, 8))
@@ -56,22 +71,56 @@ def line_name(line: str) -> int:
     return h - (h >> 63 << 64)
 
 
-def occurrences(docs: DataFrame, least: int = LEAST, words: int = 0) -> DataFrame:
-    """(doc_id, line_no, h1, h2) of every line that is long enough."""
+def _reach(edits: int, least: int, bands) -> tuple[tuple, int, int]:
+    """(bands, least length compared exactly, length under which a line needs a word)."""
+    return (tuple(bands), 1, LEAST) if bands else (((least, edits),), least, 0)
+
+
+def occurrences(docs: DataFrame, edits: int = EDITS, least: int = LEAST, bands=None) -> DataFrame:
+    """(doc_id, line_no, h1, h2) of every line that is long enough, ``key`` null; besides, (h1, ``key``) of
+    a hash sample of lines with each of their keys."""
+    bands, least, words = _reach(edits, least, bands)
+    kind = docs.schema["doc_id"].dataType
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, no, one, two = [], [], [], []
-            for doc, text in zip(batch.column("doc_id").to_pylist(), batch.column("text"), strict=True):
-                for i, line in _lines(text.as_py(), least, words):
-                    ids.append(doc)
-                    no.append(i)
-                    one.append(xxhash.xxh64_intdigest(line, 42))
+            at, no, one, two, sample = [], [], [], [], []
+
+            def table(ids=batch.column("doc_id")):
+                longs = [pa.array(np.array(x, np.uint64).view(np.int64)) for x in (one, two)]
+                yield pa.RecordBatch.from_arrays(
+                    [ids.take(pa.array(at, pa.int64())), pa.array(no, pa.int32()), *longs, pa.nulls(len(at), pa.int64())], names=names)
+                if sample:
+                    h = np.array([line_name(x) for x in sample], np.int64)
+                    for rows, key, _ in signatures(sample, bands):
+                        n = len(rows)
+                        yield pa.RecordBatch.from_arrays(
+                            [pa.nulls(n, ids.type), pa.nulls(n, pa.int32()), pa.array(h[rows]), pa.nulls(n, pa.int64()), pa.array(key)], names=names)
+                for x in (at, no, one, two, sample):
+                    x.clear()
+
+            for i, text in enumerate(batch.column("text")):
+                for n, line in _lines(text.as_py(), least, words):
+                    h = xxhash.xxh64_intdigest(line, 42)
+                    at.append(i)
+                    no.append(n)
+                    one.append(h)
                     two.append(xxhash.xxh64_intdigest(line, 43))
-            longs = [pa.array(np.array(x, np.uint64).view(np.int64)) for x in (one, two)]
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(no, pa.int32()), *longs], names=["doc_id", "line_no", "h1", "h2"])
+                    if h % SAMPLE == 0 and len(line) >= bands[0][0]:
+                        sample.append(line)
+                if len(at) > 1 << 17:
+                    yield from table()
+            yield from table()
+
+    names = ["doc_id", "line_no", "h1", "h2", "key"]
+    schema = StructType([StructField("doc_id", kind), *(StructField(k, t) for k, t in zip(names[1:], (IntegerType(), LongType(), LongType(), LongType()), strict=True))])
+    return docs.where("doc_id is not null").select("doc_id", "text").mapInArrow(run, schema)
+
 
-    return docs.where("doc_id is not null").select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, line_no int, h1 long, h2 long")
+def hot_keys(found: DataFrame, many: int = 32) -> np.ndarray:
+    """The keys of more than ``many`` sampled lines, sorted, HOT_KEYS at most."""
+    counts = found.where("key is not null").select("key", "h1").distinct().groupBy("key").count().where(F.col("count") > many)
+    return np.sort(np.array([r.key for r in counts.orderBy(F.desc("count"), "key").limit(HOT_KEYS).collect()], np.int64))
 
 
 def segments(length: np.ndarray, parts: int, i: int) -> tuple[np.ndarray, np.ndarray]:
@@ -180,10 +229,13 @@ def _common(a: str, b: str, end: bool) -> int:
     return low
 
 
-def line_keys(docs: DataFrame, edits: int = EDITS, least: int = LEAST, bands=None) -> DataFrame:
-    """(key, line, sketch, indexed): the index and probe rows of each line. A task leaves out lines
-    that it has seen lately; what is left over is the same again and harmless."""
-    bands, least, words = bands or ((least, edits),), bands[0][0] if bands else least, LEAST if bands else 0
+def line_keys(docs: DataFrame, edits: int = EDITS, least: int = LEAST, bands=None, hot: np.ndarray | None = None) -> DataFrame:
+    """(key, line, sketch, indexed, salt): the index and probe rows of each line; ``salt`` deals out the rows
+    of ``hot`` keys and is -1 elsewhere. A task leaves out lines that it has seen lately; what is left
+    over is the same again and harmless."""
+    bands, _, words = _reach(edits, least, bands)
+    least = bands[0][0]
+    shared = docs.sparkSession.sparkContext.broadcast(hot) if hot is not None and len(hot) else None
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
@@ -203,12 +255,36 @@ def line_keys(docs: DataFrame, edits: int = EDITS, least: int = LEAST, bands=Non
                 if lines and (size > 1 << 20 or text is None):
                     name, sketch = np.array(names, np.int64), sketches(lines).view(np.int64)
                     for rows, key, indexed in signatures(lines, bands):
+                        salt = np.full(len(key), -1, np.int32)
+                        if shared is not None:
+                            many = np.isin(key, shared.value)
+                            salt[many] = name[rows[many]] >> 8 & 1023
                         for at in range(0, len(rows), 1 << 16):
                             part = slice(at, at + (1 << 16))
-                            yield pa.RecordBatch.from_pydict({"key": key[part], "line": name[rows[part]], "sketch": sketch[rows[part]], "indexed": indexed[part]})
+                            yield pa.RecordBatch.from_pydict(
+                                {"key": key[part], "line": name[rows[part]], "sketch": sketch[rows[part]], "indexed": indexed[part], "salt": salt[part]})
                     lines, names, size = [], [], 0
 
-    return docs.where("doc_id is not null").select("text").mapInArrow(run, "key long, line long, sketch long, indexed boolean")
+    return docs.where("doc_id is not null").select("text").mapInArrow(run, "key long, line long, sketch long, indexed boolean, salt int")
+
+
+def refined(large: DataFrame, bands) -> DataFrame:
+    """The rows of large keys under a key for each group of sketch lanes, so that lines that link meet under one
+    of them. Sixteen lanes give no such groups beyond seven edits; those rows keep their key."""
+    parts = []
+    for edits in sorted({e for _, e in bands}):
+        groups = 2 * edits + 1
+        own = large.where(F.col("key").bitwiseAND(F.lit(15)) == edits)
+        if groups <= 16:
+            edges = [16 * i // groups for i in range(groups + 1)]
+            made = []
+            for i, (a, b) in enumerate(zip(edges, edges[1:], strict=False)):
+                mask = ((1 << 4 * (b - a)) - 1) << 4 * a
+                h = F.xxhash64("key", F.lit(i), F.col("sketch").bitwiseAND(F.lit(mask - (mask >> 63 << 64))))
+                made.append(h.bitwiseAND(F.lit(-16)).bitwiseOR(F.lit(edits)))
+            own = own.select(F.explode(F.array(*made)).alias("key"), "line", "sketch", "indexed")
+        parts.append(own.select("key", "line", "sketch", "indexed", F.lit(-1).alias("salt")))
+    return reduce(DataFrame.union, parts)
 
 
 def _pairs_of(key, line, sketch, indexed, first, last):
@@ -227,8 +303,8 @@ def _pairs_of(key, line, sketch, indexed, first, last):
 
 
 def candidate_pairs(keys: DataFrame) -> DataFrame:
-    """Rows (line, other) of candidate pairs for keys of up to SMALL rows; the rows of larger keys as
-    they are (key, line, sketch, indexed), ``other`` null."""
+    """Rows (line, other) of candidate pairs for keys of up to SMALL rows; the rows of larger and of salted
+    keys as they are (key, line, sketch, indexed), ``other`` null. No key is held in memory."""
     names = ["key", "line", "other", "sketch", "indexed"]
 
     def batch_of(key, line, other, sketch, indexed):
@@ -243,6 +319,12 @@ def candidate_pairs(keys: DataFrame) -> DataFrame:
         hot: int | None = None
         for batch in batches:
             own = [batch.column(c).to_numpy(zero_copy_only=False) for c in ("key", "line", "sketch", "indexed")]
+            salted = batch.column("salt").to_numpy() >= 0
+            if salted.any():
+                yield batch_of(own[0][salted], own[1][salted], None, own[2][salted], own[3][salted])
+                own = [x[~salted] for x in own]
+                if not len(own[0]):
+                    continue
             if hot is not None:  # a large key goes on
                 n = int(np.searchsorted(own[0], hot, "right"))
                 if n:
@@ -290,48 +372,55 @@ def candidate_pairs(keys: DataFrame) -> DataFrame:
             pair = np.unique(np.stack([a, b]), axis=1)
             yield batch_of(None, pair[0], pair[1], None, None)
 
-    return keys.repartition("key").sortWithinPartitions("key").mapInArrow(run, "key long, line long, other long, sketch long, indexed boolean")
+    return keys.repartition("key", "salt").sortWithinPartitions("key").mapInArrow(run, "key long, line long, other long, sketch long, indexed boolean")
 
 
 def line_bitmap(names: DataFrame) -> np.ndarray:
-    """A bitmap of fixed size (BITMAP bits) with a bit for each ``line``."""
-    words = names.groupBy(F.shiftright(F.pmod("line", F.lit(BITMAP)), 6).cast("int").alias("word")).agg(
+    """A bitmap with a bit for each ``line``: sixteen bits a line, within the bounds of BITMAP."""
+    size = min(max(1 << (16 * names.count()).bit_length(), BITMAP[0]), BITMAP[1])
+    words = names.groupBy(F.shiftright(F.pmod("line", F.lit(size)), 6).cast("int").alias("word")).agg(
         F.bit_or(F.expr("shiftleft(1L, cast(pmod(line, 64) as int))")).alias("bits"))
-    out = np.zeros(BITMAP // 64, np.int64)
-    for word, bits in words.collect():
-        out[word] = bits
+    out, own = np.zeros(size // 64, np.int64), words.toArrow()
+    out[own.column("word").to_numpy()] = own.column("bits").to_numpy()
     return out
 
 
 def line_texts(docs: DataFrame, names: DataFrame, least: int = LEAST) -> DataFrame:
-    """(line, text) of the lines in ``names``. The bitmap keeps most others out of the shuffle."""
+    """(uid, line, h2, text) of the lines in ``names``. The bitmap keeps most others out of the shuffle."""
     shared = docs.sparkSession.sparkContext.broadcast(line_bitmap(names))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = shared.value
+        size = 64 * len(bits)
         seen: set[int] = set()
         for batch in batches:
-            name, text = [], []
+            name, second, text = [], [], []
             for value in batch.column("text"):
                 for _, line in _lines(value.as_py(), least):
                     h = line_name(line)
-                    b = h % BITMAP
-                    if int(bits[b >> 6]) >> (b & 63) & 1 and h not in seen:
+                    b = h % size
+                    if int(bits[b >> 6]) >> (b & 63) & 1:
+                        two = xxhash.xxh64_intdigest(line, 43)
+                        if (h, two) in seen:
+                            continue
                         if len(seen) >= 1 << 18:
                             seen.clear()
-                        seen.add(h)
+                        seen.add((h, two))
                         name.append(h)
+                        second.append(two)
                         text.append(line)
-            yield pa.RecordBatch.from_arrays([pa.array(name, pa.int64()), pa.array(text, pa.string())], names=["line", "text"])
+            two = pa.array(np.array(second, np.uint64).view(np.int64))
+            yield pa.RecordBatch.from_arrays([pa.array(name, pa.int64()), two, pa.array(text, pa.string())], names=["line", "h2", "text"])
 
-    found = docs.where("doc_id is not null").select("text").mapInArrow(run, "line long, text string")
-    return found.join(names, "line", "left_semi").groupBy("line").agg(F.first("text").alias("text"))
+    found = docs.where("doc_id is not null").select("text").mapInArrow(run, "line long, h2 long, text string")
+    found = found.join(names, "line", "left_semi").groupBy("line", "h2").agg(F.first("text").alias("text"))
+    return found.withColumn("uid", F.monotonically_increasing_id())
 
 
 def verified(batches: Iterator[pa.RecordBatch], bands) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         ok = [within(a, b, allowed(bands, min(len(a), len(b)))) for a, b in zip(batch.column("ta").to_pylist(), batch.column("tb").to_pylist(), strict=True)]
-        yield pa.RecordBatch.from_arrays([batch.column("a").filter(pa.array(ok, pa.bool_())), batch.column("b").filter(pa.array(ok, pa.bool_()))], names=["a", "b"])
+        yield pa.RecordBatch.from_arrays([batch.column("ua").filter(pa.array(ok, pa.bool_())), batch.column("ub").filter(pa.array(ok, pa.bool_()))], names=["a", "b"])
 
 
 def cell_edges(line: np.ndarray, text: list[str], sketch: np.ndarray, indexed: np.ndarray, edits: int) -> tuple[list[int], list[int]]:
@@ -360,51 +449,75 @@ def cell_edges(line: np.ndarray, text: list[str], sketch: np.ndarray, indexed: n
     return a, b
 
 
-def near_links(docs: DataFrame, edits: int = EDITS, least: int = LEAST, bands=None) -> DataFrame:
-    """Edges (a, b) between names of lines that connect all lines within ``edits`` edits, or those that their band allows."""
-    found = written(candidate_pairs(line_keys(docs, edits, least, bands)), "candidates")
-    pairs = found.where("other is not null").select(F.col("line").alias("a"), F.col("other").alias("b")).distinct()
-    large = found.where("other is null").select("key", "line", "sketch", "indexed").distinct()
-    names = found.select("line").union(found.where("other is not null").select("other")).distinct()
-    texts = written(line_texts(docs, written(names, "names"), bands[0][0] if bands else least), "texts")
-    both = pairs.join(texts.select(F.col("line").alias("a"), F.col("text").alias("ta")), "a").join(
-        texts.select(F.col("line").alias("b"), F.col("text").alias("tb")), "b")
-    few = both.select("a", "b", "ta", "tb").mapInArrow(lambda batches: verified(batches, bands or ((least, edits),)), "a long, b long")
+def near_links(docs: DataFrame, edits: int = EDITS, least: int = LEAST, bands=None, hot: np.ndarray | None = None) -> tuple[DataFrame, DataFrame]:
+    """(edges (a, b) between uids that connect all lines within the edits that their band allows, texts by uid).
+
+    A line has at most SMALL partners under each of its keys in ``pairs``, so no line is a hot key of its join."""
+    bands, _, _ = _reach(edits, least, bands)
+    own = ["key", "line", "sketch", "indexed"]
+    found = written(candidate_pairs(line_keys(docs, bands=bands, hot=hot)), "candidates")
+    large = written(found.where("other is null").select(*own).distinct(), "large")
+    more = written(candidate_pairs(refined(large, bands)), "refined")
+    both = found.union(more).where("other is not null")
+    pairs = both.select(F.col("line").alias("a"), F.col("other").alias("b")).distinct()
+    large = more.where("other is null").select(*own).distinct()
+    names = both.select("line").union(both.select("other")).union(large.select("line")).distinct()
+    texts = written(line_texts(docs, written(names, "names"), bands[0][0]), "texts")
+    side = lambda x: texts.select(F.col("line").alias(x), F.col("uid").alias(f"u{x}"), F.col("text").alias(f"t{x}"))
+    checked = pairs.join(side("a"), "a").join(side("b"), "b").select("ua", "ub", "ta", "tb")
+    few = checked.mapInArrow(lambda batches: verified(batches, bands), "a long, b long")
     parts = large.groupBy("key").agg(F.ceil(F.count("*") / CELL).cast("int").alias("parts"))
-    own = F.pmod(F.xxhash64("line"), F.col("parts")).cast("int")
-    cells = large.join(parts, "key").withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-    cells = cells.select("key", F.least("own", "other").alias("c1"), F.greatest("own", "other").alias("c2"), "line", "sketch", "indexed").join(texts, "line")
+    part = F.pmod(F.xxhash64("line"), F.col("parts")).cast("int")
+    cells = large.join(parts, "key").withColumn("own", part).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    cells = cells.select("key", F.least("own", "other").alias("c1"), F.greatest("own", "other").alias("c2"), "line", "sketch", "indexed")
+    cells = cells.join(texts.select("line", "uid", "text"), "line")
 
     def compare(group: pa.Table) -> pa.Table:
-        a, b = cell_edges(group.column("line").to_numpy(), group.column("text").to_pylist(), group.column("sketch").to_numpy().view(np.uint64),
+        a, b = cell_edges(group.column("uid").to_numpy(), group.column("text").to_pylist(), group.column("sketch").to_numpy().view(np.uint64),
                           group.column("indexed").to_numpy(), group.column("key")[0].as_py() & 15)
         return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
-    return few.union(cells.groupBy("key", "c1", "c2").applyInArrow(compare, "a long, b long"))
+    return few.union(cells.groupBy("key", "c1", "c2").applyInArrow(compare, "a long, b long")), texts
 
 
 def repeated_lines(docs: DataFrame, edits: int = EDITS, least: int = LEAST, bands=None) -> DataFrame:
     """(doc_id, line_no, line, near): the occurrences that go; ``near`` if no equal line came first."""
-    seen = written(occurrences(docs, *((1, LEAST) if bands else (least,))), "lines")
-    firsts = written(seen.groupBy("h1", "h2").agg(F.min(F.struct("doc_id", "line_no")).alias("first"), F.count("*").alias("n")), "firsts")
-    roots = components(near_links(docs, edits, least, bands)).withColumnRenamed("node", "h1")
-    classes = firsts.join(roots, "h1")
-    leads = classes.groupBy("root").agg(F.min("first").alias("lead"))
-    classes = classes.join(leads, "root").select("h1", "h2", "first", "lead")
-    more = firsts.where("n > 1").join(roots, "h1", "left_anti").select("h1", "h2", "first", F.col("first").alias("lead"))
-    gone = seen.join(classes.union(more), ["h1", "h2"]).withColumn("own", F.struct("doc_id", "line_no")).where("own <> lead")
-    return gone.select("doc_id", "line_no", F.col("h1").alias("line"), (F.col("own") == F.col("first")).alias("near"))
+    both = ["h1", "h2"]
+    with scratch() as own:
+        found = written(occurrences(docs, edits, least, bands), "lines")
+        seen = found.where("key is null").select("doc_id", "line_no", *both)
+        firsts = written(seen.groupBy(*both).agg(F.min(F.struct("doc_id", "line_no")).alias("first"), F.count("*").alias("n")), "firsts")
+        edges, texts = near_links(docs, edits, least, bands, hot_keys(found))
+        roots = components(edges).join(texts.select(F.col("uid").alias("node"), F.col("line").alias("h1"), "h2"), "node").select(*both, "root")
+        classes = firsts.join(roots, both)
+        leads = classes.groupBy("root").agg(F.min("first").alias("lead"))
+        classes = classes.join(leads, "root").select(*both, "first", "lead", "n")
+        more = firsts.where("n > 1").join(roots, both, "left_anti").select(*both, "first", F.col("first").alias("lead"), "n")
+        lost = written(classes.union(more), "lost")
+        hot = lost.where(F.col("n") > HOT).orderBy(F.desc("n"), *both).limit(HOT_LINES)
+        if hot.isEmpty():
+            gone = seen.join(lost, both)
+        else:  # frequent lines would all be one join key
+            hot = F.broadcast(hot)
+            gone = seen.join(hot, both).union(seen.join(hot, both, "left_anti").join(lost.join(hot, both, "left_anti"), both))
+        gone = gone.withColumn("own", F.struct("doc_id", "line_no")).where("own <> lead")
+        return own.kept(written(gone.select("doc_id", "line_no", F.col("h1").alias("line"), (F.col("own") == F.col("first")).alias("near")), "gone"))
 
 
 def dedup_lines(docs: DataFrame, edits: int = EDITS, least: int = LEAST, bands=None) -> DataFrame:
     """``docs`` with repeated lines taken out of ``text`` (and ``n_chars``, if there, counted again).
     Documents that lose their last word go."""
-    gone = written(repeated_lines(docs, edits, least, bands), "gone")
-    lists = gone.groupBy("doc_id").agg(F.collect_list(F.struct("line_no", "line")).alias("gone"))
+    gone = repeated_lines(docs, edits, least, bands)
+    lists = gone.groupBy("doc_id").agg(F.collect_set(F.struct("line_no", "line")).alias("gone"))
     rows = boxed(docs).join(lists, F.col("row.doc_id") == F.col("doc_id"), "left").select("row", "gone")
-    left = F.filter(F.split("row.text", "\n"), lambda x, i: ~F.array_contains("gone", F.struct(i.alias("line_no"), F.xxhash64(x).alias("line"))))
+
+    def left(lines: Column) -> Column:  # places are taken out as a set, so the time is linear
+        own = F.filter("gone", lambda g: F.coalesce(F.xxhash64(F.get(lines, g["line_no"])) == g["line"], F.lit(False)))
+        places = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.transform(own, lambda g: g["line_no"]))
+        return F.array_join(F.transform(places, lambda i: F.get(lines, i)), "\n")
+
     cut = F.col("gone").isNotNull()
-    rows = rows.withColumn("text", F.when(cut, F.array_join(left, "\n")).otherwise(F.col("row.text")))
+    rows = rows.withColumn("text", F.when(cut, let(F.split("row.text", "\n"), left)).otherwise(F.col("row.text")))
     rows = rows.where(~cut | F.col("text").rlike(r"[^\x20\x09-\x0D]"))
     new = {"text": F.col("text"), "n_chars": F.when(cut, F.char_length("text").cast("long")).otherwise(F.col("row.n_chars"))}
     return rows.select(*[new[c].alias(c) if c in new else F.col(f"row.`{c}`") for c in docs.columns])
