@@ -456,16 +456,21 @@ def near_links(docs: DataFrame, edits: int = EDITS, least: int = LEAST, bands=No
     bands, _, _ = _reach(edits, least, bands)
     own = ["key", "line", "sketch", "indexed"]
     found = written(candidate_pairs(line_keys(docs, bands=bands, hot=hot)), "candidates")
-    large = written(found.where("other is null").select(*own).distinct(), "large")
-    more = written(candidate_pairs(refined(large, bands)), "refined")
-    both = found.union(more).where("other is not null")
+    some = not found.where("other is null").isEmpty()
+    if some:
+        large = written(found.where("other is null").select(*own).distinct(), "large")
+        more = written(candidate_pairs(refined(large, bands)), "refined")
+        found, large = found.union(more), more.where("other is null").select(*own).distinct()
+    both = found.where("other is not null")
     pairs = both.select(F.col("line").alias("a"), F.col("other").alias("b")).distinct()
-    large = more.where("other is null").select(*own).distinct()
-    names = both.select("line").union(both.select("other")).union(large.select("line")).distinct()
+    names = both.select("line").union(both.select("other"))
+    names = (names.union(large.select("line")) if some else names).distinct()
     texts = written(line_texts(docs, written(names, "names"), bands[0][0]), "texts")
     side = lambda x: texts.select(F.col("line").alias(x), F.col("uid").alias(f"u{x}"), F.col("text").alias(f"t{x}"))
     checked = pairs.join(side("a"), "a").join(side("b"), "b").select("ua", "ub", "ta", "tb")
     few = checked.mapInArrow(lambda batches: verified(batches, bands), "a long, b long")
+    if not some:
+        return few, texts
     parts = large.groupBy("key").agg(F.ceil(F.count("*") / CELL).cast("int").alias("parts"))
     part = F.pmod(F.xxhash64("line"), F.col("parts")).cast("int")
     cells = large.join(parts, "key").withColumn("own", part).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
