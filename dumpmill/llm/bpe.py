@@ -28,6 +28,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, IntegerType, StructField, StructType
 
+from .common import aside
+
 L, N, O, A1, A2, IN, SP, WS = range(8)  # noqa: E741  symbols; + 8: first of its text
 #: A1, A2: an apostrophe before s t m d, or before re ve ll. IN: white space that is not the last of
 #: its run, or ends the text. SP, WS: a space, or other white space, that ends its run.
@@ -325,10 +327,11 @@ def decode_ids(ids: np.ndarray, cuts: np.ndarray, sizes: np.ndarray, path: str,
 
 
 def encode(docs: DataFrame, path: str, text: str = "text", step: int = 1 << 19, decoded: str | None = None) -> DataFrame:
-    """``docs`` without its text but with ``token_ids`` (array<int>) and ``token_ends`` (array<int>,
+    """``docs`` without its text (columns named like new ones kept as ``<name>_``) but with ``token_ids`` (array<int>) and ``token_ends`` (array<int>,
     the byte at which each token ends). Batches are encoded about ``step`` characters at a time.
     ``decoded`` names a further binary column: the bytes that the ids decode to, made in the same pass."""
-    names = [c for c in docs.columns if c not in (text, "token_ids", "token_ends", decoded)]
+    docs = aside(docs, "token_ids", "token_ends", *([decoded] if decoded else []))
+    names = [c for c in docs.columns if c != text]
     lists = ArrayType(IntegerType())
     added = [StructField("token_ids", lists), StructField("token_ends", lists)]
     added += [StructField(decoded, BinaryType())] if decoded else []

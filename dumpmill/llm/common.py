@@ -91,12 +91,37 @@ def boxed(df: DataFrame) -> DataFrame:
     return df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row"))
 
 
+def aside(df: DataFrame, *made: str) -> DataFrame:
+    """``df`` with columns named like one of ``made`` renamed: underscores are added until the name is free."""
+    taken = {*df.columns, *made}
+    names = []
+    for c in df.columns:
+        new = c
+        if c in made:
+            while new in taken:
+                new += "_"
+            taken.add(new)
+        names.append(new)
+    return df.toDF(*names)
+
+
 def hashed(*cols: str | Column) -> list[Column]:
     """A 128-bit key of the columns as two longs."""
     own = [F.col(c) if isinstance(c, str) else c for c in cols]
     return [F.xxhash64(*own), F.xxhash64(F.lit(1), *own)]
 
 
+def joined(rows: DataFrame, table: DataFrame, keys: list[str], how: str = "inner", least: int = 2000, most: int = 4096) -> DataFrame:
+    """``rows`` with the one row that a written ``table`` has of their keys; its column ``n`` says how many rows have
+    them. Keys of more than ``least`` rows, the ``most`` largest of them, are joined by broadcast, as
+    all their rows would land in one task; the rest, none of which is larger than any of those, by shuffle."""
+    hot = table.where(F.col("n") > least).orderBy(F.desc("n"), *keys).limit(most)
+    if hot.isEmpty():
+        return rows.join(table, keys, how)
+    hot = F.broadcast(hot)
+    return rows.join(hot, keys).union(rows.join(hot, keys, "left_anti").join(table.join(hot, keys, "left_anti"), keys, how))
+
+
 def components(edges: DataFrame) -> DataFrame:
     """Connected components of ``edges`` (a, b): rows (node, root), root the smallest node.
 

@@ -30,6 +30,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import aside
+
 #: Notices of common licences by SPDX name and a running letter.
 TEMPLATES = {
     "Apache-2.0/a": "Licensed under the Apache License, Version 2.0.",
@@ -196,8 +198,9 @@ def matches(text: str | None, own: Templates, windows: bool = False) -> list[tup
 
 def license_matches(docs: DataFrame, least: float = 0.8, name: str = "licenses", windows: bool = False, full: bool = False) -> DataFrame:
     """``docs`` with ``name``: array of (unit, license, line, dice), in the order of the text, windows last.
-    ``full`` compares with ``standard()``, else with TEMPLATES."""
-    names = [c for c in docs.columns if c != name]
+    An input column of that name is kept as ``<name>_``. ``full`` compares with ``standard()``, else with TEMPLATES."""
+    docs = aside(docs, name)
+    names = docs.columns
     kind = "array<struct<unit string, license string, line int, dice double>>"
     inner = pa.list_(pa.struct([("unit", pa.string()), ("license", pa.string()), ("line", pa.int32()), ("dice", pa.float64())]))
 

@@ -10,10 +10,8 @@ substrings at the positions that remain possible (multi-match-aware windows of L
 2011). Substring hashes come from prefix sums over whole batches. Candidate pairs pass a letter-count
 sketch and are verified by banded bit-parallel edit distance.
 
-A key shared by more than SMALL lines never emits its pairs. Its lines are keyed once more by groups of
-sketch lanes: an edit changes two lanes at most, so of 2 * edits + 1 groups one is the same in any two
-lines that link. What is still too large is dealt out as pairs of chunks, compared where they meet, and
-returns at most one edge per line. Keys that a hash sample of lines (one in SAMPLE) shows to be hot are
+A key shared by more than SMALL lines never emits its pairs. Its lines are dealt out as pairs of chunks,
+compared where they meet, and return at most one edge per line. Keys that a hash sample of lines (one in SAMPLE) shows to be hot are
 salted before the shuffle; the sample decides where rows go, never which are compared. Of each class
 (lines reachable over links) the occurrence with the smallest (doc_id, line number) stays; the others go.
 
@@ -28,7 +26,6 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -39,14 +36,13 @@ from pyspark.sql.types import IntegerType, LongType, StructField, StructType
 
 from dumpmill.functions.values import let
 
-from .common import boxed, components, scratch, written
+from .common import boxed, components, joined, scratch, written
 
-EDITS, LEAST, SMALL, CELL = 2, 24, 16, 256
+EDITS, LEAST, SMALL, CELL = 2, 24, 64, 512
 #: Bits of the bitmap of candidates: sixteen a line, within these bounds (8 kB and 16 MB).
 BITMAP = (1 << 16, 1 << 27)
-#: One line in SAMPLE shows hot keys, of which the HOT_KEYS largest are salted; the HOT_LINES most frequent
-#: lines of more than HOT occurrences are joined by broadcast.
-SAMPLE, HOT_KEYS, HOT, HOT_LINES = 64, 8192, 2000, 4096
+#: One line in SAMPLE shows hot keys, of which the HOT_KEYS largest are salted.
+SAMPLE, HOT_KEYS = 64, 8192
 #: (least length, edits): two dates or numbers differ by four to eight edits. Lines under the first length have no
 #: segments of six characters or more and are compared exactly only.
 BANDS = ((12, 1), (24, 2), (512, 4), (2048, 8))
@@ -218,6 +214,77 @@ def within(a: str, b: str, edits: int) -> bool:
     return bool(rows[-1] >> k & 1)
 
 
+def within_many(a: list[str], b: list[str], edits: np.ndarray) -> np.ndarray:
+    """``within`` for many pairs at once: the same rows of bits, one number a pair and row."""
+    out = np.zeros(len(a), bool)
+    open_: list[tuple[int, str, str]] = []
+    for n, (x, y, e) in enumerate(zip(a, b, edits.tolist(), strict=True)):
+        if abs(len(x) - len(y)) > e:
+            continue
+        low = _common(x, y, False)
+        x, y = x[low:], y[low:]
+        high = _common(x, y, True)
+        x, y = x[: len(x) - high], y[: len(y) - high]
+        if len(x) <= e and len(y) <= e:
+            out[n] = True
+        elif x and y:
+            open_.append((n, x, y))
+    for e in np.unique(edits).tolist():
+        own = sorted((z for z in open_ if edits[z[0]] == e), key=lambda z: len(z[2]))
+        at = 0
+        while at < len(own):  # pairs of like lengths, some million characters at a time
+            to = at + 1
+            while to < len(own) and to - at < 8192 and (to - at) * len(own[to][2]) < 1 << 21:
+                to += 1
+            part = own[at:to]
+            out[[z[0] for z in part]] = _banded([z[1] for z in part], [z[2] for z in part], e)
+            at = to
+    return out
+
+
+def _matrix(texts: list[str], height: int, above: int, fill: int) -> np.ndarray:
+    """A column of code points for each text, from row ``above`` on."""
+    flat = np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), np.uint32)
+    size = np.array([len(t) for t in texts])
+    out = np.full((height, len(texts)), fill, np.uint32)
+    out[np.arange(len(flat)) - np.repeat(np.cumsum(size) - size, size) + above, np.repeat(np.arange(len(texts)), size)] = flat
+    return out
+
+
+def _banded(a: list[str], b: list[str], edits: int) -> np.ndarray:
+    """Whether each pair of non-empty texts, in the order of len(b), is within ``edits``."""
+    size = np.array([len(t) for t in b])
+    goal = np.array([len(t) for t in a]) - size + edits
+    left = _matrix(a, int(size[-1]) + 2 * edits + 1, edits, 0xFFFFFFFF)
+    right = _matrix(b, int(size[-1]), 0, 0xFFFFFFFE)
+    full = np.uint32((1 << (2 * edits + 1)) - 1)
+    rows = [np.full(len(a), ((1 << (d + 1)) - 1) << edits, np.uint32) & full for d in range(edits + 1)]
+    out, live, base = np.zeros(len(a), bool), np.arange(len(a)), 0
+    one = np.uint32(1)
+    for j in range(int(size[-1])):
+        match = np.zeros(len(live), np.uint32)
+        for k in range(2 * edits + 1):
+            match |= (left[j - base + k] == right[j - base]).astype(np.uint32) << np.uint32(k)
+        before = new = None
+        for d, row in enumerate(rows):
+            new = row & match if d == 0 else (row & match | before | before >> one | new << one) & full
+            before, rows[d] = row, new
+        ended = size[live] == j + 1
+        done = ended | (new == 0)
+        if ended.any():
+            at = np.flatnonzero(ended)
+            out[live[at]] = new[at] >> goal[live[at]].astype(np.uint32) & one
+        elif j & 7 != 7:
+            continue
+        if ended.any() or done.mean() > 0.3:
+            if done.all():
+                break
+            keep = ~done
+            live, rows = live[keep], [r[keep] for r in rows]
+            left, right, base = left[j + 1 - base :, keep], right[j + 1 - base :, keep], j + 1
+    return out
+
+
 def _common(a: str, b: str, end: bool) -> int:
     low, high = 0, min(len(a), len(b))
     while low < high:
@@ -268,25 +335,6 @@ def line_keys(docs: DataFrame, edits: int = EDITS, least: int = LEAST, bands=Non
     return docs.where("doc_id is not null").select("text").mapInArrow(run, "key long, line long, sketch long, indexed boolean, salt int")
 
 
-def refined(large: DataFrame, bands) -> DataFrame:
-    """The rows of large keys under a key for each group of sketch lanes, so that lines that link meet under one
-    of them. Sixteen lanes give no such groups beyond seven edits; those rows keep their key."""
-    parts = []
-    for edits in sorted({e for _, e in bands}):
-        groups = 2 * edits + 1
-        own = large.where(F.col("key").bitwiseAND(F.lit(15)) == edits)
-        if groups <= 16:
-            edges = [16 * i // groups for i in range(groups + 1)]
-            made = []
-            for i, (a, b) in enumerate(zip(edges, edges[1:], strict=False)):
-                mask = ((1 << 4 * (b - a)) - 1) << 4 * a
-                h = F.xxhash64("key", F.lit(i), F.col("sketch").bitwiseAND(F.lit(mask - (mask >> 63 << 64))))
-                made.append(h.bitwiseAND(F.lit(-16)).bitwiseOR(F.lit(edits)))
-            own = own.select(F.explode(F.array(*made)).alias("key"), "line", "sketch", "indexed")
-        parts.append(own.select("key", "line", "sketch", "indexed", F.lit(-1).alias("salt")))
-    return reduce(DataFrame.union, parts)
-
-
 def _pairs_of(key, line, sketch, indexed, first, last):
     """Pairs (i, j) of rows within the runs first..last that pass the sketch, one row at least indexed."""
     size = last - first
@@ -419,33 +467,44 @@ def line_texts(docs: DataFrame, names: DataFrame, least: int = LEAST) -> DataFra
 
 def verified(batches: Iterator[pa.RecordBatch], bands) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        ok = [within(a, b, allowed(bands, min(len(a), len(b)))) for a, b in zip(batch.column("ta").to_pylist(), batch.column("tb").to_pylist(), strict=True)]
-        yield pa.RecordBatch.from_arrays([batch.column("ua").filter(pa.array(ok, pa.bool_())), batch.column("ub").filter(pa.array(ok, pa.bool_()))], names=["a", "b"])
-
-
-def cell_edges(line: np.ndarray, text: list[str], sketch: np.ndarray, indexed: np.ndarray, edits: int) -> tuple[list[int], list[int]]:
-    """Edges that connect the rows of a cell as their links do; joined rows are not compared again."""
-    up = list(range(len(line)))
-
-    def top(x: int) -> int:
-        while up[x] != x:
-            up[x] = up[up[x]]
-            x = up[x]
-        return x
-
-    one: dict[int, int] = {}
-    for x, name in enumerate(line.tolist()):
-        up[x] = one.setdefault(name, x)
+        for at in range(0, batch.num_rows, 1 << 13):
+            part = batch.slice(at, 1 << 13)
+            a, b = part.column("ta").to_pylist(), part.column("tb").to_pylist()
+            ok = pa.array(within_many(a, b, np.array([allowed(bands, min(len(x), len(y))) for x, y in zip(a, b, strict=True)])))
+            yield pa.RecordBatch.from_arrays([part.column("ua").filter(ok), part.column("ub").filter(ok)], names=["a", "b"])
+
+
+def cell_edges(line: np.ndarray, text: list[str], sketch: np.ndarray, indexed: np.ndarray, edits: int, step: int = 4096) -> tuple[list[int], list[int]]:
+    """Edges that connect the rows of a cell as their links do. Pairs are verified ``step`` at a time, and rows that
+    are joined by then are not compared again."""
+    row = np.unique(line, return_index=True, return_inverse=True)
+    label = row[1][row[2]]  # equal lines are one from the start
     a, b = [], []
-    for i in range(len(line) - 1):
-        near = sketch_distance(sketch[i : i + 1], sketch[i + 1 :]) <= 2 * edits
-        if not indexed[i]:
-            near &= indexed[i + 1 :]
-        for j in (np.flatnonzero(near) + i + 1).tolist():
-            if (x := top(i)) != (y := top(j)) and within(text[i], text[j], edits):
-                up[max(x, y)] = min(x, y)
-                a.append(int(line[i]))
-                b.append(int(line[j]))
+    i, n = 0, len(line)
+    while i < n - 1:
+        held: list[np.ndarray] = []
+        while i < n - 1 and sum(map(len, held)) < step:
+            rest = np.arange(i + 1, n)
+            rest = rest[label[rest] != label[i]]
+            if not indexed[i]:
+                rest = rest[indexed[rest]]
+            rest = rest[sketch_distance(sketch[i : i + 1], sketch[rest]) <= 2 * edits]
+            if len(rest):
+                held.append(np.stack([np.full(len(rest), i), rest], axis=1))
+            i += 1
+        if not held:
+            break
+        pairs = np.concatenate(held)
+        for at in range(0, len(pairs), step):
+            x, y = pairs[at : at + step].T
+            apart = label[x] != label[y]
+            x, y = x[apart], y[apart]
+            ok = within_many([text[k] for k in x.tolist()], [text[k] for k in y.tolist()], np.full(len(x), edits))
+            for k, m in zip(x[ok].tolist(), y[ok].tolist(), strict=True):
+                if label[k] != label[m]:
+                    label[label == max(label[k], label[m])] = min(label[k], label[m])
+                    a.append(int(line[k]))
+                    b.append(int(line[m]))
     return a, b
 
 
@@ -457,10 +516,7 @@ def near_links(docs: DataFrame, edits: int = EDITS, least: int = LEAST, bands=No
     own = ["key", "line", "sketch", "indexed"]
     found = written(candidate_pairs(line_keys(docs, bands=bands, hot=hot)), "candidates")
     some = not found.where("other is null").isEmpty()
-    if some:
-        large = written(found.where("other is null").select(*own).distinct(), "large")
-        more = written(candidate_pairs(refined(large, bands)), "refined")
-        found, large = found.union(more), more.where("other is null").select(*own).distinct()
+    large = found.where("other is null").select(*own).distinct()
     both = found.where("other is not null")
     pairs = both.select(F.col("line").alias("a"), F.col("other").alias("b")).distinct()
     names = both.select("line").union(both.select("other"))
@@ -499,12 +555,7 @@ def repeated_lines(docs: DataFrame, edits: int = EDITS, least: int = LEAST, band
         classes = classes.join(leads, "root").select(*both, "first", "lead", "n")
         more = firsts.where("n > 1").join(roots, both, "left_anti").select(*both, "first", F.col("first").alias("lead"), "n")
         lost = written(classes.union(more), "lost")
-        hot = lost.where(F.col("n") > HOT).orderBy(F.desc("n"), *both).limit(HOT_LINES)
-        if hot.isEmpty():
-            gone = seen.join(lost, both)
-        else:  # frequent lines would all be one join key
-            hot = F.broadcast(hot)
-            gone = seen.join(hot, both).union(seen.join(hot, both, "left_anti").join(lost.join(hot, both, "left_anti"), both))
+        gone = joined(seen, lost, both)  # a frequent line would be one join key
         gone = gone.withColumn("own", F.struct("doc_id", "line_no")).where("own <> lead")
         return own.kept(written(gone.select("doc_id", "line_no", F.col("h1").alias("line"), (F.col("own") == F.col("first")).alias("near")), "gone"))
 

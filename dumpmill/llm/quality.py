@@ -11,7 +11,9 @@ Weights are fixed-point integers, so sums agree exactly wherever and however oft
 Only the labelled rows are sampled (``max_labelled``, by hash); corpus counts cover everything.
 Null and empty texts have no n-grams, log weight 0, and are rejected. A null doc_id hashes as an
 empty string; rows that tie at the cut are all kept. Without
-labels of both kinds nothing can be fitted and every document with an n-gram is kept.
+labels of both kinds nothing can be fitted and every document with an n-gram is kept. Long texts are hashed whole,
+some million characters of short ones at a time. ``quality_scores`` reads doc_id and text alone, and
+``good_documents`` boxes the other columns, so their names cannot clash.
 """
 
 from __future__ import annotations
@@ -189,7 +191,8 @@ def resample(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLE
     own = docs.select("doc_id", log_weight(ratios).alias("weight"))
     own = written(own.withColumn("noisy", F.col("weight") + gumbel(F.col("doc_id"))), "weights")
     if k is None:
-        rows = own.join(F.broadcast(sample), "doc_id").where("held_out and weight is not null").select("weight", "good").limit(4 * max_labelled).collect()
+        # a doc_id that repeats counts once, by its largest weight, so no more rows than labelled ones come back
+        rows = own.join(F.broadcast(sample), "doc_id").where("held_out and weight is not null").groupBy("doc_id", "good").agg(F.max("weight").alias("weight")).collect()
         good = np.array([r.good for r in rows], bool)
         least = balanced_cut(np.array([r.weight for r in rows]), good) if good.any() and not good.all() else None
         k = own.where("weight is not null" if least is None else F.col("weight") >= least).count()

@@ -59,7 +59,7 @@ def op9_simhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = secrets.scan(table(spark, sf_dir, "documents").select("doc_id", "text"), assigned=True)
+    found = secrets.scan(table(spark, sf_dir, "documents").select("doc_id", "text", "source"), assigned=True, path="source")
     return found.select("doc_id", "ordinal", F.col("value").alias("finding"), "score", "is_secret")
 
 

@@ -6,7 +6,8 @@ documents; rules then run in order of rejections per second. The order changes t
 verdict, which is that of all rules together.
 
 A null text has no words; an empty table gives no rows; repeated rows are judged row by row. Texts
-are read whole, with memory in proportion to the longest text.
+are read whole, with memory in proportion to the longest text. Only doc_id (of any type) and text are read,
+so other columns cannot clash.
 """
 
 from __future__ import annotations
@@ -18,6 +19,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType, LongType, StringType, StructField, StructType
 
 SPACE, SYMBOLS, WINDOW = " \t\n\v\f\r", "#*$%&|<>", 8
 #: Bounds of the sample on which rules are measured.
@@ -132,24 +134,47 @@ RULES: dict[str, Callable[[Text], bool]] = {
 
 
 def cascade_order(docs: DataFrame, rules: dict[str, Callable] | None = None) -> list[str]:
-    """Rule names by rejections per second over a bounded sample of ``docs`` (column ``text``)."""
+    """Rule names in the order in which each rejects most per second of what those before it leave.
+
+    A bounded sample of ``docs`` (column ``text``) is tried in one task; a number for each text and rule comes
+    to the driver, no text."""
     rules = rules or RULES
-    rows = docs.select(F.substring("text", 1, SAMPLE_CHARS).alias("t")).sample(0.05, 23).limit(SAMPLE_DOCS).collect()
-    texts = [Text(r.t) for r in rows]
-    for t in texts:
-        t.base = measure(t)
-    texts = [t for t in texts if not base_failed(t.base[0], t.base[4])]
-    rate = {}
-    for name, test in rules.items():
-        start = time.perf_counter()
-        rejected = sum(test(t) for t in texts)
-        rate[name] = (rejected + 0.5) / (time.perf_counter() - start + 1e-9)
-    return sorted(rules, key=lambda k: (-rate[k], k))
+    names = list(rules)
+
+    def tried(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            hits, costs = [], []
+            for value in batch.column("t"):
+                t = Text(value.as_py())
+                t.base = measure(t)
+                if base_failed(t.base[0], t.base[4]):
+                    continue
+                hit, cost = [], []
+                for name in names:
+                    start = time.perf_counter()
+                    hit.append(bool(rules[name](t)))
+                    cost.append(time.perf_counter() - start)
+                hits.append(hit)
+                costs.append(cost)
+            yield pa.RecordBatch.from_pydict({"hits": pa.array(hits, pa.list_(pa.bool_())), "costs": pa.array(costs, pa.list_(pa.float64()))})
+
+    sample = docs.select(F.substring("text", 1, SAMPLE_CHARS).alias("t")).sample(0.05, 23).limit(SAMPLE_DOCS)
+    rows = sample.mapInArrow(tried, "hits array<boolean>, costs array<double>").collect()
+    hits = np.array([r.hits for r in rows], bool).reshape(len(rows), len(names))
+    cost = np.array([r.costs for r in rows]).reshape(len(rows), len(names)).sum(axis=0) + 1e-9
+    order, left, open_ = [], np.ones(len(rows), bool), set(range(len(names)))
+    while open_:
+        best = max(open_, key=lambda k: ((hits[left, k].sum() + 0.5) / cost[k], names[k]))
+        order.append(names[best])
+        open_.remove(best)
+        left &= ~hits[:, best]
+    return order
 
 
 def quality_rules(docs: DataFrame, order: list[str] | None = None) -> DataFrame:
     """Rows (doc_id, the base measures, base_failed, kept, rejected_by): ``rejected_by`` names the
-    first rule of the cascade that rejects, null if none or if the base failed."""
+    first rule of the cascade that rejects, null if none or if the base failed. The order is found by
+    timing, so ``rejected_by`` may differ between runs unless ``order`` is given; the other columns do not."""
     names = order or cascade_order(docs)
     tests = [(n, RULES[n]) for n in names]
 
@@ -163,8 +188,9 @@ def quality_rules(docs: DataFrame, order: list[str] | None = None) -> DataFrame:
                 failed.append(base_failed(t.base[0], t.base[4]))
                 by.append(None if failed[-1] else next((n for n, test in tests if test(t)), None))
             out = {"doc_id": batch.column("doc_id")} | {k: pa.array([b[i] for b in base], pa.int64()) for i, k in enumerate(BASE)}
-            out |= {"base_failed": failed, "kept": [not f and b is None for f, b in zip(failed, by, strict=True)]}
+            out |= {"base_failed": pa.array(failed, pa.bool_()), "kept": pa.array([not f and b is None for f, b in zip(failed, by, strict=True)], pa.bool_())}
             yield pa.RecordBatch.from_pydict(out | {"rejected_by": pa.array(by, pa.string())})
 
-    schema = "doc_id long, " + ", ".join(f"{k} long" for k in BASE) + ", base_failed boolean, kept boolean, rejected_by string"
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, schema)
+    kinds = [*((k, LongType()) for k in BASE), ("base_failed", BooleanType()), ("kept", BooleanType()), ("rejected_by", StringType())]
+    schema = StructType([StructField("doc_id", docs.schema["doc_id"].dataType), *(StructField(k, t) for k, t in kinds)])
+    return docs.select("doc_id", "text").mapInArrow(run, schema)

@@ -10,7 +10,10 @@ dealt out as pairs of chunks, so no task holds more than two chunks of it. Each
 (one edge per fingerprint at most) for each component it finds, never all pairs.
 
 Nulls and texts without a word have fingerprint zero and link like any other; a null doc_id takes
-part but is never a component's id unless it is alone with nulls. Repeated rows stay repeated.
+part but is never a component's id unless it is alone with nulls. Repeated rows stay repeated. Texts are
+hashed whole, one after the other, in memory proportional to the longest. ``simhash_groups`` reads doc_id
+and text alone and ``near_dedup`` boxes the other columns, so their names cannot clash. Empty tables give
+no rows.
 """
 
 from __future__ import annotations
@@ -25,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
 
-from .common import boxed, components, group_runs, min_labels, written
+from .common import boxed, components, group_runs, joined, min_labels, scratch, written
 
 SEED = 42
 LANES = np.uint64(0x0101010101010101)
@@ -216,13 +219,14 @@ def fingerprint_links(prints: DataFrame, radius: int = 3, blocks: int = 5, cell:
 def simhash_groups(docs: DataFrame, radius: int = 3, blocks: int = 5, cell: int = 2048) -> DataFrame:
     """Rows (doc_id, fp, component_id): ``fp`` a signed long, ``component_id`` the smallest doc_id
     reachable over links of ``radius`` bits or fewer."""
-    own = written(docs.select("doc_id", fingerprint("text").alias("fp")), "prints")
-    firsts = own.groupBy("fp").agg(F.min("doc_id").alias("first"))
-    roots = components(fingerprint_links(firsts.select("fp"), radius, blocks, cell))
-    linked = firsts.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
-    ids = linked.groupBy("root").agg(F.min("first").alias("component_id"))
-    named = linked.join(ids, "root").select("fp", "component_id")
-    return own.join(named, "fp").select("doc_id", "fp", "component_id")
+    with scratch() as work:
+        own = work.kept(written(docs.select("doc_id", fingerprint("text").alias("fp")), "prints"))
+        firsts = own.groupBy("fp").agg(F.min("doc_id").alias("first"), F.count("*").alias("n"))
+        roots = components(fingerprint_links(firsts.select("fp"), radius, blocks, cell))
+        linked = firsts.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+        ids = linked.groupBy("root").agg(F.min("first").alias("component_id"))
+        named = work.kept(written(linked.join(ids, "root").select("fp", "component_id", "n"), "named"))
+    return joined(own, named, ["fp"]).select("doc_id", "fp", "component_id")
 
 
 def near_dedup(docs: DataFrame, **options) -> DataFrame:

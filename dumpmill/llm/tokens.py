@@ -6,18 +6,20 @@ bounded sample of documents (it only decides what is fast, never a count) and br
 size. Tier two encodes misses by the tokenizer library and keeps them in a bounded cache per worker
 process. Pre-tokens are never shuffled.
 
+An input column named like the new one is kept as ``<name>_``. Texts of any length are counted word by word.
 A null text counts as empty (0 bytes, 0 tokens). Ties and repeated rows are counted row by row; an
 empty table gives no rows. Special strings inside texts are handled as the library does by default.
 """
 
 from __future__ import annotations
 
-from collections import Counter
 from functools import lru_cache
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import aside
+
 #: Bounds of the sample, of the broadcast table and of each worker's cache (entries, bytes of a key).
 SAMPLE_DOCS, SAMPLE_CHARS, FREQUENT, CACHED, LONGEST = 2000, 20_000, 1 << 15, 1 << 18, 64
 
@@ -59,20 +61,41 @@ class Lengths(dict):
 _tables: dict[str, Lengths] = {}
 
 
+#: Texts on which a tokenizer that keeps white space, or joins across it, shows.
+_PROBES = ("a b", " lead", "trail ", "two  blanks", "line\nbreak", "tab\tand \r\n more", "don't  stop", "1 2  33", "é  \u0301x", "日本 語", "( a ) [b]", "\x0b\x0cx")
+
+
+@lru_cache(maxsize=4)
+def splits_at_space(path: str) -> bool:
+    """Whether the ids of a text are those of its white-space-delimited pre-tokens one after the other, so that counts
+    add up over them. Tried on _PROBES; sentencepiece models, whose pieces may span blanks, are not taken."""
+    if path.endswith(".model"):
+        return False
+    from tokenizers import Tokenizer
+
+    own = Tokenizer.from_file(path)
+    ids = lambda t: own.encode(t, add_special_tokens=False).ids
+    return all(ids(t) == [i for w in t.encode().split() for i in ids(w.decode())] for t in _PROBES)
+
+
 def frequent(docs: DataFrame, path: str) -> tuple[bytes, bytes]:
-    """The most frequent pre-tokens of a bounded sample, joined by newlines, and a byte for each count."""
-    rows = docs.select(F.substring("text", 1, SAMPLE_CHARS).alias("t")).sample(0.05, 17).limit(SAMPLE_DOCS).collect()
-    seen: Counter = Counter()
-    for r in rows:
-        seen.update(w for w in (r.t or "").encode().split() if len(w) <= LONGEST)
+    """The FREQUENT most frequent pre-tokens of a bounded sample, joined by newlines, and a byte for each count.
+
+    The sample is counted in tasks; at most FREQUENT words of LONGEST bytes come to the driver."""
+    words = F.explode(F.split(F.substring("text", 1, SAMPLE_CHARS), r"[\x20\x09-\x0D]+")).alias("w")
+    counts = docs.sample(0.05, 17).limit(SAMPLE_DOCS).select(words).where((F.col("w") != "") & (F.octet_length("w") <= LONGEST)).groupBy("w").count()
     own = Lengths(path)
-    pairs = [(w, own[w]) for w, _ in seen.most_common(FREQUENT)]
+    pairs = [(w, own[w]) for w in (r.w.encode() for r in counts.orderBy(F.desc("count"), "w").limit(FREQUENT).collect())]
     pairs = [(w, n) for w, n in pairs if n < 256]
     return b"\n".join(w for w, _ in pairs), bytes(n for _, n in pairs)
 
 
 def token_counts(docs: DataFrame, path: str, text: str = "text", name: str = "n_tokens") -> DataFrame:
-    """``docs`` with the long column ``name``."""
+    """``docs`` with the long column ``name``. Raises ValueError for vocabularies whose counts do not add up over
+    white-space-delimited pre-tokens."""
+    if not splits_at_space(path):
+        raise ValueError(f"{path} does not split texts at white space and drop it")
+    docs = aside(docs, name)
     shared = docs.sparkSession.sparkContext.broadcast(frequent(docs.select(F.col(text).alias("text")), path))
     key = f"{path}:{id(shared)}"
 

@@ -6,15 +6,18 @@ value. Pairs that collide at least ``collisions`` times are verified by cosine i
 Window and count are calibrated once by simulation: of pairs exactly at the cosine bound, at least
 ``recall`` reach the count (pairs closer than that collide more often).
 
-Work is dealt out so that no task holds a whole label: exact copies collapse first; labels with more
-than ``cell`` vectors are split at the medians of further directions, queries near a median going
-to both sides; cells that are still too large are dealt out as pairs of chunks. Every (query,
-candidate) pair meets in one cell only, so each cell returns counts of links per query, and a star
-of edges for the components it sees, never its pairs.
+Work is dealt out so that no task holds a whole label: exact copies collapse first; a label with more
+than ``cell`` vectors (and only such a label) is halved again and again at its own medians of further
+random directions. A vector near a median goes to both halves. As one end of a pair near the median is
+enough to bring both together, ``MARGIN`` spreads of a pair at the bound to each side lose a pair only
+where it differs by twice that, about one in 1,700 pairs exactly at the bound a split; each split adds some
+18% of rows where vectors fill their space. Of the cells in which a pair meets, the one on the side of its
+smaller uid counts it, so each cell returns counts of links per vector, and a star of edges for the
+components it sees, never its pairs. Cells that are still too large are dealt out as pairs of chunks.
 
 Null labels, null, zero or non-finite vectors link with nothing. Rows with equal vectors link with
 each other and count one by one. A null vec_id takes part, but names no component unless alone.
-Empty tables give no rows.
+Empty tables give no rows. Other columns are not looked at, so their names cannot clash.
 """
 
 from __future__ import annotations
@@ -25,11 +28,13 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import BooleanType, IntegerType, StructField, StructType
+from pyspark.sql.types import IntegerType, StructField, StructType
 
-from .common import components, hashed, min_labels, written
+from .common import components, hashed, joined, min_labels, scratch, written
 
-DIRECTIONS, WINDOW, CELL = 24, 2.0, 2048
+DIRECTIONS, WINDOW, CELL, MARGIN = 24, 2.0, 2048, 1.15
+#: Directions that a block of pairs is counted on before those that can no longer reach the count are left out.
+DENSE, BLOCK, MOST_SPLITS = 6, 256, 24
 
 
 @lru_cache(maxsize=64)
@@ -54,44 +59,57 @@ def calibrated(dim: int, cosine: float, recall: float, count: int = DIRECTIONS)
     return half, int(hits[int((1 - recall) * len(hits))])
 
 
-def cell_links(ids: np.ndarray, vectors: np.ndarray, copies: np.ndarray, queries: np.ndarray, cosine: float, recall: float):
-    """Links in one cell between ``queries`` (row numbers) and the other rows (the candidates).
+def cell_links(ids: np.ndarray, vectors: np.ndarray, copies: np.ndarray, sides: np.ndarray, near: np.ndarray, part: np.ndarray, cosine: float, recall: float):
+    """Links between the rows of one cell; where ``part`` holds two chunks, between the chunks only.
 
-    Returns (links per query, counted with copies; star edges as row numbers)."""
+    Returns (links per row, counted with copies; star edges as row numbers). ``sides`` and ``near`` are the bits of
+    each split on the way to the cell: a row's own side, and whether it went to both.
+
+    Rows are sorted on the first direction, so that a block of queries sees one slice of candidates: those in
+    its window there, which is as wide as twice the others. Collisions on some more directions are counted for
+    the slice, on the rest only for pairs that can still reach the count.
+    """
     own = vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
     half, least = calibrated(own.shape[1], cosine, recall)
-    q = queries
-    c = np.setdiff1d(np.arange(len(ids)), q)
-    place = own @ directions(own.shape[1], DIRECTIONS, 11)
-    order = np.argsort(place[c], axis=0, kind="stable")
-    rank = np.empty((len(c), DIRECTIONS), np.uint16)
-    low, wide = np.empty((len(q), DIRECTIONS), np.uint16), np.empty((len(q), DIRECTIONS), np.uint16)
-    for j in range(DIRECTIONS):
-        rank[order[:, j], j] = np.arange(len(c))
-        line = place[c][order[:, j], j]
-        a, b = np.searchsorted(line, place[q, j] - half, "left"), np.searchsorted(line, place[q, j] + half, "right")
-        low[:, j], wide[:, j] = a, b - a
-    columns = np.ascontiguousarray(rank.T)
-    links = np.zeros(len(q), np.int64)
+    order = np.argsort(own @ directions(own.shape[1], 1, 17)[:, 0], kind="stable")
+    own, names, weight, side, both, chunk = own[order], ids[order], copies[order], sides[order], near[order], part[order]
+    line = own @ directions(own.shape[1], 1, 17)[:, 0]
+    place = np.ascontiguousarray((own @ directions(own.shape[1], DIRECTIONS, 11)).T.astype(np.float32))
+    window = np.float32(half * (1 + 1e-6) + 1e-7)
+    two = len(np.unique(chunk)) > 1
+    links = np.zeros(len(ids), np.int64)
     ea, eb = [], []
-    for at in range(0, len(q), 256):
-        part = slice(at, at + 256)
-        count = np.zeros((len(q[part]), len(c)), np.uint8)
-        for j in range(DIRECTIONS):
-            count += (columns[j][None, :] - low[part, j][:, None]) < wide[part, j][:, None]
-        qi, ci = np.nonzero(count >= least)
-        for s in range(0, len(qi), 1 << 16):
-            x, y = qi[s : s + (1 << 16)] + at, ci[s : s + (1 << 16)]
-            near = np.einsum("ij,ij->i", own[q[x]], own[c[y]]) >= cosine
-            near &= ids[q[x]] != ids[c[y]]
-            x, y = x[near], y[near]
-            links += np.bincount(x, copies[c[y]], len(q)).astype(np.int64)
-            ea.append(q[x])
-            eb.append(c[y])
+    for at in range(0, len(own), BLOCK):
+        to = min(at + BLOCK, len(own))
+        end = int(np.searchsorted(line, line[to - 1] + 2 * half, "right"))
+        count = np.zeros((to - at, end - at), np.uint8)
+        for j in range(DENSE):
+            count += np.abs(place[j, at:to, None] - place[j, None, at:end]) <= window
+        x, y = np.nonzero(count >= max(0, least - (DIRECTIONS - DENSE)))
+        got, later = count[x, y], y > x
+        x, y, got = x[later] + at, y[later] + at, got[later]
+        for j in range(DENSE, DIRECTIONS):
+            got += np.abs(place[j, x] - place[j, y]) <= window
+            alive = got >= least - (DIRECTIONS - 1 - j)
+            x, y, got = x[alive], y[alive], got[alive]
+        for s in range(0, len(x), 1 << 16):
+            i, k = x[s : s + (1 << 16)], y[s : s + (1 << 16)]
+            ok = (names[i] != names[k]) & (chunk[i] != chunk[k]) if two else names[i] != names[k]
+            ok &= np.einsum("ij,ij->i", own[i], own[k]) >= cosine
+            i, k = i[ok], k[ok]
+            # the cell is one of several where both went both ways: it counts where it is on the smaller uid's way
+            first = np.where(names[i] < names[k], side[i], side[k])
+            counts = (both[i] & both[k] & first) == 0
+            i, k = i[counts], k[counts]
+            links += np.bincount(i, weight[k], len(ids)).astype(np.int64) + np.bincount(k, weight[i], len(ids)).astype(np.int64)
+            ea.append(order[i])
+            eb.append(order[k])
         if sum(map(len, ea)) > 1 << 20:
             ea, eb = _star(ea, eb, ids)
     ea, eb = _star(ea, eb, ids)
-    return links, ea[0], eb[0]
+    back = np.empty_like(links)
+    back[order] = links
+    return back, ea[0], eb[0]
 
 
 def _star(ea: list, eb: list, ids: np.ndarray) -> tuple[list, list]:
@@ -105,70 +123,83 @@ def _star(ea: list, eb: list, ids: np.ndarray) -> tuple[list, list]:
     return [first[far]], [first[label[far]]]
 
 
-def vector_links(vectors: DataFrame, cosine: float = 0.98, recall: float = 0.999, cell: int = CELL) -> tuple[DataFrame, DataFrame]:
-    """For distinct ``vectors`` (uid, label, embedding, copies): (uid, links) and edges (a, b)."""
-    most = vectors.groupBy("label", F.size("embedding").alias("dim")).count().agg(F.max("count")).head()[0] or 0
-    depth = max(0, int(np.ceil(np.log2(max(most, 1) / cell)))) if most > cell else 0
-    depth = min(depth, 20)
-    medians: list[float] = []
-    if depth:
-        @F.pandas_udf("array<double>")
-        def projected(embeddings):
-            return embeddings.map(lambda e: _route(np.asarray(e, np.float64), depth))
-
-        place = vectors.select(projected("embedding").alias("p"))
-        row = place.agg(*[F.percentile_approx(F.col("p")[i], 0.5, 1000) for i in range(depth)]).head()
-        medians = [float(x or 0.0) for x in row]
+def split_points(vectors: DataFrame, cell: int = CELL) -> DataFrame:
+    """(label, dim, medians) of the labels with more than ``cell`` vectors: one median for each halving."""
+    many = vectors.groupBy("label", F.size("embedding").alias("dim")).count().where(F.col("count") > cell)
+    depth = F.least(F.ceil(F.log2(F.col("count") / cell)), F.lit(MOST_SPLITS)).cast("int")
+    many = written(many.select("label", "dim", depth.alias("depth")), "large")
+    most = many.agg(F.max("depth")).head()[0] or 0
+    if not most:
+        return many.select("label", "dim", F.array().cast("array<double>").alias("medians"))
+
+    @F.pandas_udf("array<double>")
+    def projected(embeddings):
+        return embeddings.map(lambda e: _route(np.asarray(e, np.float64), most))
+
+    own = vectors.select("label", F.size("embedding").alias("dim"), projected("embedding").alias("p")).join(many, ["label", "dim"])
+    medians = F.array(*[F.percentile_approx(F.col("p")[i], 0.5, 1000) for i in range(most)])
+    return own.groupBy("label", "dim").agg(F.slice(medians, 1, F.first("depth")).alias("medians"))
 
-    def dealt(batches):
-        for batch in batches:
-            flat, cuts = batch.column("embedding").flatten(), batch.column("embedding").offsets.to_numpy()
-            values = flat.to_numpy(zero_copy_only=False)
-            cuts = cuts - cuts[0]
-            row, code, role = [], [], []
-            for i, (a, b) in enumerate(zip(cuts, cuts[1:], strict=False)):
-                place = _route(values[a:b].astype(np.float64), depth) - medians
-                half = 2 * calibrated(b - a, cosine, recall)[0]
-                sides = place > 0
-                mine = sum(1 << j for j in range(depth) if sides[j])
-                codes = [mine]
-                for j in np.flatnonzero(np.abs(place) <= half):
-                    codes += [x ^ (1 << int(j)) for x in codes]
-                row += [i] * (len(codes) + 1)
-                code += [mine, *codes]
-                role += [False] + [True] * len(codes)
-            taken = batch.take(pa.array(row, pa.int64()))
-            yield pa.RecordBatch.from_arrays(
-                [*taken.columns, pa.array(code, pa.int32()), pa.array(role, pa.bool_())], names=[*batch.schema.names, "code", "query"])
 
+def vector_links(vectors: DataFrame, cosine: float = 0.98, recall: float = 0.999, cell: int = CELL) -> tuple[DataFrame, DataFrame]:
+    """For distinct ``vectors`` (uid, label, embedding, copies): (uid, links) and edges (a, b)."""
     own = vectors.select("uid", "label", F.size("embedding").alias("dim"), "embedding", "copies")
-    rows = own.mapInArrow(dealt, StructType([*own.schema.fields, StructField("code", IntegerType()), StructField("query", BooleanType())]))
-    cells = ["label", "dim", "code"]
-    full = rows.groupBy(*cells, "query").agg(F.ceil(F.count("*") / cell).cast("int").alias("n"))
-    full = full.groupBy(*cells).agg(F.max(F.when(~F.col("query"), F.col("n"))).alias("cn"), F.max(F.when(F.col("query"), F.col("n"))).alias("qn"))
-    full = full.where("cn is not null and qn is not null")
-    chunk = lambda n: F.pmod(F.xxhash64("uid"), F.col(n)).cast("int")
-    every = lambda n: F.sequence(F.lit(0), F.col(n) - 1)
-    rows = rows.join(full, cells)
-    rows = rows.withColumn("cs", F.when(F.col("query"), every("cn")).otherwise(F.array(chunk("cn"))))
-    rows = rows.withColumn("qs", F.when(F.col("query"), F.array(chunk("qn"))).otherwise(every("qn")))
-    rows = rows.withColumn("cs", F.explode("cs")).withColumn("qs", F.explode("qs")).drop("cn", "qn")
+    own = own.join(split_points(vectors, cell), ["label", "dim"], "left")
+    rows = written(cell_rows(own, cosine, recall), "cells")
+    keys = ["label", "dim", "code"]
+    full = rows.groupBy(*keys).agg(F.ceil(F.count("*") / cell).cast("int").alias("parts"), F.count("*").alias("n")).where("n > 1")
+    rows = rows.join(full.drop("n"), keys)
+    part = F.pmod(F.xxhash64("uid"), F.col("parts")).cast("int")
+    rows = rows.withColumn("part", part).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    rows = rows.withColumn("c1", F.least("part", "other")).withColumn("c2", F.greatest("part", "other")).drop("other", "parts")
 
     def compare(group: pa.Table) -> pa.Table:
-        ids = group.column("uid").to_numpy()
-        values = np.stack([np.asarray(v, np.float64) for v in group.column("embedding").to_pandas()])
-        query = np.flatnonzero(group.column("query").to_numpy())
-        copies = group.column("copies").to_numpy()
-        links, a, b = cell_links(ids, values, copies, query, cosine, recall)
-        some = links > 0
+        column = lambda name: group.column(name).to_numpy()
+        values = group.column("embedding").combine_chunks()
+        values = values.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(group.num_rows, -1)
+        ids, left = column("uid"), column("left").astype(np.int64)
+        links, a, b = cell_links(ids, values, column("copies"), left, column("near").astype(np.int64), column("part"), cosine, recall)
+        some = np.flatnonzero(links)
         return pa.table({
-            "uid": np.concatenate([ids[query[some]], ids[a]]), "links": np.concatenate([links[some], np.zeros(len(a), np.int64)]),
-            "other": pa.array(np.concatenate([ids[query[some]], ids[b]]))})
+            "uid": np.concatenate([ids[some], ids[a]]), "links": np.concatenate([links[some], np.zeros(len(a), np.int64)]),
+            "other": pa.array(np.concatenate([ids[some], ids[b]]))})
 
-    found = written(rows.groupBy(*cells, "cs", "qs").applyInArrow(compare, "uid long, links long, other long"), "links")
+    found = written(rows.groupBy(*keys, "c1", "c2").applyInArrow(compare, "uid long, links long, other long"), "links")
     return found.groupBy("uid").agg(F.sum("links").alias("links")), found.where("uid <> other").select(F.col("uid").alias("a"), F.col("other").alias("b"))
 
 
+def cell_rows(own: DataFrame, cosine: float = 0.98, recall: float = 0.999) -> DataFrame:
+    """A row for each cell of each vector (with its label's ``medians``, or null): ``code`` of the cell, ``near`` with
+    a bit for each split that sent it both ways, and ``left`` with those of them at which the cell is not on
+    the vector's own side."""
+    rest = [f for f in own.schema.fields if f.name != "medians"]
+
+    def dealt(batches):
+        for batch in batches:
+            flat, cuts = batch.column("embedding").flatten(), batch.column("embedding").offsets.to_numpy()
+            values = flat.to_numpy(zero_copy_only=False)
+            cuts = cuts - cuts[0]
+            row, code, left, near = [], [], [], []
+            for i, (a, b, medians) in enumerate(zip(cuts, cuts[1:], batch.column("medians").to_pylist(), strict=False)):
+                codes, mine, close = [0], 0, 0
+                if medians:
+                    place = _route(values[a:b].astype(np.float64), len(medians)) - medians
+                    edge = np.abs(place) <= MARGIN * np.sqrt((2 - 2 * cosine) / (b - a))
+                    mine = sum(1 << j for j in np.flatnonzero(place > 0).tolist())
+                    codes = [mine]
+                    for j in np.flatnonzero(edge).tolist():
+                        close |= 1 << j
+                        codes += [x ^ (1 << j) for x in codes]
+                row += [i] * len(codes)
+                code += codes
+                left += [x ^ mine for x in codes]
+                near += [close] * len(codes)
+            taken = batch.select([f.name for f in rest]).take(pa.array(row, pa.int64()))
+            yield pa.RecordBatch.from_arrays([*taken.columns, *(pa.array(x, pa.int32()) for x in (code, left, near))], names=[*taken.schema.names, "code", "left", "near"])
+
+    return own.mapInArrow(dealt, StructType([*rest, *(StructField(k, IntegerType()) for k in ("code", "left", "near"))]))
+
+
 def _route(vector: np.ndarray, depth: int) -> np.ndarray:
     """Places on the directions that split labels (not those that count collisions)."""
     return vector @ directions(len(vector), depth, 13) / np.linalg.norm(vector) if depth else np.empty(0)
@@ -183,16 +214,18 @@ def vector_groups(table: DataFrame, cosine: float = 0.98, recall: float = 0.999,
     keys = ["label", "h1", "h2"]
     one, two = hashed("embedding")
     own = table.select("vec_id", "label", "embedding", one.alias("h1"), two.alias("h2"), sound.alias("sound"))
-    distinct = own.where("sound").groupBy(*keys).agg(
-        F.first("embedding").alias("embedding"), F.count("*").alias("copies"), F.min("vec_id").alias("first"))
-    distinct = written(distinct.withColumn("uid", F.monotonically_increasing_id()), "vectors")
-    links, edges = vector_links(distinct, cosine, recall, cell)
-    roots = components(edges).withColumnRenamed("node", "uid")
-    named = distinct.select("uid", *keys, "copies", "first").join(roots, "uid", "left").join(links, "uid", "left")
-    named = named.withColumn("root", F.coalesce("root", "uid")).withColumn("n_links", F.coalesce("links", F.lit(0)) + F.col("copies") - 1)
-    firsts = named.groupBy("root").agg(F.min("first").alias("component_id"))
-    named = named.join(firsts, "root").select(*keys, "n_links", "component_id")
-    rows = own.select("vec_id", F.when(F.col("sound"), F.col("label")).alias("label"), "h1", "h2").join(named, keys, "left")
+    with scratch() as work:
+        distinct = own.where("sound").groupBy(*keys).agg(
+            F.first("embedding").alias("embedding"), F.count("*").alias("copies"), F.min("vec_id").alias("first"))
+        distinct = written(distinct.withColumn("uid", F.monotonically_increasing_id()), "vectors")
+        links, edges = vector_links(distinct, cosine, recall, cell)
+        roots = components(edges).withColumnRenamed("node", "uid")
+        named = distinct.select("uid", *keys, "copies", "first").join(roots, "uid", "left").join(links, "uid", "left")
+        named = named.withColumn("root", F.coalesce("root", "uid")).withColumn("n_links", F.coalesce("links", F.lit(0)) + F.col("copies") - 1)
+        firsts = named.groupBy("root").agg(F.min("first").alias("component_id"))
+        named = work.kept(written(named.join(firsts, "root").select(*keys, "n_links", "component_id", F.col("copies").alias("n")), "named"))
+    rows = own.select("vec_id", F.when(F.col("sound"), F.col("label")).alias("label"), "h1", "h2")
+    rows = joined(rows, named, keys, "left")
     component = F.coalesce("component_id", "vec_id")
     return rows.select(
         "vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), component.alias("component_id"),

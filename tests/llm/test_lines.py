@@ -1,6 +1,7 @@
 import random
 from collections import Counter
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -68,7 +69,7 @@ def test_large_keys(spark):
     """Over SMALL lines under one key: the chunk path."""
     rng = random.Random(1)
     start = "the very same beginning of many lines, "
-    own = [start + "".join(rng.choice("abcdefgh") for _ in range(9)) for _ in range(150)]
+    own = [start + "".join(rng.choice("abcdefgh") for _ in range(9)) for _ in range(150)]  # one key of 150 lines
     own += [changed(rng, x, rng.randint(1, 2)) for x in own[:30]]
     got = {(r.doc_id, r.line_no): r.near for r in N.repeated_lines(with_ids(spark, own)).collect()}
     assert got == brute(list(enumerate(own))) and len(got) > 5
@@ -85,6 +86,20 @@ def test_edit_distance():
             assert N.within(a, b, e) == (distance(a, b) <= e)
 
 
+def test_many_edit_distances():
+    rng = random.Random(4)
+    a, b = [], []
+    for n in range(900):
+        x = "".join(rng.choice("abcé") for _ in range(rng.randint(0, 12 if n % 2 else 60)))
+        a.append(x)
+        b.append(changed(rng, x, rng.randint(0, 10)) if x else "b" * rng.randint(0, 3))
+    for bound in ([0, 1, 2, 3], [4], [8, 1]):
+        edits = np.array([rng.choice(bound) for _ in a])
+        got = N.within_many(a, b, edits)
+        assert [bool(x) for x in got] == [distance(x, y) <= e for x, y, e in zip(a, b, edits)]
+    assert N.within_many([], [], np.empty(0, int)).tolist() == []
+
+
 def test_dedup_changes_texts_only(spark):
     docs = documents(spark)
     got = N.dedup_lines(docs)

@@ -99,17 +99,83 @@ def test_secret_candidates(spark):
 
 
 def test_forest_held_out_accuracy(spark):
-    rows = secrets.labelled_findings(spark, 4000).withColumn("part", F.pmod(F.xxhash64("value", "before"), F.lit(4)))
+    rows = secrets.made_findings(spark, 4000).withColumn("part", F.pmod(F.xxhash64("value", "before"), F.lit(4)))
     model = secrets.train(rows.where("part < 3").drop("part"))
-    scored = model.transform(secrets.features(rows.where("part = 3"))).select("secret", (F.col("prediction") == 1).alias("said"))
+    scored = secrets._scored(rows.where("part = 3").withColumn("path", F.lit(None).cast("string")), model, None).select("found.secret", (F.col("score") >= 0.5).alias("said"))
     right, n = scored.agg(F.count_if(F.col("secret") == F.col("said")), F.count("*")).head()
     assert n > 500 and right / n > 0.97
 
 
+def test_corpus_findings_held_out_by_document(spark):
+    """The planted secrets of the given documents against their other candidates, split by document."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    model, words, sample = secrets.fit(docs)
+    assert sample.where("secret").count() > 20 and sample.where("not secret").count() > 50 and 10 < len(words) <= secrets.CORPUS_WORDS
+    got = secrets.quality(sample, model, words)
+    assert got["findings"] > 30 and got["secrets"] > 5 and got["precision"] > 0.95 and got["recall"] > 0.95
+    seen = Counter()
+    for r in docs.select("text").collect():
+        seen.update(set(re.findall(r"(?<![a-z])[a-z]{4,12}(?![a-z])", (r.text or "").lower())))
+    top = sorted((w for w in seen if seen[w] > 1), key=lambda w: (-seen[w], w))[: secrets.CORPUS_WORDS]
+    assert words == top
+
+
+def slow_features(value, before, after, path, words):
+    low, before, path = value.lower(), before.lower(), (path or "").lower()
+    n = len(value)
+    kinds = ["a" if c.islower() else "A" if c.isupper() else "0" if c.isdigit() else "." for c in value]
+    steps = sum((a != b) if a != "." else b != "." for a, b in zip(kinds, kinds[1:]))
+    vowels, cons = "aeiouy", "bcdfghjklmnpqrstvxz"
+    turns = sum((a in vowels and b in cons) or (a in cons and b in vowels) for a, b in zip(low, low[1:]))
+    covered, i = 0, 0
+    known = sorted({w for w in [*secrets.DICTIONARY, *words] if len(w) > 3}, key=lambda w: (-len(w), w))
+    while i < n:
+        hit = next((w for w in known if low.startswith(w, i)), None)
+        covered += len(hit) if hit else 0
+        i += len(hit) if hit else 1
+    has = lambda pattern, text: float(re.search(pattern, text) is not None)
+    return {
+        "length": n, "digits": sum(c in "0123456789" for c in value) / n, "capitals": sum(c.isupper() for c in value) / n, "marks": sum(not c.isalnum() for c in value) / n,
+        "hexadecimal": float(all(c in "0123456789abcdef" for c in value) or all(c in "0123456789ABCDEF" for c in value)), "class_changes": steps / n, "vowel_changes": turns / n,
+        "dictionary": covered / n, "slashes": value.count("/"),
+        "dashed": float([len(x) for x in value.split("-")] == [8, 4, 4, 4, 12] and all(c in "0123456789abcdefABCDEF-" for c in value)),
+        "near_word": float(any(w in before for w in ("secret", "token", "credential", "bearer", "auth", "passwd", "password", "passwor", "passw")) or bool(re.search("(api|access|private).?key", before))),
+        "far_word": float(any(re.fullmatch("commit|sha-?[0-9]*|md5|checksum|digest|uuid|guid|hash|revision|build|integrity|version|etag|blob|tree", w)
+                              for w in re.findall(r"sha-[0-9]*|sha[0-9]*(?![a-z])|md5|[a-z]+", before))),
+        "assigned": float(bool(before.rstrip().rstrip("\"'").rstrip()[-1:] in ("=", ":")) and before.count("") > 1), "quoted": float(before[-1:] in ('"', "'") and before != ""),
+        "dotted": float(before[-1:] in (".", "@") and before != "" or (after[:1] in (".", "@") and after != "" and (after[1:2].isalnum() or after[1:2] == "_"))),
+        "repeated": float(any(len(set(value[i : i + 5])) == 1 for i in range(n - 4))),
+        "path_code": has(r"\.(py|js|ts|java|go|rs|c|cc|cpp|h|rb|php|cs|sh|scala|kt|sql)$", path),
+        "path_config": has(r"\.(env|ini|cfg|conf|toml|ya?ml|json|properties|pem|key)$|config|settings|secrets?|credentials?", path),
+        "path_sample": has("test|example|sample|fixture|mock|docs?/|readme", path)}
+
+
+def test_features_match_brute_force(spark):
+    rng = random.Random(9)
+    rows = [(r.value, r.before, r.after, rng.choice([None, "src/app.py", "deploy/.env", "tests/data.json", "README", "a/settings.go"])) for r in secrets.made_findings(spark, 400, assigned=True).collect()]
+    rows += [("a" * 20 + "B1", "x.", ".com", "p"), ("ABCDEF0123456789ABCD", "see @", "@y", None), ("abcdefab-1234-ABCD-0000-abcdefabcdef", "uuid: ", "", "")]
+    words = ["thing", "anne", "keitung"]
+    df = spark.createDataFrame(rows, "value string, before string, after string, path string")
+    for r in secrets.features(df, words).collect():
+        want = slow_features(r.value, r.before, r.after, r.path, words)
+        got = r.features.asDict()
+        assert set(got) == set(want) == set(secrets.FEATURES)
+        for k in want:
+            assert abs(got[k] - want[k]) < 1e-9, (k, r.value, r.before, got[k], want[k])
+
+
+def test_scan_keeps_columns(spark):
+    hexes = "0f1e2d3c4b5a69788796a5b4c3d2e1f00f1e2d3c"
+    df = spark.createDataFrame([(1, f'token = "{hexes}"', 7, 0.5, "v", "l")], "doc_id long, text string, length int, score double, value string, `odd.name` string")
+    row = secrets.scan(df, labelled=secrets.made_findings(spark)).head()
+    assert (row.doc_id, row.length, row.score_, row.value_, row["odd.name"], row.value, row.is_secret) == (1, 7, 0.5, "v", "l", hexes, True)
+
+
 def test_secret_scan(spark):
     hexes = "0f1e2d3c4b5a69788796a5b4c3d2e1f00f1e2d3c"
     own = [f"text token = \"{hexes}\" more", f"fixed in commit {hexes} today", "see /usr/local/share/application/config", "Donaudampfschifffahrtsgesellschaft ist lang", "SHOUTINGWORDSWITHOUTEND !!"]
-    got = {r.doc_id: r.is_secret for r in secrets.scan(with_ids(spark, own)).collect()}
+    made = secrets.made_findings(spark)
+    got = {r.doc_id: r.is_secret for r in secrets.scan(with_ids(spark, own), labelled=made).collect()}
     assert got == {0: True, 1: False, 2: False, 3: False, 4: False}
     docs = documents(spark)
     found = secrets.scan(docs)
@@ -122,7 +188,7 @@ def test_assigned_secrets(spark):
     hexes = "0f1e2d3c4b5a69788796a5b4c3d2e1f00f1e2d3c"
     own = [f"export API_KEY={hexes}", f"aws_secret_access_key = \"{hexes}\"", "password = \"Hunter2-Blue77\"", f"fixed in commit {hexes} today", "token = undefined",
            "a abc=defghijklmnop z", "x " + "QUJDREVGR0hJSktMTU5P==" + " y"]
-    got = {(r.doc_id, r.value): r for r in secrets.scan(with_ids(spark, own), assigned=True).collect()}
+    got = {(r.doc_id, r.value): r for r in secrets.scan(with_ids(spark, own), labelled=secrets.made_findings(spark, assigned=True), assigned=True).collect()}
     assert sorted(got) == sorted([(0, hexes), (1, "aws_secret_access_key"), (1, hexes), (2, "Hunter2-Blue77"), (3, hexes), (4, "undefined"),
                                   (5, "abc=defghijklmnop"), (6, "QUJDREVGR0hJSktMTU5P==")])
     assert got[1, hexes].before == 'aws_secret_access_key = "' and got[0, hexes].before == "export API_KEY="

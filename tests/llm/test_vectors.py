@@ -40,6 +40,28 @@ def test_recall_and_precision(spark, cell):
     assert sum(g == w for g, w in zip(got, want, strict=True)) >= 0.97 * len(want)
 
 
+def test_splits_keep_recall_and_few_copies(spark):
+    """64 dimensions, six splits of the one large label, none of the small one."""
+    rng = np.random.default_rng(5)
+    base = rng.standard_normal((3000, 64))
+    own = np.concatenate([base, base[:600] + rng.standard_normal((600, 64)) * rng.choice([0.05, 0.15, 0.19], (600, 1))])
+    rows = [(i, [float(np.float32(x)) for x in v], 0 if i % 40 else 1, 1, 2) for i, v in enumerate(own)]
+    x = np.array([r[1] for r in rows])
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    label = np.array([r[2] for r in rows])
+    near = (x @ x.T >= 0.98) & (label[:, None] == label[None, :])
+    want = near.sum(axis=1) - 1
+    df = table(spark, rows)
+    got = {r.vec_id: r.n_links for r in V.vector_groups(df, cell=60).collect()}
+    found = np.array([got[i] for i in range(len(rows))])
+    assert want.sum() > 600 and (found <= want).all() and found.sum() >= 0.99 * want.sum()
+    distinct = df.selectExpr("vec_id as uid", "label", "embedding", "cast(1 as long) as copies")
+    points = {r.label: r.medians for r in V.split_points(distinct, 60).collect()}
+    assert {k: len(m) for k, m in points.items()} == {0: 6, 1: 1}
+    cells = V.cell_rows(distinct.selectExpr("uid", "label", "size(embedding) as dim", "embedding", "copies").join(V.split_points(distinct, 60), ["label", "dim"], "left"))
+    assert cells.where("label = 0").count() < 3 * distinct.where("label = 0").count()
+
+
 def test_calibration_holds_at_the_bound():
     half, least = V.calibrated(64, 0.98, 0.999)
     rng = np.random.default_rng(1)
