@@ -474,9 +474,28 @@ def verified(batches: Iterator[pa.RecordBatch], bands) -> Iterator[pa.RecordBatc
             yield pa.RecordBatch.from_arrays([part.column("ua").filter(ok), part.column("ub").filter(ok)], names=["a", "b"])
 
 
-def cell_edges(line: np.ndarray, text: list[str], sketch: np.ndarray, indexed: np.ndarray, edits: int, step: int = 4096) -> tuple[list[int], list[int]]:
-    """Edges that connect the rows of a cell as their links do. Pairs are verified ``step`` at a time, and rows that
-    are joined by then are not compared again."""
+def met_before(key: int, keys: pa.ListArray, indexed: pa.ListArray) -> np.ndarray | None:
+    """Which pairs of rows meet under a smaller key too, where one of them at least is indexed; None if none can."""
+    def places(column: pa.ListArray) -> tuple[np.ndarray, np.ndarray]:
+        value, row = column.flatten().to_numpy(), np.repeat(np.arange(len(column)), np.diff(column.offsets.to_numpy()))
+        return value[value < key], row[value < key]
+
+    (value, row), (own, at) = places(keys), places(indexed)
+    names = np.unique(own)
+    if not len(names):
+        return None
+    known = np.isin(value, names)
+    both = [np.zeros((len(keys), len(names)), np.float32) for _ in range(2)]
+    both[0][row[known], np.searchsorted(names, value[known])] = 1
+    both[1][at, np.searchsorted(names, own)] = 1
+    shared = both[0] @ both[1].T > 0
+    return shared | shared.T
+
+
+def cell_edges(line: np.ndarray, text: list[str], sketch: np.ndarray, indexed: np.ndarray, edits: int, met: np.ndarray | None = None,
+               step: int = 4096) -> tuple[list[int], list[int]]:
+    """Edges that connect the rows of a cell as their links do, but for the pairs that have ``met`` elsewhere. Pairs are
+    verified ``step`` at a time, and rows that are joined by then are not compared again."""
     row = np.unique(line, return_index=True, return_inverse=True)
     label = row[1][row[2]]  # equal lines are one from the start
     a, b = [], []
@@ -486,6 +505,8 @@ def cell_edges(line: np.ndarray, text: list[str], sketch: np.ndarray, indexed: n
         while i < n - 1 and sum(map(len, held)) < step:
             rest = np.arange(i + 1, n)
             rest = rest[label[rest] != label[i]]
+            if met is not None:
+                rest = rest[~met[i, rest]]
             if not indexed[i]:
                 rest = rest[indexed[rest]]
             rest = rest[sketch_distance(sketch[i : i + 1], sketch[rest]) <= 2 * edits]
@@ -523,7 +544,8 @@ def near_links(docs: DataFrame, edits: int = EDITS, least: int = LEAST, bands=No
     names = (names.union(large.select("line")) if some else names).distinct()
     texts = written(line_texts(docs, written(names, "names"), bands[0][0]), "texts")
     side = lambda x: texts.select(F.col("line").alias(x), F.col("uid").alias(f"u{x}"), F.col("text").alias(f"t{x}"))
-    checked = pairs.join(side("a"), "a").join(side("b"), "b").select("ua", "ub", "ta", "tb")
+    tasks = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # by number, as few bytes can be much work here
+    checked = pairs.join(side("a"), "a").repartition(tasks, "b").join(side("b"), "b").select("ua", "ub", "ta", "tb")
     few = checked.mapInArrow(lambda batches: verified(batches, bands), "a long, b long")
     if not some:
         return few, texts
@@ -531,11 +553,14 @@ def near_links(docs: DataFrame, edits: int = EDITS, least: int = LEAST, bands=No
     part = F.pmod(F.xxhash64("line"), F.col("parts")).cast("int")
     cells = large.join(parts, "key").withColumn("own", part).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
     cells = cells.select("key", F.least("own", "other").alias("c1"), F.greatest("own", "other").alias("c2"), "line", "sketch", "indexed")
-    cells = cells.join(texts.select("line", "uid", "text"), "line")
+    where = large.groupBy("line").agg(F.collect_set("key").alias("keys"), F.collect_set(F.when(F.col("indexed"), F.col("key"))).alias("mine"))
+    cells = cells.join(texts.select("line", "uid", "text").join(where, "line"), "line").repartition(tasks, "key", "c1", "c2")
 
     def compare(group: pa.Table) -> pa.Table:
+        key = group.column("key")[0].as_py()
+        met = met_before(key, group.column("keys").combine_chunks(), group.column("mine").combine_chunks())
         a, b = cell_edges(group.column("uid").to_numpy(), group.column("text").to_pylist(), group.column("sketch").to_numpy().view(np.uint64),
-                          group.column("indexed").to_numpy(), group.column("key")[0].as_py() & 15)
+                          group.column("indexed").to_numpy(), key & 15, met)
         return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
     return few.union(cells.groupBy("key", "c1", "c2").applyInArrow(compare, "a long, b long")), texts
