@@ -7,6 +7,7 @@ nothing is known.
 
 from __future__ import annotations
 
+import hashlib
 import json
 from functools import lru_cache
 from importlib.resources import files
@@ -25,12 +26,30 @@ def vocabulary(name: str) -> dict:
     return json.loads(files("dumpmill.data").joinpath(f"{name}.json").read_text("utf-8"))
 
 
+def changed_vocabularies() -> list[str]:
+    """Names of the vocabularies whose content is not what ``digests.json`` holds. A change of a vocabulary changes
+    events, so its digest is to be changed knowingly."""
+    known = json.loads(files("dumpmill.data").joinpath("digests.json").read_text("utf-8"))
+    return sorted(n for n, digest in known.items() if hashlib.sha256(canonical(vocabulary(n)).encode()).hexdigest() != digest)
+
+
+def canonical(tree) -> str:
+    return json.dumps(tree, sort_keys=True, separators=(",", ":"), ensure_ascii=False)
+
+
 def lookup(table: dict[str, str | None], key: Column) -> Column:
     """The table's value for a key, null where it has none."""
     pairs = [F.lit(x) for k, v in table.items() if v is not None for x in (k, v)]
     return F.try_element_at(F.create_map(*pairs), key) if pairs else F.lit(None).cast("string")
 
 
+def rows(table: dict[str, dict], fields: tuple[str, ...]) -> Column:
+    """A literal map from keys to structs of ``fields``: one lookup gives all that is known of a key."""
+    text = lambda v: F.lit(None if v is None else str(v)).cast("string")
+    pairs = [x for k, own in table.items() for x in (F.lit(k), F.struct(*[text(own.get(f)).alias(f) for f in fields]))]
+    return F.create_map(*pairs)
+
+
 def _field(obj: Column, name: str) -> Column:
     return trimmed(V.text_of(F.try_element_at(obj, F.lit(name))))
 
@@ -128,60 +147,59 @@ def media_block(formats: Column, provider: str = "catalog") -> Column:
     (the first one wins); those for the release count even where the format gives no item.
     """
     v = vocabulary("media_taxonomy")
-    column = lambda name: {k: f.get(name) for k, f in v["formats"].items()}
-    known = {k: "1" for k in v["formats"]}
-    target = {k: d["target"] for k, d in v["descriptions"].items()}
-    value = {k: str(d["value"]) if "value" in d else None for k, d in v["descriptions"].items()}
+    names = rows(v["formats"], ("family", "medium", "variant", "container", "flag"))
+    targets = rows(v["descriptions"], ("target", "value"))
+    defaults = rows({m: {**d.get("defaults", {}), "family": d.get("family")} for m, d in v["media"].items()}, (*ATTRIBUTES, "family"))
+    resolve = {f"{f}|{a}|{k}": m for f, r in v["families"].items() for a, pairs in r.get("resolve", {}).items() for k, m in pairs.items()}
+    deciding = [a for a in ATTRIBUTES if any(a in r.get("resolve", {}) for r in v["families"].values())]
 
     def read(o: Column) -> Column:
         name, text = V.text_of(F.try_element_at(o, F.lit("name"))), V.text_of(F.try_element_at(o, F.lit("text")))
-        quantity = F.try_element_at(o, F.lit("qty"))
-        quantity = F.when(V.kind(quantity).isin("string", "number"), F.try_variant_get(quantity, "$", "string"))
-        return V.let(flat_descriptions(F.try_element_at(o, F.lit("descriptions"))), lambda words: entry(o, name, text, quantity, words))
-
-    def entry(o: Column, name: Column, text: Column, quantity: Column, words: Column) -> Column:
-        rules = F.filter(F.transform(words, lambda d: F.struct(lookup(target, d).alias("target"), lookup(value, d).alias("value"))), lambda r: r["target"].isNotNull())
-        return F.struct(
-            name.alias("name"), text.alias("text"), leading_quantity(F.coalesce(quantity, F.lit("1"))).alias("qty"), words.alias("descriptions"), rules.alias("rules"),
-            *[lookup(column(c), name).alias(c) for c in ("family", "medium", "variant", "container", "flag")])
+        quantity = V.let(F.try_element_at(o, F.lit("qty")), lambda q: F.when(V.kind(q).isin("string", "number"), F.try_variant_get(q, "$", "string")))
+        words = F.transform(flat_descriptions(F.try_element_at(o, F.lit("descriptions"))), lambda d: F.struct(d.alias("word"), F.try_element_at(targets, d).alias("rule")))
+        return V.let(F.struct(name.alias("name"), words.alias("words")), lambda x: F.struct(
+            x["name"].alias("name"), text.alias("text"), leading_quantity(F.coalesce(quantity, F.lit("1"))).alias("qty"), x["words"].alias("words"),
+            F.filter(F.transform(x["words"], lambda w: w["rule"]), lambda r: r.isNotNull()).alias("rules"), F.try_element_at(names, x["name"]).alias("known")))
 
     read_all = F.transform(_objects(formats), read)
     first = lambda rules, t: F.get(F.filter(rules, lambda r: r["target"] == t), F.lit(0))["value"]
     every = lambda rules, t: F.transform(F.filter(rules, lambda r: r["target"] == t), lambda r: r["value"])
     number = lambda c: F.try_parse_json(c)
-    resolve = {f"{f}|{a}|{k}": m for f, r in v["families"].items() for a, pairs in r.get("resolve", {}).items() for k, m in pairs.items()}
-    family_of = {m: d.get("family") for m, d in v["media"].items()}
-    defaults = {f"{m}|{a}": str(x) for m, d in v["media"].items() for a, x in d.get("defaults", {}).items()}
 
     def item(x: Column) -> Column:
-        stated = {a: first(x["rules"], a) for a in ATTRIBUTES}
-        family = F.coalesce(x["family"], lookup(family_of, x["medium"]))
-        found = F.coalesce(*[lookup(resolve, F.concat(family, F.lit(f"|{a}|"), stated[a])) for a in ATTRIBUTES])
-        medium = F.coalesce(x["medium"], found, F.concat(family, F.lit("_unspecified")))
-        own = {a: F.coalesce(stated[a], lookup(defaults, F.concat(medium, F.lit(f"|{a}")))) for a in ATTRIBUTES}
+        family = F.coalesce(x["known"]["family"], F.try_element_at(defaults, x["known"]["medium"])["family"])
+        stated = F.struct(family.alias("family"), *[first(x["rules"], a).alias(a) for a in ATTRIBUTES])
+        found = lambda s: [lookup(resolve, F.concat(s["family"], F.lit(f"|{a}|"), s[a])) for a in deciding]
+        return V.let(stated, lambda s: V.let(
+            F.coalesce(x["known"]["medium"], *found(s), F.concat(s["family"], F.lit("_unspecified"))),
+            lambda medium: V.let(F.try_element_at(defaults, medium), lambda d: made(x, s, medium, d))))
+
+    def made(x: Column, stated: Column, medium: Column, default: Column) -> Column:
+        own = {a: F.coalesce(stated[a], default[a]) for a in ATTRIBUTES}
         null = F.lit(None).cast("string")
-        variants = F.concat(F.filter(F.array(x["variant"]), lambda s: s.isNotNull()), every(x["rules"], "variant"))
+        variants = F.concat(F.filter(F.array(x["known"]["variant"]), lambda s: s.isNotNull()), every(x["rules"], "variant"))
         return F.struct(
-            family.alias("family"), medium.alias("medium"), x["qty"].alias("qty"), number(own["size_inches"]).alias("size_inches"),
+            stated["family"].alias("family"), medium.alias("medium"), x["qty"].alias("qty"), number(own["size_inches"]).alias("size_inches"),
             number(own["speed_rpm"]).alias("speed_rpm"), own["channels"].alias("channels"), own["codec"].alias("codec"),
             sorted_unique(variants).alias("variants"), sorted_unique(every(x["rules"], "appearance")).alias("appearance"), null.alias("position"),
             F.lit(None).cast("long").alias("track_count"),
-            F.struct(F.lit(provider).alias("provider"), x["name"].alias("name"), x["descriptions"].alias("descriptions"), x["text"].alias("text")).alias("source"))
+            F.struct(F.lit(provider).alias("provider"), x["name"].alias("name"), F.transform(x["words"], lambda w: w["word"]).alias("descriptions"),
+                     x["text"].alias("text")).alias("source"))
 
     def block(entries: Column, items: Column, rules: Column) -> Column:
-        container = F.aggregate(entries, F.lit(None).cast("string"), lambda acc, x: F.coalesce(x["container"], acc, first(x["rules"], "container")))
-        some = lambda name: F.filter(F.transform(entries, lambda x: x[name]), lambda s: s.isNotNull())
-        words = F.flatten(F.transform(entries, lambda x: x["descriptions"]))
+        container = F.aggregate(entries, F.lit(None).cast("string"), lambda acc, x: F.coalesce(x["known"]["container"], acc, first(x["rules"], "container")))
+        flags = F.filter(F.transform(entries, lambda x: x["known"]["flag"]), lambda s: s.isNotNull())
+        strange = F.filter(F.transform(entries, lambda x: F.when(x["known"].isNull(), x["name"])), lambda s: s.isNotNull())
+        words = F.filter(F.flatten(F.transform(entries, lambda x: x["words"])), lambda w: w["rule"].isNull())
         return F.struct(
             F.lit(v["version"]).alias("taxonomy_version"), items.alias("items"),
             sorted_unique(F.filter(F.transform(items, lambda i: i["family"]), lambda s: s.isNotNull())).alias("families"),
             first(rules, "release_kind").alias("release_kind"), sorted_unique(every(rules, "trait")).alias("traits"),
             sorted_unique(every(rules, "edition")).alias("edition"), first(rules, "packaging").alias("packaging"), container.alias("container"),
-            sorted_unique(F.concat(some("flag"), every(rules, "flag"))).alias("flags"),
-            F.struct(sorted_unique(F.filter(some("name"), lambda n: lookup(known, n).isNull())).alias("formats"),
-                     sorted_unique(F.filter(words, lambda d: lookup(target, d).isNull())).alias("descriptions")).alias("unmapped"))
+            sorted_unique(F.concat(flags, every(rules, "flag"))).alias("flags"),
+            F.struct(sorted_unique(strange).alias("formats"), sorted_unique(F.transform(words, lambda w: w["word"])).alias("descriptions")).alias("unmapped"))
 
-    named = lambda entries: F.filter(entries, lambda x: x["family"].isNotNull() | x["medium"].isNotNull())
+    named = lambda entries: F.filter(entries, lambda x: x["known"]["family"].isNotNull() | x["known"]["medium"].isNotNull())
     return F.to_variant_object(V.let(read_all, lambda entries: V.let(F.transform(named(entries), item), lambda items: V.let(
         F.flatten(F.transform(entries, lambda x: x["rules"])), lambda rules: block(entries, items, rules)))))
 

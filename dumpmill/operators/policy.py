@@ -128,7 +128,8 @@ def apply_filters(df: DataFrame, policy: EntityPolicy, record: str | None = None
                 new = F.when(~hit, F.col(f.field))
             else:
                 new, removed = _removed_in_column(F.col(top), df.schema[top].dataType, f.field.split(".")[1:], java_pattern(f.pattern))
-            out = out.withColumn("_removed", removed).withColumn(top, new)
+            # a field that loses nothing is matched once only
+            out = out.withColumn("_removed", removed).withColumn(top, F.when(F.size("_removed") > 0, new).otherwise(F.col(top)))
         out = out.withColumn(name, F.concat(name, _action(f, F.col("_removed")))).drop("_removed")
     return out
 

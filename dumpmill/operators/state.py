@@ -10,7 +10,7 @@ import json
 from dataclasses import asdict, dataclass, field
 from datetime import UTC, datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dumpmill.sinks.events import read_text, write_text
@@ -60,13 +60,17 @@ class Marker:
     status: str = PENDING
 
     def decide(self, force: bool = False) -> str:
-        """Reprocess all, continue what is open, or skip a version that is complete."""
-        if force or self.phases["download"].status == FAILED:
+        """Reprocess all, continue what is open, or skip a version that is complete.
+
+        A download that failed or was cut off starts over only while no file is completed: fetching again
+        costs little, publishing a completed file again costs hours."""
+        if force:
             return REPROCESS
-        if self.status == DONE:
+        if self.phases["download"].status in (FAILED, RUNNING):
+            return CONTINUE if any(f.status == DONE for f in self.files.values()) else REPROCESS
+        if self.phases["processing"].status not in (FAILED, RUNNING) and self.status == DONE:
             return SKIP
-        begun = any(f.status != PENDING for f in self.files.values()) or self.phases["processing"].status != PENDING
-        return CONTINUE if begun else REPROCESS
+        return CONTINUE
 
     def pending(self, names: list[str]) -> list[str]:
         return [n for n in names if self.files.get(n, FileProgress()).status != DONE]
@@ -76,15 +80,25 @@ class Marker:
         self.files[name] = FileProgress(RUNNING, sha256=self.files.get(name, FileProgress()).sha256, started_at=_now())
 
     def file_verified(self, name: str, sha256: str) -> bool:
-        """Note the hash of a landed file; a completed file of other bytes is open again (True)."""
+        """Note the hash of a landed file. A completed file of other bytes is open again, its counts go and the
+        version is no longer complete (True). Completed files without a hash are left alone."""
         own = self.files.setdefault(name, FileProgress())
         changed = own.status == DONE and own.sha256 is not None and own.sha256 != sha256
-        self.files[name] = FileProgress(sha256=sha256) if changed else own
-        self.files[name].sha256 = sha256
         if changed:
-            self.status = PENDING
+            self.files[name] = FileProgress(sha256=sha256)
+            if self.status == DONE:
+                self.status = RUNNING
+            for phase in ("processing", "publishing"):
+                if self.phases[phase].status == DONE:
+                    self.phases[phase].status, self.phases[phase].completed_at = RUNNING, None
+        elif own.status != DONE:
+            own.sha256 = sha256
         return changed
 
+    def advance_file(self, name: str, records: int) -> None:
+        """Records of a file that is under way, for monitoring only: it starts again from its first record."""
+        self.files[name].records = records
+
     def complete_file(self, name: str, records: int, messages: int) -> None:
         own = self.files.setdefault(name, FileProgress())
         own.status, own.records, own.messages, own.completed_at = DONE, records, messages, _now()
@@ -122,6 +136,11 @@ def save_marker(spark: SparkSession, folder: str, marker: Marker) -> None:
     write_text(spark, f"{folder}/state_{marker.version}.json", marker.to_json())
 
 
+def duration_seconds(start: Column, end: Column) -> Column:
+    """Whole seconds from one time to another, null while either is open."""
+    return F.unix_timestamp(end) - F.unix_timestamp(start)
+
+
 def pending_files(files: DataFrame, completed: DataFrame) -> DataFrame:
     """Files (column ``file``) without a completed row."""
     return files.join(completed.select("file"), "file", "left_anti")

@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 from collections.abc import Mapping
 from dataclasses import dataclass, fields
+from pathlib import Path
 from typing import Any
 
 from dumpmill.operators.state import DONE, FAILED, RUNNING, Marker
@@ -14,7 +15,8 @@ IDLE, WAITING = "idle", "waiting"
 
 @dataclass(frozen=True)
 class Config:
-    """Each setting is read from PREFIX_NAME; what does not parse is the default, numbers are 1 at least."""
+    """Each setting is read from PREFIX_NAME, texts also from the file that PREFIX_NAME_FILE names; what does not
+    parse is the default, numbers are 1 at least. ``run_version`` takes the settings."""
 
     batch_size: int = 100
     checkpoint_every: int = 5000
@@ -28,7 +30,10 @@ class Config:
     def from_env(cls, env: Mapping[str, str] | None = None, prefix: str = "DUMPMILL") -> Config:
         env, own = os.environ if env is None else env, {}
         for f in fields(cls):
-            raw = env.get(f"{prefix}_{f.name.upper()}")
+            key = f"{prefix}_{f.name.upper()}"
+            raw = env.get(key)
+            if raw is None and not isinstance(f.default, int) and (secret := env.get(f"{key}_FILE")):
+                raw = Path(secret).read_text("utf-8").strip()
             if raw is None:
                 continue
             if isinstance(f.default, int):

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,27 +12,10 @@ from dumpmill.operators import blocks, report, state
 from dumpmill.operators.normalize import strip_prefixes, unwrap_container
 from dumpmill.operators.policy import apply_filters, split_skipped, violations, violations_long
 from dumpmill.plans.policy import EntityPolicy, parse_policy
+from dumpmill.registry import ORACLES, QUERIES, query, table, work_folder
 from dumpmill.sinks import events as E
 from dumpmill.sources import files
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLES: dict[str, str] = {}
-
-
-def query(sql: str | None = None):
-    def add(f):
-        QUERIES[f.__name__] = f
-        if sql:
-            ORACLES[f.__name__] = sql
-        return f
-
-    return add
-
-
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-
-
 #: The policy of these queries, in the language of ``parse_policy``.
 POLICY = parse_policy({
     "skip_records": {
@@ -53,8 +34,9 @@ POLICY = parse_policy({
         "part": [
             {"name": "size", "field": "p_size", "severity": "error", "condition": {"type": "range", "min": 5, "max": 45}},
             {"name": "brand", "field": "p_brand", "severity": "warning", "condition": {"type": "enum", "values": ["Brand#11", "Brand#12", "Brand#13"]}},
-            {"name": "name", "field": "p_name", "severity": "info", "condition": {"type": "regex", "pattern": "^a|[0-9]$"}},
+            {"name": "name", "field": "p_name", "severity": "info", "condition": {"type": "regex", "pattern": "^l|[gt]$"}},
             {"name": "short", "field": "p_name", "severity": "info", "condition": {"type": "length", "max": 10}}],
+        "orders": [{"name": "has-priority", "field": "priority", "severity": "error", "condition": {"type": "required"}}],
         "customer": [{"name": "segment", "field": "c_mktsegment", "severity": "error", "condition": {"type": "enum", "values": ["BUILDING", "MACHINERY"]}},
                      {"name": "balance", "field": "c_acctbal", "severity": "warning", "condition": {"type": "range", "min": 0}}],
     }}, ("documents", "part", "customer", "orders"))
@@ -75,13 +57,12 @@ def skip_contains_ci(spark: SparkSession, sf_dir: str) -> DataFrame:
     return skipped.select("doc_id", "_skip.reason", "_skip.field")
 
 
-@query("""WITH s AS (SELECT p_partkey, CASE WHEN contains(lower(p_name), 'red') THEN 'red' WHEN contains(lower(p_type), 'brass') THEN 'brass' END AS reason FROM part),
-r AS (SELECT reason, cast(p_partkey AS VARCHAR) AS id, row_number() OVER (PARTITION BY reason ORDER BY cast(p_partkey AS VARCHAR)) AS n FROM s WHERE reason IS NOT NULL)
-SELECT 'part' AS data_type, reason, count(*) AS skipped, string_agg(id, ', ' ORDER BY id) FILTER (n <= 20) AS ids FROM r GROUP BY reason""")
+@query("""WITH s AS (SELECT CASE WHEN contains(lower(p_name), 'red') THEN 'red' WHEN contains(lower(p_type), 'brass') THEN 'brass' END AS reason FROM part)
+SELECT 'part' AS data_type, reason, count(*) AS skipped FROM s WHERE reason IS NOT NULL GROUP BY reason""")
 def skip_reason_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A3."""
+    """A3, counts; ``skip_reason_ids`` has the ids."""
     _, skipped = split_skipped(table(spark, sf_dir, "part"), POLICY.of("part").skips)
-    return report.skip_counts(skipped.select(F.lit("part").alias("data_type"), F.col("p_partkey").cast("string").alias("id"), "_skip"))
+    return report.skip_counts(skipped.select(F.lit("part").alias("data_type"), F.col("p_partkey").cast("string").alias("id"), "_skip"), sample=0)
 
 
 @query("""WITH s AS (SELECT p_partkey, CASE WHEN contains(lower(p_name), 'red') THEN 'red' WHEN contains(lower(p_type), 'brass') THEN 'brass' END AS reason FROM part)
@@ -126,9 +107,9 @@ def nullify_leading_year(spark: SparkSession, sf_dir: str) -> DataFrame:
     return apply_filters(orders, POLICY.of("orders")).select("o_orderkey", "day")
 
 
-def _rule_query(name: str, entity: str, key: str, rule: str, sql: str) -> None:
+def _rule_query(name: str, entity: str, key: str, rule: str, sql: str, prepared=lambda df: df) -> None:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        df = table(spark, sf_dir, entity)
+        df = prepared(table(spark, sf_dir, entity))
         own = tuple(r for r in POLICY.of(entity).rules if r.name == rule)
         out = df.withColumn("violations", violations(df, own))
         return violations_long(out, key).select(key, "rule", "severity", "value")
@@ -136,11 +117,13 @@ def _rule_query(name: str, entity: str, key: str, rule: str, sql: str) -> None:
     QUERIES[name], ORACLES[name] = run, sql
 
 
-_rule_query("rule_required", "documents", "doc_id", "has-text", "SELECT doc_id, 'has-text' AS rule, 'error' AS severity, '' AS value FROM documents WHERE coalesce(text, '') = ''")
+_rule_query("rule_required", "orders", "o_orderkey", "has-priority",
+            "SELECT o_orderkey, 'has-priority' AS rule, 'error' AS severity, '' AS value FROM orders WHERE o_orderstatus <> 'F'",
+            lambda df: df.select("o_orderkey", F.when(F.col("o_orderstatus") == "F", F.col("o_orderpriority")).when(F.col("o_orderstatus") == "O", "").alias("priority")))
 _rule_query("rule_range", "part", "p_partkey", "size",
             "SELECT p_partkey, 'size' AS rule, 'error' AS severity, cast(p_size AS VARCHAR) AS value FROM part WHERE p_size < 5 OR p_size > 45")
 _rule_query("rule_regex", "part", "p_partkey", "name",
-            "SELECT p_partkey, 'name' AS rule, 'info' AS severity, p_name AS value FROM part WHERE regexp_matches(p_name, '^a|[0-9]$')")
+            "SELECT p_partkey, 'name' AS rule, 'info' AS severity, p_name AS value FROM part WHERE regexp_matches(p_name, '^l|[gt]$')")
 _rule_query("rule_length", "documents", "doc_id", "length",
             "SELECT doc_id, 'length' AS rule, 'warning' AS severity, text AS value FROM documents WHERE length(text) < 50 OR length(text) > 5000")
 _rule_query("rule_enum", "customer", "c_custkey", "segment",
@@ -148,7 +131,7 @@ _rule_query("rule_enum", "customer", "c_custkey", "segment",
 
 _PART_VIOLATIONS = """SELECT p_partkey, 'size' AS rule, 'error' AS severity, 'p_size' AS field, cast(p_size AS VARCHAR) AS value FROM part WHERE p_size < 5 OR p_size > 45
 UNION ALL SELECT p_partkey, 'brand', 'warning', 'p_brand', p_brand FROM part WHERE p_brand NOT IN ('Brand#11', 'Brand#12', 'Brand#13')
-UNION ALL SELECT p_partkey, 'name', 'info', 'p_name', p_name FROM part WHERE regexp_matches(p_name, '^a|[0-9]$')
+UNION ALL SELECT p_partkey, 'name', 'info', 'p_name', p_name FROM part WHERE regexp_matches(p_name, '^l|[gt]$')
 UNION ALL SELECT p_partkey, 'short', 'info', 'p_name', p_name FROM part WHERE length(p_name) > 10"""
 _COUNTS = "count(*) FILTER (severity = 'error') AS errors, count(*) FILTER (severity = 'warning') AS warnings, count(*) FILTER (severity = 'info') AS infos"
 
@@ -388,26 +371,24 @@ def sanitize_filenames(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- files and state --------------------------------------------------------------------------
 
 
-def _monthly(spark: SparkSession, sf_dir: str) -> DataFrame:
-    month = F.date_format("o_orderdate", "yyyyMM")
-    return table(spark, sf_dir, "orders").where(F.col("o_orderkey") % 50 == 1).select(
-        F.concat(F.lit("f"), F.col("o_orderkey").cast("string"), F.when(F.col("o_orderkey") % 3 == 0, ".txt").otherwise(".xml.gz")).alias("file"), month.alias("version"))
-
+_LISTED = """SELECT 'f' || o_orderkey || CASE WHEN o_orderkey % 5 = 2 THEN '.txt' ELSE '.xml.gz' END AS file, lpad(cast(o_orderkey // 5 AS VARCHAR), 9, '0') AS version FROM orders"""
 
-_MONTHLY = """SELECT 'f' || o_orderkey || CASE WHEN o_orderkey % 3 = 0 THEN '.txt' ELSE '.xml.gz' END AS file, strftime(o_orderdate, '%Y%m') AS version FROM orders WHERE o_orderkey % 50 = 1"""
 
-
-@query(f"""WITH f AS ({_MONTHLY}) SELECT file, version FROM f WHERE version = (SELECT max(version) FROM (
+@query(f"""WITH f AS ({_LISTED}) SELECT file, version FROM f WHERE version = (SELECT max(version) FROM (
 SELECT version FROM f GROUP BY version HAVING count(*) = 5 AND count(*) FILTER (file LIKE '%.xml.gz') = 4))""")
 def latest_complete_version(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """S7."""
-    return files.latest_complete(_monthly(spark, sf_dir)).select("file", "version")
+    """Five orders in a row make a version, one of them a checksum list."""
+    key = F.col("o_orderkey")
+    name = F.concat(F.lit("f"), key.cast("string"), F.when(key % 5 == 2, ".txt").otherwise(".xml.gz"))
+    listed = table(spark, sf_dir, "orders").select(name.alias("file"), F.lpad(F.floor(key / 5).cast("string"), 9, "0").alias("version"))
+    return files.latest_complete(listed).select("file", "version")
 
 
-@query("SELECT c_custkey AS file FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders)")
+@query("SELECT c_custkey AS file FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_orderstatus = 'F')")
 def pending_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """L2: an anti-join."""
-    return state.pending_files(table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("file")), table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("file")))
+    done = table(spark, sf_dir, "orders").where("o_orderstatus = 'F'").select(F.col("o_custkey").alias("file"))
+    return state.pending_files(table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("file")), done)
 
 
 @query("""SELECT a.p_partkey AS file, md5(cast(p_size AS VARCHAR)) AS old_sha256, md5(cast(p_size % 7 AS VARCHAR)) AS sha256 FROM part a WHERE p_size <> p_size % 7""")
@@ -444,11 +425,12 @@ def file_checksums(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "pages").select("page_id", files.file_sha256(F.col("html").cast("binary")).alias("sha256"))
 
 
-@query("""SELECT event_type AS data_type, count(*) AS records, cast(sum(cast(floor(value) AS BIGINT)) AS BIGINT) AS total FROM events GROUP BY 1""")
+@query("""SELECT cast(sum(cast(floor(value) AS BIGINT)) AS BIGINT) AS records, cast(sum(user_id) AS BIGINT) AS messages, count(*) FILTER (event_type = 'view') AS files FROM events""")
 def phase_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A8, A10."""
-    return table(spark, sf_dir, "events").groupBy(F.col("event_type").alias("data_type")).agg(
-        F.count("*").alias("records"), F.sum(F.floor("value").cast("long")).cast("long").alias("total"))
+    """A10."""
+    events = table(spark, sf_dir, "events")
+    return report.phase_totals(events.select(
+        F.floor("value").cast("long").alias("records"), F.col("user_id").alias("messages"), F.when(F.col("event_type") == "view", "completed").otherwise("pending").alias("status")))
 
 
 @query("""SELECT event_type AS data_type, max(ts) AS last FROM events GROUP BY 1 HAVING date_diff('second', max(ts), TIMESTAMP '2030-01-01 00:00:00') > 120 AND NOT bool_and(event_type = 'view')""")
@@ -482,7 +464,7 @@ def dump_file_names(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("""SELECT p_partkey, p_name AS name, CAST(p_size AS VARCHAR) AS size, CASE WHEN p_size % 2 = 0 THEN p_brand ELSE '' END AS brands, CASE WHEN p_size % 2 = 0 THEN 1 ELSE 0 END AS n FROM part""")
 def unwrap_and_strip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Attribute prefixes, containers and lone values."""
+    """Attribute prefixes, containers and lone values."""
     part = table(spark, sf_dir, "part")
     one = record(**{"@size": F.col("p_size").cast("string"), "#text": F.col("p_name"), "brands": F.parse_json(
         F.when(F.col("p_size") % 2 == 0, F.to_json(F.struct(F.col("p_brand").alias("brand")))).otherwise("null"))})
@@ -494,11 +476,8 @@ def unwrap_and_strip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("SELECT n_nationkey AS id, n_name AS name, CASE WHEN n_regionkey = 0 THEN NULL ELSE n_regionkey END AS region FROM nation")
 def xml_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A table written as gzip XML to the shared work folder and read back."""
-    import uuid
-
-    base = spark.conf.get("spark.checkpoint.dir", None) or f"{spark.conf.get('spark.sql.warehouse.dir')}/_work"
-    path = f"{base}/xml-{uuid.uuid4().hex}"
+    """A table written as gzip XML to the shared work folder and read back."""
+    path = work_folder(spark)
     region = F.when(F.col("n_regionkey") == 0, "<region/>").otherwise(F.concat(F.lit("<region>"), F.col("n_regionkey").cast("string"), F.lit("</region>")))
     rows = table(spark, sf_dir, "nation").select(F.concat(F.lit('<artist id="'), F.col("n_nationkey").cast("string"), F.lit('"><name>'), "n_name", F.lit("</name>"), region, F.lit("</artist>")).alias("value"))
     rows.write.option("compression", "gzip").text(path)

@@ -2,24 +2,34 @@
 
 from __future__ import annotations
 
+import logging
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
+from datetime import UTC, datetime
 from functools import reduce
+from threading import Event, Thread
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark import Accumulator
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from dumpmill.operators import report
 from dumpmill.operators.blocks import attach_blocks
 from dumpmill.operators.normalize import normalize
 from dumpmill.operators.policy import apply_filters, split_skipped, violations, violations_long
-from dumpmill.operators.state import CONTINUE, SKIP, load_marker, save_marker
+from dumpmill.operators.state import REPROCESS, SKIP, load_marker, save_marker
+from dumpmill.operators.status import Config
 from dumpmill.plans.policy import Policy
 from dumpmill.sinks import events as E
+from dumpmill.sources import Source
+from dumpmill.sources.files import stream_sha256
 from dumpmill.sources.manifest import read_manifest
 from dumpmill.sources.xml import NAME, check_faults, read_dump
 
+LOG = logging.getLogger("dumpmill")
+
 
 @dataclass(frozen=True)
 class Prepared:
@@ -48,89 +58,163 @@ def prepare(parsed: DataFrame, entity: str, policy: Policy | None = None, provid
 
 
 def quality_tables(parts: list[Prepared]) -> dict[str, DataFrame]:
-    """The inputs of ``report.render`` over several entities."""
+    """The inputs of ``report.render`` over several entities. A text lists up to 1,000 ids of a reason; all are in the flagged output."""
     union = lambda frames: reduce(lambda a, b: a.unionByName(b), frames)
     return {
         "totals": report.record_totals(union([p.parsed.select("data_type") for p in parts])),
         "violations": report.violation_counts(union([violations_long(p.checked, "data_type") for p in parts])),
-        "skips": report.skip_counts(union([p.skipped.select("data_type", "id", "_skip") for p in parts])),
+        "skips": report.skip_counts(union([p.skipped.select("data_type", "id", "_skip") for p in parts]), 1000),
         "repairs": report.repair_counts(union([p.checked.select("data_type", "actions") for p in parts])),
     }
 
 
+@contextmanager
+def watched(sent: Accumulator, every: int, save: Callable[[int], None]) -> Iterator[None]:
+    """Calls ``save`` with the count whenever it has grown by ``every`` while the block runs."""
+    ended = Event()
+
+    def look() -> None:
+        last = 0
+        while not ended.wait(0.5):
+            if sent.value - last >= every:
+                last = sent.value
+                save(last)
+
+    thread = Thread(target=look, daemon=True)
+    thread.start()
+    try:
+        yield
+    finally:
+        ended.set()
+        thread.join()
+
+
 def process_file(
-    spark: SparkSession, path: str, out: str, policy: Policy | None = None, provider: str = "catalog", prefix: str = "catalog",
-    publish: Callable[[list[str]], int] | None = None,
+    spark: SparkSession, path: str, out: str, policy: Policy | None = None, config: Config | None = None, publish: E.Send | None = None,
+    on_progress: Callable[[int], None] | None = None,
 ) -> tuple[str, int, int]:
     """Read one dump, write its events (and flagged records under a policy), then its completion.
 
     Returns (entity, records that the parser read, events). Results that several outputs need are
-    written once under ``out/_work``; the completion event follows the data.
+    written once under ``out/_work`` and removed at the end; the completion event follows the data.
+    With ``publish``, events go to the adapter in batches and at the rate of ``config``, not to files.
     """
+    config = config or Config()
     entity = spark.range(1).select(F.regexp_extract(F.lit(path), NAME, 3)).head()[0]
     if not entity:
         raise ValueError(f"{path} is no dump file")
-    raw = f"{out}/_work/{uuid.uuid4().hex}"
-    read_dump(spark, path, entity, capture_raw=policy is not None).withColumn("data", F.to_json(F.to_variant_object("data"))).write.parquet(raw)
-    parsed = spark.read.parquet(raw).withColumn("data", F.parse_json("data").cast("map<string,variant>"))
+    work = f"{out}/_work/{uuid.uuid4().hex}"
+    read_dump(spark, path, entity, capture_raw=policy is not None).withColumn("data", F.to_json(F.to_variant_object("data"))).write.parquet(f"{work}/raw")
+    parsed = spark.read.parquet(f"{work}/raw").withColumn("data", F.parse_json("data").cast("map<string,variant>"))
     check_faults(parsed)
-    own = prepare(parsed, entity, policy, provider)
+    own = prepare(parsed, entity, policy, config.provider)
     total = own.parsed.count()
     data = E.data_events(own.records)
     if publish:
-        sent = E.publish(data.repartition("file").sortWithinPartitions("seq"), publish)
+        data.write.parquet(f"{work}/events")  # made once, though cutting into ranges reads it twice
+        ready, count = spark.read.parquet(f"{work}/events"), spark.sparkContext.accumulator(0)
+        tasks = max(spark.sparkContext.defaultParallelism, -(-total // config.checkpoint_every))
+        with watched(count, config.checkpoint_every, on_progress or (lambda n: None)):
+            sent = E.publish(ready, publish, config.batch_size, config.rate, config.prefix, tasks, sent=count)
     else:
-        E.write_events(data, f"{out}/events", prefix)
-        sent = data.count()
+        seen = Observation()
+        E.write_events(data.observe(seen, F.count(F.lit(1)).alias("n")), f"{out}/events", config.prefix)
+        sent = seen.get["n"]
     if policy is not None:
         long = violations_long(own.checked, "data_type", "id", "file")
         E.write_lines(E.violation_lines(long), f"{out}/flagged/violations")
         E.write_lines(E.skip_lines(own.skipped), f"{out}/flagged/skipped")
         flagged = long.select("data_type", "id", "severity").unionByName(own.skipped.select("data_type", "id", F.lit(None).cast("string").alias("severity")))
         E.captures(own.parsed, flagged).write.mode("append").partitionBy("data_type").json(f"{out}/flagged/captures")
-        E.write_text(spark, f"{out}/flagged/report_{entity}.txt", report.render(**quality_tables([own])))
+        text = report.render(**quality_tables([own]))
+        E.write_text(spark, f"{out}/flagged/report_{entity}.txt", text)
+        if report.has_findings(text):
+            LOG.warning("%s", text)
     done = spark.createDataFrame([(path, entity, total)], "file string, data_type string, records long")
-    E.write_events(E.file_complete_events(done), f"{out}/events", prefix)
+    _complete(E.file_complete_events(done), out, config, publish)
+    E.removed(spark, work)
     return entity, total, sent
 
 
-def run_manifest(spark: SparkSession, manifest: str, out: str, **options) -> tuple[str, int, int]:
+def _complete(events: DataFrame, out: str, config: Config, publish: E.Send | None) -> None:
+    if publish:
+        E.publish_completion(events, publish, config.prefix)
+    else:
+        E.write_events(events, f"{out}/events", config.prefix)
+
+
+def run_manifest(spark: SparkSession, manifest: str, out: str, config: Config | None = None, publish: E.Send | None = None, **options) -> tuple[str, int, int]:
     """The file that a manifest names, and the completion of the whole extraction."""
     own = read_manifest(spark, manifest)
-    entity, total, sent = process_file(spark, own.path, out, **options)
+    started = F.lit(datetime.now(UTC))
+    entity, total, sent = process_file(spark, own.path, out, config=config, publish=publish, **options)
     counts = spark.createDataFrame([(entity, total)], "data_type string, records long")
-    E.write_events(
-        E.extraction_complete_events(report.record_counts(counts), own.version, F.current_timestamp()), f"{out}/events", options.get("prefix", "catalog"))
+    _complete(E.extraction_complete_events(report.record_counts(counts), own.version, started), out, config or Config(), publish)
     return entity, total, sent
 
 
-def run_version(spark: SparkSession, paths: list[str], version: str, out: str, state: str, force: bool = False, **options) -> dict[str, int]:
+def run_version(
+    spark: SparkSession, paths: list[str], version: str, out: str, state: str, force: bool = False, config: Config | None = None,
+    publish: E.Send | None = None, stop: Callable[[], bool] = lambda: False, **options,
+) -> dict[str, int]:
     """All dumps of a version, file by file, with a marker in ``state``.
 
-    A file is completed after its data and its completion event; the marker is closed after the
-    event that ends the extraction. A run that was cut off goes on with the files that are open.
+    Landed files are hashed first; a completed file whose bytes are others now is processed again, also in a
+    version that was complete. A file is completed after its data and its completion event; the marker is closed
+    after the event that ends the extraction. A run that was cut off goes on with the files that are open, and
+    so does one that ``stop`` ended: it is asked before each file.
     """
+    config = config or Config()
     marker = load_marker(spark, state, version)
     decision = marker.decide(force)
-    if decision == SKIP:
-        return {}
-    if decision != CONTINUE:
+    if decision == REPROCESS:
         marker = type(marker)(version)
+    names = {p.rsplit("/", 1)[-1]: p for p in paths}
+    if decision != SKIP:
+        marker.phases["download"].start()
+        save_marker(spark, state, marker)
+    try:
+        changed = [name for name, path in names.items() if marker.file_verified(name, stream_sha256(spark, path))]
+    except Exception as e:
+        marker.phases["download"].finish(f"{type(e).__name__}: {e}")
+        save_marker(spark, state, marker)
+        raise
+    if decision == SKIP and not changed:
+        return {}
+    marker.phases["download"].finish()
     marker.phases["processing"].start()
     save_marker(spark, state, marker)
-    names = {p.rsplit("/", 1)[-1]: p for p in paths}
     done: dict[str, int] = {}
     for name in marker.pending(list(names)):
+        if stop():
+            return done
         marker.start_file(name)
         save_marker(spark, state, marker)
-        _, total, sent = process_file(spark, names[name], out, **options)
+
+        def advance(n: int, name: str = name) -> None:
+            marker.advance_file(name, n)
+            save_marker(spark, state, marker)
+
+        try:
+            _, total, sent = process_file(spark, names[name], out, config=config, publish=publish, on_progress=advance, **options)
+        except Exception as e:
+            marker.phases["processing"].finish(f"{name}: {type(e).__name__}: {e}")
+            save_marker(spark, state, marker)
+            raise
         marker.complete_file(name, total, sent)
         save_marker(spark, state, marker)
         done[name] = total
     rows = [(name.rsplit("_", 1)[-1].split(".")[0], f.records) for name, f in marker.files.items()]
     counts = spark.createDataFrame(rows, "data_type string, records long")
     started = F.to_timestamp(F.lit(marker.started_at))
-    E.write_events(E.extraction_complete_events(report.record_counts(counts), version, started), f"{out}/events", options.get("prefix", "catalog"))
+    _complete(E.extraction_complete_events(report.record_counts(counts), version, started), out, config, publish)
     marker.complete()
     save_marker(spark, state, marker)
     return done
+
+
+def run_latest(spark: SparkSession, source: Source, out: str, state: str, **options) -> dict[str, int]:
+    """``run_version`` of a source's newest complete version; nothing where it has none."""
+    if (version := source.latest()) is None:
+        return {}
+    return run_version(spark, source.paths(version), version, out, state, **options)

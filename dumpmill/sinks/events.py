@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Iterator
 
+from pyspark import Accumulator
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -68,15 +69,23 @@ def write_events(events: DataFrame, path: str, prefix: str = "catalog", mode: st
     own.write.mode(mode).partitionBy("exchange").text(path)
 
 
-def publish(events: DataFrame, send: Callable[[list[str]], int], size: int = 100, rate: float | None = None) -> int:
-    """Hand frames to an adapter in batches of ``size`` from the executors.
+#: Takes an exchange and frames, sends them all, then waits for their confirmations; returns how many were
+#: confirmed, and raises (or returns fewer) if one was returned, refused or late.
+Send = Callable[[str, list[str]], int]
 
-    ``send`` takes a list of frames, sends them all, then waits for their confirmations and returns
-    how many were confirmed; it raises (or returns fewer) if one was returned, refused or late, which
-    fails the task, and Spark tries it again. Order within a partition is kept. ``rate`` bounds the
-    frames a second of all partitions together.
+
+def publish(events: DataFrame, send: Send, size: int = 100, rate: float | None = None, prefix: str = "catalog", tasks: int | None = None,
+            wait: float = 1.0, sent: Accumulator | None = None) -> int:
+    """Hand the frames of ``events`` (data_type, file, seq, value) to an adapter from the executors.
+
+    Each file is cut into ranges by place, ``tasks`` of them in all, so a file of any size is sent by many tasks;
+    within a range frames keep their order. A batch has ``size`` frames of one exchange, or fewer once ``wait``
+    seconds have passed. A batch that is not confirmed fails its task, and Spark tries it again. ``rate`` bounds
+    the frames a second of all tasks together: each has its share of it. ``sent`` counts frames as tasks end.
     """
-    share = rate / max(1, events.select(F.spark_partition_id()).distinct().count()) if rate else None
+    context = events.sparkSession.sparkContext
+    tasks = tasks or context.defaultParallelism
+    share = rate / min(tasks, context.defaultParallelism) if rate else None
 
     def run(rows: Iterator) -> Iterator:
         import time
@@ -84,18 +93,48 @@ def publish(events: DataFrame, send: Callable[[list[str]], int], size: int = 100
         import pyarrow as pa
 
         done, start = 0, time.monotonic()
-        for batch in rows:
-            frames = batch.column("value").to_pylist()
-            for at in range(0, len(frames), size):
-                part = frames[at : at + size]
-                if (n := send(part)) != len(part):
-                    raise RuntimeError(f"{len(part) - n} of {len(part)} messages were not confirmed")
+        kind, held, last = None, [], start
+
+        def flush() -> None:
+            nonlocal done, held, last
+            if held:
+                if (n := send(exchange(prefix, kind), held)) != len(held):
+                    raise RuntimeError(f"{len(held) - n} of {len(held)} messages were not confirmed")
                 done += n
                 if share:
                     time.sleep(max(0.0, start + done / share - time.monotonic()))
+            held, last = [], time.monotonic()
+
+        for batch in rows:
+            for entity, frame in zip(batch.column("data_type").to_pylist(), batch.column("value").to_pylist(), strict=True):
+                if entity != kind:
+                    flush()
+                    kind = entity
+                held.append(frame)
+                if len(held) >= size:
+                    flush()
+            if time.monotonic() - last > wait:
+                flush()
+        flush()
+        if sent is not None:
+            sent.add(done)
         yield pa.RecordBatch.from_pydict({"sent": pa.array([done], pa.int64())})
 
-    return events.select("value").mapInArrow(run, "sent long").agg(F.sum("sent")).head()[0] or 0
+    ranges = events.repartitionByRange(tasks, "file", "seq").sortWithinPartitions("file", "seq") if tasks > 1 else events.coalesce(1).sortWithinPartitions("file", "seq")
+    return ranges.select("data_type", "value").mapInArrow(run, "sent long").agg(F.sum("sent")).head()[0] or 0
+
+
+def publish_completion(events: DataFrame, send: Send, prefix: str = "catalog") -> None:
+    """The one frame of each entity (data_type, value) to its exchange. All are tried before the errors are raised."""
+    errors = []
+    for entity, frame in events.select("data_type", "value").orderBy("data_type").collect():
+        try:
+            if send(exchange(prefix, entity), [frame]) != 1:
+                raise RuntimeError("not confirmed")
+        except Exception as e:  # noqa: BLE001  other consumers must still hear of the end
+            errors.append(f"{entity}: {e}")
+    if errors:
+        raise RuntimeError(f"completion was not sent to {len(errors)} exchange(s): {'; '.join(errors)}")
 
 
 def violation_lines(long: DataFrame, now: Column | None = None) -> DataFrame:
@@ -135,7 +174,8 @@ def write_lines(lines: DataFrame, path: str, mode: str = "append") -> None:
 
 
 def write_text(spark: SparkSession, path: str, text: str) -> None:
-    """A small text (a report, a marker) written whole: to a temporary name first, then renamed."""
+    """A small text (a report, a marker) written whole: to ``path.part`` first, then renamed. A crash in between
+    leaves the text under either name, and ``read_text`` looks for both."""
     jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
     target, part = jvm.org.apache.hadoop.fs.Path(path), jvm.org.apache.hadoop.fs.Path(f"{path}.part")
     fs = target.getFileSystem(conf)
@@ -153,8 +193,15 @@ def write_text(spark: SparkSession, path: str, text: str) -> None:
 def read_text(spark: SparkSession, path: str) -> str | None:
     """The text of a small file, None where there is none."""
     jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
-    target = jvm.org.apache.hadoop.fs.Path(path)
-    if not target.getFileSystem(conf).exists(target):
-        return None
-    row = spark.read.text(path, wholetext=True).head()
-    return row[0] if row else ""
+    for name in (path, f"{path}.part"):
+        target = jvm.org.apache.hadoop.fs.Path(name)
+        if target.getFileSystem(conf).exists(target):
+            row = spark.read.text(name, wholetext=True).head()
+            return row[0] if row else ""
+    return None
+
+
+def removed(spark: SparkSession, path: str) -> None:
+    """Remove a folder of working tables."""
+    own = spark._jvm.org.apache.hadoop.fs.Path(path)
+    own.getFileSystem(spark._jsc.hadoopConfiguration()).delete(own, True)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import datetime, timedelta
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
@@ -37,6 +38,11 @@ def ingest_stream(
     return (writer.trigger(availableNow=True) if once else writer.trigger(processingTime="10 seconds")).start()
 
 
+def due(last: datetime | None, now: datetime, days: int = 15, asked: bool = False) -> bool:
+    """Whether a scheduler should start a run: never run before, ``days`` since the last start, or asked for by hand."""
+    return asked or last is None or now - last >= timedelta(days=days)
+
+
 def deduplicated(events: DataFrame, delay: str = "7 days") -> DataFrame:
     """A stream of events (ts, data_type, id, sha256, ...) without repeats inside the delay: what a
     consumer of the at-least-once output applies."""

@@ -6,7 +6,8 @@ import os
 
 import pytest
 
-from dumpmill.queries import ORACLES, QUERIES
+import dumpmill.queries_ingest  # noqa: F401
+from dumpmill.registry import ORACLES, QUERIES
 
 
 def norm(v):
@@ -43,3 +44,4 @@ def con(sf_dir):
 def test_query(spark, con, sf_dir, name):
     df = QUERIES[name](spark, sf_dir)
     compare(df, con, ORACLES[name])
+    assert con.sql(f"SELECT count(*) FROM ({ORACLES[name]})").fetchall()[0][0] > 0

@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from dumpmill.operators import report, state
+from dumpmill.operators.status import Config
 from dumpmill.plans.policy import parse_policy
 from dumpmill.run import process_file, run_manifest, run_version
 from dumpmill.sinks import events as E
@@ -56,7 +57,7 @@ def test_one_file(spark, tmp_path):
     assert [(s["record_id"], s["reason"]) for s in skipped] == [("r3", "junk")]
     assert {r.name for r in spark.read.json(f"{tmp_path}/out/flagged/captures").collect()} == {"r2", "r3"}
     text = (tmp_path / "out/flagged/report_releases.txt").read_text()
-    assert "releases: 3 records" in text and "missing-title: 1 errors" in text and "skipped: 1 junk (r3)" in text and "repaired: 1 values in 1 records of released" in text
+    assert "releases: 3 records" in text and "releases: 3 records, 1 errors, 1 warnings" in text and "missing-title: 1 errors" in text and "skipped: 1 junk (r3)" in text and "repaired: 1 values in 1 records of released" in text
 
 
 def test_manifest(spark, tmp_path):
@@ -81,28 +82,96 @@ def test_versions_resume(spark, tmp_path):
     marker = state.Marker("20240101")
     marker.start_file("cat_20240101_releases.xml.gz")
     marker.complete_file("cat_20240101_releases.xml.gz", 3, 3)
+    marker.phases["download"].start()  # cut off while files were checked: completed files stay
     state.save_marker(spark, state_dir, marker)
-    assert run_version(spark, paths, "20240101", f"{tmp_path}/out", state_dir) == {"cat_20240101_artists.xml.gz": 1}
-    assert run_version(spark, paths, "20240101", f"{tmp_path}/out", state_dir) == {}
+    run = lambda **own: run_version(spark, paths, "20240101", f"{tmp_path}/out", state_dir, **own)
+    assert run(stop=lambda: True) == {} and state.load_marker(spark, state_dir, "20240101").status == state.PENDING
+    assert run() == {"cat_20240101_artists.xml.gz": 1}
+    assert run() == {}
     got = [e for e in events(spark, f"{tmp_path}/out", "masters")]
-    assert got[0]["record_counts"] == {"artists": 1, "releases": 3} and got[0]["started_at"] == marker.started_at
+    assert len(got) == 1 and got[0]["record_counts"] == {"artists": 1, "releases": 3} and got[0]["started_at"] == marker.started_at
+    assert not (tmp_path / "out/_work").exists() or not list((tmp_path / "out/_work").iterdir())
+    dump(tmp_path, "artists", "<artists><artist><id>b</id></artist><artist><id>c</id></artist></artists>")  # other bytes of a complete version
+    assert run() == {"cat_20240101_artists.xml.gz": 2}
+    assert sorted(e["id"] for e in events(spark, f"{tmp_path}/out", "artists") if e["type"] == "data") == ["a", "b", "c"]
+    (tmp_path / "cat_20240101_artists.xml.gz").unlink()
+    with pytest.raises(Exception):  # noqa: B017
+        run(force=True)
+    failed = state.load_marker(spark, state_dir, "20240101")
+    assert failed.phases["download"].status == state.FAILED and failed.decide() == state.REPROCESS
 
 
 def test_marker():
     m = state.Marker("v")
-    assert m.decide() == state.REPROCESS
+    assert m.decide() == state.CONTINUE
     m.start_file("a")
     assert m.decide() == state.CONTINUE and m.pending(["a", "b"]) == ["a", "b"]
     m.file_verified("a", "h1")
     m.complete_file("a", 5, 4)
     assert m.pending(["a", "b"]) == ["b"] and m.totals() == (5, 4)
-    assert not m.file_verified("a", "h1") and m.file_verified("a", "h2") and m.pending(["a"]) == ["a"]
+    for status in (state.FAILED, state.RUNNING):
+        m.phases["download"].status = status
+        assert m.decide() == state.CONTINUE and state.Marker("v", phases={**m.phases}).decide() == state.REPROCESS
+    m.phases["download"].finish()
     m.complete()
     assert m.decide() == state.SKIP and m.decide(force=True) == state.REPROCESS
     assert state.Marker.from_json(m.to_json(), "v").to_json() == m.to_json()
     for broken in (None, "", "{", "[]", "{\"version\": \"v\"}", m.to_json()[:40]):
         assert state.Marker.from_json(broken, "v").files == {}
     assert state.Marker.from_json(m.to_json(), "w").status == state.PENDING
+    assert not m.file_verified("a", "h1") and m.file_verified("a", "h2") and m.pending(["a"]) == ["a"]
+    assert m.totals() == (0, 0) and m.decide() == state.CONTINUE and m.phases["processing"].status == state.RUNNING
+    m.complete_file("b", 1, 1)  # completed before hashes were noted
+    assert not m.file_verified("b", "h3") and m.pending(["b"]) == []
+
+
+def test_text_survives_a_crash_between_its_two_steps(spark, tmp_path):
+    E.write_text(spark, f"{tmp_path}/m.json", "one")
+    E.write_text(spark, f"{tmp_path}/m.json", "two")
+    assert E.read_text(spark, f"{tmp_path}/m.json") == "two" and not (tmp_path / "m.json.part").exists()
+    (tmp_path / "m.json").rename(tmp_path / "m.json.part")
+    assert E.read_text(spark, f"{tmp_path}/m.json") == "two" and E.read_text(spark, f"{tmp_path}/other") is None
+
+
+def test_run_through_an_adapter(spark, tmp_path):
+    """Every frame reaches its exchange, in order within a batch, at the size of the settings; completions follow the data."""
+    path, box = dump(tmp_path), tmp_path / "box"
+    box.mkdir()
+    folder = str(box)
+
+    def send(exchange, frames):
+        import os
+        import uuid
+
+        with open(os.path.join(folder, f"{exchange}-{uuid.uuid4().hex}"), "w") as f:
+            f.write("\n".join(frames))
+        return len(frames)
+
+    config = Config(batch_size=1, rate=1000, checkpoint_every=1, prefix="p", provider="q")
+    done = run_version(spark, [str(path)], "20240101", f"{tmp_path}/out", f"{tmp_path}/state", config=config, publish=send)
+    assert done == {path.name: 3}
+    got = [(f.name.rsplit("-", 1)[0], [json.loads(x) for x in f.read_text().split("\n")]) for f in box.iterdir()]
+    assert all(len(frames) == 1 for _, frames in got)
+    kinds = sorted((name, frames[0]["type"]) for name, frames in got)
+    assert kinds == sorted([("p-releases", "data")] * 3 + [("p-releases", "file_complete")] + [(f"p-{e}", "extraction_complete") for e in ("artists", "labels", "masters", "releases")])
+    assert {f[0]["media"]["items"][0]["source"]["provider"] for _, f in got if f[0].get("id") == "r1"} == {"q"}
+
+
+def test_newest_version_of_a_folder(spark, tmp_path):
+    from dumpmill.run import run_latest
+    from dumpmill.sources import FolderSource
+
+    for entity in ("artists", "labels", "masters", "releases"):
+        one = entity[:-1]
+        path = dump(tmp_path, entity, f"<{entity}><{one} id=\"1\"><x>y</x></{one}></{entity}>")
+    assert FolderSource(spark, str(tmp_path)).latest() is None
+    assert run_latest(spark, FolderSource(spark, str(tmp_path)), f"{tmp_path}-out", f"{tmp_path}-state") == {}
+    (tmp_path / "cat_20240101_CHECKSUM.txt").write_text(f"{hashlib.sha256(path.read_bytes()).hexdigest()} *{path.name}\n")
+    source = FolderSource(spark, str(tmp_path))
+    assert source.latest() == "20240101" and len(source.paths("20240101")) == 4
+    assert files.verified(spark, str(path), source.checksums("20240101")).head().ok
+    done = run_latest(spark, source, f"{tmp_path}-out", f"{tmp_path}-state")
+    assert len(done) == 4 and set(done.values()) == {1}
 
 
 def test_files(spark, tmp_path):
@@ -132,17 +201,34 @@ def test_files(spark, tmp_path):
 
 
 def test_publish_fails_on_unconfirmed(spark):
-    df = spark.createDataFrame([(str(i),) for i in range(25)], "value string").coalesce(1)
-    assert E.publish(df, len, 10) == 25
+    df = spark.createDataFrame([("t", "f", i, str(i)) for i in range(25)], "data_type string, file string, seq long, value string")
+    count = lambda exchange, frames: len(frames)
+    assert E.publish(df, count, 10) == 25 and E.publish(df, count, 10, tasks=4) == 25
     with pytest.raises(Exception, match="not confirmed"):
-        E.publish(df, lambda frames: len(frames) - 1, 10)
+        E.publish(df, lambda exchange, frames: len(frames) - 1, 10)
     import time
 
-    start = time.time()
-    assert E.publish(df, len, 5, rate=25) == 25 and time.time() - start > 0.9
+    for tasks in (1, 4):  # the rate is that of all tasks together
+        start = time.time()
+        assert E.publish(df, count, 5 if tasks == 1 else 2, rate=25, tasks=tasks) == 25 and time.time() - start > 0.7
     assert E.exchange("p", "artists") == "p-artists" and E.queue("p", "artists", "c") == "p-artists-c"
 
 
+def test_completion_goes_to_all_before_errors_are_raised(spark):
+    df = spark.createDataFrame([(e, "x") for e in ("artists", "labels", "masters", "releases")], "data_type string, value string")
+    heard = []
+
+    def send(exchange, frames):
+        heard.append(exchange)
+        if exchange.endswith(("artists", "masters")):
+            raise OSError("closed")
+        return 1
+
+    with pytest.raises(RuntimeError, match="2 exchange.*artists: closed; masters: closed"):
+        E.publish_completion(df, send, "p")
+    assert heard == ["p-artists", "p-labels", "p-masters", "p-releases"]
+
+
 def test_report_parts(spark):
     a = spark.createDataFrame([("t", "r", 1, 0, 0)], "data_type string, rule string, errors long, warnings long, infos long")
     both = report.merged([a, a], ["data_type", "rule"])
@@ -189,9 +275,11 @@ def test_shipped_policy(spark):
         "artists": (["empty-artist-name"], []), "labels": (["empty-label-name"], []), "masters": ([], ["genres.genre", "year"])}
 
 
-def test_settings_and_snapshots():
-    from dumpmill.operators.status import Config, snapshot
+def test_settings_and_snapshots(tmp_path):
+    from dumpmill.operators.status import snapshot
 
+    (tmp_path / "name").write_text("secret\n")
+    assert Config.from_env({"DUMPMILL_PREFIX_FILE": f"{tmp_path}/name"}) == Config(prefix="secret")
     assert Config.from_env({"DUMPMILL_RATE": "0", "DUMPMILL_BATCH_SIZE": "x", "DUMPMILL_PREFIX": "p"}) == Config(rate=1, prefix="p")
     assert snapshot(None)["status"] == "idle" and snapshot(None, "broken")["status"] == "failed"
     m = state.Marker("v")
@@ -203,6 +291,21 @@ def test_settings_and_snapshots():
     assert snapshot(m)["status"] == "completed" and snapshot(m)["progress"] == {"artists": 5, "total": 5}
 
 
+def test_runs_are_due():
+    from datetime import datetime, timedelta
+
+    from dumpmill.streaming.ingest import due
+
+    now = datetime(2024, 3, 1)
+    assert due(None, now) and due(now, now, asked=True) and due(now - timedelta(days=15), now) and not due(now - timedelta(days=14), now)
+
+
+def test_vocabularies_are_unchanged():
+    from dumpmill.operators.blocks import changed_vocabularies
+
+    assert changed_vocabularies() == []
+
+
 def test_vocabularies_are_closed():
     from dumpmill.operators.blocks import vocabulary
 
