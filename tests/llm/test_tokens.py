@@ -67,12 +67,10 @@ def test_decode_operator_and_odd_tables(spark):
         bpe.decode(bad, PATH).collect()
 
 
-@pytest.mark.parametrize("name", ["word_bpe_49k.json", "byte_bpe_50k.json"])
-def test_token_counts(spark, name):
-    if name != "word_bpe_49k.json":
-        pytest.skip("counts add up over white space only where the vocabulary drops it")
+def test_token_counts(spark):
     from tokenizers import Tokenizer
 
+    name = "word_bpe_49k.json"
     own = texts(4, 40) + ODD + ["<|startoftext|>a<|endoftext|>", "Á Σ ΣΑΣ", "no break"]
     library = Tokenizer.from_file(public_tokenizers.path(name))
     got = {r.doc_id: r.n_tokens for r in tokens.token_counts(with_ids(spark, own), public_tokenizers.path(name)).collect()}
