@@ -9,7 +9,9 @@ the cut leaves open is filled by the single document of the nearest size.
 A target above a source's size takes every document that many whole times and the rest by hash.
 Nulls: a null source is a source of its own (last in order), a null text has size 0, and a null
 doc_id is hashed as an empty string. Rows with the same doc_id share a hash and are taken together.
-An empty table gives no rows.
+An empty table gives no rows. Texts of any length are counted in the JVM. The row is boxed where texts are kept, so
+other columns cannot clash. The table of sources, a row for each, is windowed in one task: sources are taken
+to be names of corpora (some million at most), not of pages.
 """
 
 from __future__ import annotations
