@@ -8,6 +8,7 @@ at-least-once: a file that is read again is written again under the same keys (i
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Iterator
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark import Accumulator
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -72,15 +73,31 @@ def write_events(events: DataFrame, path: str, prefix: str = "catalog", mode: st
 #: Takes an exchange and frames, sends them all, then waits for their confirmations; returns how many were
 #: confirmed, and raises (or returns fewer) if one was returned, refused or late.
 Send = Callable[[str, list[str]], int]
+#: Seconds that an adapter has for a batch.
+TIMEOUT = 30.0
+
+
+def confirmed(send: Send, name: str, frames: list[str], timeout: float = TIMEOUT) -> int:
+    """The frames that were sent; raises if some were not confirmed, or not in time."""
+    pool = ThreadPoolExecutor(1)
+    try:
+        n = pool.submit(send, name, frames).result(timeout)
+    except TimeoutError as e:
+        raise RuntimeError(f"no confirmation from {name} in {timeout:g} seconds") from e
+    finally:
+        pool.shutdown(wait=False)
+    if n != len(frames):
+        raise RuntimeError(f"{len(frames) - n} of {len(frames)} messages were not confirmed")
+    return n
 
 
 def publish(events: DataFrame, send: Send, size: int = 100, rate: float | None = None, prefix: str = "catalog", tasks: int | None = None,
-            wait: float = 1.0, sent: Accumulator | None = None) -> int:
+            wait: float = 1.0, timeout: float = TIMEOUT, sent: Accumulator | None = None) -> int:
     """Hand the frames of ``events`` (data_type, file, seq, value) to an adapter from the executors.
 
     Each file is cut into ranges by place, ``tasks`` of them in all, so a file of any size is sent by many tasks;
     within a range frames keep their order. A batch has ``size`` frames of one exchange, or fewer once ``wait``
-    seconds have passed. A batch that is not confirmed fails its task, and Spark tries it again. ``rate`` bounds
+    seconds have passed. A batch that is not confirmed within ``timeout`` seconds fails its task, and Spark tries it again. ``rate`` bounds
     the frames a second of all tasks together: each has its share of it. ``sent`` counts frames as tasks end.
     """
     context = events.sparkSession.sparkContext
@@ -98,9 +115,7 @@ def publish(events: DataFrame, send: Send, size: int = 100, rate: float | None =
         def flush() -> None:
             nonlocal done, held, last
             if held:
-                if (n := send(exchange(prefix, kind), held)) != len(held):
-                    raise RuntimeError(f"{len(held) - n} of {len(held)} messages were not confirmed")
-                done += n
+                done += confirmed(send, exchange(prefix, kind), held, timeout)
                 if share:
                     time.sleep(max(0.0, start + done / share - time.monotonic()))
             held, last = [], time.monotonic()
@@ -129,8 +144,7 @@ def publish_completion(events: DataFrame, send: Send, prefix: str = "catalog") -
     errors = []
     for entity, frame in events.select("data_type", "value").orderBy("data_type").collect():
         try:
-            if send(exchange(prefix, entity), [frame]) != 1:
-                raise RuntimeError("not confirmed")
+            confirmed(send, exchange(prefix, entity), [frame])
         except Exception as e:  # noqa: BLE001  other consumers must still hear of the end
             errors.append(f"{entity}: {e}")
     if errors:

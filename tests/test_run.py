@@ -208,6 +208,8 @@ def test_publish_fails_on_unconfirmed(spark):
         E.publish(df, lambda exchange, frames: len(frames) - 1, 10)
     import time
 
+    with pytest.raises(RuntimeError, match="no confirmation from x in 0.2 seconds"):
+        E.confirmed(lambda exchange, frames: time.sleep(1), "x", ["a"], 0.2)
     for tasks in (1, 4):  # the rate is that of all tasks together
         start = time.time()
         assert E.publish(df, count, 5 if tasks == 1 else 2, rate=25, tasks=tasks) == 25 and time.time() - start > 0.7
