@@ -37,8 +37,9 @@ def content_hash(own: Column) -> Column:
     return F.sha2(canonical_json(own), 256)
 
 
-def envelope(own: Column, data_type: Column) -> Column:
-    """The data event: the record with ``type`` and ``sha256`` next to its fields."""
+def envelope(own: Column, data_type: Column, sha256: Column | None = None) -> Column:
+    """The data event: the record with ``type`` and ``sha256`` (its content hash, if not given) next to its fields."""
     inner = F.map_filter(own, lambda k, v: ~k.isin("type", "sha256"))
-    head = F.create_map(F.lit("type"), data_type.cast("variant"), F.lit("sha256"), content_hash(own).cast("variant"))
+    digest = content_hash(own) if sha256 is None else sha256
+    head = F.create_map(F.lit("type"), data_type.cast("variant"), F.lit("sha256"), digest.cast("variant"))
     return canonical_json(F.map_concat(inner, head))

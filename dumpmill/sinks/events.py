@@ -34,7 +34,7 @@ def with_hash(records: DataFrame, record: str = "data") -> DataFrame:
 
 def data_events(records: DataFrame, record: str = "data") -> DataFrame:
     """(data_type, file, seq, id, sha256, value): one JSON event per record, as ``with_hash`` left it."""
-    return records.select("data_type", "file", "seq", "id", "sha256", envelope(F.col(record), F.lit("data")).alias("value"))
+    return records.select("data_type", "file", "seq", "id", "sha256", envelope(F.col(record), F.lit("data"), F.col("sha256")).alias("value"))
 
 
 def batch_ids(events: DataFrame, size: int) -> Column:
