@@ -3,20 +3,24 @@
 Lines of at least ``least`` code points are compared; shorter ones are left alone. With ``bands``,
 pairs of (least length, edits), every line that holds a word takes part: equal lines are grouped
 whatever their length, and the edits allowed grow with the length of the shorter line (BANDS in the
-registered query and the pipeline). Equal lines are grouped by a 128-bit hash. Lines within ``edits`` edits of each other are linked: a line is cut into
-edits + 1 segments, one of which survives unchanged in any such partner. Each line is indexed under
-(length, segment number, segment) and probes the indexes of all lengths it can reach with the
-substrings at the positions that remain possible (multi-match-aware windows of Li et al., "Pass-Join",
-2011). Substring hashes come from prefix sums over whole batches. Candidate pairs pass a letter-count
-sketch and are verified by banded bit-parallel edit distance.
-
-A key shared by more than SMALL lines never emits its pairs. Its lines are dealt out as pairs of chunks,
-compared where they meet, and return at most one edge per line. Keys that a hash sample of lines (one in SAMPLE) shows to be hot are
-salted before the shuffle; the sample decides where rows go, never which are compared. Of each class
-(lines reachable over links) the occurrence with the smallest (doc_id, line number) stays; the others go.
+registered query and the pipeline). Equal lines are grouped by a 128-bit hash. Lines within ``edits``
+edits of each other are linked: a line is cut into edits + 1 segments, one of which survives unchanged
+in any such partner. Each line is indexed under (length, segment number, segment) and probes the
+indexes of all lengths it can reach with the substrings at the positions that remain possible
+(multi-match-aware windows of Li et al., "Pass-Join", 2011). Substring hashes come from prefix sums
+over whole batches. Candidate pairs pass a letter-count sketch and are verified by banded bit-parallel
+edit distance, many pairs at once.
+
+A key shared by more than SMALL lines never emits its pairs. Its lines are dealt out as pairs of
+chunks, compared where they meet, and return at most one edge per line; lines that share several
+such keys are compared under the first. Keys that a hash sample of lines (one in SAMPLE) shows to be
+hot are salted before the shuffle; the sample decides where rows go, never which are compared. Of each
+class (lines reachable over links) the occurrence with the smallest (doc_id, line number) stays; the
+others go.
 
 Lines are told apart by 128 bits throughout; only the rows under keys carry 64 of them, and texts and
-links of lines that share those are kept apart. Rows without a doc_id pass unchanged and take no part. Rows that share a doc_id count as one document.
+links of lines that share those are kept apart. Rows without a doc_id pass unchanged and take no part.
+Rows that share a doc_id count as one document.
 Null texts have no lines; empty tables give no rows. Texts of any length are cut in one pass, and what is
 left of them is put together in time linear in their lines. Other columns pass unchanged, whatever
 their names; doc_id may have any type that sorts.
