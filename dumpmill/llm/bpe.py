@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, IntegerType, StructField, StructType
 
-from .common import aside
+from .common import aside, trim
 
 L, N, O, A1, A2, IN, SP, WS = range(8)  # noqa: E741  symbols; + 8: first of its text
 #: A1, A2: an apostrophe before s t m d, or before re ve ll. IN: white space that is not the last of
@@ -36,7 +36,7 @@ L, N, O, A1, A2, IN, SP, WS = range(8)  # noqa: E741  symbols; + 8: first of its
 FRESH, LETTERS, NUMBERS, OTHERS, BLANKS, SPACED, ONE, TWO = range(8)
 #: States: nothing open, inside a run of letters / numbers / others / white space, after a space that
 #: joins the next run, one or two letters of a contraction to come.
-CACHED, LONGEST, ROW, NEVER = 1 << 18, 64, 64, 1 << 40
+CACHED, LONGEST, ROW, NEVER = 1 << 16, 64, 64, 1 << 40
 
 
 def _step(state: int, symbol: int) -> tuple[int, bool]:
@@ -355,6 +355,7 @@ def encode(docs: DataFrame, path: str, text: str = "text", step: int = 1 << 19,
                     cols.append(pa.array(decode_ids(ids, cuts, np.diff(reach[cuts]), path), pa.binary()))
                 yield pa.RecordBatch.from_arrays(cols, names=[*names, *(f.name for f in added)])
                 at = to
+        trim()
 
     return docs.select(*names, text).mapInArrow(run, schema)
 

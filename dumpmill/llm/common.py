@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import uuid
 from collections.abc import Iterable, Iterator
 from contextlib import contextmanager
@@ -86,6 +87,16 @@ def dropped(df: DataFrame) -> None:
         _removed(df.sparkSession, folder)
 
 
+_TRIM = getattr(ctypes.CDLL(None), "malloc_trim", None)
+
+
+def trim() -> None:
+    """Give memory that a Python worker has freed back to the system; idle workers would keep it beside the JVM."""
+    pa.default_memory_pool().release_unused()
+    if _TRIM is not None:
+        _TRIM(0)
+
+
 def boxed(df: DataFrame) -> DataFrame:
     """``df`` as one struct column ``row``, so that columns added beside it cannot clash with its own."""
     return df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row"))

@@ -40,7 +40,7 @@ from pyspark.sql.types import IntegerType, LongType, StructField, StructType
 
 from dumpmill.functions.values import let
 
-from .common import boxed, components, joined, scratch, written
+from .common import boxed, components, joined, scratch, trim, written
 
 EDITS, LEAST, SMALL, CELL = 2, 24, 64, 512
 #: Bits of the bitmap of candidates: sixteen a line, within these bounds (8 kB and 16 MB).
@@ -111,6 +111,7 @@ def occurrences(docs: DataFrame, edits: int = EDITS, least: int = LEAST, bands=N
                 if len(at) > 1 << 17:
                     yield from table()
             yield from table()
+        trim()
 
     names = ["doc_id", "line_no", "h1", "h2", "key"]
     schema = StructType([StructField("doc_id", kind), *(StructField(k, t) for k, t in zip(names[1:], (IntegerType(), LongType(), LongType(), LongType()), strict=True))])
@@ -323,7 +324,7 @@ def line_keys(docs: DataFrame, edits: int = EDITS, least: int = LEAST, bands=Non
                         lines.append(line)
                         names.append(name)
                         size += len(line)
-                if lines and (size > 1 << 20 or text is None):
+                if lines and (size > 1 << 19 or text is None):
                     name, sketch = np.array(names, np.int64), sketches(lines).view(np.int64)
                     for rows, key, indexed in signatures(lines, bands):
                         salt = np.full(len(key), -1, np.int32)
@@ -335,6 +336,8 @@ def line_keys(docs: DataFrame, edits: int = EDITS, least: int = LEAST, bands=Non
                             yield pa.RecordBatch.from_pydict(
                                 {"key": key[part], "line": name[rows[part]], "sketch": sketch[rows[part]], "indexed": indexed[part], "salt": salt[part]})
                     lines, names, size = [], [], 0
+        seen.clear()
+        trim()
 
     return docs.where("doc_id is not null").select("text").mapInArrow(run, "key long, line long, sketch long, indexed boolean, salt int")
 
@@ -397,6 +400,8 @@ def candidate_pairs(keys: DataFrame) -> DataFrame:
                 held = []
         if held:
             yield from small([np.concatenate(x) for x in zip(*held, strict=True)])
+        held = []
+        trim()
 
     def _split(own):
         last = int(np.searchsorted(own[0], own[0][-1], "left"))
@@ -463,6 +468,7 @@ def line_texts(docs: DataFrame, names: DataFrame, least: int = LEAST) -> DataFra
                         text.append(line)
             two = pa.array(np.array(second, np.uint64).view(np.int64))
             yield pa.RecordBatch.from_arrays([pa.array(name, pa.int64()), two, pa.array(text, pa.string())], names=["line", "h2", "text"])
+        trim()
 
     found = docs.where("doc_id is not null").select("text").mapInArrow(run, "line long, h2 long, text string")
     found = found.join(names, "line", "left_semi").groupBy("line", "h2").agg(F.first("text").alias("text"))

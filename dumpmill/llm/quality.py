@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import boxed, written
+from .common import boxed, trim, written
 
 #: Buckets of n-grams (a power of two), fixed-point units of a log weight, bound of labelled rows.
 BUCKET_BITS, UNIT, MAX_LABELLED = 14, 1_000_000, 20_000
@@ -102,6 +102,7 @@ def ngram_log_ratios(docs: DataFrame, sample: DataFrame, bits: int = BUCKET_BITS
                 total[0] += np.bincount(bucket, minlength=1 << bits)
                 total[1] += np.bincount(bucket[good[a:b][text]], minlength=1 << bits)
         full = np.flatnonzero(total[0])
+        trim()
         yield pa.RecordBatch.from_pydict({"bucket": full.astype(np.int32), "raw": total[0][full], "target": total[1][full]})
 
     rows = flagged.mapInArrow(count, "bucket int, raw long, target long").groupBy("bucket").agg(F.sum("raw"), F.sum("target")).collect()
@@ -131,6 +132,8 @@ def log_weight(ratios: np.ndarray, text: str = "text") -> Column:
             cuts = np.searchsorted(own[order], np.arange(b - a + 1))
             total = value[cuts[1:]] - value[cuts[:-1]]
             out += [int(x) if n else None for x, n in zip(total, np.diff(cuts), strict=True)]
+            bucket = own = order = value = None
+        trim()
         return pd.Series(out, dtype="Int64")
 
     return weigh(F.col(text))

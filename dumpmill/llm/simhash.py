@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
 
-from .common import boxed, components, group_runs, joined, min_labels, scratch, written
+from .common import boxed, components, group_runs, joined, min_labels, scratch, trim, written
 
 SEED = 42
 LANES = np.uint64(0x0101010101010101)
@@ -83,6 +83,8 @@ def fingerprint(texts):
         own = [shingle_hashes(t) for t in texts.iloc[at : at + 256]]
         sizes = np.array([len(h) for h in own])
         out[at : at + len(own)] = majority(np.concatenate(own), sizes)
+    own = None
+    trim()
     return pd.Series(out.view(np.int64))
 
 
@@ -212,6 +214,7 @@ def fingerprint_links(prints: DataFrame, radius: int = 3, blocks: int = 5, cell:
             fp = t.column("fp").to_numpy()
             a, b = link_groups(np.cumsum(group > 0), fp.view(np.uint64), radius)
             yield pa.RecordBatch.from_pydict({"a": fp[a], "b": fp[b]})
+        trim()
 
     return cells.repartition(*names).sortWithinPartitions(*names).mapInArrow(link, "a long, b long").distinct()
 
