@@ -142,6 +142,7 @@ def labelled_sample(docs: DataFrame, assigned: bool = True, path: str | None = N
     own = document_findings(candidates(docs.select("text", F.xxhash64(F.lit(seed), "text").alias("own"), (F.col(path) if path else F.lit(None)).cast("string").alias("path")),
                                        assigned=assigned, path="path")).where("secret is not null")
     own = own.select("value", "before", "after", "path", "secret", (F.pmod(F.col("row.own"), F.lit(3)) == 0).alias("held_out"), F.xxhash64("value", "before", "row.own", "ordinal").alias("h"))
+    own = written(own, "decided")  # texts are read once for both kinds
     half = lambda kind: own.where(F.col("secret") == kind).orderBy("h", "value").limit(most // 2)
     return half(True).union(half(False)).drop("h")
 
