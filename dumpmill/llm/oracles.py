@@ -50,4 +50,19 @@ SELECT d.doc_id, d.size, z.source_size, round(z.target, 6) AS target,
   cast(d.size * (z.base + CASE WHEN rest > 0 AND (d.h <= cut OR d.h = coalesce(fill, -1)) THEN 1 ELSE 0 END) AS BIGINT) AS taken
 FROM d JOIN z ON d.source IS NOT DISTINCT FROM z.source LEFT JOIN y ON d.source IS NOT DISTINCT FROM y.source"""
 
-ORACLES = {"op3_quality_rules": OP3, "op7_vector_dedup": OP7, "op8_mix_sources": OP8}
+_TERMS = r"regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
+
+OP11 = rf"""
+WITH q AS (SELECT item_id, unnest({_TERMS}) AS term FROM (SELECT DISTINCT item_id, text FROM benchmark)),
+qn AS (SELECT item_id, term, count(*) AS times FROM q GROUP BY ALL),
+d AS (SELECT row_number() OVER () AS r, doc_id, {_TERMS} AS terms FROM documents),
+n AS (SELECT r, doc_id, len(terms) AS n FROM d WHERE len(terms) > 0),
+c AS (SELECT count(*) AS big_n, cast(sum(n) AS BIGINT) AS big_l FROM n),
+p AS (SELECT r, term, count(*) AS tf FROM (SELECT r, unnest(terms) AS term FROM d) SEMI JOIN (SELECT DISTINCT term FROM q) USING (term) GROUP BY ALL),
+w AS (SELECT term, cast(floor(1000 * ln((2 * big_n + 2) / (2 * df + 1))) AS BIGINT) AS w FROM (SELECT term, count(*) AS df FROM p GROUP BY 1), c),
+s AS (SELECT item_id, p.r, doc_id, cast(sum(times * w * ((1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * n * big_n) // big_l)))) AS BIGINT) AS score
+  FROM qn JOIN p USING (term) JOIN w USING (term) JOIN n ON n.r = p.r, c GROUP BY ALL),
+k AS (SELECT item_id, cast(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id ASC NULLS LAST) AS INT) AS rank, doc_id, score FROM s WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM k WHERE rank <= 20"""
+
+ORACLES = {"op3_quality_rules": OP3, "op7_vector_dedup": OP7, "op8_mix_sources": OP8, "op11_ranked_search": OP11}

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, licenses, lines, mixing, quality, rules, secrets, simhash, tokens, vectors
+from . import bpe, conversations, licenses, lines, mixing, packing, quality, rules, search, secrets, simhash, tokens, vectors
 from .common import table
 from .oracles import ORACLES
 
@@ -63,6 +63,19 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "ordinal", F.col("value").alias("finding"), "score", "is_secret")
 
 
+def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search.search(table(spark, sf_dir, "benchmark"), table(spark, sf_dir, "documents"))
+
+
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversations.report(conversations.repair(conversations.damaged(table(spark, sf_dir, "conversations")), live=F.col("live")))
+
+
+def op13_harmonic_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = packing.pack(table(spark, sf_dir, "documents"), tokenizer("word_bpe_49k.json"))
+    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -72,5 +85,5 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_quality_resampling, op2_line_dedup, op3_quality_rules, op4_token_counts, op5_byte_bpe, op6_license_scan, op7_vector_dedup,
-        op8_mix_sources, op9_simhash_groups, op10_secret_scan, pipeline)
+        op8_mix_sources, op9_simhash_groups, op10_secret_scan, op11_ranked_search, op12_conversation_repair, op13_harmonic_packing, pipeline)
 }

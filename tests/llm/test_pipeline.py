@@ -31,4 +31,4 @@ def test_run_is_its_stages(spark, sf_dir, tmp_path):
 def test_every_query_is_registered():
     assert [n for n in queries.QUERIES] == [
         "op1_quality_resampling", "op2_line_dedup", "op3_quality_rules", "op4_token_counts", "op5_byte_bpe", "op6_license_scan", "op7_vector_dedup", "op8_mix_sources",
-        "op9_simhash_groups", "op10_secret_scan", "pipeline"]
+        "op9_simhash_groups", "op10_secret_scan", "op11_ranked_search", "op12_conversation_repair", "op13_harmonic_packing", "pipeline"]

@@ -145,7 +145,7 @@ def slow_features(value, before, after, path, words):
     n = len(value)
     kinds = ["a" if c.islower() else "A" if c.isupper() else "0" if c.isdigit() else "." for c in value]
     steps = sum((a != b) if a != "." else b != "." for a, b in zip(kinds, kinds[1:]))
-    vowels, cons = "aeiouy", "bcdfghjklmnpqrstvxz"
+    vowels, cons = "aeiouy", "bcdfghjklmnpqrstvwxz"
     turns = sum((a in vowels and b in cons) or (a in cons and b in vowels) for a, b in zip(low, low[1:]))
     covered, i = 0, 0
     known = sorted({w for w in [*secrets.DICTIONARY, *words] if len(w) > 3}, key=lambda w: (-len(w), w))
