@@ -31,6 +31,7 @@ class FileProgress:
     sha256: str | None = None
     started_at: str | None = None
     completed_at: str | None = None
+    error: str | None = None
 
 
 @dataclass
@@ -103,6 +104,11 @@ class Marker:
         own = self.files.setdefault(name, FileProgress())
         own.status, own.records, own.messages, own.completed_at = DONE, records, messages, _now()
 
+    def fail_file(self, name: str, error: str) -> None:
+        """A file that failed is open: it starts again in the next run."""
+        own = self.files.setdefault(name, FileProgress())
+        own.status, own.error, own.completed_at = FAILED, error, _now()
+
     def totals(self) -> tuple[int, int]:
         return sum(f.records for f in self.files.values()), sum(f.messages for f in self.files.values())
 

@@ -16,11 +16,13 @@ IDLE, WAITING = "idle", "waiting"
 @dataclass(frozen=True)
 class Config:
     """Each setting is read from PREFIX_NAME, texts also from the file that PREFIX_NAME_FILE names; what does not
-    parse is the default, numbers are 1 at least. ``run_version`` takes the settings."""
+    parse is the default, numbers are 1 at least. A rate of 0 is no bound; a negative or infinite one is the
+    default. ``run_version`` takes the settings: ``workers`` is the number of files side by side."""
 
     batch_size: int = 100
     checkpoint_every: int = 5000
-    rate: int = 1500
+    workers: int = 4
+    rate: float = 1500.0
     stall_seconds: int = 120
     period_days: int = 15
     prefix: str = "catalog"
@@ -32,15 +34,19 @@ class Config:
         for f in fields(cls):
             key = f"{prefix}_{f.name.upper()}"
             raw = env.get(key)
-            if raw is None and not isinstance(f.default, int) and (secret := env.get(f"{key}_FILE")):
+            if raw is None and isinstance(f.default, str) and (secret := env.get(f"{key}_FILE")):
                 raw = Path(secret).read_text("utf-8").strip()
             if raw is None:
                 continue
-            if isinstance(f.default, int):
+            if not isinstance(f.default, str):
                 try:
-                    own[f.name] = max(1, int(raw))
+                    value = type(f.default)(raw)
                 except ValueError:
                     continue
+                if isinstance(value, int):
+                    own[f.name] = max(1, value)
+                elif 0 <= value < float("inf"):
+                    own[f.name] = value
             else:
                 own[f.name] = raw
         return cls(**own)

@@ -5,13 +5,13 @@ from __future__ import annotations
 import logging
 import uuid
 from collections.abc import Callable, Iterator
+from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from datetime import UTC, datetime
 from functools import reduce
-from threading import Event, Thread
+from threading import Event, Lock, Thread
 
-from pyspark import Accumulator
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,10 +19,11 @@ from dumpmill.operators import report
 from dumpmill.operators.blocks import attach_blocks
 from dumpmill.operators.normalize import normalize
 from dumpmill.operators.policy import apply_filters, split_skipped, violations, violations_long
-from dumpmill.operators.state import REPROCESS, SKIP, load_marker, save_marker
+from dumpmill.operators.state import REPROCESS, SKIP, Marker, load_marker, save_marker
 from dumpmill.operators.status import Config
 from dumpmill.plans.policy import Policy
 from dumpmill.sinks import events as E
+from dumpmill.sinks.broker import Desk, publish as publish_frames
 from dumpmill.sources import Source
 from dumpmill.sources.files import stream_sha256
 from dumpmill.sources.manifest import read_manifest
@@ -51,10 +52,15 @@ def prepare(parsed: DataFrame, entity: str, policy: Policy | None = None, provid
     kept, skipped = split_skipped(good, own.skips, "data")
     checked = apply_filters(kept, own, "data")
     checked = checked.withColumn("violations", violations(checked, own.rules, "data"))
+    return Prepared(good, skipped, checked, prepared_records(checked, entity, provider))
+
+
+def prepared_records(checked: DataFrame, entity: str, provider: str = "catalog") -> DataFrame:
+    """Checked records in their flat shape with blocks and hashes."""
     records = normalize(checked, entity)
     if entity == "releases":
         records = attach_blocks(records, provider=provider)
-    return Prepared(good, skipped, checked, E.with_hash(records))
+    return E.with_hash(records)
 
 
 def quality_tables(parts: list[Prepared]) -> dict[str, DataFrame]:
@@ -69,15 +75,15 @@ def quality_tables(parts: list[Prepared]) -> dict[str, DataFrame]:
 
 
 @contextmanager
-def watched(sent: Accumulator, every: int, save: Callable[[int], None]) -> Iterator[None]:
+def watched(sent: Callable[[], int], every: int, save: Callable[[int], None]) -> Iterator[None]:
     """Calls ``save`` with the count whenever it has grown by ``every`` while the block runs."""
     ended = Event()
 
     def look() -> None:
         last = 0
         while not ended.wait(0.5):
-            if sent.value - last >= every:
-                last = sent.value
+            if (now := sent()) - last >= every:
+                last = now
                 save(last)
 
     thread = Thread(target=look, daemon=True)
@@ -91,31 +97,53 @@ def watched(sent: Accumulator, every: int, save: Callable[[int], None]) -> Itera
 
 def process_file(
     spark: SparkSession, path: str, out: str, policy: Policy | None = None, config: Config | None = None, publish: E.Send | None = None,
-    on_progress: Callable[[int], None] | None = None,
+    on_progress: Callable[[int], None] | None = None, desk: Desk | None = None,
 ) -> tuple[str, int, int]:
     """Read one dump, write its events (and flagged records under a policy), then its completion.
 
-    Returns (entity, records that the parser read, events). Results that several outputs need are
-    written once under ``out/_work`` and removed at the end; the completion event follows the data.
-    With ``publish``, events go to the adapter in batches and at the rate of ``config``, not to files.
+    Returns (entity, records that the parser read, events). Records under the policy are written once below
+    ``out/_work`` for all outputs, and removed at the end, also of one that fails; the completion event follows the data.
+    With ``publish``, events go to the adapter in batches and at the rate of ``config``, not to files; files that share a
+    ``desk`` share its rate.
     """
     config = config or Config()
     entity = spark.range(1).select(F.regexp_extract(F.lit(path), NAME, 3)).head()[0]
     if not entity:
         raise ValueError(f"{path} is no dump file")
+    if publish and desk is None:
+        with Desk.of(spark, config.rate) as own_desk:
+            return process_file(spark, path, out, policy, config, publish, on_progress, own_desk)
     work = f"{out}/_work/{uuid.uuid4().hex}"
-    read_dump(spark, path, entity, capture_raw=policy is not None).withColumn("data", F.to_json(F.to_variant_object("data"))).write.parquet(f"{work}/raw")
-    parsed = spark.read.parquet(f"{work}/raw").withColumn("data", F.parse_json("data").cast("map<string,variant>"))
+    try:
+        return _processed(spark, path, entity, out, work, policy, config, publish, on_progress or (lambda n: None), desk)
+    finally:
+        E.removed(spark, work)
+
+
+def _kept(df: DataFrame, path: str, trees: tuple[str, ...] = ("data",)) -> DataFrame:
+    """``df`` written and read back, records as JSON in between."""
+    df.withColumns({c: F.to_json(F.to_variant_object(c)) for c in trees}).write.parquet(path)
+    return df.sparkSession.read.parquet(path).withColumns({c: F.parse_json(c).cast("map<string,variant>") for c in trees})
+
+
+def _processed(spark, path, entity, out, work, policy, config, publish, on_progress, desk) -> tuple[str, int, int]:
+    parsed = _kept(read_dump(spark, path, entity, capture_raw=policy is not None), f"{work}/raw")
     check_faults(parsed)
     own = prepare(parsed, entity, policy, config.provider)
+    if policy is not None:  # every output below reads what the policy left, which is evaluated here only
+        own = replace(own, checked=_kept(own.checked, f"{work}/checked"), skipped=_kept(own.skipped, f"{work}/skipped"))
+        own = replace(own, records=prepared_records(own.checked, entity, config.provider))
     total = own.parsed.count()
     data = E.data_events(own.records)
     if publish:
-        data.write.parquet(f"{work}/events")  # made once, though cutting into ranges reads it twice
-        ready, count = spark.read.parquet(f"{work}/events"), spark.sparkContext.accumulator(0)
+        data.write.parquet(f"{work}/events")  # made once, so that ranges are the same when they are tried again
+        ready, job = spark.read.parquet(f"{work}/events"), uuid.uuid4().hex
         tasks = max(spark.sparkContext.defaultParallelism, -(-total // config.checkpoint_every))
-        with watched(count, config.checkpoint_every, on_progress or (lambda n: None)):
-            sent = E.publish(ready, publish, config.batch_size, config.rate, config.prefix, tasks, sent=count)
+        try:
+            with watched(lambda: desk.sent(job), config.checkpoint_every, on_progress):
+                sent = publish_frames(ready, publish, config.batch_size, None, config.prefix, tasks, desk=desk, job=job)
+        finally:
+            desk.forget(job)
     else:
         seen = Observation()
         E.write_events(data.observe(seen, F.count(F.lit(1)).alias("n")), f"{out}/events", config.prefix)
@@ -132,7 +160,6 @@ def process_file(
             LOG.warning("%s", text)
     done = spark.createDataFrame([(path, entity, total)], "file string, data_type string, records long")
     _complete(E.file_complete_events(done), out, config, publish)
-    E.removed(spark, work)
     return entity, total, sent
 
 
@@ -153,16 +180,60 @@ def run_manifest(spark: SparkSession, manifest: str, out: str, config: Config |
     return entity, total, sent
 
 
+class FilesFailed(RuntimeError):
+    """``errors`` by file name, and the counts of files that were ``done``."""
+
+    def __init__(self, errors: dict[str, Exception], done: dict[str, int]):
+        super().__init__("; ".join(f"{name}: {type(e).__name__}: {e}" for name, e in sorted(errors.items())))
+        self.errors, self.done = errors, done
+
+
+class _Held:
+    """A marker that several threads change and save, one at a time."""
+
+    def __init__(self, spark: SparkSession, folder: str, marker: Marker):
+        self.spark, self.folder, self.marker, self.lock = spark, folder, marker, Lock()
+
+    def __call__(self, change: Callable[[Marker], None] = lambda m: None) -> None:
+        with self.lock:
+            change(self.marker)
+            save_marker(self.spark, self.folder, self.marker)
+
+
+def _side_by_side(spark: SparkSession, work: dict[str, Callable[[], int]], workers: int) -> tuple[dict[str, int], dict[str, Exception]]:
+    """Results and errors of jobs that run in threads, each in a scheduler pool of its own: under FAIR scheduling
+    (``spark.scheduler.mode``) their tasks take turns. Jobs carry the tag ``dumpmill:<name>``, by which one can be interrupted."""
+    done, errors = {}, {}
+
+    def run(name: str) -> None:
+        spark.sparkContext.setLocalProperty("spark.scheduler.pool", name)
+        spark.sparkContext.addJobTag(f"dumpmill:{name}")
+        try:
+            if (result := work[name]()) is not None:
+                done[name] = result
+        except Exception as e:  # noqa: BLE001  other files go on
+            LOG.error("%s: %s", name, e)
+            errors[name] = e
+        finally:
+            spark.sparkContext.removeJobTag(f"dumpmill:{name}")
+            spark.sparkContext.setLocalProperty("spark.scheduler.pool", None)
+
+    with ThreadPoolExecutor(max(1, workers)) as pool:
+        list(pool.map(run, work))
+    return done, errors
+
+
 def run_version(
     spark: SparkSession, paths: list[str], version: str, out: str, state: str, force: bool = False, config: Config | None = None,
     publish: E.Send | None = None, stop: Callable[[], bool] = lambda: False, **options,
 ) -> dict[str, int]:
-    """All dumps of a version, file by file, with a marker in ``state``.
+    """All dumps of a version, ``config.workers`` files side by side, with a marker in ``state``.
 
     Landed files are hashed first; a completed file whose bytes are others now is processed again, also in a
     version that was complete. A file is completed after its data and its completion event; the marker is closed
-    after the event that ends the extraction. A run that was cut off goes on with the files that are open, and
-    so does one that ``stop`` ended: it is asked before each file.
+    after the event that ends the extraction. A file that fails does not hold up the others: the marker keeps them, says which
+    failed, and FilesFailed is raised at the end; the next run takes what is open. ``stop`` is asked before each file: files
+    under way are finished then, others stay open, and the version is not closed. With an adapter all files share the rate.
     """
     config = config or Config()
     marker = load_marker(spark, state, version)
@@ -170,46 +241,61 @@ def run_version(
     if decision == REPROCESS:
         marker = type(marker)(version)
     names = {p.rsplit("/", 1)[-1]: p for p in paths}
+    held = _Held(spark, state, marker)
     if decision != SKIP:
-        marker.phases["download"].start()
-        save_marker(spark, state, marker)
-    try:
-        changed = [name for name, path in names.items() if marker.file_verified(name, stream_sha256(spark, path))]
-    except Exception as e:
-        marker.phases["download"].finish(f"{type(e).__name__}: {e}")
-        save_marker(spark, state, marker)
-        raise
+        held(lambda m: m.phases["download"].start())
+    hashes, errors = {}, {}
+
+    def hashed(name: str) -> int:
+        hashes[name] = stream_sha256(spark, names[name])
+        return 0
+
+    _, errors = _side_by_side(spark, {name: lambda name=name: hashed(name) for name in names}, config.workers)
+    if errors:
+        held(lambda m: m.phases["download"].finish(str(FilesFailed(errors, {}))))
+        raise FilesFailed(errors, {})
+    changed = [name for name in names if marker.file_verified(name, hashes[name])]
     if decision == SKIP and not changed:
         return {}
-    marker.phases["download"].finish()
-    marker.phases["processing"].start()
-    save_marker(spark, state, marker)
-    done: dict[str, int] = {}
-    for name in marker.pending(list(names)):
-        if stop():
-            return done
-        marker.start_file(name)
-        save_marker(spark, state, marker)
-
-        def advance(n: int, name: str = name) -> None:
-            marker.advance_file(name, n)
-            save_marker(spark, state, marker)
 
+    def begin(m: Marker) -> None:
+        m.phases["download"].finish()
+        m.phases["processing"].start()
+
+    held(begin)
+    stopped = Event()
+
+    def one(name: str, desk: Desk | None) -> int | None:
+        if stopped.is_set() or stop():
+            stopped.set()
+            return None
+        held(lambda m: m.start_file(name))
         try:
-            _, total, sent = process_file(spark, names[name], out, config=config, publish=publish, on_progress=advance, **options)
+            _, total, sent = process_file(spark, names[name], out, config=config, publish=publish, desk=desk, on_progress=lambda n: held(lambda m: m.advance_file(name, n)), **options)
         except Exception as e:
-            marker.phases["processing"].finish(f"{name}: {type(e).__name__}: {e}")
-            save_marker(spark, state, marker)
+            text = f"{type(e).__name__}: {e}"
+            held(lambda m: m.fail_file(name, text))
             raise
-        marker.complete_file(name, total, sent)
-        save_marker(spark, state, marker)
-        done[name] = total
+        held(lambda m: m.complete_file(name, total, sent))
+        return total
+
+    desk = Desk.of(spark, config.rate) if publish else None
+    try:
+        done, errors = _side_by_side(spark, {name: lambda name=name: one(name, desk) for name in marker.pending(list(names))}, config.workers)
+    finally:
+        if desk is not None:
+            desk.__exit__()
+    if errors:
+        failed = FilesFailed(errors, done)
+        held(lambda m: m.phases["processing"].finish(str(failed)))
+        raise failed
+    if stopped.is_set():
+        return done
     rows = [(name.rsplit("_", 1)[-1].split(".")[0], f.records) for name, f in marker.files.items()]
     counts = spark.createDataFrame(rows, "data_type string, records long")
     started = F.to_timestamp(F.lit(marker.started_at))
     _complete(E.extraction_complete_events(report.record_counts(counts), version, started), out, config, publish)
-    marker.complete()
-    save_marker(spark, state, marker)
+    held(lambda m: m.complete())
     return done
 
 

@@ -7,15 +7,14 @@ at-least-once: a file that is read again is written again under the same keys (i
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable, Iterator
-from concurrent.futures import ThreadPoolExecutor
+from collections.abc import Iterable
 
-from pyspark import Accumulator
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dumpmill.functions.canon import content_hash, envelope
 from dumpmill.plans.policy import ENTITIES
+from dumpmill.sinks.broker import TIMEOUT, Send, Sender, publish  # noqa: F401  publish is used by callers
 
 
 def exchange(prefix: str, entity: str) -> str:
@@ -70,73 +69,13 @@ def write_events(events: DataFrame, path: str, prefix: str = "catalog", mode: st
     own.write.mode(mode).partitionBy("exchange").text(path)
 
 
-#: Takes an exchange and frames, sends them all, then waits for their confirmations; returns how many were
-#: confirmed, and raises (or returns fewer) if one was returned, refused or late.
-Send = Callable[[str, list[str]], int]
-#: Seconds that an adapter has for a batch.
-TIMEOUT = 30.0
-
-
 def confirmed(send: Send, name: str, frames: list[str], timeout: float = TIMEOUT) -> int:
     """The frames that were sent; raises if some were not confirmed, or not in time."""
-    pool = ThreadPoolExecutor(1)
+    own = Sender(send, timeout)
     try:
-        n = pool.submit(send, name, frames).result(timeout)
-    except TimeoutError as e:
-        raise RuntimeError(f"no confirmation from {name} in {timeout:g} seconds") from e
+        return own(name, frames)
     finally:
-        pool.shutdown(wait=False)
-    if n != len(frames):
-        raise RuntimeError(f"{len(frames) - n} of {len(frames)} messages were not confirmed")
-    return n
-
-
-def publish(events: DataFrame, send: Send, size: int = 100, rate: float | None = None, prefix: str = "catalog", tasks: int | None = None,
-            wait: float = 1.0, timeout: float = TIMEOUT, sent: Accumulator | None = None) -> int:
-    """Hand the frames of ``events`` (data_type, file, seq, value) to an adapter from the executors.
-
-    Each file is cut into ranges by place, ``tasks`` of them in all, so a file of any size is sent by many tasks;
-    within a range frames keep their order. A batch has ``size`` frames of one exchange, or fewer once ``wait``
-    seconds have passed. A batch that is not confirmed within ``timeout`` seconds fails its task, and Spark tries it again. ``rate`` bounds
-    the frames a second of all tasks together: each has its share of it. ``sent`` counts frames as tasks end.
-    """
-    context = events.sparkSession.sparkContext
-    tasks = tasks or context.defaultParallelism
-    share = rate / min(tasks, context.defaultParallelism) if rate else None
-
-    def run(rows: Iterator) -> Iterator:
-        import time
-
-        import pyarrow as pa
-
-        done, start = 0, time.monotonic()
-        kind, held, last = None, [], start
-
-        def flush() -> None:
-            nonlocal done, held, last
-            if held:
-                done += confirmed(send, exchange(prefix, kind), held, timeout)
-                if share:
-                    time.sleep(max(0.0, start + done / share - time.monotonic()))
-            held, last = [], time.monotonic()
-
-        for batch in rows:
-            for entity, frame in zip(batch.column("data_type").to_pylist(), batch.column("value").to_pylist(), strict=True):
-                if entity != kind:
-                    flush()
-                    kind = entity
-                held.append(frame)
-                if len(held) >= size:
-                    flush()
-            if time.monotonic() - last > wait:
-                flush()
-        flush()
-        if sent is not None:
-            sent.add(done)
-        yield pa.RecordBatch.from_pydict({"sent": pa.array([done], pa.int64())})
-
-    ranges = events.repartitionByRange(tasks, "file", "seq").sortWithinPartitions("file", "seq") if tasks > 1 else events.coalesce(1).sortWithinPartitions("file", "seq")
-    return ranges.select("data_type", "value").mapInArrow(run, "sent long").agg(F.sum("sent")).head()[0] or 0
+        own.close()
 
 
 def publish_completion(events: DataFrame, send: Send, prefix: str = "catalog") -> None:

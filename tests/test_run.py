@@ -282,7 +282,9 @@ def test_settings_and_snapshots(tmp_path):
 
     (tmp_path / "name").write_text("secret\n")
     assert Config.from_env({"DUMPMILL_PREFIX_FILE": f"{tmp_path}/name"}) == Config(prefix="secret")
-    assert Config.from_env({"DUMPMILL_RATE": "0", "DUMPMILL_BATCH_SIZE": "x", "DUMPMILL_PREFIX": "p"}) == Config(rate=1, prefix="p")
+    assert Config.from_env({"DUMPMILL_RATE": "0", "DUMPMILL_BATCH_SIZE": "x", "DUMPMILL_PREFIX": "p"}) == Config(rate=0, prefix="p")
+    assert Config.from_env({"DUMPMILL_RATE": "-5", "DUMPMILL_WORKERS": "0"}) == Config(workers=1) and Config.from_env({"DUMPMILL_RATE": "inf"}) == Config.from_env({"DUMPMILL_RATE": "x"}) == Config()
+    assert Config.from_env({"DUMPMILL_RATE": "2.5", "DUMPMILL_WORKERS": "7"}) == Config(rate=2.5, workers=7)
     assert snapshot(None)["status"] == "idle" and snapshot(None, "broken")["status"] == "failed"
     m = state.Marker("v")
     assert snapshot(m)["status"] == "waiting"
