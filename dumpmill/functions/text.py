@@ -5,8 +5,6 @@ Spark's own casts, ``trim`` and ``$`` are laxer than these: see each function.
 
 from __future__ import annotations
 
-import re
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -68,8 +66,8 @@ def digit_code(c: Column) -> Column:
 
 
 def sanitize_filename(c: Column) -> Column:
-    """Letters, digits, ``-``, ``_`` and ``.`` only, then every ``..`` as ``_``."""
-    return F.replace(F.regexp_replace(c, r"[^\p{L}\p{N}._-]", ""), F.lit(".."), F.lit("_"))
+    """Letters (with the vowel signs that count as alphabetic), digits, ``-``, ``_`` and ``.`` only, then every ``..`` as ``_``."""
+    return F.replace(F.regexp_replace(c, r"[^\p{IsAlphabetic}\p{N}._-]", ""), F.lit(".."), F.lit("_"))
 
 
 def sorted_unique(c: Column) -> Column:
@@ -80,32 +78,3 @@ def month_prefix(version: Column) -> Column:
     """The first six characters of a version, the current month where they are not a year and month."""
     own = F.substring(version, 1, 6)
     return F.when(own.rlike(r"\A[0-9]{4}(?:0[1-9]|1[0-2])\z"), own).otherwise(F.date_format(F.current_timestamp(), "yyyyMM"))
-
-
-#: Java syntax that the policy language lacks: look-around, back references, possessive and atomic groups.
-_FOREIGN = re.compile(r"\(\?<?[=!]|\(\?>|\\[1-9]|\\k<|[*+?}]\+")
-
-
-def java_pattern(pattern: str) -> str:
-    """A policy pattern for ``rlike``: Unicode classes, and ``$`` as the very end of the text.
-
-    Java's ``$`` also matches before a final line break. Patterns with syntax beyond regular
-    languages are rejected, and so are ones that do not compile.
-    """
-    if _FOREIGN.search(re.sub(r"\\\\", "", pattern)):
-        raise ValueError(f"pattern uses look-around, back references or possessive repeats: {pattern}")
-    try:
-        re.compile(re.sub(r"\\[pP](?:\{\w+\}|\w)|\\z|\(\?[a-zA-Z]+\)", "", pattern))
-    except re.error as e:
-        raise ValueError(f"pattern does not compile: {pattern}: {e}") from e
-    out, i, inside = [], 0, False
-    while i < len(pattern):
-        c = pattern[i]
-        if c == "\\" and i + 1 < len(pattern):
-            out.append(pattern[i : i + 2])
-            i += 2
-            continue
-        inside = c == "[" or inside and c != "]"
-        out.append(r"\z" if c == "$" and not inside else c)
-        i += 1
-    return "(?U)" + "".join(out)

@@ -14,7 +14,8 @@ from pyspark.sql import types as T
 
 from dumpmill.functions import values as V
 from dumpmill.functions.canon import json_null
-from dumpmill.functions.text import java_pattern, number_or_year, parse_number
+from dumpmill.functions.patterns import java_pattern
+from dumpmill.functions.text import number_or_year, parse_number
 from dumpmill.plans.policy import EntityPolicy, NullifyRange, RemoveMatching, Rule, Skip
 
 VIOLATION = "array<struct<rule:string,severity:string,field:string,value:string>>"

@@ -142,6 +142,23 @@ def save_marker(spark: SparkSession, folder: str, marker: Marker) -> None:
     write_text(spark, f"{folder}/state_{marker.version}.json", marker.to_json())
 
 
+def decision(download: Column, processing: Column, overall: Column, some_done: Column, force: Column) -> Column:
+    """``Marker.decide`` over a table of versions: what to do with each of them. A status that is null is pending."""
+    under_way = lambda c: F.coalesce(c.isin(FAILED, RUNNING), F.lit(False))
+    again = force | (under_way(download) & ~some_done)
+    closed = ~under_way(download) & ~under_way(processing) & F.coalesce(overall == DONE, F.lit(False))
+    return F.when(again, REPROCESS).when(closed, SKIP).otherwise(CONTINUE)
+
+
+def version_decisions(files: DataFrame, phases: DataFrame, force: Column | None = None) -> DataFrame:
+    """(version, decision, open_files) of versions by the table of their phases (version, download, processing, overall) and
+    that of their files (version, file, status)."""
+    own = files.groupBy("version").agg(F.count_if(F.col("status") == DONE).alias("done"), F.count_if(F.coalesce(F.col("status") != DONE, F.lit(True))).alias("open"))
+    rows = phases.join(own, "version", "left")
+    made = decision(F.col("download"), F.col("processing"), F.col("overall"), F.coalesce(F.col("done"), F.lit(0)) > 0, F.lit(False) if force is None else force)
+    return rows.select("version", made.alias("decision"), F.coalesce("open", F.lit(0)).cast("long").alias("open_files"))
+
+
 def duration_seconds(start: Column, end: Column) -> Column:
     """Whole seconds from one time to another, null while either is open."""
     return F.unix_timestamp(end) - F.unix_timestamp(start)

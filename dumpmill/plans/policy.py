@@ -17,7 +17,7 @@ from dataclasses import dataclass, field
 from pathlib import Path
 from typing import Any
 
-from dumpmill.functions.text import java_pattern
+from dumpmill.functions.patterns import java_pattern
 
 ENTITIES = ("artists", "labels", "masters", "releases")
 SEVERITIES = ("error", "warning", "info")
@@ -124,11 +124,11 @@ def _bounds(item: dict, low: str, high: str) -> tuple[float | None, float | None
     return a, b
 
 
-def _pattern(text: str) -> str:
+def _pattern(text: str, where: str) -> str:
     try:
         java_pattern(text)
     except ValueError as e:
-        raise PolicyError(str(e)) from e
+        raise PolicyError(f"{where}: {e}") from e
     return text
 
 
@@ -139,7 +139,7 @@ def _skip(item: dict) -> Skip:
 def _filter(item: dict) -> RemoveMatching | NullifyRange:
     name, reason = _need(item, "field", "reason")
     if "remove_matching" in item:
-        return RemoveMatching(name, _pattern(item["remove_matching"]), reason)
+        return RemoveMatching(name, _pattern(*_need(item, "remove_matching"), f"filter of {name}"), reason)
     when = item.get("nullify_when")
     if not isinstance(when, dict) or when.get("type") != "range":
         raise PolicyError(f"{item!r} needs remove_matching, or nullify_when of type range")
@@ -157,7 +157,7 @@ def _rule(item: dict) -> Rule:
     if kind in ("range", "length"):
         low, high = _number(condition, "min"), _number(condition, "max")
     elif kind == "regex":
-        pattern = _pattern(*_need(condition, "pattern"))
+        pattern = _pattern(*_need(condition, "pattern"), name)
     elif kind == "enum":
         values = tuple(map(str, condition.get("values") or ()))
     elif kind != "required":

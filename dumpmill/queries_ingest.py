@@ -336,3 +336,47 @@ def policy_on_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept, _ = split_skipped(df, own.skips, "data")
     rules = F.array_join(F.transform(violations(kept, own.rules, "data"), lambda v: v["rule"]), ",")
     return kept.select("p_partkey", F.lit(1).alias("kept"), rules.alias("rules"))
+
+
+@query("""WITH s AS (SELECT o_custkey AS version, ['pending', 'in_progress', 'completed', 'failed'] AS names, min(o_orderkey) AS k FROM orders GROUP BY 1),
+f AS (SELECT o_custkey AS version, count(*) FILTER (o_orderstatus = 'F' AND o_orderkey % 3 <> 0) AS done, count(*) FILTER (NOT (o_orderstatus = 'F' AND o_orderkey % 3 <> 0)) AS open_files FROM orders GROUP BY 1),
+p AS (SELECT version, names[k % 4 + 1] AS download, names[k // 4 % 4 + 1] AS processing, names[k // 16 % 4 + 1] AS overall, k % 7 = 0 AS force FROM s)
+SELECT version, CASE WHEN force THEN 'reprocess' WHEN download IN ('failed', 'in_progress') THEN CASE WHEN done > 0 THEN 'continue' ELSE 'reprocess' END
+WHEN processing NOT IN ('failed', 'in_progress') AND overall = 'completed' THEN 'skip' ELSE 'continue' END AS decision, open_files FROM p JOIN f USING (version)""")
+def version_decisions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """L1, L2: what a run does with each version of a control table, and how many of its files are open."""
+    orders = table(spark, sf_dir, "orders")
+    names = F.array(*map(F.lit, _STATES))
+    at = lambda n: F.get(names, (F.floor(F.col("k") / n) % 4).cast("int"))
+    phases = orders.groupBy(F.col("o_custkey").alias("version")).agg(F.min("o_orderkey").alias("k"))
+    phases = phases.select("version", at(1).alias("download"), at(4).alias("processing"), at(16).alias("overall"), (F.col("k") % 7 == 0).alias("force"))
+    status = F.when((F.col("o_orderstatus") == "F") & (F.col("o_orderkey") % 3 != 0), state.DONE).when(F.col("o_orderstatus") == "O", state.RUNNING)
+    files_ = orders.select(F.col("o_custkey").alias("version"), F.col("o_orderkey").cast("string").alias("file"), status.alias("status"))
+    return state.version_decisions(files_, phases, F.col("force"))
+
+
+#: Policy patterns whose meaning DuckDB shares, for texts with every kind of line end and letters beyond ASCII.
+PATTERNS = (r"^C.*r#", r"1$", r"^[^\n]*$", r"(?m)^é", r"\pL\PL\pL", r"(?i)É", r"[[:digit:]]{3}.[A-Z]", r"G|ß$", r"^(?P<all>.+)$", r"^[^\s\x{2028}\x{85}]+$")
+
+
+@query(f"""WITH t AS (SELECT c_custkey, 'Customer#' || c_custkey || CASE c_nationkey % 5 WHEN 0 THEN chr(13) WHEN 1 THEN chr(10) WHEN 2 THEN chr(8232) WHEN 3 THEN chr(133) ELSE '' END
+|| CASE c_nationkey % 3 WHEN 0 THEN 'é' WHEN 1 THEN 'É' ELSE 'ß' END || c_mktsegment || CASE WHEN c_nationkey % 2 = 0 THEN chr(10) ELSE 'ß' END AS t FROM customer)
+SELECT c_custkey, array_to_string([{", ".join(f"CASE WHEN regexp_matches(t, '{p}') THEN '1' ELSE '0' END" for p in PATTERNS)}], '') AS hits FROM t""")
+def pattern_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Patterns over texts with carriage returns, line and paragraph separators and letters beyond ASCII."""
+    from dumpmill.functions.patterns import java_pattern
+
+    pick = lambda n, *values: F.get(F.array(*map(F.lit, values)), (F.col("c_nationkey") % n).cast("int"))
+    text = F.concat(F.lit("Customer#"), F.col("c_custkey").cast("string"), pick(5, "\r", "\n", "\u2028", "\x85", ""), pick(3, "é", "É", "ß"), "c_mktsegment", pick(2, "\n", "ß"))
+    own = table(spark, sf_dir, "customer").select("c_custkey", text.alias("t"))
+    return own.select("c_custkey", F.concat(*[F.when(F.col("t").rlike(java_pattern(p)), "1").otherwise("0") for p in PATTERNS]).alias("hits"))
+
+
+@query(r"""SELECT p_partkey, replace(regexp_replace('किताब ' || p_name || '/..' || CASE WHEN p_size % 2 = 0 THEN 'é' ELSE 'e' || chr(769) END || '½' || p_type || 'ဃါ', '[^\pL\pN\x{93E}-\x{94C}\x{102B}._-]', '', 'g'), '..', '_') AS safe FROM part""")
+def sanitize_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Names whose vowel signs are letters by Unicode, though of the category of marks; accents that stand alone go."""
+    from dumpmill.functions.text import sanitize_filename
+
+    accent = F.when(F.col("p_size") % 2 == 0, "é").otherwise("e\u0301")
+    raw = F.concat(F.lit("किताब "), "p_name", F.lit("/.."), accent, F.lit("½"), "p_type", F.lit("ဃါ"))
+    return table(spark, sf_dir, "part").select("p_partkey", sanitize_filename(raw).alias("safe"))
