@@ -1,8 +1,8 @@
 """Line dedup by a segment-partition edit join (operator 2).
 
 Lines of at least ``least`` code points are compared; shorter ones are left alone. With ``bands``,
-pairs of (least length, edits), every line that holds a word takes part: equal lines are grouped
-whatever their length, and the edits allowed grow with the length of the shorter line (BANDS in the
+pairs of (least length, edits), every line that holds a word (a letter or digit) takes part, whatever its
+length, and no other: rules and blank lines are left alone. Equal lines are grouped, and the edits allowed grow with the length of the shorter line (BANDS in the
 registered query and the pipeline). Equal lines are grouped by a 128-bit hash. Lines within ``edits``
 edits of each other are linked: a line is cut into edits + 1 segments, one of which survives unchanged
 in any such partner. Each line is indexed under (length, segment number, segment) and probes the
@@ -11,10 +11,12 @@ indexes of all lengths it can reach with the substrings at the positions that re
 over whole batches. Candidate pairs pass a letter-count sketch and are verified by banded bit-parallel
 edit distance, many pairs at once.
 
-A key shared by more than SMALL lines never emits its pairs. Its lines are dealt out as pairs of
-chunks, compared where they meet, and return at most one edge per line; lines that share several
-such keys are compared under the first. Keys that a hash sample of lines (one in SAMPLE) shows to be
-hot are salted before the shuffle; the sample decides where rows go, never which are compared. Of each
+A key shared by more than SMALL lines is refined: two lines within the edits that share a segment are
+so without it too, so what is left of each line is cut into segments again, and both segments together
+are the next key, until keys are small (``refined``). What cannot be cut further, lines that are alike in all
+parts, rests of a few characters and what is large still after LEVELS rounds, is dealt out as pairs of chunks, compared where they
+meet, and returns at most one edge per line. Keys that a hash sample (one in SAMPLE) shows to be
+hot are salted or kept out of the shuffle; the sample decides where rows go, never which are compared. Of each
 class (lines reachable over links) the occurrence with the smallest (doc_id, line number) stays; the
 others go.
 
@@ -43,6 +45,8 @@ from dumpmill.functions.values import let
 from .common import boxed, components, joined, scratch, trim, written
 
 EDITS, LEAST, SMALL, CELL = 2, 24, 64, 512
+#: Rounds of cutting large keys, times that a round may make rows under large keys more, and the most edits of keys that are cut.
+LEVELS, GROWTH, REFINED = 3, 2, 2
 #: Bits of the bitmap of candidates: sixteen a line, within these bounds (8 kB and 16 MB).
 BITMAP = (1 << 16, 1 << 27)
 #: One line in SAMPLE shows hot keys, of which the HOT_KEYS largest are salted.
@@ -55,9 +59,9 @@ _P, _MIX = 0x9E3779B97F4A7C15 | 1, np.uint64(0xD6E8FEB86659FD93)
 _INVERSE = np.uint64(pow(_P, -1, 1 << 64))
 
 
-def _lines(text: str | None, least: int, words: int = 0) -> list[tuple[int, str]]:
-    """Lines of ``least`` code points at least; those under ``words`` only if they hold a word."""
-    return [(i, x) for i, x in enumerate(text.split("\n")) if len(x) >= least and (len(x) >= words or _WORD.search(x))] if text else []
+def _lines(text: str | None, least: int, words: bool = False) -> list[tuple[int, str]]:
+    """Lines of ``least`` code points at least; with ``words`` only those that hold a word."""
+    return [(i, x) for i, x in enumerate(text.split("\n")) if len(x) >= least and (not words or _WORD.search(x))] if text else []
 
 
 def allowed(bands, n: int) -> int:
@@ -71,9 +75,9 @@ def line_name(line: str) -> int:
     return h - (h >> 63 << 64)
 
 
-def _reach(edits: int, least: int, bands) -> tuple[tuple, int, int]:
-    """(bands, least length compared exactly, length under which a line needs a word)."""
-    return (tuple(bands), 1, LEAST) if bands else (((least, edits),), least, 0)
+def _reach(edits: int, least: int, bands) -> tuple[tuple, int, bool]:
+    """(bands, least length compared exactly, whether a line needs a word)."""
+    return (tuple(bands), 1, True) if bands else (((least, edits),), least, False)
 
 
 def occurrences(docs: DataFrame, edits: int = EDITS, least: int = LEAST, bands=None) -> DataFrame:
@@ -92,7 +96,7 @@ def occurrences(docs: DataFrame, edits: int = EDITS, least: int = LEAST, bands=N
                     [ids.take(pa.array(at, pa.int64())), pa.array(no, pa.int32()), *longs, pa.nulls(len(at), pa.int64())], names=names)
                 if sample:
                     h = np.array([line_name(x) for x in sample], np.int64)
-                    for rows, key, _ in signatures(sample, bands):
+                    for rows, key, *_ in signatures(sample, bands):
                         n = len(rows)
                         yield pa.RecordBatch.from_arrays(
                             [pa.nulls(n, ids.type), pa.nulls(n, pa.int32()), pa.array(h[rows]), pa.nulls(n, pa.int64()), pa.array(key)], names=names)
@@ -131,8 +135,9 @@ def segments(length: np.ndarray, parts: int, i: int) -> tuple[np.ndarray, np.nda
     return size * i + longer, size + (i >= parts - rest)
 
 
-def signatures(lines: list[str], bands) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """(rows, keys, whether the rows are indexed under them) for each band. The lowest four bits of a key are its edits."""
+def signatures(lines: list[str], bands) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """(rows, keys, whether the rows are indexed under them, place and size of the segment) for each band. The lowest four
+    bits of a key are its edits."""
     data = [x.encode("utf-32-le") for x in lines]
     sizes = np.array([len(d) // 4 for d in data])
     starts = np.cumsum(sizes) - sizes
@@ -149,7 +154,7 @@ def signatures(lines: list[str], bands) -> Iterator[tuple[np.ndarray, np.ndarray
         if not len(own):
             continue
         length, begin = sizes[own], starts[own]
-        found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        found: list[tuple[np.ndarray, ...]] = []
         for less in range(edits + 1):
             other = length - less
             fits = (other >= least) & (other < end)
@@ -163,7 +168,7 @@ def signatures(lines: list[str], bands) -> Iterator[tuple[np.ndarray, np.ndarray
                     h = (h ^ (other[rows] * (edits + 1) + i).astype(np.uint64)) * _MIX
                     h ^= h >> np.uint64(32)
                     h = h * _MIX & ~np.uint64(15) | np.uint64(edits)
-                    found.append((own[rows], h.view(np.int64), np.full(len(rows), less == 0 and shift == 0)))
+                    found.append((own[rows], h.view(np.int64), np.full(len(rows), less == 0 and shift == 0), at[rows], size[rows]))
         yield tuple(np.concatenate(x) for x in zip(*found, strict=True))
 
 
@@ -326,7 +331,7 @@ def line_keys(docs: DataFrame, edits: int = EDITS, least: int = LEAST, bands=Non
                         size += len(line)
                 if lines and (size > 1 << 19 or text is None):
                     name, sketch = np.array(names, np.int64), sketches(lines).view(np.int64)
-                    for rows, key, indexed in signatures(lines, bands):
+                    for rows, key, indexed, *_ in signatures(lines, bands):
                         salt = np.full(len(key), -1, np.int32)
                         if shared is not None:
                             many = np.isin(key, shared.value)
@@ -484,28 +489,167 @@ def verified(batches: Iterator[pa.RecordBatch], bands) -> Iterator[pa.RecordBatc
             yield pa.RecordBatch.from_arrays([part.column("ua").filter(ok), part.column("ub").filter(ok)], names=["a", "b"])
 
 
-def met_before(key: int, keys: pa.ListArray, indexed: pa.ListArray) -> np.ndarray | None:
-    """Which pairs of rows meet under a smaller key too, where one of them at least is indexed; None if none can."""
-    def places(column: pa.ListArray) -> tuple[np.ndarray, np.ndarray]:
-        value, row = column.flatten().to_numpy(), np.repeat(np.arange(len(column)), np.diff(column.offsets.to_numpy()))
-        return value[value < key], row[value < key]
-
-    (value, row), (own, at) = places(keys), places(indexed)
-    names = np.unique(own)
-    if not len(names):
-        return None
-    known = np.isin(value, names)
-    both = [np.zeros((len(keys), len(names)), np.float32) for _ in range(2)]
-    both[0][row[known], np.searchsorted(names, value[known])] = 1
-    both[1][at, np.searchsorted(names, own)] = 1
-    shared = both[0] @ both[1].T > 0
-    return shared | shared.T
-
-
-def cell_edges(line: np.ndarray, text: list[str], sketch: np.ndarray, indexed: np.ndarray, edits: int, met: np.ndarray | None = None,
-               step: int = 4096) -> tuple[list[int], list[int]]:
-    """Edges that connect the rows of a cell as their links do, but for the pairs that have ``met`` elsewhere. Pairs are
-    verified ``step`` at a time, and rows that are joined by then are not compared again."""
+def rests_of(large: DataFrame, bands) -> DataFrame:
+    """(key, uid, rest, indexed, last) of rows (key, uid, text): what is left of a line without the segment of a key."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, 1 << 12):
+                part = batch.slice(at, 1 << 12)
+                texts, uids, keys = part.column("text").to_pylist(), part.column("uid").to_pylist(), part.column("key").to_numpy()
+                place: dict[str, int] = {}
+                wanted: dict[tuple[int, int], list[int]] = {}
+                for t, u, k in zip(texts, uids, keys.tolist(), strict=True):
+                    wanted.setdefault((place.setdefault(t, len(place)), k), []).append(u)
+                own, rows = list(place), []
+                for row, key, indexed, start, size in signatures(own, bands):
+                    for i in np.flatnonzero(np.isin(key, keys)).tolist():
+                        text, a = own[row[i]], int(start[i])
+                        for u in wanted.get((int(row[i]), int(key[i])), ()):
+                            rows.append((int(key[i]), u, text[:a] + text[a + int(size[i]) :], bool(indexed[i]), 0))
+                yield _rest_batch(rows)
+        trim()
+
+    return large.select("key", "uid", "text").mapInArrow(run, _REST)
+
+
+_REST = "key long, uid long, rest string, indexed boolean, root long, last boolean"
+_REST_NAMES = ["key", "uid", "rest", "indexed", "root", "last"]
+
+
+def _rest_batch(rows: list[tuple], last: bool = False) -> pa.RecordBatch:
+    """Rows of (key, uid, rest, indexed, root: the key that was cut)."""
+    cols = list(zip(*dict.fromkeys(rows), strict=True)) or [[]] * 5
+    kinds = (pa.int64(), pa.int64(), pa.string(), pa.bool_(), pa.int64())
+    return pa.RecordBatch.from_arrays([*(pa.array(c, k) for c, k in zip(cols, kinds, strict=True)), pa.array([last] * len(cols[0]), pa.bool_())], names=_REST_NAMES)
+
+
+def cut_again(rests: DataFrame) -> DataFrame:
+    """The rows of ``rests`` under their next keys, and what is left without that segment too.
+
+    Of two rests within e edits either both have over e characters and share one of e + 1 segments, or both have 2e at
+    most: those meet under a key of their own as well, which is the ``last``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, 1 << 12):
+                part = batch.slice(at, 1 << 12)
+                keys, uids, texts = part.column("key").to_numpy(), part.column("uid").to_pylist(), part.column("rest").to_pylist()
+                for e in np.unique(keys & 15).tolist():
+                    mine = np.flatnonzero(keys & 15 == e)
+                    short = [i for i in mine.tolist() if len(texts[i]) <= 2 * e]
+                    rows = [(_next_key(np.array([keys[i]]), np.array([7]), e)[0].item(), uids[i], texts[i], True, int(keys[i])) for i in short]
+                    yield _rest_batch(rows, True)
+                    own, rows = [texts[i] for i in mine.tolist()], []
+                    for row, key, indexed, start, size in signatures(own, ((e + 1, e),)):
+                        whose = mine[row]
+                        for i, k, flag, a, n in zip(whose.tolist(), _next_key(keys[whose], key, e).tolist(), indexed.tolist(), start.tolist(), size.tolist(), strict=True):
+                            rows.append((k, uids[i], texts[i][:a] + texts[i][a + n :], flag, int(keys[i])))
+                    yield _rest_batch(rows)
+        trim()
+
+    return rests.mapInArrow(run, _REST)
+
+
+def _next_key(key: np.ndarray, more: np.ndarray, edits: int) -> np.ndarray:
+    h = (key.view(np.uint64) * np.uint64(_P) ^ more.view(np.uint64)) * _MIX
+    h ^= h >> np.uint64(32)
+    return (h * _MIX & ~np.uint64(15) | np.uint64(edits)).view(np.int64)
+
+
+def split_keys(rows: DataFrame) -> DataFrame:
+    """Candidates (a, b), whose rests are within the edits, under keys of up to SMALL rows, and the rows of larger keys as
+    they are (``a`` null). Two lines can differ by more edits than their rests, never by fewer. Rows of keys that a hash sample shows to be hot are not shuffled; no key is held in memory."""
+    sample = rows.where(F.pmod(F.xxhash64("uid"), F.lit(SAMPLE)) == 0).groupBy("key").count().where(F.col("count") > SMALL)
+    hot = F.broadcast(sample.orderBy(F.desc("count"), "key").limit(HOT_KEYS).select("key"))
+    none = F.lit(None).cast("long")
+
+    def large(t: pa.Table) -> Iterator[pa.RecordBatch]:
+        n = pa.nulls(t.num_rows, pa.int64())
+        for batch in pa.table({"a": n, "b": n, **{c: t.column(c) for c in _REST_NAMES}}).to_batches():
+            yield batch
+
+    def small(t: pa.Table) -> Iterator[pa.RecordBatch]:
+        key, uid, rest = t.column("key").to_numpy(), t.column("uid").to_numpy(), t.column("rest").to_pylist()
+        edge = np.flatnonzero(key[1:] != key[:-1]) + 1
+        first, last = np.concatenate([[0], edge]), np.concatenate([edge, [len(key)]])
+        many = np.repeat(last - first > SMALL, last - first)
+        if many.any():
+            yield from large(t.filter(pa.array(many)))
+            yield from small(t.filter(pa.array(~many))) if not many.all() else ()
+            return
+        i, j = _pairs_of(key, uid, sketches(rest), t.column("indexed").to_numpy(), first, last)
+        for at in range(0, len(i), 1 << 13):
+            x, y = i[at : at + (1 << 13)], j[at : at + (1 << 13)]
+            ok = within_many([rest[k] for k in x.tolist()], [rest[k] for k in y.tolist()], key[x] & 15)
+            a, b = np.minimum(uid[x[ok]], uid[y[ok]]), np.maximum(uid[x[ok]], uid[y[ok]])
+            empty = [pa.nulls(len(a), kind) for kind in (pa.int64(), pa.int64(), pa.string(), pa.bool_(), pa.int64(), pa.bool_())]
+            yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), *empty], names=["a", "b", *_REST_NAMES])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.Table] = []
+        going: int | None = None  # a large key whose rows go on
+        for batch in batches:
+            t = pa.Table.from_batches([batch])
+            if going is not None:
+                n = int(np.searchsorted(t.column("key").to_numpy(), going, "right"))
+                yield from large(t.slice(0, n))
+                t = t.slice(n)
+                if not t.num_rows:
+                    continue
+                going = None
+            held.append(t)
+            if sum(x.num_rows for x in held) < 1 << 14:
+                continue
+            t = pa.concat_tables(held).combine_chunks()
+            key = t.column("key").to_numpy()
+            n = int(np.searchsorted(key, key[-1], "left"))
+            if n:
+                yield from small(t.slice(0, n))
+            held = [t.slice(n)]
+            if held[0].num_rows > SMALL:
+                going = int(key[-1])
+                yield from large(held.pop())
+        if held:
+            yield from small(pa.concat_tables(held).combine_chunks())
+        trim()
+
+    rest = rows.join(hot, "key", "left_anti").select(*rows.columns).repartition("key").sortWithinPartitions("key").mapInArrow(run, f"a long, b long, {_REST}")
+    return rest.unionByName(rows.join(hot, "key", "left_semi").select(none.alias("a"), none.alias("b"), *rows.columns))
+
+
+def refined(large: DataFrame, bands, levels: int) -> tuple[list[DataFrame], DataFrame | None]:
+    """(candidates (a, b), rows of keys that are large to the end or None) of rows (key, uid, text) of large keys.
+
+    Cutting helps where lines share a part and differ in the rest. Where it leaves more than GROWTH times a key's rows under
+    large keys, lines are alike in all parts: such a key is compared as it is, where most rows are joined at once. So
+    are keys of more than REFINED edits, whose lines have many segments."""
+    cut = F.col("key").bitwiseAND(F.lit(15)) <= REFINED
+    edges, now = [], written(rests_of(large, bands), "rests")
+    ends, now = [now.where(~cut)], now.where(cut)
+    for level in range(levels):
+        if now.isEmpty():
+            break
+        found = written(split_keys(written(cut_again(now), "cut")), "split")
+        edges.append(found.where("a is not null").select("a", "b"))
+        more = found.where("a is null").drop("a", "b")
+        sizes = now.groupBy("key").agg(F.count("*").alias("n"))
+        stuck = more.groupBy("root").agg(F.count("*").alias("m")).join(sizes, F.col("root") == F.col("key")).where(F.col("m") > GROWTH * F.col("n")).select("root")
+        stuck = written(stuck, "stuck")
+        ends.append(now.join(stuck, now["key"] == stuck["root"], "left_semi"))
+        more = more.join(stuck, "root", "left_anti").select(*_REST_NAMES)
+        ends.append(more.where("last"))
+        now = written(more.where("not last"), "more")
+    ends.append(now)
+    rest = ends[0].select(*_REST_NAMES)
+    for x in ends[1:]:
+        rest = rest.unionByName(x.select(*_REST_NAMES))
+    return edges, None if rest.isEmpty() else rest
+
+
+def cell_edges(line: np.ndarray, text: list[str], sketch: np.ndarray, indexed: np.ndarray, edits: int, step: int = 4096) -> tuple[list[int], list[int]]:
+    """Edges that connect the rows of a cell as their links do. Pairs are verified ``step`` at a time, and rows that are
+    joined by then are not compared again."""
     row = np.unique(line, return_index=True, return_inverse=True)
     label = row[1][row[2]]  # equal lines are one from the start
     a, b = [], []
@@ -515,8 +659,6 @@ def cell_edges(line: np.ndarray, text: list[str], sketch: np.ndarray, indexed: n
         while i < n - 1 and sum(map(len, held)) < step:
             rest = np.arange(i + 1, n)
             rest = rest[label[rest] != label[i]]
-            if met is not None:
-                rest = rest[~met[i, rest]]
             if not indexed[i]:
                 rest = rest[indexed[rest]]
             rest = rest[sketch_distance(sketch[i : i + 1], sketch[rest]) <= 2 * edits]
@@ -559,21 +701,25 @@ def near_links(docs: DataFrame, edits: int = EDITS, least: int = LEAST, bands=No
     few = checked.mapInArrow(lambda batches: verified(batches, bands), "a long, b long")
     if not some:
         return few, texts
-    parts = large.groupBy("key").agg(F.ceil(F.count("*") / CELL).cast("int").alias("parts"))
-    part = F.pmod(F.xxhash64("line"), F.col("parts")).cast("int")
-    cells = large.join(parts, "key").withColumn("own", part).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-    cells = cells.select("key", F.least("own", "other").alias("c1"), F.greatest("own", "other").alias("c2"), "line", "sketch", "indexed")
-    where = large.groupBy("line").agg(F.collect_set("key").alias("keys"), F.collect_set(F.when(F.col("indexed"), F.col("key"))).alias("mine"))
-    cells = cells.join(texts.select("line", "uid", "text").join(where, "line"), "line").repartition(tasks, "key", "c1", "c2")
+    close, left = refined(large.select("key", "line").distinct().join(texts, "line"), bands, LEVELS)
+    for x in close:
+        side = lambda x: texts.select(F.col("uid").alias(f"u{x}"), F.col("text").alias(f"t{x}"))
+        own = x.select(F.col("a").alias("ua"), F.col("b").alias("ub")).distinct().join(side("a"), "ua").repartition(tasks, "ub").join(side("b"), "ub")
+        few = few.unionByName(own.select("ua", "ub", "ta", "tb").mapInArrow(lambda batches: verified(batches, bands), "a long, b long"))
+    if left is None:
+        return few, texts
+    left = left.select("key", "uid", "indexed").distinct()
+    parts = left.groupBy("key").agg(F.ceil(F.count("*") / CELL).cast("int").alias("parts"))
+    part = F.pmod(F.xxhash64("uid"), F.col("parts")).cast("int")
+    cells = left.join(parts, "key").withColumn("own", part).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    cells = cells.select("key", F.least("own", "other").alias("c1"), F.greatest("own", "other").alias("c2"), "uid", "indexed").join(texts.select("uid", "text"), "uid")
 
     def compare(group: pa.Table) -> pa.Table:
-        key = group.column("key")[0].as_py()
-        met = met_before(key, group.column("keys").combine_chunks(), group.column("mine").combine_chunks())
-        a, b = cell_edges(group.column("uid").to_numpy(), group.column("text").to_pylist(), group.column("sketch").to_numpy().view(np.uint64),
-                          group.column("indexed").to_numpy(), key & 15, met)
+        text = group.column("text").to_pylist()
+        a, b = cell_edges(group.column("uid").to_numpy(), text, sketches(text), group.column("indexed").to_numpy(), group.column("key")[0].as_py() & 15)
         return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
-    return few.union(cells.groupBy("key", "c1", "c2").applyInArrow(compare, "a long, b long")), texts
+    return few.unionByName(cells.repartition(tasks, "key", "c1", "c2").groupBy("key", "c1", "c2").applyInArrow(compare, "a long, b long")), texts
 
 
 def repeated_lines(docs: DataFrame, edits: int = EDITS, least: int = LEAST, bands=None) -> DataFrame:
