@@ -19,6 +19,7 @@ columns are read, so other columns cannot clash.
 
 from __future__ import annotations
 
+import re
 from functools import lru_cache
 
 import pyarrow as pa
@@ -28,7 +29,7 @@ from pyspark.sql import functions as F
 from .tokens import splits_at_space
 
 CAPACITY, END, FINE = 2048, 1, 64
-#: Entries of each of a worker's two caches, and the longest word that they keep, in bytes.
+#: Entries of a generation of each of a worker's two caches, and the longest word that they keep, in bytes.
 CACHED, LONGEST = 1 << 19, 64
 _MARKS = b".,;:!?"
 #: Last letters of words after which a mark is a piece of its own, besides ASCII: Latin letters up to U+024F. The signs ×
@@ -36,6 +37,13 @@ _MARKS = b".,;:!?"
 _LATIN = {chr(c) for c in range(0xC0, 0x250)} - {"×", "÷", "\u0130"}
 
 
+#: Words of the letters a-z and U+00DF to U+00FF without the sign ÷.
+_SMALL = re.compile(rb"(?:[a-z]|\xc3[\x9f-\xb6\xb8-\xbf])+")
+#: Bytes as byte-level vocabularies spell them: those that print in Latin-1 as themselves, the others from U+0100 on.
+_PRINTS = [*range(33, 127), *range(161, 173), *range(174, 256)]
+_BYTE = {b: chr(b) for b in _PRINTS} | {b: chr(256 + i) for i, b in enumerate(sorted({*range(256)} - {*_PRINTS}))}
+
+
 @lru_cache(maxsize=2)
 def _library(path: str):
     from tokenizers import Tokenizer
@@ -46,45 +54,63 @@ def _library(path: str):
     return own
 
 
-class Ids(dict):
-    """Ids of white-space-delimited words (UTF-8), as little-endian unsigned 32-bit integers.
-
-    A word not seen before is looked up without the marks at its end, in lower case if it is ASCII, where the vocabulary
-    is found to treat marks and case so; the library encodes what is new then. Full caches start anew."""
+class Cache(dict):
+    """The results of ``make`` by word: two generations of CACHED entries, so that what is in use stays as words come and go."""
 
-    def __init__(self, path: str):
+    def __init__(self, make):
         super().__init__()
-        self.path, self.cores = path, {}
-        ids = lambda w: _library(path).encode(w, add_special_tokens=False).ids
-        self.folds = all(ids(w) == ids(w.lower()) for w in ("Word", "MIXED9a", "QX", "Zz-Top"))
-        self.marks = _MARKS if all(ids(w + m) == ids(w) + ids(m) for w in ("word", "r2", "é") for m in (*_MARKS.decode(), "...", "?!")) else b""
-
-    def encoded(self, word: bytes) -> bytes:
-        own = self.cores.get(word)
-        if own is None:
-            ids = _library(self.path).encode(word.decode(), add_special_tokens=False).ids
-            own = b"".join([i.to_bytes(4, "little") for i in ids])
-            if len(word) <= LONGEST:
-                if len(self.cores) >= CACHED:
-                    self.cores.clear()
-                self.cores[word] = own
-        return own
+        self.make, self.old = make, {}
 
     def __missing__(self, word: bytes) -> bytes:
-        core = word.rstrip(self.marks)
-        plain = self.folds and word.isascii() and b"<|" not in word  # special strings are told by case
-        if core and core != word and (core[-1:].isalnum() if core[-1] < 128 else core.decode()[-1] in _LATIN):
-            own = self.encoded(core.lower() if plain else core) + self.encoded(word[len(core) :])
-        else:
-            own = self.encoded(word.lower() if plain else word)
+        own = self.old.get(word)
+        if own is None:
+            own = self.make(word)
         if len(word) <= LONGEST:
             if len(self) >= CACHED:
+                self.old = dict(self)
                 self.clear()
             self[word] = own
         return own
 
+
+class Ids:
+    """Ids of texts by white-space-delimited words (UTF-8), as little-endian unsigned 32-bit integers.
+
+    Where the vocabulary is found to treat case and marks so, A-Z are put in lower case first, and a word not seen before
+    is looked up without the marks at its end. What is new then goes to the library's merges if it is of small Latin
+    letters, which normalization leaves alone and no pattern splits, and else through all of the library. Texts that hold
+    special strings, which are told by case, or marks that combine with letters of one case only stay in their case."""
+
+    def __init__(self, path: str):
+        own = _library(path)
+        ids = lambda w: own.encode(w, add_special_tokens=False).ids
+        self.folds = all(ids(w) == ids(w.lower()) for w in ("Word", "MIXED9a", "QX", "Zz-Top"))
+        marks = _MARKS if all(ids(w + m) == ids(w) + ids(m) for w in ("word", "r2", "é") for m in (*_MARKS.decode(), "...", "?!")) else b""
+        merge = own.model.tokenize
+        merged = lambda w: [t.id for t in merge("".join(map(_BYTE.__getitem__, w)))]
+        direct = all(merged(w.encode()) == ids(w) for w in ("a", "word", "straße", "ñandú", "quelqueñada", "antidisestablishment"))
+
+        def of_core(word: bytes) -> bytes:
+            own = merged(word) if direct and _SMALL.fullmatch(word) else ids(word.decode())
+            return b"".join([i.to_bytes(4, "little") for i in own])
+
+        cores = Cache(of_core)
+
+        def of_word(word: bytes) -> bytes:
+            core = word.rstrip(marks)
+            if core and core != word and (core[-1:].isalnum() if core[-1] < 128 else core.decode()[-1] in _LATIN):
+                return cores[core] + cores[word[len(core) :]]
+            return cores[word]
+
+        self.words = Cache(of_word)
+
     def of(self, text: str | None) -> bytes:
-        return b"".join(map(self.__getitem__, text.encode().split())) if text else b""
+        if not text:
+            return b""
+        own = text.encode()
+        if self.folds and b"<|" not in own and b"\xcc" not in own and b"\xcd" not in own:  # U+0300 to U+036F
+            own = own.lower()
+        return b"".join(map(self.words.__getitem__, own.split()))
 
 
 _caches: dict[str, Ids] = {}
