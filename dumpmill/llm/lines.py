@@ -11,10 +11,10 @@ indexes of all lengths it can reach with the substrings at the positions that re
 over whole batches. Candidate pairs pass a letter-count sketch and are verified by banded bit-parallel
 edit distance, many pairs at once.
 
-A key shared by more than SMALL lines is refined: two lines within the edits that share a segment are
+A key shared by more than SMALL lines never emits its pairs, and one of more than CELL lines is refined: two lines within the edits that share a segment are
 so without it too, so what is left of each line is cut into segments again, and both segments together
 are the next key, until keys are small (``refined``). What cannot be cut further, lines that are alike in all
-parts, rests of a few characters and what is large still after LEVELS rounds, is dealt out as pairs of chunks, compared where they
+parts, rests of a few characters and what is large still after LEVELS rounds, is dealt out as pairs of chunks of CELL lines, compared where they
 meet, and returns at most one edge per line. Keys that a hash sample (one in SAMPLE) shows to be
 hot are salted or kept out of the shuffle; the sample decides where rows go, never which are compared. Of each
 class (lines reachable over links) the occurrence with the smallest (doc_id, line number) stays; the
@@ -701,14 +701,19 @@ def near_links(docs: DataFrame, edits: int = EDITS, least: int = LEAST, bands=No
     few = checked.mapInArrow(lambda batches: verified(batches, bands), "a long, b long")
     if not some:
         return few, texts
-    close, left = refined(large.select("key", "line").distinct().join(texts, "line"), bands, LEVELS)
+    big = written(large.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > CELL).select("key"), "big")
+    close, more, left = [], None, large.select("key", "line", "indexed")
+    if not big.isEmpty():  # keys of one chunk are compared as they are
+        close, more = refined(left.join(big, "key", "left_semi").select("key", "line").distinct().join(texts, "line"), bands, LEVELS)
+        left = left.join(big, "key", "left_anti")
+    left = left.join(texts, "line").select("key", "uid", "indexed")
+    if more is not None:
+        left = left.unionByName(more.select("key", "uid", "indexed"))
     for x in close:
         side = lambda x: texts.select(F.col("uid").alias(f"u{x}"), F.col("text").alias(f"t{x}"))
         own = x.select(F.col("a").alias("ua"), F.col("b").alias("ub")).distinct().join(side("a"), "ua").repartition(tasks, "ub").join(side("b"), "ub")
         few = few.unionByName(own.select("ua", "ub", "ta", "tb").mapInArrow(lambda batches: verified(batches, bands), "a long, b long"))
-    if left is None:
-        return few, texts
-    left = left.select("key", "uid", "indexed").distinct()
+    left = left.distinct()
     parts = left.groupBy("key").agg(F.ceil(F.count("*") / CELL).cast("int").alias("parts"))
     part = F.pmod(F.xxhash64("uid"), F.col("parts")).cast("int")
     cells = left.join(parts, "key").withColumn("own", part).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
