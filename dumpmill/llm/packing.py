@@ -30,7 +30,7 @@ from .tokens import splits_at_space
 
 CAPACITY, END, FINE = 2048, 1, 64
 #: Entries of a generation of each of a worker's two caches, and the longest word that they keep, in bytes.
-CACHED, LONGEST = 1 << 19, 64
+CACHED, LONGEST = 1 << 20, 64
 _MARKS = b".,;:!?"
 #: Last letters of words after which a mark is a piece of its own, besides ASCII: Latin letters up to U+024F. The signs ×
 #: and ÷ are none, and U+0130 ends in a combining dot in lower case.
