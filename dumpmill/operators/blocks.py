@@ -37,17 +37,22 @@ def canonical(tree) -> str:
     return json.dumps(tree, sort_keys=True, separators=(",", ":"), ensure_ascii=False)
 
 
+def _constant(table: dict, dtype: str) -> Column:
+    """A literal map, handed over as one JSON text that is folded into a constant: thousands of calls into the JVM, one for
+    each literal, would take longer than the blocks of ten thousand releases."""
+    return F.from_json(F.lit(json.dumps(table, ensure_ascii=False)), f"map<string,{dtype}>")
+
+
 def lookup(table: dict[str, str | None], key: Column) -> Column:
     """The table's value for a key, null where it has none."""
-    pairs = [F.lit(x) for k, v in table.items() if v is not None for x in (k, v)]
-    return F.try_element_at(F.create_map(*pairs), key) if pairs else F.lit(None).cast("string")
+    own = {k: v for k, v in table.items() if v is not None}
+    return F.try_element_at(_constant(own, "string"), key) if own else F.lit(None).cast("string")
 
 
 def rows(table: dict[str, dict], fields: tuple[str, ...]) -> Column:
     """A literal map from keys to structs of ``fields``: one lookup gives all that is known of a key."""
-    text = lambda v: F.lit(None if v is None else str(v)).cast("string")
-    pairs = [x for k, own in table.items() for x in (F.lit(k), F.struct(*[text(own.get(f)).alias(f) for f in fields]))]
-    return F.create_map(*pairs)
+    text = lambda v: None if v is None else str(v)
+    return _constant({k: {f: text(own.get(f)) for f in fields} for k, own in table.items()}, f"struct<{','.join(f'`{f}`:string' for f in fields)}>")
 
 
 def _field(obj: Column, name: str) -> Column:
