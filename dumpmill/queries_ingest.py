@@ -380,3 +380,19 @@ def sanitize_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     accent = F.when(F.col("p_size") % 2 == 0, "é").otherwise("e\u0301")
     raw = F.concat(F.lit("किताब "), "p_name", F.lit("/.."), accent, F.lit("½"), "p_type", F.lit("ဃါ"))
     return table(spark, sf_dir, "part").select("p_partkey", sanitize_filename(raw).alias("safe"))
+
+
+@query("""SELECT event_type AS data_type, user_id % 2 AS lane, count(*) // 20 AS batches, count(*) // 20 * 20 AS frames, 'size' AS cause FROM events
+GROUP BY 1, 2 HAVING count(*) >= 20""")
+def batches_of_a_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The events as a stream, cut into batches of 20 frames a type and lane; what does not fill one waits in the state."""
+    from dumpmill.streaming.timers import timed_batches
+
+    schema, path = table(spark, sf_dir, "events").schema, work_folder(spark)
+    landed = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
+    frames = landed.select(F.col("event_type").alias("data_type"), F.col("event_id").alias("seq"), F.col("props").alias("value"), F.col("user_id").alias("lane"))
+    own = timed_batches(frames, 20, 86400.0, F.col("lane") % 2).writeStream.format("parquet").outputMode("append")
+    own.option("path", f"{path}/out").option("checkpointLocation", f"{path}/state").trigger(once=True).start().awaitTermination()
+    E.removed(spark, f"{path}/state")
+    sent = spark.read.parquet(f"{path}/out")
+    return sent.groupBy("data_type", "lane", "cause").agg(F.count("*").alias("batches"), F.sum(F.size("frames")).alias("frames"))
