@@ -17,7 +17,7 @@ IDLE, WAITING = "idle", "waiting"
 class Config:
     """Each setting is read from PREFIX_NAME, texts also from the file that PREFIX_NAME_FILE names; what does not
     parse is the default, numbers are 1 at least. A rate of 0 is no bound; a negative or infinite one is the
-    default. ``run_version`` takes the settings: ``workers`` is the number of files side by side."""
+    default. A file may hold ``fault_budget`` malformed records. ``run_version`` takes the settings: ``workers`` is the number of files side by side."""
 
     batch_size: int = 100
     checkpoint_every: int = 5000
@@ -25,6 +25,7 @@ class Config:
     rate: float = 1500.0
     stall_seconds: int = 120
     period_days: int = 15
+    fault_budget: int = 100
     prefix: str = "catalog"
     provider: str = "catalog"
 

@@ -27,7 +27,7 @@ from dumpmill.sinks.broker import Desk, publish as publish_frames
 from dumpmill.sources import Source
 from dumpmill.sources.files import stream_sha256
 from dumpmill.sources.manifest import read_manifest
-from dumpmill.sources.xml import NAME, check_faults, read_dump
+from dumpmill.sources.xml import NAME, check_faults, read_dump, rejects
 
 LOG = logging.getLogger("dumpmill")
 
@@ -127,8 +127,10 @@ def _kept(df: DataFrame, path: str, trees: tuple[str, ...] = ("data",)) -> DataF
 
 
 def _processed(spark, path, entity, out, work, policy, config, publish, on_progress, desk) -> tuple[str, int, int]:
-    parsed = _kept(read_dump(spark, path, entity, capture_raw=policy is not None), f"{work}/raw")
-    check_faults(parsed)
+    parsed = _kept(read_dump(spark, path, entity, capture_raw=policy is not None, budget=config.fault_budget), f"{work}/raw")
+    if check_faults(parsed, None):
+        rejects(parsed).write.mode("append").partitionBy("data_type").json(f"{out}/rejected")  # also of a file that is refused now
+        check_faults(parsed, config.fault_budget)
     own = prepare(parsed, entity, policy, config.provider)
     if policy is not None:  # every output below reads what the policy left, which is evaluated here only
         own = replace(own, checked=_kept(own.checked, f"{work}/checked"), skipped=_kept(own.skipped, f"{work}/skipped"))

@@ -150,16 +150,22 @@ class Assembler:
                 yield self.held, "no end tag"
 
 
-def _assemble(name: str, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pieces come in the order of their files; the last piece of a file is known when the next begins."""
-    file, own, seq, waiting = None, None, 0, None
+def _assemble(name: str, budget: int | None, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pieces come in the order of their files; the last piece of a file is known when the next begins. A file is
+    passed over from the fault on that exceeds the budget."""
+    file, own, seq, waiting, faults = None, None, 0, None, 0
     out: list[tuple] = []
 
     def take(last: bool) -> None:
-        nonlocal seq
+        nonlocal seq, faults
+        if budget is not None and faults > budget:
+            return
         for xml, error in own.feed(waiting, last):
             out.append((file, seq, xml, error))
             seq += 1
+            faults += error is not None
+            if budget is not None and faults > budget:
+                return
 
     def batch() -> pa.RecordBatch:
         cols = list(zip(*out, strict=True)) or [(), (), (), ()]
@@ -174,7 +180,7 @@ def _assemble(name: str, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Recor
             if path != file:
                 if own:
                     take(True)
-                file, own, seq, waiting = path, Assembler(name), 0, None
+                file, own, seq, waiting, faults = path, Assembler(name), 0, None, 0
             if waiting is not None:
                 take(False)
             waiting = piece
@@ -187,10 +193,13 @@ def _assemble(name: str, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Recor
     yield batch()
 
 
-def _parsed(name: str, capture: bool, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _parsed(name: str, capture: bool, budget: int | None, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    faults: dict[str, int] = {}
     for b in batches:
         keep, ids, trees, raws, errors = [], [], [], [], []
-        for i, (xml, error) in enumerate(zip(b.column("xml").to_pylist(), b.column("error").to_pylist(), strict=True)):
+        for i, (file, xml, error) in enumerate(zip(*(b.column(c).to_pylist() for c in ("file", "xml", "error")), strict=True)):
+            if budget is not None and faults.get(file, 0) > budget:
+                continue
             own = None
             if error is None:
                 try:
@@ -199,6 +208,8 @@ def _parsed(name: str, capture: bool, batches: Iterator[pa.RecordBatch]) -> Iter
                         continue
                 except Exception as e:  # noqa: BLE001  any fault of one record stays with it
                     error = f"{type(e).__name__}: {e}"
+            if error is not None:
+                faults[file] = faults.get(file, 0) + 1
             keep.append(i)
             ids.append(own and own[0])
             trees.append(own and json.dumps(own[1], ensure_ascii=False, separators=(",", ":")))
@@ -214,25 +225,35 @@ def file_parts(path: Column) -> list[Column]:
     return [F.nullif(F.regexp_extract(path, NAME, i), F.lit("")).alias(k) for i, k in ((2, "version"), (3, "data_type"))]
 
 
-def read_dump(spark: SparkSession, paths: str | list[str], entity: str, capture_raw: bool = False, partitions: int | None = None) -> DataFrame:
+def read_dump(
+    spark: SparkSession, paths: str | list[str], entity: str, capture_raw: bool = False, partitions: int | None = None, budget: int | None = None,
+) -> DataFrame:
     """Records of dumps of one entity: (file, version, data_type, seq, id, data, raw_xml, error).
 
     ``data`` is map<string,variant>. ``seq`` is the place in the file. ``raw_xml`` is written from the
     tree if asked for, and holds the source of malformed records.
+
+    With ``budget`` each task gives a file up at the malformed record that exceeds it: rows after that one are missing, and
+    ``check_faults`` with the same budget is sure to refuse the file, so it must be called. Without, all records are read.
     """
     name = SINGULAR[entity]
     pieces = spark.read.option("lineSep", f"</{name}>").text(paths)
     pieces = pieces.select(F.col("_metadata.file_path").alias("file"), F.make_valid_utf8("value").alias("value"))
-    records = pieces.mapInArrow(lambda batches: _assemble(name, batches), "file string, seq long, xml string, error string")
+    records = pieces.mapInArrow(lambda batches: _assemble(name, budget, batches), "file string, seq long, xml string, error string")
     records = records.repartition(partitions) if partitions else records.repartition("file", (F.col("seq") / 1000).cast("long"))
-    parsed = records.mapInArrow(lambda batches: _parsed(name, capture_raw, batches), "file string, seq long, id string, json string, raw_xml string, error string")
+    parsed = records.mapInArrow(lambda batches: _parsed(name, capture_raw, budget, batches), "file string, seq long, id string, json string, raw_xml string, error string")
     data = F.parse_json("json").try_cast("map<string,variant>")
     return parsed.select("file", *file_parts(F.col("file")), "seq", "id", data.alias("data"), "raw_xml", "error")
 
 
-def check_faults(records: DataFrame, budget: int = BUDGET) -> dict[str, int]:
-    """Malformed records per file; raises for files with more than ``budget``."""
+def check_faults(records: DataFrame, budget: int | None = BUDGET) -> dict[str, int]:
+    """Malformed records per file; raises for files with more than ``budget`` (None: no bound)."""
     counts = {r[0]: r[1] for r in records.where("error is not null").groupBy("file").count().collect()}
-    if over := {f: n for f, n in counts.items() if n > budget}:
+    if over := {f: n for f, n in counts.items() if budget is not None and n > budget}:
         raise TooManyFaults(f"more than {budget} malformed records: {over}")
     return counts
+
+
+def rejects(records: DataFrame) -> DataFrame:
+    """(file, data_type, seq, cause, raw_xml) of malformed records, an output of their own."""
+    return records.where("error is not null").select("file", "data_type", "seq", F.col("error").alias("cause"), "raw_xml")

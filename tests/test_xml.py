@@ -4,7 +4,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from dumpmill.sources.xml import Assembler, TooManyFaults, check_faults, parse_record, read_dump, to_xml
+from dumpmill.sources.xml import Assembler, TooManyFaults, check_faults, parse_record, read_dump, rejects, to_xml
 
 
 def tree(body):
@@ -66,3 +66,33 @@ def test_read_dump(spark, tmp_path):
     with pytest.raises(TooManyFaults):
         check_faults(df, 0)
     df.unpersist()
+
+
+def test_a_file_over_its_budget_is_given_up_early_and_its_neighbour_is_whole(spark, tmp_path):
+    broken = "".join(f"<artist><id>{i}</id><name>x</nome></artist>" for i in range(20000))
+    torn = "".join(f"<artist><id>{i}</id>" for i in range(20000))
+    good = "".join(f"<artist><id>{i}</id><name>n</name></artist>" for i in range(5000)) + "<artist><id>b</id><name></artist>" * 3
+    for name, body in (("a_20240101_artists", broken), ("b_20240101_artists", torn), ("c_20240101_artists", good)):
+        dump(tmp_path, f"{name}.xml.gz", f"<artists>{body}</artists>")
+    df = read_dump(spark, str(tmp_path), "artists", partitions=4, budget=100).cache()
+    faults = {f.rsplit("/", 1)[-1][0]: n for f, n in check_faults(df, None).items()}
+    assert 100 < faults["a"] <= 4 * 101 and faults["b"] == 101 and faults["c"] == 3
+    assert df.where("error is null and file like '%/c_%'").count() == 5000
+    own = rejects(df).where("file like '%/c_%'").collect()
+    assert sorted(r.seq for r in own) == [5000, 5001, 5002] and all("mismatched tag" in r.cause and r.raw_xml.startswith("<artist>") for r in own)
+    assert check_faults(read_dump(spark, f"{tmp_path}/a_*", "artists"), None).popitem()[1] == 20000
+    with pytest.raises(TooManyFaults):
+        check_faults(df, 100)
+    df.unpersist()
+
+
+def test_rejects_are_written_also_for_a_file_that_is_refused(spark, tmp_path):
+    from dumpmill.operators.status import Config
+    from dumpmill.run import process_file
+
+    path = dump(tmp_path, "cat_20240101_labels.xml.gz", "<labels>" + "<label><id>1</id><name></label>" * 3 + "<label><id>2</id></label></labels>")
+    with pytest.raises(TooManyFaults):
+        process_file(spark, path, f"{tmp_path}/out", config=Config(fault_budget=2))
+    rows = spark.read.json(f"{tmp_path}/out/rejected")
+    assert sorted(r.seq for r in rows.collect()) == [0, 1, 2] and {r.data_type for r in rows.collect()} == {"labels"}
+    assert process_file(spark, path, f"{tmp_path}/out2", config=Config(fault_budget=3)) == ("labels", 1, 1)
