@@ -129,7 +129,7 @@ def _kept(df: DataFrame, path: str, trees: tuple[str, ...] = ("data",)) -> DataF
 def _processed(spark, path, entity, out, work, policy, config, publish, on_progress, desk) -> tuple[str, int, int]:
     parsed = _kept(read_dump(spark, path, entity, capture_raw=policy is not None, budget=config.fault_budget), f"{work}/raw")
     if check_faults(parsed, None):
-        rejects(parsed).write.mode("append").partitionBy("data_type").json(f"{out}/rejected")  # also of a file that is refused now
+        E.append(rejects(parsed), f"{out}/rejected", "data_type", "json")  # also of a file that is refused now
         check_faults(parsed, config.fault_budget)
     own = prepare(parsed, entity, policy, config.provider)
     if policy is not None:  # every output below reads what the policy left, which is evaluated here only
@@ -155,7 +155,7 @@ def _processed(spark, path, entity, out, work, policy, config, publish, on_progr
         E.write_lines(E.violation_lines(long), f"{out}/flagged/violations")
         E.write_lines(E.skip_lines(own.skipped), f"{out}/flagged/skipped")
         flagged = long.select("data_type", "id", "severity").unionByName(own.skipped.select("data_type", "id", F.lit(None).cast("string").alias("severity")))
-        E.captures(own.parsed, flagged).write.mode("append").partitionBy("data_type").json(f"{out}/flagged/captures")
+        E.append(E.captures(own.parsed, flagged), f"{out}/flagged/captures", "data_type", "json")
         text = report.render(**quality_tables([own]))
         E.write_text(spark, f"{out}/flagged/report_{entity}.txt", text)
         if report.has_findings(text):

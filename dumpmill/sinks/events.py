@@ -7,6 +7,7 @@ at-least-once: a file that is read again is written again under the same keys (i
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -63,10 +64,33 @@ def extraction_complete_events(counts: DataFrame, version: str, started_at: Colu
     return made.select(F.explode(F.array(*map(F.lit, entities))).alias("data_type"), "value")
 
 
+def append(rows: DataFrame, path: str, by: str, form: str = "text") -> None:
+    """Add files to the folders ``path/<by>=...``. They are written to a folder of this call and renamed at the end, as writers
+    that run side by side must not share a path: the first to commit removes what others still write."""
+    spark, staged = rows.sparkSession, f"{path}/_staged-{uuid.uuid4().hex}"
+    named = spark._jvm.org.apache.hadoop.fs.Path
+    fs = named(staged).getFileSystem(spark._jsc.hadoopConfiguration())
+    try:
+        rows.write.partitionBy(by).format(form).save(staged)
+        for folder in fs.listStatus(named(staged)):
+            if not folder.isDirectory():
+                continue
+            target = named(f"{path}/{folder.getPath().getName()}")
+            fs.mkdirs(target)
+            for part in fs.listStatus(folder.getPath()):
+                if not fs.rename(part.getPath(), named(target, part.getPath().getName())):
+                    raise OSError(f"could not move {part.getPath()} to {target}")
+    finally:
+        fs.delete(named(staged), True)
+
+
 def write_events(events: DataFrame, path: str, prefix: str = "catalog", mode: str = "append") -> None:
     """Frames as text files in ``path/exchange=<prefix>-<entity>/``."""
     own = events.select(F.concat(F.lit(f"{prefix}-"), "data_type").alias("exchange"), "value")
-    own.write.mode(mode).partitionBy("exchange").text(path)
+    if mode == "append":
+        append(own, path, "exchange")
+    else:
+        own.write.mode(mode).partitionBy("exchange").text(path)
 
 
 def confirmed(send: Send, name: str, frames: list[str], timeout: float = TIMEOUT) -> int:
@@ -123,7 +147,10 @@ def captures(records: DataFrame, flagged: DataFrame) -> DataFrame:
 
 
 def write_lines(lines: DataFrame, path: str, mode: str = "append") -> None:
-    lines.write.mode(mode).partitionBy("data_type").text(path)
+    if mode == "append":
+        append(lines, path, "data_type")
+    else:
+        lines.write.mode(mode).partitionBy("data_type").text(path)
 
 
 def write_text(spark: SparkSession, path: str, text: str) -> None:

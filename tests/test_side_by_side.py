@@ -91,3 +91,21 @@ def test_a_download_that_fails_names_its_file(spark, tmp_path):
     with pytest.raises(run.FilesFailed, match="cat_20240101_gone"):
         run.run_version(spark, paths, "20240101", f"{tmp_path}/out", f"{tmp_path}/state")
     assert json.loads((tmp_path / "state/state_20240101.json").read_text())["phases"]["download"]["status"] == state.FAILED
+
+
+def test_writers_of_one_folder_do_not_disturb_each_other(spark, tmp_path):
+    from concurrent.futures import ThreadPoolExecutor
+
+    from pyspark.sql import functions as F
+
+    from dumpmill.sinks.events import write_events
+
+    def one(i):
+        rows = spark.range(i * 100, i * 100 + 100, 1, 3).select(F.lit("labels" if i % 2 else "artists").alias("data_type"), F.col("id").cast("string").alias("value"))
+        write_events(rows, f"{tmp_path}/out")
+
+    with ThreadPoolExecutor(6) as pool:
+        list(pool.map(one, range(12)))
+    own = spark.read.text(f"{tmp_path}/out")
+    assert sorted(int(r.value) for r in own.collect()) == list(range(1200)) and {r.exchange for r in own.collect()} == {"catalog-labels", "catalog-artists"}
+    assert not [p for p in (tmp_path / "out").iterdir() if p.name.startswith("_")]
