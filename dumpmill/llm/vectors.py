@@ -1,8 +1,8 @@
 """Embedding near-dedup by collision-counting projections (operator 7).
 
-Vectors of one label (and dimension) are projected on many random orthonormal directions. Per
-direction the candidates are sorted, and a query collides with those inside a window around its own
-value. Pairs that collide at least ``collisions`` times are verified by cosine in double precision.
+Vectors of one label (and dimension) are projected on many random orthonormal directions. Every
+direction is sorted, and a query collides with the rows inside a window around its own value, which is walked along
+the sorted order. Pairs that collide at least a calibrated number of times are verified by cosine in double precision.
 Window and count are calibrated once by simulation: of pairs exactly at the cosine bound, at least
 ``recall`` reach the count (pairs closer than that collide more often).
 
@@ -33,8 +33,8 @@ from pyspark.sql.types import IntegerType, StructField, StructType
 from .common import components, hashed, joined, min_labels, scratch, written
 
 DIRECTIONS, WINDOW, CELL, MARGIN = 24, 2.0, 2048, 1.15
-#: Directions that a block of pairs is counted on before those that can no longer reach the count are left out.
-DENSE, BLOCK, MOST_SPLITS = 6, 256, 24
+#: Rows whose counts are compared at once, most halvings of a label, and directions that are walked beyond those a pair may miss.
+BLOCK, MOST_SPLITS, WALKED = 256, 24, 4
 
 
 @lru_cache(maxsize=64)
@@ -65,31 +65,40 @@ def cell_links(ids: np.ndarray, vectors: np.ndarray, copies: np.ndarray, sides:
     Returns (links per row, counted with copies; star edges as row numbers). ``sides`` and ``near`` are the bits of
     each split on the way to the cell: a row's own side, and whether it went to both.
 
-    Rows are sorted on the first direction, so that a block of queries sees one slice of candidates: those in
-    its window there, which is as wide as twice the others. Collisions on some more directions are counted for
-    the slice, on the rest only for pairs that can still reach the count.
+    Each direction is sorted on its own, and from each row a window is walked upwards: every row in it collides once with the
+    row it starts from. Collisions are added up per pair. A pair that after ``walked`` directions can no longer reach the
+    calibrated count, whatever the rest, is dropped; the others are looked up in the windows of the remaining sorted directions
+    by their ranks. Nothing else is left out before the cosines. A cell holds two chunks at most, so the counts take a few MB.
     """
     own = vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
     half, least = calibrated(own.shape[1], cosine, recall)
-    order = np.argsort(own @ directions(own.shape[1], 1, 17)[:, 0], kind="stable")
-    own, names, weight, side, both, chunk = own[order], ids[order], copies[order], sides[order], near[order], part[order]
-    line = own @ directions(own.shape[1], 1, 17)[:, 0]
-    place = np.ascontiguousarray((own @ directions(own.shape[1], DIRECTIONS, 11)).T.astype(np.float32))
-    window = np.float32(half * (1 + 1e-6) + 1e-7)
+    place = own @ directions(own.shape[1], DIRECTIONS, 11)
+    first = np.argsort(place[:, 0], kind="stable")  # rows go by the first direction, whose windows then are slices
+    own, place, names, weight, side, both, chunk = (x[first] for x in (own, place, ids, copies, sides, near, part))
+    orders = np.argsort(place, axis=0, kind="stable")
+    lines = np.take_along_axis(place, orders, axis=0)
+    ends = np.stack([np.searchsorted(line, line + half * (1 + 1e-6) + 1e-7, "right") for line in lines.T], axis=1)
+    ranks = np.argsort(orders, axis=0)
+    walked = min(DIRECTIONS, max(1, DIRECTIONS - least + WALKED))
+    count = np.zeros((len(own), len(own)), np.uint8)
+    for at, end in enumerate(ends[:, 0].tolist()):
+        count[at, at + 1 : end] = 1
+    for j in range(1, walked):
+        order = orders[:, j]
+        for at, (row, end) in enumerate(zip(order.tolist(), ends[:, j].tolist(), strict=True)):
+            count[row, order[at + 1 : end]] += 1
     two = len(np.unique(chunk)) > 1
     links = np.zeros(len(ids), np.int64)
     ea, eb = [], []
     for at in range(0, len(own), BLOCK):
         to = min(at + BLOCK, len(own))
-        end = int(np.searchsorted(line, line[to - 1] + 2 * half, "right"))
-        count = np.zeros((to - at, end - at), np.uint8)
-        for j in range(DENSE):
-            count += np.abs(place[j, at:to, None] - place[j, None, at:end]) <= window
-        x, y = np.nonzero(count >= max(0, least - (DIRECTIONS - DENSE)))
-        got, later = count[x, y], y > x
+        both_ways = count[at:to, at:] + count[at:, at:to].T
+        x, y = np.nonzero(both_ways >= max(0, least - (DIRECTIONS - walked)))
+        got, later = both_ways[x, y], y > x
         x, y, got = x[later] + at, y[later] + at, got[later]
-        for j in range(DENSE, DIRECTIONS):
-            got += np.abs(place[j, x] - place[j, y]) <= window
+        for j in range(walked, DIRECTIONS):
+            low, high = np.minimum(ranks[x, j], ranks[y, j]), np.maximum(ranks[x, j], ranks[y, j])
+            got += high < ends[low, j]
             alive = got >= least - (DIRECTIONS - 1 - j)
             x, y, got = x[alive], y[alive], got[alive]
         for s in range(0, len(x), 1 << 16):
@@ -98,17 +107,17 @@ def cell_links(ids: np.ndarray, vectors: np.ndarray, copies: np.ndarray, sides:
             ok &= np.einsum("ij,ij->i", own[i], own[k]) >= cosine
             i, k = i[ok], k[ok]
             # the cell is one of several where both went both ways: it counts where it is on the smaller uid's way
-            first = np.where(names[i] < names[k], side[i], side[k])
-            counts = (both[i] & both[k] & first) == 0
+            mine = np.where(names[i] < names[k], side[i], side[k])
+            counts = (both[i] & both[k] & mine) == 0
             i, k = i[counts], k[counts]
             links += np.bincount(i, weight[k], len(ids)).astype(np.int64) + np.bincount(k, weight[i], len(ids)).astype(np.int64)
-            ea.append(order[i])
-            eb.append(order[k])
+            ea.append(first[i])
+            eb.append(first[k])
         if sum(map(len, ea)) > 1 << 20:
             ea, eb = _star(ea, eb, ids)
     ea, eb = _star(ea, eb, ids)
     back = np.empty_like(links)
-    back[order] = links
+    back[first] = links
     return back, ea[0], eb[0]
 
 

@@ -85,3 +85,26 @@ def test_odd_vectors(spark):
     twice = sorted(map(tuple, V.vector_groups(table(spark, [*rows, *rows[:1], (None, good, 2, 1, 2)])).collect()), key=repr)
     assert twice.count((0, 3, 0, True)) == 2 and (None, 1, 2, False) in twice
     assert V.vector_groups(table(spark, [])).count() == 0
+
+
+@pytest.mark.parametrize("two", [False, True])
+def test_a_cell_links_the_pairs_that_collide_often_enough(two):
+    """Against a count of all pairs on all directions, pairs that just miss the count included."""
+    rng = np.random.default_rng(8)
+    x = np.array(cluster(rng, 700, 64))
+    x[-5:] = x[:5]  # equal places on every direction
+    none, part = np.zeros(len(x), np.int64), rng.integers(0, 2, len(x)) if two else np.zeros(len(x), np.int64)
+    got, a, b = V.cell_links(np.arange(len(x)), x, np.ones(len(x), np.int64), none, none, part, 0.98, 0.999)
+    own = x / np.linalg.norm(x, axis=1, keepdims=True)
+    half, least = V.calibrated(64, 0.98, 0.999)
+    place = own @ V.directions(64, V.DIRECTIONS, 11)
+    hits = (np.abs(place[:, None] - place[None, :]) <= half * (1 + 1e-6) + 1e-7).sum(axis=2)
+    linked = (hits >= least) & (own @ own.T >= 0.98) & ~np.eye(len(x), dtype=bool)
+    if two:
+        linked &= part[:, None] != part[None, :]
+    assert got.tolist() == linked.sum(axis=1).tolist() and linked.sum() > 500
+    want, own_groups = Groups(len(x)), Groups(len(x))
+    for g, pairs in ((want, np.argwhere(linked).tolist()), (own_groups, zip(a.tolist(), b.tolist(), strict=True))):
+        for i, j in pairs:
+            g.join(i, j)
+    assert [want.top(i) for i in range(len(x))] == [own_groups.top(i) for i in range(len(x))]
