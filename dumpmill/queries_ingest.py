@@ -231,6 +231,47 @@ def xml_faulty_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return own.where("error is null").select("id", F.try_variant_get(F.try_element_at("data", F.lit("name")), "$", "string").alias("name"))
 
 
+def landed(rows: DataFrame, folder: str, entity: str) -> None:
+    """Lines of a column ``value`` as gzip dumps of ``entity``, a version for each file that Spark writes."""
+    spark = rows.sparkSession
+    rows.write.option("compression", "gzip").text(f"{folder}_parts")
+    named = spark._jvm.org.apache.hadoop.fs.Path
+    fs = named(folder).getFileSystem(spark._jsc.hadoopConfiguration())
+    fs.mkdirs(named(folder))
+    parts = sorted(str(f.getPath()) for f in fs.listStatus(named(f"{folder}_parts")) if f.getPath().getName().endswith(".gz"))
+    for i, part in enumerate(parts):
+        if not fs.rename(named(part), named(f"{folder}/cat_{20240101 + i}_{entity}.xml.gz")):
+            raise OSError(f"could not move {part}")
+    E.removed(spark, f"{folder}_parts")
+
+
+@query("""SELECT cast(p_partkey AS VARCHAR) AS id, cast(p_size AS VARCHAR) AS size, p_name || ' & Co' AS title FROM part""")
+def xml_source_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Named fields and an attribute of dumps through the data source, two tasks a dump; what is not named is not built."""
+    from dumpmill.sources import catalog
+
+    path = f"{work_folder(spark)}/in"
+    head = F.concat(F.lit('<release id="'), F.col("p_partkey").cast("string"), F.lit('" size="'), F.col("p_size").cast("string"), F.lit('"><title>'), "p_name", F.lit(" &amp; Co</title>"))
+    rest = F.concat(F.lit("<tracklist><track><title>"), "p_type", F.lit("</title></track></tracklist><notes>"), "p_brand", F.lit("</notes></release>"))
+    landed(table(spark, sf_dir, "part").select(F.concat(head, rest).alias("value")).repartition(4), path, "releases")
+    catalog.register(spark)
+    own = spark.read.format(catalog.FORMAT).schema("id string, `@size` string, title string").option("splits", 2).load(path)
+    return own.select("id", F.col("`@size`").alias("size"), "title")
+
+
+@query("""SELECT cast(o_orderkey AS VARCHAR) AS id, '{"@id":"' || o_orderkey || '","status":"' || o_orderstatus || '"}' AS json FROM orders WHERE o_orderkey IN (1, 7, 32, 33, 71, 103)""")
+def xml_source_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records of asked ids out of all orders as dumps; the others are not parsed."""
+    from dumpmill.sources import catalog
+
+    path = f"{work_folder(spark)}/in"
+    one = F.concat(F.lit('<master id="'), F.col("o_orderkey").cast("string"), F.lit('"><status>'), "o_orderstatus", F.lit("</status></master>"))
+    landed(table(spark, sf_dir, "orders").select(one.alias("value")).repartition(4), path, "masters")
+    catalog.register(spark)
+    own = spark.read.format(catalog.FORMAT).schema("data_type string, id string, json string").load(path)
+    return own.where("data_type = 'masters' and id in ('1', '7', '32', '33', '71', '103')").select("id", "json")
+
+
 @query("SELECT 'cat_20240101_releases.xml.gz' AS file, sha256(string_agg(n_name || chr(10), '' ORDER BY n_nationkey)) AS sha256, true AS ok FROM nation")
 def landed_checksum(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A landed file of a folder source, hashed by tasks and as a stream, against its checksum list."""

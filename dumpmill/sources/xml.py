@@ -48,20 +48,33 @@ def _reference(m: re.Match) -> str:
     return f"&#{code};" if legal else "�"
 
 
-def parse_record(xml: str):
-    """The tree of one element; raises on malformed XML."""
+def parse_record(xml: str, fields: frozenset[str] | None = None):
+    """The tree of one element; raises on malformed XML. With ``fields``, children of other names are not built."""
     from xml.parsers import expat
 
     top: list = []
     stack: list[tuple[dict, list[str]]] = []
 
+    passed = 0  # depth inside a child that is not built
+
     def start(name, attributes):
+        nonlocal passed
+        if passed or (fields is not None and len(stack) == 1 and name not in fields):
+            passed += 1
+            parser.CharacterDataHandler = None
+            return
         stack.append(({f"@{k}": v for k, v in attributes.items()}, []))
 
     def text(data):
         stack[-1][1].append(data)
 
     def end(name):
+        nonlocal passed
+        if passed:
+            passed -= 1
+            if not passed:
+                parser.CharacterDataHandler = text
+            return
         own, texts = stack.pop()
         words = "".join(texts)
         value: object = own or None
