@@ -272,6 +272,22 @@ def xml_source_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return own.where("data_type = 'masters' and id in ('1', '7', '32', '33', '71', '103')").select("id", "json")
 
 
+@query("""SELECT o_orderkey, CASE o_orderkey % 8 WHEN 1 THEN 'json' WHEN 2 THEN 'fields' WHEN 3 THEN 'contract' WHEN 4 THEN 'path' WHEN 5 THEN 'name'
+WHEN 6 THEN 'sha256' WHEN 7 THEN 'scope' END AS fault FROM orders""")
+def manifest_faults(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Manifests made of all orders, good ones and seven kinds of bad ones, and what each is refused for."""
+    from dumpmill.sources.manifest import CONTRACT, MEDIA, SCOPE, manifest_fault
+
+    kind, date = F.col("o_orderkey") % 8, F.date_format("o_orderdate", "yyyyMMdd")
+    name = F.concat(F.lit("in/cat_"), date, F.when(kind == 5, "_labels").otherwise("_releases"), F.lit(".xml.gz"))
+    raw = F.to_json(F.struct(
+        F.when(kind == 3, "other/v2").otherwise(CONTRACT).alias("contract"), date.alias("version"), F.lit("releases").alias("data_type"),
+        F.when(kind == 7, "folder").otherwise(SCOPE).alias("scope"), F.when(kind == 4, F.concat(F.lit("../"), name)).otherwise(name).alias("file"), F.lit(MEDIA).alias("media_type"),
+        F.when(kind == 6, "no hash").when(kind != 2, F.sha2(F.col("o_orderkey").cast("string"), 256)).alias("sha256")))
+    text = F.when(kind == 1, F.concat(raw, F.lit("}"))).otherwise(raw)
+    return table(spark, sf_dir, "orders").select("o_orderkey", manifest_fault(text).alias("fault"))
+
+
 @query("SELECT 'cat_20240101_releases.xml.gz' AS file, sha256(string_agg(n_name || chr(10), '' ORDER BY n_nationkey)) AS sha256, true AS ok FROM nation")
 def landed_checksum(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A landed file of a folder source, hashed by tasks and as a stream, against its checksum list."""

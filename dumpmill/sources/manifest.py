@@ -10,12 +10,15 @@ import json
 import re
 from dataclasses import dataclass
 
-from pyspark.sql import SparkSession
+from pyspark.sql import Column, SparkSession
+from pyspark.sql import functions as F
 
 from dumpmill.sources.files import stream_sha256
 
 CONTRACT, SCOPE, MEDIA = "catalog-dump/v1", "single-file", "application/gzip"
 FIELDS = {"contract", "version", "data_type", "scope", "file", "media_type", "sha256"}
+#: A flat object of strings and nothing after it.
+_WHOLE = r"""\A[ \t\r\n]*+\{(?:[ \t\r\n,:]++|"[^"\\]*+(?:\\.[^"\\]*+)*+")*+\}[ \t\r\n]*+\z"""
 
 
 class ManifestError(ValueError):
@@ -59,3 +62,21 @@ def parse_manifest(text: str, folder: str) -> Manifest:
     if not re.fullmatch("[0-9a-f]{64}", raw["sha256"]):
         raise ManifestError("sha256 is no lower-case hash")
     return Manifest(raw["version"], raw["data_type"], f"{folder}/{file}", raw["sha256"])
+
+
+def manifest_fault(text: Column) -> Column:
+    """What ``parse_manifest`` would refuse the manifests of a column for: json, fields, contract, scope, media_type, path, name,
+    sha256 or null. A repeated key is no JSON here."""
+    tree = F.try_parse_json(text)
+    own = F.try_variant_get(tree, "$", "map<string,variant>")
+    fields = (F.array_sort(F.map_keys(own)) == F.array(*map(F.lit, sorted(FIELDS)))) & F.forall(F.map_values(own), lambda v: F.schema_of_variant(v) == "STRING")
+    get = lambda k: F.try_variant_get(tree, f"$.{k}", "string")
+    file = get("file")
+    leaves = file.startswith("/") | file.contains("\\") | file.contains("://") | F.exists(F.split(file, "/"), lambda p: p.isin("", ".", ".."))
+    part = lambda i: F.regexp_extract(F.element_at(F.split(file, "/"), -1), r"\A([^_/]+)_([0-9]{8})_(artists|labels|masters|releases)\.xml\.gz\z", i)
+    named = (part(2) == get("version")) & (part(3) == get("data_type")) & (part(1) != "")
+    fault = F.when(tree.isNull(), "json").when(~F.coalesce(fields, F.lit(False)), "fields")
+    fault = fault.when(~text.rlike(_WHOLE), "json")  # the parser of variants leaves what follows a value unread
+    for key, want in (("contract", CONTRACT), ("scope", SCOPE), ("media_type", MEDIA)):
+        fault = fault.when(get(key) != want, key)
+    return fault.when(leaves, "path").when(~named, "name").when(~get("sha256").rlike(r"\A[0-9a-f]{64}\z"), "sha256")

@@ -117,3 +117,22 @@ def test_a_stream_takes_each_dump_once_also_one_that_lands_late(spark, folder, t
     dump(landing, "cat_20240401_artists.xml.gz", body("c"))
     run()
     assert sorted(got) == ["a", "b", "c"]
+
+
+def test_faults_of_manifests_are_those_that_reading_one_refuses(spark):
+    from dumpmill.sources import manifest as M
+
+    good = {"contract": M.CONTRACT, "version": "20240101", "data_type": "labels", "scope": M.SCOPE, "file": "a/cat_20240101_labels.xml.gz", "media_type": M.MEDIA, "sha256": "a" * 64}
+    cases = [(good, None), (good | {"contract": "x"}, "contract"), (good | {"scope": ""}, "scope"), (good | {"media_type": "x"}, "media_type"), (good | {"more": "1"}, "fields"),
+             (good | {"version": 20240101}, "fields"), ({k: v for k, v in good.items() if k != "scope"}, "fields"), (good | {"version": "20240102"}, "name"),
+             (good | {"file": "cat_20240101_labels.xml.gz\n"}, "name"), (good | {"sha256": "A" * 64}, "sha256"), (good | {"sha256": "a" * 64 + "\n"}, "sha256")]
+    cases += [(good | {"file": f}, "path") for f in ("/a", "../cat_20240101_labels.xml.gz", "a//b", "a\\b", "s3://x", "", "./a")]
+    rows = [(json.dumps(c), want) for c, want in cases] + [(f" {json.dumps(good, indent=1)}\n", None), (json.dumps(good) + "}", "json"), (json.dumps(good | {"contract": 'a"\\}'}), "contract"), ("{", "json"), ("", "json"), (None, "json"), ("[]", "fields"), ("null", "fields"), ('"x"', "fields")]
+    got = [r.fault for r in spark.createDataFrame(rows, "t string, want string").coalesce(1).select(M.manifest_fault(F.col("t")).alias("fault")).collect()]
+    assert got == [w for _, w in rows]
+    for text, want in rows:
+        if want is None:
+            assert M.parse_manifest(text, ".").data_type == "labels"
+        else:
+            with pytest.raises(M.ManifestError):
+                M.parse_manifest(text or "", ".")
