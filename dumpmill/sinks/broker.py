@@ -4,6 +4,10 @@ A ``Desk`` in the driver is asked by tasks over an authenticated connection. It
 files of a run share one rate and what an idle one leaves goes to the others, and a mark for each range of a job: the
 place of the last confirmed frame. A task that is tried again claims its range, skips what was confirmed and sends the
 rest; the attempt before it can no longer confirm. Only the batch whose confirmation was lost can arrive twice.
+
+Tasks note each confirmed batch on their line to the desk before they send the next, and wait for no answer: at the rate of
+all tasks together, an answer for each batch would be what the run waits for. A range is handed on once the line of the attempt before
+is read to its end. Tasks ask for leases only where there is a rate.
 """
 
 from __future__ import annotations
@@ -54,64 +58,46 @@ class _Range:
     owner: int = -1
     mark: tuple | None = None
     sent: int = 0
+    #: The line of its attempt, set once it is read to its end.
+    line: threading.Event | None = None
 
 
 class SupersededError(RuntimeError):
     """Another attempt has taken the range over."""
 
 
-class Desk:
-    """Rate and marks of a run, for tasks on any machine that reaches the driver. Use it in a ``with`` block.
-
-    ``rate`` is frames a second of all tasks together, None or 0 for no bound."""
+class Ledger:
+    """Rate and marks of a run, and what is said of them on a line. ``rate`` is frames a second of all tasks together, None or 0
+    for no bound."""
 
-    def __init__(self, host: str, rate: float | None = None):
+    def __init__(self, rate: float | None = None):
         self._bucket = TokenBucket(rate) if rate else None
         self._ranges: dict[tuple[str, int], _Range] = {}
-        self._lock, self._key = threading.Lock(), secrets.token_bytes(32)
-        self._listener = Listener((host, 0), authkey=self._key)
-        self._open = True
-        threading.Thread(target=self._serve, daemon=True).start()
+        self._lock = threading.Lock()
 
-    @classmethod
-    def of(cls, spark: SparkSession, rate: float | None = None) -> Desk:
-        return cls(spark.conf.get("spark.driver.bindAddress", None) or spark.conf.get("spark.driver.host"), rate)
-
-    @property
-    def address(self) -> tuple:
-        return self._listener.address, self._key
-
-    def __enter__(self) -> Desk:
-        return self
-
-    def __exit__(self, *_) -> None:
-        self._open = False
-        try:  # wakes the thread that waits for a caller
-            Client(self._listener.address, authkey=self._key).close()
-        except OSError:
-            pass
-        self._listener.close()
-
-    def _serve(self) -> None:
-        while self._open:
-            try:
-                caller = self._listener.accept()
-            except Exception:  # noqa: BLE001  a caller without the key, or the end
-                continue
-            threading.Thread(target=self._answer, args=(caller,), daemon=True).start()
-
-    def _answer(self, caller: Connection) -> None:
-        with caller:
-            while True:
-                try:
-                    name, args = caller.recv()
-                except (EOFError, OSError):
-                    return
-                try:
-                    out = (True, {"lease": self.lease, "claim": self.claim, "confirm": self.confirm}[name](*args))
-                except Exception as e:  # noqa: BLE001  raised in the task
-                    out = (False, e)
-                caller.send(out)
+    def answer(self, caller: Connection) -> None:
+        """What one line says, to its end. Notes are answered only if they are refused."""
+        ended = threading.Event()
+        calls = {"lease": self.lease, "claim": self.claim, "confirm": self.confirm, "note": self.confirm, "settle": self.settle,
+                 "open": lambda *args: self.open(ended, *args)}
+        try:
+            with caller:
+                while True:
+                    try:
+                        name, args = caller.recv()
+                    except (EOFError, OSError):
+                        return
+                    try:
+                        out = (True, calls[name](*args))
+                    except Exception as e:  # noqa: BLE001  raised in the task
+                        out = (False, e)
+                    if name != "note" or not out[0]:
+                        try:
+                            caller.send(out)
+                        except OSError:  # its task is gone; what it noted before is still read
+                            pass
+        finally:
+            ended.set()
 
     def lease(self, n: int) -> float:
         with self._lock:
@@ -126,6 +112,21 @@ class Desk:
             own.owner = attempt
             return own.mark
 
+    def open(self, line: threading.Event, job: str, part: int, attempt: int, wait: float = TIMEOUT) -> tuple[tuple | None, bool]:
+        """``claim`` for an attempt that notes its marks, and whether it needs leases. The attempt before is refused from
+        now on; what it noted until then is read first, for ``wait`` seconds at most if it does not end."""
+        self.claim(job, part, attempt)
+        with self._lock:
+            own = self._ranges[(job, part)]
+            before, own.line = own.line, line
+        if before is not None and before is not line:
+            before.wait(wait)
+        return self.claim(job, part, attempt), self._bucket is not None
+
+    def settle(self, job: str, part: int, attempt: int) -> None:
+        """Answered when all notes before it on its line are read."""
+        self.claim(job, part, attempt)
+
     def confirm(self, job: str, part: int, attempt: int, mark: tuple, n: int) -> None:
         with self._lock:
             own = self._ranges[(job, part)]
@@ -144,19 +145,69 @@ class Desk:
                 del self._ranges[key]
 
 
+class Desk(Ledger):
+    """A ledger for tasks on any machine that reaches the driver. Use it in a ``with`` block."""
+
+    def __init__(self, host: str, rate: float | None = None):
+        super().__init__(rate)
+        self._key = secrets.token_bytes(32)
+        self._listener = Listener((host, 0), authkey=self._key)
+        self._open = True
+        threading.Thread(target=self._serve, daemon=True).start()
+
+    @classmethod
+    def of(cls, spark: SparkSession, rate: float | None = None) -> Desk:
+        return cls(spark.conf.get("spark.driver.bindAddress", None) or spark.conf.get("spark.driver.host"), rate)
+
+    @property
+    def address(self) -> tuple:
+        return self._listener.address, self._key
+
+    def __enter__(self) -> Desk:
+        return self
+
+    def __exit__(self, *_) -> None:
+        self._open = False
+        try:  # wakes the thread that waits for a caller
+            Client(self._listener.address, authkey=self._key).close()
+        except OSError:
+            pass
+        self._listener.close()
+
+    def _serve(self) -> None:
+        while self._open:
+            try:
+                caller = self._listener.accept()
+            except Exception:  # noqa: BLE001  a caller without the key, or the end
+                continue
+            threading.Thread(target=self.answer, args=(caller,), daemon=True).start()
+
+
 class _Caller:
     """A task's connection to the desk."""
 
-    def __init__(self, address: tuple):
-        self._line = Client(address[0], authkey=address[1])
+    def __init__(self, address: tuple | None, line: Connection | None = None):
+        self._line = Client(address[0], authkey=address[1]) if line is None else line
 
     def __call__(self, name: str, *args) -> Any:
         self._line.send((name, args))
+        return self._heard()
+
+    def note(self, *args) -> None:
+        """Noted without an answer; raises if an earlier note was refused."""
+        self._line.send(("note", args))
+        if self._line.poll():
+            self._heard()
+
+    def _heard(self) -> Any:
         good, out = self._line.recv()
         if not good:
             raise out
         return out
 
+    def close(self) -> None:
+        self._line.close()
+
 
 @dataclass(frozen=True)
 class Spec:
@@ -205,39 +256,46 @@ class FrameWriter(DataSourceArrowWriter):
     spec: Spec
 
     def write(self, iterator: Iterator) -> Sent:
-        own, task = self.spec, TaskContext.get()
-        part, attempt = task.partitionId(), task.taskAttemptId()
-        ask, send = _Caller(own.desk), Sender(own.send, own.timeout)
-        mark = ask("claim", own.job, part, attempt)
-        kind, held, last, done, at = None, [], time.monotonic(), 0, None
-
-        def flush() -> None:
-            nonlocal held, last, done
-            if held:
+        task = TaskContext.get()
+        return send_range(self.spec, _Caller(self.spec.desk), task.partitionId(), task.taskAttemptId(), iterator)
+
+
+def send_range(own: Spec, ask: _Caller, part: int, attempt: int, iterator: Iterator) -> Sent:
+    """Sends what a range has beyond its mark. Each batch is noted before the next is sent."""
+    send = Sender(own.send, own.timeout)
+    kind, held, last, done, at = None, [], time.monotonic(), 0, None
+
+    def flush() -> None:
+        nonlocal held, last, done
+        if held:
+            if rated:
                 time.sleep(ask("lease", len(held)))
-                n = send(f"{own.prefix}-{kind}", held)
-                ask("confirm", own.job, part, attempt, at, n)
-                done += n
-            held, last = [], time.monotonic()
+            n = send(f"{own.prefix}-{kind}", held)
+            ask.note(own.job, part, attempt, at, n)
+            done += n
+        held, last = [], time.monotonic()
 
-        try:
-            for batch in iterator:
-                for entity, file, seq, frame in zip(*(batch.column(c).to_pylist() for c in ("data_type", "file", "seq", "value")), strict=True):
-                    if mark is not None and (file, seq) <= mark:
-                        continue
-                    if entity != kind:
-                        flush()
-                        kind = entity
-                    held.append(frame)
-                    at = (file, seq)
-                    if len(held) >= own.size:
-                        flush()
-                if time.monotonic() - last > own.wait:
+    try:
+        mark, rated = ask("open", own.job, part, attempt, own.timeout)
+        for batch in iterator:
+            for entity, file, seq, frame in zip(*(batch.column(c).to_pylist() for c in ("data_type", "file", "seq", "value")), strict=True):
+                if mark is not None and (file, seq) <= mark:
+                    continue
+                if entity != kind:
                     flush()
-            flush()
-        finally:
-            send.close()
-        return Sent(part, done)
+                    kind = entity
+                held.append(frame)
+                at = (file, seq)
+                if len(held) >= own.size:
+                    flush()
+            if time.monotonic() - last > own.wait:
+                flush()
+        flush()
+        ask("settle", own.job, part, attempt)
+    finally:
+        send.close()
+        ask.close()
+    return Sent(part, done)
 
 
 class FrameSource(DataSource):
