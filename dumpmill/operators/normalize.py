@@ -56,8 +56,7 @@ def unwrap_container(tree: Column, key: str) -> Column:
 
 def item(tree: Column) -> Column:
     """Objects stripped; a bare string is an id."""
-    text = V.text_of(tree)
-    return F.when(text.isNotNull(), F.to_variant_object(F.create_map(F.lit("id"), text))).otherwise(stripped(tree))
+    return V.let(V.text_of(tree), lambda text: F.when(text.isNotNull(), F.to_variant_object(F.create_map(F.lit("id"), text))).otherwise(stripped(tree)))
 
 
 _ITEMS: dict[str, Callable[[Column], Column]] = {"item": item, "object": stripped, "plain": lambda tree: tree}

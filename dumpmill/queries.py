@@ -12,7 +12,7 @@ from dumpmill.operators import blocks, report, state
 from dumpmill.operators.normalize import strip_prefixes, unwrap_container
 from dumpmill.operators.policy import apply_filters, split_skipped, violations, violations_long
 from dumpmill.plans.policy import EntityPolicy, parse_policy
-from dumpmill.registry import ORACLES, QUERIES, query, table, work_folder
+from dumpmill.registry import ORACLES, QUERIES, query, spread, table, work_folder
 from dumpmill.sinks import events as E
 from dumpmill.sources import files
 
@@ -468,7 +468,7 @@ def unwrap_and_strip(spark: SparkSession, sf_dir: str) -> DataFrame:
     part = table(spark, sf_dir, "part")
     one = record(**{"@size": F.col("p_size").cast("string"), "#text": F.col("p_name"), "brands": F.parse_json(
         F.when(F.col("p_size") % 2 == 0, F.to_json(F.struct(F.col("p_brand").alias("brand")))).otherwise("null"))})
-    own = part.select("p_partkey", strip_prefixes(one).alias("m"))
+    own = spread(part).select("p_partkey", strip_prefixes(one).alias("m"))
     get = lambda k: F.try_element_at("m", F.lit(k))
     brands = F.transform(unwrap_container(get("brands"), "brand"), lambda b: F.try_variant_get(b, "$", "string"))
     return own.select("p_partkey", get("name").cast("string").alias("name"), get("size").cast("string").alias("size"), F.array_join(brands, ",").alias("brands"), F.size(brands).alias("n"))

@@ -14,7 +14,7 @@ from dumpmill.operators.normalize import normalize
 from dumpmill.operators.policy import apply_filters, split_skipped, violations, violations_long
 from dumpmill.plans.policy import EntityPolicy, RemoveMatching
 from dumpmill.queries import POLICY, flagged
-from dumpmill.registry import query, table, work_folder
+from dumpmill.registry import query, spread, table, work_folder
 from dumpmill.run import prepare
 from dumpmill.sinks import events as E
 from dumpmill.sources import files
@@ -24,7 +24,7 @@ from dumpmill.sources.xml import check_faults, read_dump
 def shaped(df: DataFrame, key: str, template: str, *values: Column | str) -> DataFrame:
     """(key, data): records from a JSON template with %s for the values."""
     text = F.format_string(template, *[F.col(v) if isinstance(v, str) else v for v in values])
-    return df.select(key, F.parse_json(text).cast(RECORD).alias("data"))
+    return spread(df).select(key, F.parse_json(text).cast(RECORD).alias("data"))
 
 
 def documents_of(df: DataFrame, key: str) -> DataFrame:

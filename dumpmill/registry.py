@@ -25,6 +25,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """The rows dealt out to all cores: a small table is read by a task or two, and what is made of a row can take long."""
+    return df.repartition(2 * df.sparkSession.sparkContext.defaultParallelism)
+
+
 def work_folder(spark: SparkSession) -> str:
     """A new folder that the driver and all executors see: below spark.checkpoint.dir, or the warehouse of a local
     session that has none set."""
