@@ -32,6 +32,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -47,6 +48,9 @@ from .common import boxed, components, joined, scratch, trim, written
 EDITS, LEAST, SMALL, CELL = 2, 24, 64, 512
 #: Rounds of cutting large keys, times that a round may make rows under large keys more, and the most edits of keys that are cut.
 LEVELS, GROWTH, REFINED = 3, 2, 2
+#: Key rows travel in blocks of BLOCK at most, and a bucket of keys is to hold BUCKET rows; least and most bits that name a bucket.
+#: A task deals out PENDING rows at once and a bucket is looked through whenever it holds HELD.
+BLOCK, BUCKET, BITS, PENDING, HELD = 256, 1 << 18, (12, 16), 1 << 19, 1 << 22
 #: Bits of the bitmap of candidates: sixteen a line, within these bounds (8 kB and 16 MB).
 BITMAP = (1 << 16, 1 << 27)
 #: One line in SAMPLE shows hot keys, of which the HOT_KEYS largest are salted.
@@ -128,57 +132,74 @@ def hot_keys(found: DataFrame, many: int = 32) -> np.ndarray:
     return np.sort(np.array([r.key for r in counts.orderBy(F.desc("count"), "key").limit(HOT_KEYS).collect()], np.int64))
 
 
-def segments(length: np.ndarray, parts: int, i: int) -> tuple[np.ndarray, np.ndarray]:
-    """(start, size) of segment ``i`` of lines of ``length``: even parts, the later ones longer by one."""
-    size, rest = length // parts, length % parts
-    longer = np.maximum(0, i - (parts - rest))
-    return size * i + longer, size + (i >= parts - rest)
-
-
 def signatures(lines: list[str], bands) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
     """(rows, keys, whether the rows are indexed under them, place and size of the segment) for each band. The lowest four
     bits of a key are its edits."""
-    data = [x.encode("utf-32-le") for x in lines]
-    sizes = np.array([len(d) // 4 for d in data])
+    sizes = np.array([len(x) for x in lines])
     starts = np.cumsum(sizes) - sizes
-    points = np.frombuffer(b"".join(data), np.uint32).astype(np.uint64) + np.uint64(1)
-    power = np.full(len(points) + 1, _P, np.uint64)
-    power[0] = 1
-    power = np.multiply.accumulate(power)
-    back = np.full(len(points) + 1, _INVERSE, np.uint64)
-    back[0] = 1
-    back = np.multiply.accumulate(back)
-    prefix = np.concatenate([np.zeros(1, np.uint64), np.cumsum(points * power[:-1], dtype=np.uint64)])
+    points = np.frombuffer("".join(lines).encode("utf-32-le"), np.uint32).astype(np.uint64) + np.uint64(1)
+    power, back = _powers(len(points) + 1)
+    prefix = np.concatenate([np.zeros(1, np.uint64), np.cumsum(points * power[: len(points)], dtype=np.uint64)])
     for (least, edits), (end, _) in zip(bands, [*bands[1:], (np.iinfo(np.int64).max, 0)], strict=True):
         own = np.flatnonzero((sizes >= least) & (sizes - edits < end))
         if not len(own):
             continue
-        length, begin = sizes[own], starts[own]
-        found: list[tuple[np.ndarray, ...]] = []
-        for less in range(edits + 1):
-            other = length - less
-            fits = (other >= least) & (other < end)
-            for i in range(edits + 1):
-                start, size = segments(other, edits + 1, i)
-                for shift in range(max(-i, less - (edits - i)), min(i, less + edits - i) + 1):
-                    at = start + shift
-                    rows = np.flatnonzero(fits & (at >= 0) & (at + size <= length) & (size > 0))
-                    a = begin[rows] + at[rows]
-                    h = (prefix[a + size[rows]] - prefix[a]) * back[a]
-                    h = (h ^ (other[rows] * (edits + 1) + i).astype(np.uint64)) * _MIX
-                    h ^= h >> np.uint64(32)
-                    h = h * _MIX & ~np.uint64(15) | np.uint64(edits)
-                    found.append((own[rows], h.view(np.int64), np.full(len(rows), less == 0 and shift == 0), at[rows], size[rows]))
+        less, part, shift, mark = _windows(edits)
+        parts, found = edits + 1, []
+        step = max(1, (1 << 16) // len(less))
+        for first in range(0, len(own), step):  # all windows of some lines at once
+            rows = own[first : first + step]
+            length, begin = sizes[rows, None], starts[rows, None]
+            other = length - np.arange(parts)
+            size, rest = (x[:, less] for x in np.divmod(other, parts))
+            other = other[:, less]
+            longer = np.maximum(0, part - parts + rest)
+            at = size * part + longer + shift
+            size += part >= parts - rest
+            ok = (other >= least) & (other < end) & (at >= 0) & (at + size <= length) & (size > 0)
+            place, size = at[ok], size[ok]
+            a = (begin + at)[ok]
+            h = (prefix[a + size] - prefix[a]) * back[a]
+            h = (h ^ (other * parts + part)[ok].astype(np.uint64)) * _MIX
+            h ^= h >> np.uint64(32)
+            h = h * _MIX & ~np.uint64(15) | np.uint64(edits)
+            found.append((rows[np.nonzero(ok)[0]], h.view(np.int64), np.broadcast_to(mark, ok.shape)[ok], place, size))
         yield tuple(np.concatenate(x) for x in zip(*found, strict=True))
 
 
+def _powers(size: int) -> tuple[np.ndarray, np.ndarray]:
+    """``size`` powers of _P and of its inverse or more; those of the usual sizes are kept."""
+    return _kept_powers() if size <= 1 << 20 else _made_powers(size)
+
+
+def _made_powers(size: int) -> tuple[np.ndarray, np.ndarray]:
+    own = [np.full(size, x, np.uint64) for x in (_P, _INVERSE)]
+    for x in own:
+        x[0] = 1
+        np.multiply.accumulate(x, out=x)
+    return own[0], own[1]
+
+
+@cache
+def _kept_powers() -> tuple[np.ndarray, np.ndarray]:
+    return _made_powers(1 << 20)
+
+
+@cache
+def _windows(edits: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(characters less, segment, shift, whether indexed) of all windows in which a line can hold a segment of a partner."""
+    own = [(less, i, shift) for less in range(edits + 1) for i in range(edits + 1)
+           for shift in range(max(-i, less - (edits - i)), min(i, less + edits - i) + 1)]
+    less, part, shift = np.array(own).T
+    return less, part, shift, (less == 0) & (shift == 0)
+
+
 def sketches(lines: list[str]) -> np.ndarray:
     """Sixteen letter counts of four bits. An edit changes two of them by one at most."""
-    data = [x.encode("utf-32-le") for x in lines]
-    length = np.array([len(d) // 4 for d in data])
-    points = np.frombuffer(b"".join(data), np.uint32)
+    length = np.array([len(x) for x in lines])
+    points = np.frombuffer("".join(lines).encode("utf-32-le"), np.uint32)
     lane = (points * np.uint32(0x9E3779B1)) >> np.uint32(28)
-    counts = np.bincount(np.repeat(np.arange(len(lines)), length) * 16 + lane, minlength=16 * len(lines)).reshape(-1, 16)
+    counts = np.bincount(np.repeat(np.arange(len(lines)) * 16, length) + lane, minlength=16 * len(lines)).reshape(-1, 16)
     return ((counts & 15).astype(np.uint64) << (np.arange(16, dtype=np.uint64) * np.uint64(4))).sum(axis=1, dtype=np.uint64)
 
 
@@ -306,9 +327,57 @@ def _common(a: str, b: str, end: bool) -> int:
     return low
 
 
-def line_keys(docs: DataFrame, edits: int = EDITS, least: int = LEAST, bands=None, hot: np.ndarray | None = None) -> DataFrame:
-    """(key, line, sketch, indexed, salt): the index and probe rows of each line; ``salt`` deals out the rows
-    of ``hot`` keys and is -1 elsewhere. A task leaves out lines that it has seen lately; what is left
+def bucket_bits(found: DataFrame) -> int:
+    """Bits of the buckets for all key rows, by the sampled ones of ``occurrences``."""
+    rows = SAMPLE * found.where("key is not null").count()
+    return min(max((rows // BUCKET).bit_length(), BITS[0]), BITS[1])
+
+
+def _blocks(held: list[tuple[np.ndarray, ...]], bits: int) -> Iterator[pa.RecordBatch]:
+    """Key rows (key, line, sketch, indexed, salted) as blocks of one bucket, salted rows in blocks of their own."""
+    key, line, sketch, indexed, salted = (np.concatenate(x) for x in zip(*held, strict=True))
+    bucket = (key.view(np.uint64) >> np.uint64(64 - bits)).astype(np.uint16)
+    bucket[salted] = (line[salted].view(np.uint64) >> np.uint64(64 - bits)).astype(np.uint16)  # one key in many buckets
+    order = np.argsort(bucket, kind="stable")
+    dealt = salted[order]
+    for mine in (order[~dealt], order[dealt]) if dealt.any() else (order,):
+        if not len(mine):
+            continue
+        k, n, s, i, of = key[mine], line[mine], sketch[mine], indexed[mine].view(np.uint8), bucket[mine]
+        edge = np.flatnonzero(of[1:] != of[:-1]) + 1
+        first, last = np.concatenate([[0], edge]), np.concatenate([edge, [len(of)]])
+        cuts = [(x, min(x + BLOCK, z)) for a, z in zip(first.tolist(), last.tolist(), strict=True) for x in range(a, z, BLOCK)]
+        for at in range(0, len(cuts), 1 << 12):
+            part = cuts[at : at + (1 << 12)]
+            blocks = [k[x:z].tobytes() + n[x:z].tobytes() + s[x:z].tobytes() + i[x:z].tobytes() for x, z in part]
+            yield pa.RecordBatch.from_pydict({
+                "bucket": pa.array(of[[x for x, _ in part]].astype(np.int32)), "salted": pa.array([bool(salted[mine[0]])] * len(part)),
+                "block": pa.array(blocks, pa.binary())})
+
+
+def _among(key: np.ndarray, hot: np.ndarray, table: np.ndarray) -> np.ndarray:
+    """Whether keys are among the sorted ``hot`` ones; ``table`` has a bit for the first twenty of each."""
+    own = np.zeros(len(key), bool)
+    some = np.flatnonzero(table[key.view(np.uint64) >> np.uint64(44)])
+    own[some] = hot[np.minimum(np.searchsorted(hot, key[some]), len(hot) - 1)] == key[some]
+    return own
+
+
+def _rows_of(blocks: list[bytes]) -> list[np.ndarray]:
+    """(key, line, sketch, indexed) of blocks."""
+    cols: list[list[np.ndarray]] = [[], [], [], []]
+    for block in blocks:
+        n = len(block) // 25
+        for c in range(3):
+            cols[c].append(np.frombuffer(block, np.int64, n, 8 * n * c))
+        cols[3].append(np.frombuffer(block, np.bool_, n, 24 * n))
+    return [np.concatenate(c) for c in cols]
+
+
+def line_keys(docs: DataFrame, edits: int = EDITS, least: int = LEAST, bands=None, hot: np.ndarray | None = None, bits: int = BITS[0]) -> DataFrame:
+    """(bucket, salted, block): the index and probe rows (key, line, sketch, indexed) of each line, packed by buckets of
+    keys, as rows of their own would cost more to shuffle and sort than to compare; the rows of ``hot`` keys are
+    salted and dealt out by line. A task leaves out lines that it has seen lately; what is left
     over is the same again and harmless."""
     bands, _, words = _reach(edits, least, bands)
     least = bands[0][0]
@@ -316,6 +385,11 @@ def line_keys(docs: DataFrame, edits: int = EDITS, least: int = LEAST, bands=Non
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
+        held: list[tuple[np.ndarray, ...]] = []
+        rows_held = 0
+        if shared is not None:
+            many, table = shared.value, np.zeros(1 << 20, bool)
+            table[many.view(np.uint64) >> np.uint64(44)] = True
         for batch in batches:
             lines: list[str] = []
             names: list[int] = []
@@ -332,19 +406,20 @@ def line_keys(docs: DataFrame, edits: int = EDITS, least: int = LEAST, bands=Non
                 if lines and (size > 1 << 19 or text is None):
                     name, sketch = np.array(names, np.int64), sketches(lines).view(np.int64)
                     for rows, key, indexed, *_ in signatures(lines, bands):
-                        salt = np.full(len(key), -1, np.int32)
-                        if shared is not None:
-                            many = np.isin(key, shared.value)
-                            salt[many] = name[rows[many]] >> 8 & 1023
-                        for at in range(0, len(rows), 1 << 16):
-                            part = slice(at, at + (1 << 16))
-                            yield pa.RecordBatch.from_pydict(
-                                {"key": key[part], "line": name[rows[part]], "sketch": sketch[rows[part]], "indexed": indexed[part], "salt": salt[part]})
+                        salted = _among(key, many, table) if shared is not None else np.zeros(len(key), bool)
+                        held.append((key, name[rows], sketch[rows], indexed, salted))
+                        rows_held += len(key)
                     lines, names, size = [], [], 0
+                    if rows_held >= PENDING:
+                        yield from _blocks(held, bits)
+                        held, rows_held = [], 0
+        if held:
+            yield from _blocks(held, bits)
+        held = []
         seen.clear()
         trim()
 
-    return docs.where("doc_id is not null").select("text").mapInArrow(run, "key long, line long, sketch long, indexed boolean, salt int")
+    return docs.where("doc_id is not null").select("text").mapInArrow(run, "bucket int, salted boolean, block binary")
 
 
 def _pairs_of(key, line, sketch, indexed, first, last):
@@ -364,7 +439,8 @@ def _pairs_of(key, line, sketch, indexed, first, last):
 
 def candidate_pairs(keys: DataFrame) -> DataFrame:
     """Rows (line, other) of candidate pairs for keys of up to SMALL rows; the rows of larger and of salted
-    keys as they are (key, line, sketch, indexed), ``other`` null. No key is held in memory."""
+    keys as they are (key, line, sketch, indexed), ``other`` null. A task holds a bucket; of one that outgrows HELD rows, large keys
+    are not kept."""
     names = ["key", "line", "other", "sketch", "indexed"]
 
     def batch_of(key, line, other, sketch, indexed):
@@ -375,42 +451,51 @@ def candidate_pairs(keys: DataFrame) -> DataFrame:
         return pa.RecordBatch.from_arrays(cols, names=names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[list[np.ndarray]] = []
-        hot: int | None = None
+        blocks: list[bytes] = []  # of whole buckets, and of the one that goes on
+        dealt: list[bytes] = []  # salted
+        size, most, now, large = 0, HELD, None, np.empty(0, np.int64)  # keys of that one that are known to be large
         for batch in batches:
-            own = [batch.column(c).to_numpy(zero_copy_only=False) for c in ("key", "line", "sketch", "indexed")]
-            salted = batch.column("salt").to_numpy() >= 0
-            if salted.any():
-                yield batch_of(own[0][salted], own[1][salted], None, own[2][salted], own[3][salted])
-                own = [x[~salted] for x in own]
-                if not len(own[0]):
+            for bucket, salted, block in zip(*(batch.column(c).to_pylist() for c in ("bucket", "salted", "block")), strict=True):
+                if salted:
+                    dealt.append(block)
+                    if len(dealt) >= 256:
+                        yield as_they_are(dealt)
+                        dealt = []
                     continue
-            if hot is not None:  # a large key goes on
-                n = int(np.searchsorted(own[0], hot, "right"))
-                if n:
-                    yield batch_of(own[0][:n], own[1][:n], None, own[2][:n], own[3][:n])
-                    own = [x[n:] for x in own]
-                if not len(own[0]):
-                    continue
-                hot = None
-            held.append(own)
-            if sum(len(x[0]) for x in held) < 1 << 16:
-                continue
-            own, rest = _split([np.concatenate(x) for x in zip(*held, strict=True)])
-            yield from small(own)
-            held = [rest] if len(rest[0]) else []
-            if held and len(rest[0]) > SMALL:
-                hot = int(rest[0][0])
-                yield batch_of(rest[0], rest[1], None, rest[2], rest[3])
-                held = []
-        if held:
-            yield from small([np.concatenate(x) for x in zip(*held, strict=True)])
-        held = []
+                if bucket != now:
+                    if size >= 1 << 17:
+                        yield from sorted_rows(_rows_of(blocks), large)
+                        blocks, size, most, large = [], 0, HELD, np.empty(0, np.int64)
+                    now = bucket
+                blocks.append(block)
+                size += len(block) // 25
+                if size >= most:  # what is large already goes on, the rest stays
+                    own = _rows_of(blocks)
+                    name, count = np.unique(own[0], return_counts=True)
+                    large = np.union1d(large, name[count > SMALL])
+                    many = np.isin(own[0], large)
+                    yield batch_of(own[0][many], own[1][many], None, own[2][many], own[3][many])
+                    own = [x[~many] for x in own]
+                    blocks, size = [b"".join(x.tobytes() for x in own)], len(own[0])
+                    most = max(HELD, 2 * size)
+        if dealt:
+            yield as_they_are(dealt)
+        if blocks:
+            yield from sorted_rows(_rows_of(blocks), large)
+        blocks = []
         trim()
 
-    def _split(own):
-        last = int(np.searchsorted(own[0], own[0][-1], "left"))
-        return [x[:last] for x in own], [x[last:] for x in own]
+    def as_they_are(blocks):
+        key, line, sketch, indexed = _rows_of(blocks)
+        return batch_of(key, line, None, sketch, indexed)
+
+    def sorted_rows(own, large):
+        if len(large):
+            many = np.isin(own[0], large)
+            yield batch_of(own[0][many], own[1][many], None, own[2][many], own[3][many])
+            own = [x[~many] for x in own]
+        order = np.argsort(own[0])
+        yield from small([x[order] for x in own])
 
     def small(own):
         key, line, sketch, indexed = own
@@ -434,7 +519,7 @@ def candidate_pairs(keys: DataFrame) -> DataFrame:
             pair = np.unique(np.stack([a, b]), axis=1)
             yield batch_of(None, pair[0], pair[1], None, None)
 
-    return keys.repartition("key", "salt").sortWithinPartitions("key").mapInArrow(run, "key long, line long, other long, sketch long, indexed boolean")
+    return keys.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(run, "key long, line long, other long, sketch long, indexed boolean")
 
 
 def line_bitmap(names: DataFrame) -> np.ndarray:
@@ -681,13 +766,13 @@ def cell_edges(line: np.ndarray, text: list[str], sketch: np.ndarray, indexed: n
     return a, b
 
 
-def near_links(docs: DataFrame, edits: int = EDITS, least: int = LEAST, bands=None, hot: np.ndarray | None = None) -> tuple[DataFrame, DataFrame]:
+def near_links(docs: DataFrame, edits: int = EDITS, least: int = LEAST, bands=None, hot: np.ndarray | None = None, bits: int = BITS[0]) -> tuple[DataFrame, DataFrame]:
     """(edges (a, b) between uids that connect all lines within the edits that their band allows, texts by uid).
 
     A line has at most SMALL partners under each of its keys in ``pairs``, so no line is a hot key of its join."""
     bands, _, _ = _reach(edits, least, bands)
     own = ["key", "line", "sketch", "indexed"]
-    found = written(candidate_pairs(line_keys(docs, bands=bands, hot=hot)), "candidates")
+    found = written(candidate_pairs(line_keys(docs, bands=bands, hot=hot, bits=bits)), "candidates")
     some = not found.where("other is null").isEmpty()
     large = found.where("other is null").select(*own).distinct()
     both = found.where("other is not null")
@@ -734,7 +819,7 @@ def repeated_lines(docs: DataFrame, edits: int = EDITS, least: int = LEAST, band
         found = written(occurrences(docs, edits, least, bands), "lines")
         seen = found.where("key is null").select("doc_id", "line_no", *both)
         firsts = written(seen.groupBy(*both).agg(F.min(F.struct("doc_id", "line_no")).alias("first"), F.count("*").alias("n")), "firsts")
-        edges, texts = near_links(docs, edits, least, bands, hot_keys(found))
+        edges, texts = near_links(docs, edits, least, bands, hot_keys(found), bucket_bits(found))
         roots = components(edges).join(texts.select(F.col("uid").alias("node"), F.col("line").alias("h1"), "h2"), "node").select(*both, "root")
         classes = firsts.join(roots, both)
         leads = classes.groupBy("root").agg(F.min("first").alias("lead"))
@@ -768,7 +853,7 @@ def dedup_lines(docs: DataFrame, edits: int = EDITS, least: int = LEAST, bands=N
 def line_report(docs: DataFrame, edits: int = EDITS, least: int = LEAST, bands=None) -> DataFrame:
     """One row per document: doc_id, n_lines, n_removed, n_near (removed without an equal line before)."""
     gone = repeated_lines(docs, edits, least, bands).groupBy(F.col("doc_id").alias("_id")).agg(F.count("*").alias("n"), F.count_if("near").alias("m"))
-    lines = F.when(F.length("text") > 0, F.regexp_count("text", F.lit("\n")) + 1).otherwise(0)
+    lines = F.when(F.length("text") > 0, F.octet_length("text") - F.octet_length(F.replace("text", F.lit("\n"), F.lit(""))) + 1).otherwise(0)
     rows = docs.select("doc_id", lines.cast("long").alias("n_lines")).join(gone, F.col("doc_id") == F.col("_id"), "left")
     count = lambda c: F.coalesce(F.col(c), F.lit(0)).cast("long")
     return rows.select("doc_id", F.coalesce("n_lines", F.lit(0)).cast("long").alias("n_lines"), count("n").alias("n_removed"), count("m").alias("n_near"))
